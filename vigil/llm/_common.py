@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..lineage import cut, shared_dir, shared_path, staged  # noqa: F401  used by the operators
+
 #: ASCII upper case to lower case only; `lower()` would also change other letters.
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 ASCII_LOWER = "abcdefghijklmnopqrstuvwxyz"
@@ -32,28 +31,3 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     """df without the columns of these names, which an operator is about to write itself."""
     gone = {n.lower() for n in names}
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in gone])
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or a temporary one where the setting is absent (tests)."""
-    sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir", "") or tempfile.mkdtemp(prefix="vigil-shared-"))
-    return sc._jsc.sc().getCheckpointDir().get()
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """df with its lineage cut by a reliable checkpoint in the shared folder."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
-
-
-def shared_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """df written as Parquet to the shared folder and read back: compressed, and read again without being computed again."""
-    path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
