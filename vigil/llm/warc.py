@@ -8,6 +8,7 @@ global order of URL key and timestamp.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import re
 from collections.abc import Iterator
@@ -82,14 +83,19 @@ def records(captures: DataFrame) -> DataFrame:
 
 
 def write_archives(captures: DataFrame, path: str, archive_records: int = ARCHIVE_RECORDS) -> None:
-    """Writes the records under path, archive_records to a file at most."""
-    records(captures).write.option("lineSep", END).option("maxRecordsPerFile", archive_records).text(path)
+    """Writes the records under path, archive_records to a gzip file at most."""
+    records(captures).write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", archive_records).text(path)
 
 
 # --- reading ---------------------------------------------------------------------------------------------------------
 _LENGTH = re.compile(rb"\r\nContent-Length: *(\d+)", re.I)
 
 
+def unpacked(content: bytes) -> bytes:
+    """The archive's own bytes; offsets in the index refer to them."""
+    return gzip.decompress(content) if content.startswith(b"\x1f\x8b") else content
+
+
 def parse_archive(content: bytes) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
     """(offset, length, headers, block) of each record of an uncompressed archive; headers have lower-case names.
 
@@ -146,7 +152,7 @@ def index_runs(spark: SparkSession, path: str) -> DataFrame:
     def run(batches):
         for b in batches:
             for name, content in zip(b.column(0).to_pylist(), b.column(1)):
-                entries = sorted((capture_entry(name, *r) for r in parse_archive(content.as_py())), key=_order)
+                entries = sorted((capture_entry(name, *r) for r in parse_archive(unpacked(content.as_py()))), key=_order)
                 for at in range(0, len(entries), 10_000):
                     yield _batch(entries[at : at + 10_000], at, schema)
 
