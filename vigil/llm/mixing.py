@@ -89,7 +89,7 @@ def _rake_frame(cells: DataFrame, margins: list[str], targets: dict[str, dict] |
             factor = have.join(want[m], F.col("k").eqNullSafe(F.col(f"{m}_k"))).where("have > 0").select("k", (F.col("want") / F.col("have")).alias("f"))
             now = cut(now.join(factor, F.col(m).eqNullSafe(F.col("k")), "left").withColumn("w", F.col("w") * F.coalesce("f", F.lit(1.0))).drop("k", "f"))
             worst = max(worst, abs((factor.agg(F.max(F.abs(F.col("f") - 1))).first()[0]) or 0.0))
-        if worst < 1e-6:
+        if worst < 1e-4:
             break
     return now
 
