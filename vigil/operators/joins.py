@@ -103,23 +103,23 @@ def nearest_time(events: DataFrame, states: DataFrame, key: str, at: str, value:
     return out.withColumn("nearest", nearer).select(*events.columns, F.col("nearest").alias(value))
 
 
-def tree_root(edges: DataFrame, stops: DataFrame, rounds: int = 40) -> DataFrame:
+def tree_root(edges: DataFrame, stops: DataFrame) -> DataFrame:
     """(node, root): root is the ancestor right below the nearest stop node; NULL without one.
 
     edges: node, parent.  A node with two distinct parents has none.  Pointers are doubled each round, so a chain of
-    length n takes log2(n) rounds; nodes on a cycle never reach a stop and get no root.
+    length n takes log2(n) rounds.  Walks that go on after as many rounds as the number of nodes allows are on a cycle: no root.
     """
     one = edges.groupBy("node").agg(F.when(F.count_distinct("parent") == 1, F.min("parent")).alias("parent")).where("parent is not null and parent <> node")
     stop = stops.select(F.col("node").alias("parent")).distinct().withColumn("stop", F.lit(True))
     # at: how far the walk has come; done: its parent is a stop, so `at` is the root
     step = one.join(stop, "parent", "left").select("node", F.when(F.col("stop"), F.col("node")).alias("root"), F.when(F.col("stop").isNull(), F.col("parent")).alias("up"))
-    now = step
-    for _ in range(rounds):
-        now = cut(now)
+    now = cut(step)
+    for _ in range(now.count().bit_length() + 1):
         if not now.where("up is not null").limit(1).count():
             break
         far = now.select(F.col("node").alias("up"), F.col("root").alias("far_root"), F.col("up").alias("far_up"))
         now = now.join(far, "up", "left").select("node", F.coalesce("root", "far_root").alias("root"), F.when(F.col("root").isNull() & F.col("far_root").isNull(), F.col("far_up")).alias("up"))
+        now = cut(now)
     return now.select("node", "root")
 
 
