@@ -11,8 +11,8 @@ from ._common import cut
 def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, component) of edges (a, b): component is the smallest node that can be reached.
 
-    Each round takes the smallest label among a node's neighbours and then the label of its label, so paths shrink by
-    more than half.  Labels are aggregated before the shuffle; no neighbour list is ever collected.  Rounds end in the
+    Each round takes the smallest label among a node's neighbours, passes it on to the node that was its label before,
+    and then takes the label of its label, so paths shrink by about half.  Labels are aggregated before the shuffle; no neighbour list is ever collected.  Rounds end in the
     shared folder, so a lost executor costs one round at most.  An empty edge table gives an empty result.
     """
     both = cut(edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct())
@@ -20,6 +20,8 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     for _ in range(rounds):
         seen = both.join(labels.withColumnsRenamed({"node": "b", "label": "l"}), "b").groupBy(F.col("a").alias("node")).agg(F.min("l").alias("l"))
         least = labels.join(seen, "node").select("node", F.least("label", "l").alias("next"), F.col("label").alias("old"))
+        hooks = least.groupBy(F.col("old").alias("node")).agg(F.min("next").alias("hook"))
+        least = least.join(hooks, "node", "left").select("node", F.least("next", "hook").alias("next"), "old")
         jump = labels.select(F.col("node").alias("next"), F.col("label").alias("far"))
         after = cut(least.join(jump, "next").select("node", F.least("next", "far").alias("label"), (F.least("next", "far") < F.col("old")).alias("moved")))
         moved = after.where("moved").limit(1).count()
