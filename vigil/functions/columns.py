@@ -71,8 +71,8 @@ def key_values(line: Column) -> Column:
     pattern = F.lit(r'([A-Za-z_]+)=("[^"]*"|\S+)')
     keys, values = F.regexp_extract_all(line, pattern, F.lit(1)), F.regexp_extract_all(line, pattern, F.lit(2))
     pairs = F.arrays_zip(F.reverse(keys).alias("k"), F.reverse(values).alias("v"))
-    firsts = F.filter(pairs, lambda p, i: F.array_position(F.reverse(keys), p["0"]) == i + 1)
-    return F.map_from_entries(F.transform(firsts, lambda p: F.struct(p["0"], F.replace(p["1"], F.lit('"'), F.lit("")))))
+    firsts = F.filter(pairs, lambda p, i: F.array_position(F.reverse(keys), p["k"]) == i + 1)
+    return F.map_from_entries(F.transform(firsts, lambda p: F.struct(p["k"], F.replace(p["v"], F.lit('"'), F.lit("")))))
 
 
 def parse_time(text: Column) -> Column:

@@ -36,6 +36,19 @@ def run_updates(stream: DataFrame, keys: list[str], out: str, checkpoint: str) -
     return rows.groupBy(*keys).agg(last).select(*keys, "v.*")
 
 
+def run_complete(stream: DataFrame, out: str, checkpoint: str) -> DataFrame:
+    """The whole result of an aggregation after the last batch."""
+    last = []
+
+    def write(rows: DataFrame, batch: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{out}/{batch}")
+        last[:] = [batch]
+
+    run_batches(stream, write, checkpoint, "complete")
+    spark = stream.sparkSession
+    return spark.read.schema(stream.schema).parquet(f"{out}/{last[0]}") if last else spark.createDataFrame([], stream.schema)
+
+
 def first_seen(stream: DataFrame, keys: list[str], at: str | None = None, delay: str = "1 day") -> DataFrame:
     """One row of each key: over all time, or, with an event-time column, within the watermark, which bounds the state."""
     if at is None:
@@ -43,14 +56,18 @@ def first_seen(stream: DataFrame, keys: list[str], at: str | None = None, delay:
     return stream.withWatermark(at, delay).dropDuplicatesWithinWatermark(keys)
 
 
-def idle_sessions(stream: DataFrame, key: str, at: str, gap: str, delay: str) -> DataFrame:
-    """(key, first_at, end_at, n) of sessions that end after `gap` without a row; those within the watermark stay open."""
-    s = stream.withWatermark(at, delay).groupBy(F.session_window(at, gap).alias("w"), key).agg(F.count("*").alias("n"))
+def _bounded(stream: DataFrame, at: str, delay: str | None) -> DataFrame:
+    return stream if delay is None else stream.withWatermark(at, delay)
+
+
+def idle_sessions(stream: DataFrame, key: str, at: str, gap: str, delay: str | None = None) -> DataFrame:
+    """(key, first_at, end_at, n) of sessions that end after `gap` without a row; with a delay, late rows go and state is bounded."""
+    s = _bounded(stream, at, delay).groupBy(F.session_window(at, gap).alias("w"), key).agg(F.count("*").alias("n"))
     return s.select(key, F.col("w.start").alias("first_at"), F.col("w.end").alias("end_at"), "n")
 
 
-def daily_counts(stream: DataFrame, key: str, at: str, delay: str = "2 days") -> DataFrame:
-    s = stream.withWatermark(at, delay).groupBy(F.window(at, "1 day").alias("w"), key).agg(F.count("*").alias("n"))
+def daily_counts(stream: DataFrame, key: str, at: str, delay: str | None = None) -> DataFrame:
+    s = _bounded(stream, at, delay).groupBy(F.window(at, "1 day").alias("w"), key).agg(F.count("*").alias("n"))
     return s.select(key, F.col("w.start").alias("day"), "n")
 
 
