@@ -12,7 +12,7 @@ from vigil.streaming import jobs as J
 
 from .test_catalog import SF, duck, plain  # noqa: F401
 
-NAMES = ["scan_map_of_lists", "scan_nested_list", "csv_sections", "rendered_records", "format_dispatch", "copy_text_rows", "write_observations", "stream_dedup", "stream_sessions", "stream_daily_counts", "pid_lifetime_join", "object_relation_join", "event_assembly", "capped_extraction", "fill_templates", "score_samples"]
+NAMES = ["scan_tagged_union", "xml_named_fields", "scan_map_of_lists", "scan_nested_list", "csv_sections", "rendered_records", "format_dispatch", "copy_text_rows", "write_observations", "stream_dedup", "stream_sessions", "stream_daily_counts", "pid_lifetime_join", "object_relation_join", "event_assembly", "capped_extraction", "fill_templates", "score_samples"]
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -106,3 +106,12 @@ def test_registry(spark):
     with pytest.raises(ValueError):
         r.register("one")(lambda s, folder: s.range(1))
     assert sorted((x.id, x.dataset) for x in r.read(spark, "").collect()) == [(0, "one"), (1, "one")]
+
+
+def test_unions_and_attributes_of_odd_lines(spark, tmp_path):
+    path = str(tmp_path / "union")
+    spark.createDataFrame([('{"A": {"id": 1}}',), ('{"C": {"id": 2}}',), ("broken",), ('{"B": {"id": 3, "v": "x"}}',)], "value string").write.text(path)
+    got = sorted(tuple(r) for r in R.tagged_union(spark, path, {"A": "id int", "B": "id int, v string"}).collect())
+    assert got == [("A", 1, None), ("B", 3, "x")]
+    pages = spark.createDataFrame([(1, '<a x="1" y=""><b z='), (2, None), (3, "")], "id int, html string")
+    assert sorted(tuple(r) for r in R.named_attributes(pages, "html").collect()) == [(1, 0, "x", "1"), (1, 1, "y", "")]

@@ -128,6 +128,21 @@ def evidence_tables(t: Tables) -> DataFrame:
     return t.labels.select("doc_id", F.inline(F.array(*[F.struct(F.lit(s).alias("sheet"), (F.col(s) == 1).alias("marked")) for s in ("quality", "toxic")])))
 
 
+@query("SELECT CASE kind WHEN 'signup' THEN 'Subject' ELSE 'Event' END AS tag, event_id AS id, CASE kind WHEN 'signup' THEN host END AS host, CASE kind WHEN 'error' THEN k END AS k FROM telemetry WHERE kind IN ('signup', 'error')", TELEMETRY)
+def scan_tagged_union(t: Tables) -> DataFrame:
+    ident = F.col("event_id").alias("id")
+    subject = F.when(F.col("kind") == "signup", F.struct(ident, "host")).alias("Subject")
+    event = F.when(F.col("kind") == "error", F.struct(ident, "k")).alias("Event")
+    other = F.when(~F.col("kind").isin("signup", "error"), F.struct(ident)).alias("Other")
+    path = _text(t, t.telemetry.select(F.to_json(F.struct(subject, event, other))), "union")
+    return R.tagged_union(t.spark, path, {"Subject": "id bigint, host bigint", "Event": "id bigint, k int"})
+
+
+@query(r"""SELECT page_id, CAST(pos AS INTEGER) AS pos, name, value FROM (SELECT page_id, unnest(regexp_extract_all(html, '([A-Za-z-]+)="([^"]*)"', 1)) AS name, unnest(regexp_extract_all(html, '([A-Za-z-]+)="([^"]*)"', 2)) AS value, unnest(range(len(regexp_extract_all(html, '([A-Za-z-]+)="([^"]*)"')))) AS pos FROM pages)""")
+def xml_named_fields(t: Tables) -> DataFrame:
+    return R.named_attributes(t.pages.select("page_id", "html"), "html")
+
+
 REGISTRY = R.Registry()
 
 

@@ -110,6 +110,28 @@ def by_shape(lines: DataFrame, text: str, shapes: list[tuple[str, str, Callable[
     return out
 
 
+def tagged_union(spark: SparkSession, path: str, members: dict[str, str]) -> DataFrame:
+    """Rows of JSON lines that hold one of several members, with `tag`; lines with none of them go.
+
+    members: the fields of each member by its name.  Fields that a member lacks are null.
+    """
+    whole = ", ".join(f"{name} struct<{fields}>" for name, fields in members.items())
+    r = spark.read.text(path).select(F.from_json("value", whole).alias("r")).select("r.*")
+    out = None
+    for name in members:
+        rows = r.where(F.col(name).isNotNull()).select(F.lit(name).alias("tag"), f"{name}.*")
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+    return out
+
+
+def named_attributes(df: DataFrame, text: str) -> DataFrame:
+    """df without `text`, one row for each name="value" pair in it, with pos; by pattern, so malformed markup is read too."""
+    pattern = F.lit(r'([A-Za-z-]+)="([^"]*)"')
+    names, values = (F.regexp_extract_all(text, pattern, F.lit(i)) for i in (1, 2))
+    pairs = F.transform(names, lambda n, i: F.struct(n.alias("name"), F.get(values, i).alias("value")))
+    return df.withColumn("_pairs", pairs).drop(text).select("*", F.posexplode("_pairs").alias("pos", "_p")).select("*", "_p.*").drop("_pairs", "_p")
+
+
 class Registry:
     """Readers by the name of their dataset."""
 
