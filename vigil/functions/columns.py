@@ -66,13 +66,18 @@ def decode_hex(value: Column) -> Column:
     return F.when(value.rlike("^([0-9A-Fa-f]{2})+$"), F.decode(F.unhex(value), "UTF-8")).otherwise(value)
 
 
+def last_wins(keys: Column, values: Column) -> Column:
+    """A map of two arrays of the same length; of a repeated key the last counts."""
+    pairs = F.arrays_zip(F.reverse(keys).alias("k"), F.reverse(values).alias("v"))
+    firsts = F.filter(pairs, lambda p, i: F.array_position(F.reverse(keys), p["k"]) == i + 1)
+    return F.map_from_entries(F.transform(firsts, lambda p: F.struct(p["k"], p["v"])))
+
+
 def key_values(line: Column) -> Column:
     """key=value pairs of a line as a map; of a repeated key the last counts."""
     pattern = F.lit(r'([A-Za-z_]+)=("[^"]*"|\S+)')
     keys, values = F.regexp_extract_all(line, pattern, F.lit(1)), F.regexp_extract_all(line, pattern, F.lit(2))
-    pairs = F.arrays_zip(F.reverse(keys).alias("k"), F.reverse(values).alias("v"))
-    firsts = F.filter(pairs, lambda p, i: F.array_position(F.reverse(keys), p["k"]) == i + 1)
-    return F.map_from_entries(F.transform(firsts, lambda p: F.struct(p["k"], F.replace(p["v"], F.lit('"'), F.lit("")))))
+    return last_wins(keys, F.transform(values, lambda v: F.replace(v, F.lit('"'), F.lit(""))))
 
 
 def parse_time(text: Column) -> Column:
