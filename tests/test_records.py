@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 from vigil.operators import processes as P
 from vigil.plans import catalog, records  # noqa: F401
 from vigil.sources import documents as D
+from vigil.sources import readers as R
 from vigil.streaming import jobs as J
 from vigil.streaming import stateful as T
 
 from .test_catalog import SF, duck, plain  # noqa: F401
 
-NAMES = ["config_windows", "doc_example_blocks", "doc_submissions", "narrative_events", "prompt_commands", "sequence_snippets", "join_continuations", "near_duplicate_merge", "lifetime_sessions", "stream_lifetimes", "stream_event_assembly", "reviewed_merge"]
+NAMES = ["config_windows", "doc_example_blocks", "doc_submissions", "narrative_events", "prompt_commands", "sequence_snippets", "join_continuations", "near_duplicate_merge", "lifetime_sessions", "stream_lifetimes", "stream_event_assembly", "reviewed_merge", "xml_events"]
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -116,3 +117,15 @@ def test_reviewed_keys(spark):
     rows = [("a", "benign"), ("a", "malicious"), ("b", "malicious"), ("b", None), ("c", "benign"), ("c", "invalid"), ("d", None)]
     got = P.reviewed_merge(spark.createDataFrame(rows, "k string, v string"), ["k"], "v")
     assert sorted(map(tuple, got.collect())) == [("a", "benign"), ("b", "malicious")]
+
+
+def test_xml_events_whole_and_broken(spark, tmp_path):
+    path = str(tmp_path / "xml")
+    good = "<?xml version='1.0'?>\n<Events><Event xmlns='u'>\n<System><Provider Name='p'/><TimeCreated SystemTime='t'/><EventID>1</EventID></System><EventData><Data Name='a'>x\ny</Data><Data Name='a'>z</Data><Data Name='e'/><Data>none</Data></EventData></Event>"
+    bad = "<Event><System><EventID>2</EventIDs></System><EventData><Data Name=\"a\">1 < 2 &amp; 3</Data></EventData></Event>"
+    other = "<Event><System/></Event></Events>"
+    spark.createDataFrame([(good + bad + other + "<Event>no end",)], "value string").write.text(path)
+    got = [(r.recovered, r.fields) for r in R.xml_events(spark, path).collect()]
+    assert got[0] == (False, {"a": "z", "e": "", "Provider": "p", "TimeCreated": "t", "EventID": "1"})
+    assert got[1][0] and got[1][1]["a"] == "1 < 2 & 3" and got[2] == (False, {})
+    assert len(R.xml_events(spark, path, "SystemTime").collect()) == 1

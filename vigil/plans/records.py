@@ -9,6 +9,7 @@ from ..lineage import shared_path
 from ..operators import processes as P
 from ..operators import selection as S
 from ..sources import documents as D
+from ..sources import readers as R
 from ..sources.tables import Tables
 from ..streaming import jobs as J
 from ..streaming import stateful as T
@@ -129,3 +130,15 @@ def stream_event_assembly(t: Tables) -> DataFrame:
 def reviewed_merge(t: Tables) -> DataFrame:
     said = F.when(F.col("kind") == "view", "benign").when(F.col("kind") == "error", "malicious").when(F.col("kind") == "signup", "invalid")
     return P.reviewed_merge(t.telemetry.withColumn("said", said), ["host", "k"], "said")
+
+
+@query("SELECT event_id, k % 7 = 0 AS recovered, kind AS channel, CASE WHEN k % 7 = 0 THEN 'a & b <' ELSE 'a && \"b\" <' END || k AS command, 'host' || host AS computer FROM telemetry WHERE kind <> 'view'", TELEMETRY)
+def xml_events(t: Tables) -> DataFrame:
+    # a bare ampersand makes an event that no XML parser takes
+    command = F.when(F.col("k") % 7 == 0, F.concat(F.lit("a & b &lt;"), "k")).otherwise(F.concat(F.lit("a &amp;&amp; &quot;b&quot; &lt;"), "k"))
+    shape = "<Event xmlns='urn:x'><System><Provider Name='p'/><EventID Qualifiers='1'>4688</EventID><Channel>%s</Channel><Computer>host%s</Computer></System><EventData><Data Name='Id'>%s</Data><Data Name='%s'>%s</Data><Data Name='Empty'/></EventData></Event>"
+    rows = t.telemetry.withColumns({"command": command, "name": F.when(F.col("kind") == "view", "Other").otherwise("CommandLine")})
+    path = shared_path(t.spark, "xml")
+    rows.select(_put(shape, "kind", "host", "event_id", "name", "command")).write.text(path)
+    f = F.col("fields")
+    return R.xml_events(t.spark, path, "CommandLine").select(f["Id"].cast("long").alias("event_id"), "recovered", f["Channel"].alias("channel"), f["CommandLine"].alias("command"), f["Computer"].alias("computer"))

@@ -7,10 +7,14 @@ gives no row.  State that runs along a file (headers, record numbers) is a windo
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.columns import last_wins
+
 Reader = Callable[[SparkSession, str], DataFrame]
 
 
@@ -124,6 +128,50 @@ def tagged_union(spark: SparkSession, path: str, members: dict[str, str]) -> Dat
     return out
 
 
+# The form of the events in exported logs.
+XML_EVENT = (
+    "System struct<Provider: struct<_Name: string>, TimeCreated: struct<_SystemTime: string>, Computer: string, Channel: string, EventID: string, EventRecordID: string>, "
+    "EventData struct<Data: array<struct<_Name: string, _VALUE: string>>>, broken string"
+)
+XML_DATA = r"""(?s)<Data\s+Name=['"]([^'"]+)['"][^>]*>(.*?)</Data>"""
+XML_SYSTEM = {"Computer": None, "Channel": None, "EventID": None, "EventRecordID": None, "Provider": "Name", "TimeCreated": "SystemTime"}
+
+
+def xml_events(spark: SparkSession, path: str, *markers: str) -> DataFrame:
+    """(raw, recovered, fields) of the <Event> elements of XML files: their named Data, and what the system says of them.
+
+    Files are cut at the end of each event, so large ones are read by many tasks, and with markers only events that hold
+    one of them are parsed.  Events that are no XML, say for a bare `&`, are recovered by the delimiters of their fields.
+    Of a repeated name the last value counts; a Data element without text is empty.  An event without an end gives no row.
+    """
+    raw = F.concat(F.regexp_extract("value", r"(?s)<Event[\s>].*", 0), F.lit("</Event>"))
+    rows = spark.read.option("lineSep", "</Event>").text(path).where(F.col("value").rlike(r"<Event[\s>]")).select(raw.alias("raw"))
+    if markers:
+        rows = rows.where(reduce(or_, [F.col("raw").contains(m) for m in markers]))
+    options = {"ignoreNamespace": "true", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "broken"}
+    parsed = rows.withColumn("e", F.from_xml("raw", XML_EVENT, options)).withColumn("recovered", F.col("e").isNull() | F.col("e.broken").isNotNull())
+    data = F.filter(F.coalesce("e.EventData.Data", F.array()), lambda d: d["_Name"].isNotNull())
+    names, values = F.transform(data, lambda d: d["_Name"]), F.transform(data, lambda d: F.coalesce(d["_VALUE"], F.lit("")))
+    found = [(F.lit(tag), F.col(f"e.System.{tag}" if attribute is None else f"e.System.{tag}._{attribute}")) for tag, attribute in XML_SYSTEM.items()]
+    rough = [(F.lit(tag), F.regexp_extract("raw", rf"(?s)<{tag}[^>]*>(.*?)</{tag}>" if attribute is None else rf"""<{tag}\b[^>]*\b{attribute}=['"]([^'"]*)""", 1)) for tag, attribute in XML_SYSTEM.items()]
+    loose = [F.regexp_extract_all("raw", F.lit(XML_DATA), F.lit(i)) for i in (1, 2)]
+    whole = _present(F.concat(names, F.array(*[n for n, _ in found])), F.concat(values, F.array(*[v for _, v in found])))
+    guess = _present(F.concat(loose[0], F.array(*[n for n, _ in rough])), F.transform(F.concat(loose[1], F.array(*[F.nullif(v, F.lit("")) for _, v in rough])), xml_text))
+    return parsed.select("raw", "recovered", F.when(F.col("recovered"), guess).otherwise(whole).alias("fields"))
+
+
+def _present(names: Column, values: Column) -> Column:
+    """A map of the names that have a value."""
+    return F.map_filter(last_wins(names, values), lambda _, v: v.isNotNull())
+
+
+def xml_text(text: Column) -> Column:
+    """text with the five entities of XML resolved."""
+    for entity, char in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"), ("amp", "&")):
+        text = F.replace(text, F.lit(f"&{entity};"), F.lit(char))
+    return text
+
+
 def named_attributes(df: DataFrame, text: str) -> DataFrame:
     """df without `text`, one row for each name="value" pair in it, with pos; by pattern, so malformed markup is read too."""
     pattern = F.lit(r'([A-Za-z-]+)="([^"]*)"')
