@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from vigil.operators import audit as A
 from vigil.operators import processes as P
 from vigil.plans import catalog, records  # noqa: F401
 from vigil.sources import documents as D
@@ -14,7 +15,7 @@ from vigil.streaming import stateful as T
 
 from .test_catalog import SF, duck, plain  # noqa: F401
 
-NAMES = ["config_windows", "doc_example_blocks", "doc_submissions", "narrative_events", "prompt_commands", "sequence_snippets", "join_continuations", "near_duplicate_merge", "lifetime_sessions", "stream_lifetimes", "stream_event_assembly", "reviewed_merge", "xml_events"]
+NAMES = ["config_windows", "doc_example_blocks", "doc_submissions", "narrative_events", "prompt_commands", "sequence_snippets", "join_continuations", "near_duplicate_merge", "lifetime_sessions", "stream_lifetimes", "stream_event_assembly", "reviewed_merge", "xml_events", "audit_commands"]
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -129,3 +130,13 @@ def test_xml_events_whole_and_broken(spark, tmp_path):
     assert got[0] == (False, {"a": "z", "e": "", "Provider": "p", "TimeCreated": "t", "EventID": "1"})
     assert got[1][0] and got[1][1]["a"] == "1 < 2 & 3" and got[2] == (False, {})
     assert len(R.xml_events(spark, path, "SystemTime").collect()) == 1
+
+
+def test_audit_lines_out_of_order_repeated_and_odd(spark):
+    m = "msg=audit(1:%d):"
+    lines = [f"type=SYSCALL {m % 1} syscall=execve exe=\"/bin/a\"", f"type=EXECVE {m % 2} a1=FF a0=\"b c\"", None, "", "no event", f"type=EXECVE {m % 1} argc=1 a0=\"a\"", f"type=EXECVE {m % 1} argc=1 a0=\"a\"", f"type=EXECVE {m % 3} argc=2 a1=x", f"type=PATH {m % 4} name=\"n\" nametype=NORMAL", f"boot_id=B type=EXECVE {m % 1} argc=1 a0=d"]
+    df = spark.createDataFrame([("f", i, x) for i, x in enumerate(lines)], "file string, n int, s string")
+    got = sorted((r.boot, r.event, r.first_line, r.argv, r.exe) for r in A.audit_commands(df, "file", "n", "s").collect())
+    assert [x[:4] for x in got] == [("B", "1:1", 9, ["d"]), ("initial", "1:1", 0, ["a"]), ("initial", "1:2", 1, ["b c", "\ufffd"])]
+    assert got[1][4] == "/bin/a"
+    assert A.audit_commands(df.limit(0), "file", "n", "s").collect() == []

@@ -62,8 +62,8 @@ def unwrap(text: Column) -> Column:
 
 
 def decode_hex(value: Column) -> Column:
-    """Text of a hex string of even length; other values unchanged."""
-    return F.when(value.rlike("^([0-9A-Fa-f]{2})+$"), F.decode(F.unhex(value), "UTF-8")).otherwise(value)
+    """Text of a hex string of even length, U+FFFD for bytes that are no UTF-8; other values unchanged."""
+    return F.when(value.rlike(r"^([0-9A-Fa-f]{2})+\z"), F.make_valid_utf8(F.unhex(value).cast("string"))).otherwise(value)
 
 
 def last_wins(keys: Column, values: Column) -> Column:
@@ -75,7 +75,7 @@ def last_wins(keys: Column, values: Column) -> Column:
 
 def key_values(line: Column) -> Column:
     """key=value pairs of a line as a map; of a repeated key the last counts."""
-    pattern = F.lit(r'([A-Za-z_]+)=("[^"]*"|\S+)')
+    pattern = F.lit(r'([A-Za-z_][A-Za-z0-9_]*)=("[^"]*"|\S+)')
     keys, values = F.regexp_extract_all(line, pattern, F.lit(1)), F.regexp_extract_all(line, pattern, F.lit(2))
     return last_wins(keys, F.transform(values, lambda v: F.replace(v, F.lit('"'), F.lit(""))))
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..lineage import shared_path
+from ..operators import audit as A
 from ..operators import processes as P
 from ..operators import selection as S
 from ..sources import documents as D
@@ -142,3 +143,25 @@ def xml_events(t: Tables) -> DataFrame:
     rows.select(_put(shape, "kind", "host", "event_id", "name", "command")).write.text(path)
     f = F.col("fields")
     return R.xml_events(t.spark, path, "CommandLine").select(f["Id"].cast("long").alias("event_id"), "recovered", f["Channel"].alias("channel"), f["CommandLine"].alias("command"), f["Computer"].alias("computer"))
+
+
+@query(
+    """SELECT event_id, 'h' || host AS host, CASE WHEN k % 5 = 0 THEN [kind, '-x y'] WHEN k % 3 = 0 THEN ['sudo', kind] ELSE [kind, 'k ' || k] END AS argv,
+  CASE WHEN k % 2 = 0 THEN '/tmp/' ELSE '/bin/' END || kind AS exe, coalesce(last_value(CASE WHEN kind = 'error' THEN '9.0:' || event_id END IGNORE NULLS) OVER (PARTITION BY event_id // 1000, host ORDER BY event_id), 'initial') AS boot
+FROM telemetry QUALIFY k % 7 <> 0""",
+    TELEMETRY,
+)
+def audit_commands(t: Tables) -> DataFrame:
+    # every seventh k opens a file; every fifth has lost an argument but has a title; every third of the others is a sudo record
+    head = "node=h%s type={} msg=audit(9.0:%s): "
+    k, lost, sudo = F.col("k"), F.col("k") % 5 == 0, (F.col("k") % 5 != 0) & (F.col("k") % 3 == 0)
+    rows = t.telemetry.withColumns({"call": F.when(k % 7 == 0, "2").otherwise("59"), "ok": F.when(k % 2 == 0, "no").otherwise("yes"), "word": F.hex(F.encode(F.concat(F.lit("k "), "k"), "UTF-8")), "title": F.hex(F.encode(F.concat("kind", F.lit("\0-x y\0")), "UTF-8")), "cmd": F.hex(F.encode(F.concat(F.lit("sudo "), "kind"), "UTF-8"))})
+    line = lambda kind, rest, *c: _put(head.format(kind) + rest, "host", "event_id", *c)
+    told = [
+        F.when(F.col("kind") == "error", line("SYSTEM_BOOT", "comm=\"init\"")), line("SYSCALL", "arch=c000003e syscall=%s success=%s exe=\"/bin/%s\" pid=7", "call", "ok", "kind"),
+        F.when(k % 7 != 0, F.when(lost, line("EXECVE", "argc=2 a0=\"%s\"", "kind")).when(sudo, line("USER_CMD", "cmd=%s", "cmd")).otherwise(line("EXECVE", "argc=2 a0=\"%s\" a1=%s", "kind", "word"))),
+        line("PATH", "name=\"/tmp/%s\" nametype=NORMAL", "kind"), F.when(lost, line("PROCTITLE", "proctitle=%s", "title")),
+    ]
+    lines = rows.select(F.floor(F.col("event_id") / 1000).alias("file"), "event_id", F.posexplode(F.array(*told)).alias("i", "text")).where("text is not null")
+    found = A.audit_commands(lines.withColumn("line", F.col("event_id") * 5 + F.col("i")), "file", "line", "text")
+    return found.select(F.substring_index("event", ":", -1).cast("long").alias("event_id"), "host", "argv", "exe", "boot")
