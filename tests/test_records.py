@@ -5,6 +5,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from vigil.functions import columns as C
+from vigil.functions import shell as H
 from vigil.operators import audit as A
 from vigil.operators import processes as P
 from vigil.plans import catalog, records  # noqa: F401
@@ -15,7 +17,7 @@ from vigil.streaming import stateful as T
 
 from .test_catalog import SF, duck, plain  # noqa: F401
 
-NAMES = ["config_windows", "doc_example_blocks", "doc_submissions", "narrative_events", "prompt_commands", "sequence_snippets", "join_continuations", "near_duplicate_merge", "lifetime_sessions", "stream_lifetimes", "stream_event_assembly", "reviewed_merge", "xml_events", "audit_commands"]
+NAMES = ["config_windows", "doc_example_blocks", "doc_submissions", "narrative_events", "prompt_commands", "sequence_snippets", "join_continuations", "near_duplicate_merge", "lifetime_sessions", "stream_lifetimes", "stream_event_assembly", "reviewed_merge", "xml_events", "audit_commands", "argv_split", "shell_invocations", "decode_base64", "program_rules", "tag_defaults"]
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -140,3 +142,23 @@ def test_audit_lines_out_of_order_repeated_and_odd(spark):
     assert [x[:4] for x in got] == [("B", "1:1", 9, ["d"]), ("initial", "1:1", 0, ["a"]), ("initial", "1:2", 1, ["b c", "\ufffd"])]
     assert got[1][4] == "/bin/a"
     assert A.audit_commands(df.limit(0), "file", "n", "s").collect() == []
+
+
+def test_words_of_odd_inputs(spark):
+    long = "x" * 300_000
+    rows = spark.createDataFrame([(None,), ("",), (" \n;;",), ("a 'b",), (long + " 'q" + long + "' z",), ("/bin/ls dir; ./go > out",)], "s string")
+    got = rows.select(H.shell_tokens(F.col("s")).alias("t"), H.invocations(F.col("s")).alias("i"), C.argv(F.col("s")).alias("a")).collect()
+    assert [r.t for r in got[:2]] == [None, []] and [r.i for r in got[:4]] == [None, [], [], [["a", "b"]]]
+    assert got[4].i == [[long, "q" + long, "z"]] and got[4].a[0] == long
+    assert got[5].t == ["/bin/ls", "dir", ";", "./go", ">", "out"] and got[5].i == [["/bin/ls", "dir"], ["./go"]]
+
+
+def test_payloads_that_are_none(spark):
+    rows = spark.createDataFrame([(None,), ("",), ("ANg=",), ("PNgI3Q==",), ("CN0=",), ("YQA=",)], "s string")
+    assert [r[0] for r in rows.select(H.utf16_base64(F.col("s"))).collect()] == [None, "", None, "\U0001f108", None, "a"]
+
+
+def test_long_quotes_in_examples(texts):
+    long = "'" + "y" * 200_000 + "' |"
+    got = D.submissions(texts(f"PS> {long}\n  next\nout"), ["id"], "text").collect()
+    assert [r.input for r in got] == [long + "\n  next"]

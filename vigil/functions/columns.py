@@ -40,7 +40,7 @@ def tokens(text: Column) -> Column:
 
 def argv(text: Column) -> Column:
     """Arguments parted by white space; double quotes hold one together and are dropped."""
-    return F.transform(F.regexp_extract_all(text, F.lit(r'(?:"[^"]*"|[^\s"])+'), F.lit(0)), lambda w: F.replace(w, F.lit('"'), F.lit("")))
+    return F.transform(F.regexp_extract_all(text, F.lit(r'(?:"[^"]*"|[^\s"]++)+'), F.lit(0)), lambda w: F.replace(w, F.lit('"'), F.lit("")))
 
 
 def usable_id(value: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import shell as H
 from ..lineage import shared_path
 from ..operators import audit as A
 from ..operators import processes as P
@@ -15,7 +16,7 @@ from ..sources.tables import Tables
 from ..streaming import jobs as J
 from ..streaming import stateful as T
 from .catalog import query
-from .prelude import SHELL, TELEMETRY
+from .prelude import LAUNCHES, SHELL, TELEMETRY
 
 
 def _put(template: str, *values: str) -> Column:
@@ -165,3 +166,39 @@ def audit_commands(t: Tables) -> DataFrame:
     lines = rows.select(F.floor(F.col("event_id") / 1000).alias("file"), "event_id", F.posexplode(F.array(*told)).alias("i", "text")).where("text is not null")
     found = A.audit_commands(lines.withColumn("line", F.col("event_id") * 5 + F.col("i")), "file", "line", "text")
     return found.select(F.substring_index("event", ":", -1).cast("long").alias("event_id"), "host", "argv", "exe", "boot")
+
+
+# --- words, payloads and rules ---------------------------------------------------------------------------------------
+@query("""SELECT event_id, [kind, 'a b' || k, 'c "' || host || '" d', 'e f', ''] AS argv FROM telemetry""", TELEMETRY)
+def argv_split(t: Tables) -> DataFrame:
+    text = _put("%s 'a b'%s \"c \\\"%s\\\" d\"  e\\ f ''", "kind", "k", "host")
+    return t.telemetry.select("event_id", H.posix_argv(text).alias("argv"))
+
+
+@query("SELECT event_id, CAST(unnest([0, 1, 2, 3]) AS INTEGER) AS pos, unnest(['/bin/ls', './go', kind, 'wc']) AS pgm, unnest([['dir'], [], ['a;b', CAST(k AS VARCHAR)], ['-l']]) AS args FROM telemetry", TELEMETRY)
+def shell_invocations(t: Tables) -> DataFrame:
+    text = _put("/bin/ls dir; ./go > out && X=1 %s 'a;b' %s 2>&1 <in | wc -l\nY=2", "kind", "k")
+    rows = t.telemetry.select("event_id", F.posexplode(H.invocations(text)).alias("pos", "words"))
+    return rows.select("event_id", "pos", F.get("words", F.lit(0)).alias("pgm"), F.slice("words", 2, F.size("words")).alias("args"))
+
+
+@query("SELECT event_id, CASE WHEN k % 4 <> 0 THEN kind || ' é ' || k END AS plain FROM telemetry", TELEMETRY)
+def decode_base64(t: Tables) -> DataFrame:
+    good = F.base64(F.encode(_put("%s é %s", "kind", "k"), "UTF-16LE"))
+    bad = F.element_at(F.array(F.lit("AB"), F.lit("no base64!"), F.lit("PNg=")), (F.col("k") / 4).cast("int") % 3 + 1)
+    return t.telemetry.select("event_id", H.utf16_base64(F.when(F.col("k") % 4 != 0, good).otherwise(bad)).alias("plain"))
+
+
+_PROGRAM_RULES = [("the", ".*", "benign", 9), ("the", "[a-z]+ .*", "malicious", 1), ("der", ".* [a-z]+", "malicious", 1), ("la", "", "benign", 1)]
+
+
+@query("SELECT record_id, CASE WHEN pgm_base = 'the' THEN CASE WHEN regexp_full_match(a, '[a-z]+ .*') THEN 'malicious' ELSE 'benign' END WHEN pgm_base = 'der' AND regexp_full_match(a, '.* [a-z]+') THEN 'malicious' WHEN pgm_base = 'la' AND a = '' THEN 'benign' END AS rule_label FROM (SELECT *, array_to_string(args, ' ') AS a FROM launches)", LAUNCHES)
+def program_rules(t: Tables) -> DataFrame:
+    rules = t.spark.createDataFrame(_PROGRAM_RULES, "program string, pattern string, label string, priority int")
+    return H.program_rules(t.launches, rules, F.col("pgm_base"), F.col("args")).select("record_id", "rule_label")
+
+
+@query("SELECT event_id, CASE WHEN k % 3 = 0 THEN 'malicious' WHEN kind = 'view' THEN 'benign' WHEN kind = 'error' THEN 'malicious' ELSE 'unknown' END AS label FROM telemetry", TELEMETRY)
+def tag_defaults(t: Tables) -> DataFrame:
+    rows = t.telemetry.withColumn("label", F.when(F.col("k") % 3 == 0, "malicious"))
+    return H.tag_defaults(rows, {"view": "benign", "error": "malicious"}, F.col("kind")).select("event_id", "label")
