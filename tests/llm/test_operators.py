@@ -228,6 +228,31 @@ def test_near_duplicates_odd_tables(spark):
     assert sorted(map(tuple, got), key=str) == sorted([(None, 1, 3, True), (3, 1, 3, True), (3, 1, 3, True), (4, 0, 4, True)], key=str)
 
 
+def test_near_duplicates_few_members_of_a_wide_list(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK", 16)
+    monkeypatch.setattr(neardup, "SHORT", 4)
+    none = np.zeros(0, np.uint64)
+    some = [np.arange(3, dtype=np.uint64), np.arange(4, dtype=np.uint64)]
+    assert neardup.estimated([], some, np.array([]), np.array([3, 4])).shape == (0, 2) and neardup.estimated(some, [none][:0], np.array([3, 4]), np.array([])).shape == (2, 0)
+    # all hold one value; a filler of 32 values has rarer ones of its own partners, so few come to the wide list as members
+    rnd = random.Random(3)
+    value = lambda: rnd.randrange(1 << 40, 1 << 62)
+    hot = [value() for _ in range(32)]
+    made, i = [], 0
+    for _ in range(40):  # pairs of fillers: 31 values of the two alone, and one that all hold
+        own = [value() for _ in range(31)]
+        for _ in range(2):
+            made.append((i, 32, np.sort(np.array([*own, hot[0]], np.uint64)).tobytes()))
+            i += 1
+    for k in (1, 2, 3):  # and few sets that have only wide values in common with any other
+        for _ in range(2):
+            made.append((i, 32, np.sort(np.array(hot[:31] + [value()], np.uint64)).tobytes()))
+            i += 1
+    df = spark.createDataFrame(made, "id bigint, n bigint, sketch binary")
+    got = dict(components.connected_components(neardup.candidate_links(df, 0.8)).collect())
+    assert got == {j: j - j % 2 if j < 80 else 80 for j in range(86)}
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(100, 130)] + [(7, 130), (1, 2), (2, 3), (3, 1), (5, 5)]
     got = dict(components.connected_components(spark.createDataFrame(chain, "a bigint, b bigint")).collect())

@@ -132,6 +132,8 @@ def estimated(left: list[np.ndarray], right: list[np.ndarray], n_left: np.ndarra
     """
     limit = lambda sets, n: np.array([s[-1] if k > len(s) else np.uint64(2**64 - 1) for s, k in zip(sets, n.tolist())], np.uint64)
     below = lambda sets, limits: np.array([np.searchsorted(s, limits, "right") for s in sets])
+    if not left or not right:
+        return np.zeros((len(left), len(right)))
     common = common_counts(left, right)
     return common / np.maximum(1, below(left, limit(right, n_right)) + below(right, limit(left, n_left)).T - common)
 
@@ -235,11 +237,16 @@ def candidate_links(classes: DataFrame, threshold: float) -> DataFrame:
             yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     few = pairs.join(one, "a").join(two, "b").select("a", "b", "n_a", "n_b", "s_a", "s_b").mapInArrow(passed, "a bigint, b bigint")
-    hot = lists.where(F.col("df") > SHORT).select("id", "v", F.ceil(F.col("df") / BLOCK).cast("long").alias("blocks"))
+    hot = lists.where(F.col("df") > SHORT).select("id", "v")
+    # of the holders of a value, the prefix leaves few as members; lists of several blocks are at most one for BLOCK members
+    several = hot.groupBy("v").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("blocks")).where("blocks > 1")
+    hot = hot.join(F.broadcast(several), "v", "left").select("id", "v", F.coalesce("blocks", F.lit(1)).cast("long").alias("blocks"))
     dealt = _dealt(hot, "v", "id", "blocks").join(sk, "id").repartition("key").sortWithinPartitions("key", "id")
 
     def links_of(rows):
         left, right, same = _sides(rows, 3)
+        if not left or not right:
+            return []
         linked = near([r[1:3] for r in left], [r[1:3] for r in right])
         return [(left[i][0], right[j][0]) for i, j in spanning(linked, same) if left[i][0] != right[j][0]]
 
