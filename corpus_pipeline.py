@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.llm import bpe, mixing, neardup, quality
-from vigil.llm._common import staged
+from vigil.llm._common import cut, staged
 from vigil.llm.queries import tokenizer_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -23,9 +23,31 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates (five words, similarity 0.8 or more): that of the smallest id."""
-    kept = neardup.near_duplicates(docs, threshold=(80, 100)).where("kept").select("doc_id")
-    return docs.select(*COLUMNS).join(kept, "doc_id", "left_semi").select(*COLUMNS)
+    """One document of each group of near-duplicates (five words, similarity 0.8 or more): that of the smallest id.
+
+    Rows with a null doc_id all stay, as nothing can refer to them.  Rows that share a doc_id and a text become one, with
+    the smallest of their other columns.  Different texts of one doc_id are documents of their own, judged each by itself:
+    the smallest text goes by the doc_id, the others come after all ids of the table.
+    """
+    docs = docs.select(*COLUMNS)
+    single = _one_row_ids(docs.where("doc_id is not null"))
+    kept = neardup.near_duplicates(single, id_col="row_id", threshold=(80, 100)).where("kept").select(F.col("doc_id").alias("row_id"))
+    return single.join(kept, "row_id", "left_semi").select(*COLUMNS).unionByName(docs.where("doc_id is null"))
+
+
+def _one_row_ids(docs: DataFrame) -> DataFrame:
+    """docs, without repeats of (doc_id, text), with row_id: doc_id, or for all texts of an id but the smallest a number above all ids."""
+    repeated = cut(docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"))
+    if not repeated.limit(1).count():
+        return docs.withColumn("row_id", F.col("doc_id"))
+    others = [c for c in COLUMNS if c not in ("doc_id", "text")]
+    texts = cut(docs.join(repeated, "doc_id", "left_semi").groupBy("doc_id", "text").agg(F.min(F.struct(*others)).alias("o")).select("doc_id", "text", *[f"o.{c}" for c in others]))
+    first = texts.groupBy("doc_id").agg(F.min("text").alias("first"))
+    top = docs.agg(F.max("doc_id")).first()[0]
+    # staged, since the numbers depend on how the rows are split
+    odd = cut(texts.join(first, "doc_id").withColumn("row_id", F.when(F.col("text").eqNullSafe(F.col("first")), F.col("doc_id")).otherwise(F.lit(top + 1) + F.monotonically_increasing_id())))
+    once = docs.join(repeated, "doc_id", "left_anti").withColumn("row_id", F.col("doc_id"))
+    return once.select(*COLUMNS, "row_id").unionByName(odd.select(*COLUMNS, "row_id"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -32,3 +32,17 @@ def test_run_equals_its_stages(spark):
         docs = stage(spark, docs, SF)
     key = lambda df: sorted((r.doc_id, bytes(r.ids)) for r in df.collect())
     assert key(p.run(spark, SF)) == key(docs)
+
+
+def test_near_duplicates_of_null_and_repeated_ids(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    near = lambda t: t + " more"
+    made = [(None, a), (None, a), (None, None), (1, b), (3, a), (3, a), (3, b), (5, near(a)), (6, c), (6, near(c)), (7, ""), (7, ""), (8, None), (8, None), (9, near(c))]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in made], "doc_id bigint, text string, lang string, source string, n_chars int").repartition(3)
+    key = lambda rows: sorted(rows, key=str)
+    want = [(None, a), (None, a), (None, None), (1, b), (3, a), (6, c), (7, ""), (8, None)]
+    got = p.near_duplicates(spark, docs, SF)
+    assert got.columns == list(p.COLUMNS) and key((r.doc_id, r.text) for r in got.collect()) == key(want)
+    # without repeated ids nothing is numbered anew
+    got = p.near_duplicates(spark, docs.where("doc_id is null or doc_id in (1, 5, 9)"), SF)
+    assert key((r.doc_id, r.text) for r in got.collect()) == key([(None, a), (None, a), (None, None), (1, b), (5, near(a)), (9, near(c))])
