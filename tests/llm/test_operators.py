@@ -277,6 +277,35 @@ def test_mixing_meets_the_targets(spark, monkeypatch):
     assert mixing.mix(df.limit(0)).count() == 0
 
 
+def test_mixing_paths_agree(spark):
+    rnd = random.Random(4)
+    docs = [(i, " ".join(["w"] * rnd.randint(1, 30)), rnd.choice(["hot"] * 6 + ["a", "b", None]), rnd.randrange(2)) for i in range(400)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string, source string, topic int")
+    for targets in (None, {"source": {"hot": 0.3, "a": 0.5, None: 0.2, "absent": 0.1}, "topic": {0: 0.6, 1: 0.4}}):
+        one, two = ({r.doc_id: r for r in mixing.mix(df, ("source", "topic"), targets, driver_cells=n).collect()} for n in (mixing.DRIVER_CELLS, 3))
+        assert all(abs(one[i].weight - two[i].weight) < 1e-7 and abs(one[i].probability - two[i].probability) < 1e-7 and one[i].sampled == two[i].sampled for i in one) and len(one) == len(two) == 400
+        if targets:
+            assert all((two[i].weight == 0) == (s == "b") for i, _, s, _ in docs)
+            mass = dict.fromkeys(["hot", "a", None], 0.0)
+            for r in two.values():
+                if r.source != "b":
+                    mass[r.source] += r.n_tokens * r.weight
+            assert all(abs(mass[k] / sum(mass.values()) - targets["source"][k]) < 1e-6 for k in mass)
+
+
+def test_mixing_reports_targets_that_contradict(spark):
+    df = spark.createDataFrame([(1, "a b", "en", "x", "t"), (2, "a", "de", "y", "t")], "doc_id bigint, text string, lang string, source string, topic string")
+    clash = {"lang": {"en": 0.9, "de": 0.1}, "source": {"x": 0.1, "y": 0.9}}
+    with pytest.warns(RuntimeWarning, match="not settled"):
+        mixing.mix(df, targets=clash)
+    cells = df.groupBy("lang", "source").agg(F.sum(F.lit(1.0)).alias("mass"))
+    with pytest.warns(RuntimeWarning, match="not settled"):
+        mixing._rake_frame(cells, ["lang", "source"], clash, {}, rounds=2)
+    for n in (mixing.DRIVER_CELLS, 1):
+        with pytest.raises(ValueError, match="no category"):
+            mixing.mix(df, targets={"lang": {"fr": 1.0}}, driver_cells=n)
+
+
 def test_rake_against_plain_loops():
     rng = np.random.default_rng(0)
     mass = rng.random((3, 4))

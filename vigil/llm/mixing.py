@@ -7,9 +7,12 @@ probability exceeds one.
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ._common import cut, fresh, without
 
@@ -18,6 +21,9 @@ DRIVER_CELLS = 200_000
 #: A target share is the present share to this power, normalised: below 1 small groups gain.
 TEMPERATURES = {"source": 0.85, "lang": 0.85, "topic": 0.9}
 DRAW_BITS = 53
+#: Raking ends once no marginal share is off by CLOSE, on the driver and as a DataFrame alike, or with a warning after ROUNDS.
+ROUNDS, CLOSE = 500, 1e-10
+NO_TARGET = "no category of a margin has both tokens and a target"
 
 
 def words(text: Column) -> Column:
@@ -45,10 +51,15 @@ def tempered(mass: dict, power: float) -> dict:
     return {k: v / s for k, v in raw.items()}
 
 
-def rake(mass: np.ndarray, index: list[np.ndarray], targets: list[np.ndarray], rounds: int = 500, close: float = 1e-10) -> np.ndarray:
+def _report(worst: float, rounds: int, close: float) -> None:
+    warnings.warn(f"raking has not settled after {rounds} rounds: a marginal share is off by {worst:.3g}, above {close:.3g}; the targets may contradict each other", RuntimeWarning, stacklevel=3)
+
+
+def rake(mass: np.ndarray, index: list[np.ndarray], targets: list[np.ndarray], rounds: int = ROUNDS, close: float = CLOSE) -> np.ndarray:
     """Iterative proportional fitting.  mass: token mass of each cell; index[m]: each cell's category in marginal m; targets[m]: its shares.
 
     Returns the weight of each cell, whose fitted share is mass * weight.  Targets of categories without mass are spread over the others.
+    Warns if a share is still off by `close` or more after `rounds`.
     """
     total = mass.sum()
     if not total:
@@ -59,38 +70,48 @@ def rake(mass: np.ndarray, index: list[np.ndarray], targets: list[np.ndarray], r
         for at, target in zip(index, targets):
             have = np.bincount(at, weights=mass * w, minlength=len(target))
             want = np.where(have > 0, target, 0)
+            if not want.sum():
+                raise ValueError(NO_TARGET)
             want = want / want.sum()
             factor = np.divide(want, have, out=np.ones_like(want), where=have > 0)
             worst = max(worst, float(np.abs(have - want).max()))
             w = w * factor[at]
         if worst < close:
-            break
+            return w
+    _report(worst, rounds, close)
     return w
 
 
-def _rake_frame(cells: DataFrame, margins: list[str], targets: dict[str, dict] | None, powers: dict[str, float], rounds: int) -> DataFrame:
-    """rake() for more cells than the driver should hold: the cells stay a DataFrame, cut after each round."""
-    now = cells.withColumn("w", F.lit(1.0))
-    want = {}
+def _rake_frame(cells: DataFrame, margins: list[str], targets: dict[str, dict] | None, powers: dict[str, float], rounds: int = ROUNDS, close: float = CLOSE) -> DataFrame:
+    """rake() by the same rules for more cells than the driver should hold: the cells stay a DataFrame, cut after each margin."""
+    total = cells.agg(F.sum("mass")).first()[0]
+    if not total:
+        return cells.withColumn("w", F.lit(1.0))
+    now, want = cells.withColumn("w", F.lit(1.0 / total)), {}
     for m in margins:
-        share = cells.groupBy(m).agg(F.sum("mass").alias("t")).where("t > 0")
-        if targets and m in targets:
-            given = cells.sparkSession.createDataFrame([(k, float(v)) for k, v in targets[m].items()], f"`{m}` string, t double")
-            share = given.join(share.select(m), m, "left_semi")
-            raw = F.col("t")
+        share = cells.groupBy(F.col(m).alias("k")).agg(F.sum("mass").alias("t"))
+        if targets and targets.get(m):
+            kind = StructType([StructField("g", cells.schema[m].dataType), StructField("given", DoubleType())])
+            given = cells.sparkSession.createDataFrame([(k, float(v)) for k, v in targets[m].items()], kind)
+            raw = share.join(given, F.col("k").eqNullSafe(F.col("g")), "left").select("k", F.coalesce("given", F.lit(0.0)).alias("want"))
         else:
-            raw = F.pow(F.col("t"), F.lit(float(powers.get(m, 1.0))))
-        s = share.agg(F.sum(raw)).first()[0] or 1.0
-        want[m] = cut(share.select(F.col(m).alias(f"{m}_k"), (raw / s).alias("want")))
+            raw = share.select("k", F.when(F.col("t") > 0, F.pow(F.col("t") / total, F.lit(float(powers.get(m, 1.0))))).otherwise(0.0).alias("want"))
+        want[m] = cut(raw)
     for _ in range(rounds):
         worst = 0.0
         for m in margins:
-            have = now.groupBy(F.col(m).alias("k")).agg(F.sum(F.col("mass") * F.col("w")).alias("have"))
-            factor = have.join(want[m], F.col("k").eqNullSafe(F.col(f"{m}_k"))).where("have > 0").select("k", (F.col("want") / F.col("have")).alias("f"))
+            have = now.groupBy(F.col(m).alias("h")).agg(F.sum(F.col("mass") * F.col("w")).alias("have")).where("have > 0")
+            both = have.join(want[m], F.col("h").eqNullSafe(F.col("k"))).select("k", "have", "want")
+            s = both.agg(F.sum("want")).first()[0]
+            if not s:
+                raise ValueError(NO_TARGET)
+            share = F.col("want") / s
+            worst = max(worst, both.agg(F.max(F.abs(F.col("have") - share))).first()[0])
+            factor = both.select("k", (share / F.col("have")).alias("f"))
             now = cut(now.join(factor, F.col(m).eqNullSafe(F.col("k")), "left").withColumn("w", F.col("w") * F.coalesce("f", F.lit(1.0))).drop("k", "f"))
-            worst = max(worst, abs((factor.agg(F.max(F.abs(F.col("f") - 1))).first()[0]) or 0.0))
-        if worst < 1e-4:
-            break
+        if worst < close:
+            return now
+    _report(worst, rounds, close)
     return now
 
 
@@ -105,8 +126,8 @@ def mix(
     which no probability exceeds 1, so that the sample's expected marginals are the targets exactly.  sampled: a draw
     from a hash of id_col, the same in every run, for repeated ids alike.
 
-    targets: {margin: {category: share}}; margins without one get shares to the power in `powers`.  Null categories are
-    categories of their own.  Cells without tokens (null or empty texts) have weight 1.  Columns named as the new ones are
+    targets: {margin: {category: share}}; categories they leave out get weight 0; margins without one get shares to the
+    power in `powers`.  Null categories are categories of their own, also in targets.  Cells without tokens (null or empty texts) have weight 1.  Columns named as the new ones are
     replaced; an empty table gives an empty result.
     """
     df = without(df, *[c for c in ("n_tokens", "weight", "probability", "sampled") if c not in margins])
@@ -133,9 +154,10 @@ def mix(
         schema = ", ".join(f"`{m}` {rows.schema[m].dataType.simpleString()}" for m in margins) + ", weight double"
         weights = F.broadcast(df.sparkSession.createDataFrame([(*r[:-1], float(x)) for r, x in zip(got, w)], schema))
     else:
-        done = _rake_frame(cells, list(margins), targets, powers, rounds=50)
+        done = _rake_frame(cells, list(margins), targets, powers)
         total = done.agg(F.sum("mass"), F.sum(F.col("mass") * F.col("w"))).first()
-        weights = done.select(*margins, F.when(F.col("mass") > 0, F.col("w") * (total[0] / total[1])).otherwise(1.0).alias("weight"))
+        scaled = F.col("w") * (total[0] / total[1]) if total[0] else F.lit(1.0)
+        weights = done.select(*margins, F.when(F.col("mass") > 0, scaled).otherwise(1.0).alias("weight"))
         top = weights.agg(F.max("weight")).first()[0]
     scale = 1.0 / top if budget is None else budget
     keys = fresh(rows.columns, *[f"cell_{m}" for m in margins])
