@@ -62,3 +62,10 @@ def test_range_join_buckets_change_nothing(spark):
 def test_continuations(spark):
     lines = spark.createDataFrame([("s", 0, "a \\"), ("s", 1, "b"), ("s", 2, "c \\\\"), ("s", 3, "d")], "s string, i int, line string")
     assert sorted(map(tuple, S.joined_continuations(lines, "s", "i", "line").collect())) == [("s", 0, "a \\\nb"), ("s", 2, "c \\\\"), ("s", 3, "d")]
+
+
+def test_lifetime_evidence_gathers_no_times(spark, duck):
+    got = catalog.QUERIES["lifetime_evidence"](spark, SF)
+    want = duck.execute(f"SELECT host, starts, first_t, last_t FROM ({catalog.SQL['lifetime_evidence']})").fetchall()
+    assert want and sorted(map(tuple, got.select("host", "starts", "first_t", "last_t").collect())) == sorted(want)
+    assert "collect_" not in got._jdf.queryExecution().toString()

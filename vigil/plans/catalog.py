@@ -414,8 +414,8 @@ def session_labels(t: Tables) -> DataFrame:
 
 @query("SELECT host, count(DISTINCT t) AS starts, min(t) AS first_t, max(t) AS last_t FROM telemetry WHERE kind = 'signup' GROUP BY host", TELEMETRY)
 def lifetime_evidence(t: Tables) -> DataFrame:
-    times = t.telemetry.where("kind = 'signup'").groupBy("host").agg(F.sort_array(F.collect_set("t")).alias("times"))
-    return times.select("host", F.size("times").cast("long").alias("starts"), F.element_at("times", 1).alias("first_t"), F.element_at("times", -1).alias("last_t"))
+    starts = t.telemetry.where("kind = 'signup'").groupBy("host")
+    return starts.agg(F.count_distinct("t").alias("starts"), F.min("t").alias("first_t"), F.max("t").alias("last_t"))
 
 
 @query("SELECT dataset, count(*) AS inputs, sum(launches) AS launches FROM (SELECT s.dataset, s.doc_id, count(l.doc_id) AS launches FROM shell s LEFT JOIN launches l ON s.doc_id = l.doc_id GROUP BY s.dataset, s.doc_id) GROUP BY dataset", LAUNCHES)
