@@ -9,8 +9,10 @@ One 64-bit hash function orders the shingles of every document; the k smallest v
      in memory; it passes on a spanning forest of the similar ones, never all pairs.
   4. The union sketch of two documents estimates their similarity and drops the rest.  Components of what is left are
      the candidate groups.
-  5. In each candidate group, again two blocks at a time, exact Jaccard on full sets decides every pair; a spanning
-     forest of the confirmed links gives the components.
+  5. In each candidate group, exact Jaccard on full sets decides; a spanning forest of the confirmed links gives the
+     components.  A group of one block is compared as a whole.  A larger one is first settled inside its blocks, then by
+     its candidate links; what then still lies apart is compared with everything outside its own component, two
+     blocks at a time, so a group that settles moves each of its sets a few times only.
 
 Nothing is capped.  What the sketches may miss is a pair at the threshold whose overlap falls short of MISS, the
 probability that the limits are computed for.
@@ -27,8 +29,9 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ._common import ASCII_LOWER, ASCII_UPPER, cut
+from ._common import ASCII_LOWER, ASCII_UPPER, cut, staged
 from .components import connected_components
 
 WORDS = 5
@@ -93,16 +96,16 @@ def sketches(df: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame
 
 
 def _values(sketch: DataFrame) -> DataFrame:
-    """(id, n, v): a row for each of the LISTED smallest values."""
+    """(id, k, n, v): a row for each of the LISTED smallest values."""
 
     def run(batches):
         for b in batches:
-            values = [np.frombuffer(s, np.int64)[:LISTED] for s in b.column(2).to_pylist()]
+            values = [np.frombuffer(s, np.int64)[:LISTED] for s in b.column(3).to_pylist()]
             sizes = [len(v) for v in values]
-            take = np.repeat(np.arange(len(sizes)), sizes)
-            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(take)), b.column(1).take(pa.array(take)), pa.array(np.concatenate(values) if values else np.zeros(0, np.int64))], names=["id", "n", "v"])
+            take = pa.array(np.repeat(np.arange(len(sizes)), sizes))
+            yield pa.RecordBatch.from_arrays([*(b.column(c).take(take) for c in range(3)), pa.array(np.concatenate(values) if values else np.zeros(0, np.int64))], names=["id", "k", "n", "v"])
 
-    return sketch.select("id", "n", "sketch").mapInArrow(run, "id bigint, n bigint, v bigint")
+    return sketch.select("id", "k", "n", "sketch").mapInArrow(run, "id bigint, k int, n bigint, v bigint")
 
 
 def common_counts(left: list[np.ndarray], right: list[np.ndarray], columns: int = 4096) -> np.ndarray:
@@ -138,6 +141,21 @@ def estimated(left: list[np.ndarray], right: list[np.ndarray], n_left: np.ndarra
     return common / np.maximum(1, below(left, limit(right, n_right)) + below(right, limit(left, n_left)).T - common)
 
 
+def pair_estimates(a: list[bytes], b: list[bytes], n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+    """estimated() for pairs of packed sketches, one from each list, all at once."""
+    size_a, size_b = (np.fromiter(map(len, x), np.int64, len(x)) // 8 for x in (a, b))
+    limits = [np.where(n > size, np.array([int.from_bytes(s[-8:], "little") for s in x], np.uint64), np.uint64(2**64 - 1)) for x, n, size in ((a, n_a, size_a), (b, n_b, size_b))]
+    values = np.frombuffer(b"".join(a) + b"".join(b), np.uint64)
+    pair = np.r_[np.repeat(np.arange(len(a)), size_a), np.repeat(np.arange(len(b)), size_b)]
+    keep = values <= np.minimum(*limits)[pair]
+    values, pair = values[keep], pair[keep]
+    order = np.lexsort((values, pair))
+    values, pair = values[order], pair[order]
+    same = (values[1:] == values[:-1]) & (pair[1:] == pair[:-1])
+    common = np.bincount(pair[1:][same], minlength=len(a))
+    return common / np.maximum(1, np.bincount(pair, minlength=len(a)) - common)
+
+
 def spanning(linked: np.ndarray, same: bool) -> list[tuple[int, int]]:
     """(row, column) links of a spanning forest of a boolean link matrix; same: rows and columns are the same documents."""
     rows, columns = linked.shape
@@ -187,19 +205,25 @@ def _forest_batches(batches, columns: list[str], links_of):
         yield batch(links_of(rows))
 
 
-def _dealt(members: DataFrame, group: str, id_col: str, blocks: str) -> DataFrame:
-    """members of groups dealt into block pairs: `key` names (group, i, j) with i <= j, `side` the block in it (0: i, 1: j).
+def _dealt(members: DataFrame, group: str, own: str, meets: str) -> DataFrame:
+    """members of block `own` of a group, dealt to the pairs with blocks 0 to meets - 1.
 
-    A member goes to as many pairs as its group has blocks; groups of one block have one key and side 0.
+    `key` names (group, i, j) with i <= j, `side` the block in it (0: i, 1: j); a block with itself has side 0 only.
     """
-    own = F.pmod(F.xxhash64(F.col(id_col), F.lit(5)), F.col(blocks))
-    rows = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col(blocks) - 1)))
-    low, high = F.least("own", "other"), F.greatest("own", "other")
-    return rows.withColumn("key", F.concat_ws("/", F.col(group), low, high)).withColumn("side", ((F.col("own") == high) & (low != high)).cast("int")).drop("own", "other")
+    rows = members.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col(meets) - 1)))
+    low, high = F.least(own, "other"), F.greatest(own, "other")
+    return rows.withColumn("key", F.concat_ws("/", F.col(group), low, high)).withColumn("side", ((F.col(own) == high) & (low != high)).cast("int")).drop("other")
+
+
+def _block(id_col: str, blocks: str):
+    return F.pmod(F.xxhash64(F.col(id_col), F.lit(5)), F.col(blocks))
 
 
 def candidate_links(classes: DataFrame, threshold: float) -> DataFrame:
-    """(a, b) links of classes (id, n, sketch) that may reach the threshold: each pair that does is connected by them."""
+    """(a, b) links of classes (id, k, n, sketch) that may reach the threshold: each pair that does is connected by them.
+
+    k tells classes of one id apart; their links are links of the id.
+    """
     listed_least = fewest_common(LISTED, threshold)
     # a set is whole in its listed values if its partners' must be too; the threshold itself holds for them
     whole = F.col("n") <= math.floor(LISTED * threshold)
@@ -208,40 +232,42 @@ def candidate_links(classes: DataFrame, threshold: float) -> DataFrame:
     values = _values(classes)
     often = values.groupBy("v").agg(F.count("*").alias("df")).where("df > 1")
     shared = values.join(often, "v")
-    rarest = Window.partitionBy("id").orderBy("df", "v")
-    per_id = Window.partitionBy("id")
+    rarest = Window.partitionBy("id", "k").orderBy("df", "v")
+    per_class = Window.partitionBy("id", "k")
     lists = cut(
-        shared.withColumn("place", F.row_number().over(rarest)).withColumn("common", F.count("*").over(per_id))
+        shared.withColumn("place", F.row_number().over(rarest)).withColumn("common", F.count("*").over(per_class))
         # values that no other document has come before all others in the order by frequency
         .where(F.col("place") + have - F.col("common") <= have - least + 1)
-        .select("id", "n", "v", "df")
+        .select("id", "k", "n", "v", "df")
     )
     near_size = (F.col("b.n") >= F.col("a.n") * threshold - 1e-9) & (F.col("a.n") >= F.col("b.n") * threshold - 1e-9)
     short = lists.where(F.col("df") <= SHORT).select("id", "n", "v")
     pairs = short.alias("a").join(short.alias("b"), (F.col("a.v") == F.col("b.v")) & (F.col("a.id") < F.col("b.id")) & near_size).select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
-    sk = classes.select("id", "n", "sketch")
+    sk = classes.select("id", "k", "n", "sketch")
     one, two = (sk.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}")) for x in "ab")
     cutoff = fewest_common(SKETCH, threshold) / SKETCH
 
+    def may_reach(est: np.ndarray, small: np.ndarray, large: np.ndarray) -> np.ndarray:
+        return (est >= np.where(large <= SKETCH, threshold, cutoff) - 1e-9) & (small >= threshold * large - 1e-9)
+
     def near(left: list, right: list) -> np.ndarray:
         """Which of left (n, packed sketch) may reach the threshold with which of right."""
         n, m = np.array([r[0] for r in left]), np.array([r[0] for r in right])
         est = estimated([np.frombuffer(r[1], np.uint64) for r in left], [np.frombuffer(r[1], np.uint64) for r in right], n, m)
-        small, large = np.minimum.outer(n, m), np.maximum.outer(n, m)
-        return (est >= np.where(large <= SKETCH, threshold, cutoff) - 1e-9) & (small >= threshold * large - 1e-9)
+        return may_reach(est, np.minimum.outer(n, m), np.maximum.outer(n, m))
 
     def passed(batches):
         for b in batches:
-            c = {n: b.column(n).to_pylist() for n in ("n_a", "n_b", "s_a", "s_b")}
-            keep = [bool(near([x], [y])[0, 0]) for x, y in zip(zip(c["n_a"], c["s_a"]), zip(c["n_b"], c["s_b"]))]
-            yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            n, m = (b.column(c).to_numpy(zero_copy_only=False) for c in ("n_a", "n_b"))
+            est = pair_estimates(b.column("s_a").to_pylist(), b.column("s_b").to_pylist(), n, m)
+            yield b.select(["a", "b"]).filter(pa.array(may_reach(est, np.minimum(n, m), np.maximum(n, m))))
 
     few = pairs.join(one, "a").join(two, "b").select("a", "b", "n_a", "n_b", "s_a", "s_b").mapInArrow(passed, "a bigint, b bigint")
-    hot = lists.where(F.col("df") > SHORT).select("id", "v")
+    hot = lists.where(F.col("df") > SHORT).select("id", "k", "v")
     # of the holders of a value, the prefix leaves few as members; lists of several blocks are at most one for BLOCK members
     several = hot.groupBy("v").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("blocks")).where("blocks > 1")
-    hot = hot.join(F.broadcast(several), "v", "left").select("id", "v", F.coalesce("blocks", F.lit(1)).cast("long").alias("blocks"))
-    dealt = _dealt(hot, "v", "id", "blocks").join(sk, "id").repartition("key").sortWithinPartitions("key", "id")
+    hot = hot.join(F.broadcast(several), "v", "left").select("id", "k", "v", F.coalesce("blocks", F.lit(1)).cast("long").alias("blocks"))
+    dealt = _dealt(hot.withColumn("own", _block("id", "blocks")), "v", "own", "blocks").join(sk, ["id", "k"]).repartition("key").sortWithinPartitions("key", "id")
 
     def links_of(rows):
         left, right, same = _sides(rows, 3)
@@ -254,32 +280,97 @@ def candidate_links(classes: DataFrame, threshold: float) -> DataFrame:
     return few.unionByName(many)
 
 
-def confirmed_links(texts: DataFrame, groups: DataFrame, threshold: tuple[int, int], width: int) -> DataFrame:
-    """(a, b) spanning links of the pairs of a group whose Jaccard on full sets reaches the threshold.
+def _full_sets(texts: DataFrame, members: DataFrame, width: int) -> DataFrame:
+    """members (id and other columns) with `set`, made again from their texts, and no others."""
 
-    texts: id, text; groups: node, component, n.  Sets are made again from the texts of the group members, and no others.
-    """
-    num, den = threshold
-    sizes = groups.groupBy("component").agg(F.count("*").alias("members"), F.sum("n").alias("shingles"))
-    blocks = sizes.select("component", F.greatest(F.ceil(F.col("members") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("long").alias("blocks"))
-    members = groups.join(blocks, "component").select(F.col("node").alias("id"), "component", "blocks")
+    names = members.columns
 
     def sets_of(batches):
         for b in batches:
             packed = [shingles(t, width).tobytes() for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("id", "component", "blocks")), pa.array(packed, pa.binary())], names=["id", "component", "blocks", "set"])
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), pa.array(packed, pa.binary())], names=[*names, "set"])
+
+    schema = T.StructType([*members.schema.fields, T.StructField("set", T.BinaryType())])
+    return texts.join(members, "id").select(*names, "text").mapInArrow(sets_of, schema)
+
+
+def _reach(x: list[np.ndarray], y: list[np.ndarray], num: int, den: int) -> np.ndarray:
+    """Which pairs have den * intersection >= num * union; empty sets reach nothing."""
+    common = common_counts(x, y)
+    union = np.add.outer(np.fromiter(map(len, x), np.int64, len(x)), np.fromiter(map(len, y), np.int64, len(y))) - common
+    return (common > 0) & (den * common >= num * union)
+
 
-    sets = texts.join(members, "id").select("id", "component", "blocks", "text").mapInArrow(sets_of, "id bigint, component bigint, blocks bigint, `set` binary")
-    dealt = _dealt(sets, "component", "id", "blocks").repartition("key").sortWithinPartitions("key", "id")
+def _links_by_key(dealt: DataFrame, num: int, den: int) -> DataFrame:
+    """(a, b): a spanning forest of the confirmed links of each key.  dealt: key, id, set, side."""
 
     def links_of(rows):
         left, right, same = _sides(rows, 2)
+        if not left or not right:
+            return []
         x, y = ([np.frombuffer(r[1], np.uint64) for r in side] for side in (left, right))
-        common = common_counts(x, y)
-        union = np.add.outer(np.fromiter(map(len, x), np.int64, len(x)), np.fromiter(map(len, y), np.int64, len(y))) - common
-        return [(left[i][0], right[j][0]) for i, j in spanning((common > 0) & (den * common >= num * union), same) if left[i][0] != right[j][0]]
+        return [(left[i][0], right[j][0]) for i, j in spanning(_reach(x, y, num, den), same) if left[i][0] != right[j][0]]
+
+    rows = dealt.select("key", "id", "set", "side").repartition("key").sortWithinPartitions("key", "id")
+    return rows.mapInArrow(lambda it: _forest_batches(it, ["id", "set", "side"], links_of), "a bigint, b bigint")
+
+
+def _confirmed_pairs(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) whose full sets reach the threshold."""
+
+    def run(batches):
+        for b in batches:
+            x, y = ([np.frombuffer(s, np.uint64) for s in b.column(c).to_pylist()] for c in ("x", "y"))
+            keep = [bool(_reach([p], [q], num, den)[0, 0]) for p, q in zip(x, y)]
+            yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return dealt.select("key", "id", "set", "side").mapInArrow(lambda it: _forest_batches(it, ["id", "set", "side"], links_of), "a bigint, b bigint")
+    one, two = (sets.select(F.col("id").alias(i), F.col("set").alias(v)) for i, v in (("a", "x"), ("b", "y")))
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")
+
+
+def confirmed_links(texts: DataFrame, groups: DataFrame, candidates: DataFrame, threshold: tuple[int, int], width: int) -> DataFrame:
+    """(a, b) spanning links of the pairs of a group whose Jaccard on full sets reaches the threshold.
+
+    texts: id, text; groups: node, component, n; candidates: the links (a, b) that made the groups.
+    """
+    sizes = groups.groupBy("component").agg(F.count("*").alias("members"), F.sum("n").alias("shingles"))
+    blocks = sizes.select("component", F.greatest(F.ceil(F.col("members") / BLOCK), F.ceil(F.col("shingles") / BLOCK_SHINGLES)).cast("long").alias("blocks"))
+    members = groups.join(blocks, "component").select(F.col("node").alias("id"), "component", "blocks").withColumn("own", _block("id", "blocks"))
+    inside = F.concat_ws("/", "component", "own").alias("key")
+    large = cut(members.where("blocks > 1"))
+    if not large.limit(1).count():
+        return _links_by_key(_full_sets(texts, members.select("id", inside), width).withColumn("side", F.lit(0)), *threshold)
+    few = _links_by_key(_full_sets(texts, members.where("blocks = 1").select("id", inside), width).withColumn("side", F.lit(0)), *threshold)
+    sets = staged(_full_sets(texts, large, width), "sets")
+    first = cut(_links_by_key(sets.select("id", "set", inside, F.lit(0).alias("side")), *threshold))
+
+    def settled(links: DataFrame) -> DataFrame:
+        """large with `part`: the component that confirmed links give so far."""
+        done = connected_components(links).select(F.col("node").alias("id"), F.col("component").alias("part"))
+        return cut(large.select("id", "component").join(done, "id", "left").withColumn("part", F.coalesce("part", "id")))
+
+    parts = settled(first)
+    ends = [parts.select(F.col("id").alias(i), F.col("part").alias(f"part_{i}")) for i in "ab"]
+    across = candidates.distinct().join(ends[0], "a").join(ends[1], "b").where("part_a <> part_b").select("a", "b")
+    second = cut(first.union(_confirmed_pairs(across, sets, *threshold)))
+    parts = settled(second)
+    # the largest part of a group meets the rest; parts of the rest meet everything
+    by_part = parts.groupBy("component", "part").agg(F.count("*").alias("m"))
+    main = by_part.groupBy("component").agg(F.max_by("part", F.struct("m", "part")).alias("main"), F.max("m").alias("m_main"), F.sum("m").alias("m_all")).where("m_all > m_main")
+    shingles_each = F.greatest(F.lit(1.0), F.col("shingles") * BLOCK / (F.col("members") * BLOCK_SHINGLES))
+    per_block = BLOCK / shingles_each
+    dealt = (
+        main.join(sizes, "component")
+        .select("component", "main", F.ceil((F.col("m_all") - F.col("m_main")) / per_block).cast("long").alias("rest_blocks"), F.ceil(F.col("m_main") / per_block).cast("long").alias("main_blocks"))
+    )
+    is_main = F.col("part") == F.col("main")
+    open_parts = parts.join(dealt, "component").withColumn("own_blocks", F.when(is_main, F.col("main_blocks")).otherwise(F.col("rest_blocks")))
+    open_parts = open_parts.select(
+        "id", "component", (_block("id", "own_blocks") + F.when(is_main, F.col("rest_blocks")).otherwise(0)).alias("own"),
+        F.when(is_main, F.col("rest_blocks")).otherwise(F.col("rest_blocks") + F.col("main_blocks")).alias("meets"),
+    )
+    third = _links_by_key(_dealt(open_parts, "component", "own", "meets").join(sets.select("id", "set"), "id"), *threshold)
+    return few.union(second).union(third)
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: tuple[int, int] = (80, 100), width: int = WORDS) -> DataFrame:
@@ -290,20 +381,26 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     den * intersection >= num * union, with (num, den) = threshold; empty sets are linked with nothing.  component_id is
     the smallest id that links reach, the document's own included; kept says whether it is the document's own.
 
-    Rows with a null id have a null component and kept true: nothing could refer to them.  Rows that repeat an id with
-    different texts are one document whose links are those of its smallest text.  Extra columns are left out; an empty
-    table gives an empty result.
+    Rows with a null id have a null component and kept true: nothing could refer to them.  Rows that repeat an id are one
+    document, with the links of all its texts.  Extra columns are left out; an empty table gives an empty result.
     """
     t = threshold[0] / threshold[1]
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     made = cut(sketches(docs, "id", "text", width))
     ids = made.where("id is not null and digest is not null")
-    heads = cut(ids.groupBy("digest").agg(F.min("id").alias("head"), F.max("id").alias("last")))
-    classes = cut(ids.select("id", "n", "sketch", "digest").join(heads.select(F.col("head").alias("id"), "digest"), ["id", "digest"]).dropDuplicates(["id"]).select("id", "n", "sketch"))
-    groups = connected_components(candidate_links(classes, t)).join(classes.select(F.col("id").alias("node"), "n"), "node")
+    same_head = Window.partitionBy("head").orderBy("digest")
+    heads = cut(ids.groupBy("digest").agg(F.min("id").alias("head")).withColumn("k", F.row_number().over(same_head)))
+    classes = ids.select("id", "n", "sketch", "digest").join(heads.select(F.col("head").alias("id"), "digest", "k"), ["id", "digest"])
+    classes = cut(classes.dropDuplicates(["id", "k"]).select("id", "k", "n", "sketch"))
+    candidates = cut(candidate_links(classes, t))
+    sizes = classes.groupBy(F.col("id").alias("node")).agg(F.sum("n").alias("n"))
+    groups = cut(connected_components(candidates).join(sizes, "node"))
     texts = docs.where("id is not null and text is not null")
-    confirmed = cut(confirmed_links(texts, cut(groups), threshold, width))
-    joined = connected_components(confirmed)
+    confirmed = confirmed_links(texts, groups, candidates, threshold, width)
+    repeated = ids.groupBy("id").agg(F.count("*").alias("rows")).where("rows > 1").select("id")
+    owned = ids.join(repeated, "id", "left_semi").select("id", "digest").distinct().join(heads, "digest").select("id", "head")
+    same_id = owned.join(owned.groupBy("id").agg(F.min("head").alias("least")), "id").where("head <> least").select(F.col("least").alias("a"), F.col("head").alias("b"))
+    joined = connected_components(cut(confirmed.union(same_id)))
     of_class = heads.join(joined.select(F.col("node").alias("head"), "component"), "head", "left").select("digest", F.coalesce("component", "head").alias("component"))
     return (
         made.select("id", "n", "digest").join(of_class, "digest", "left")
