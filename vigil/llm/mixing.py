@@ -10,11 +10,14 @@ from __future__ import annotations
 import warnings
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import BinaryType, DoubleType, LongType, StructField, StructType
 
-from ._common import cut, fresh, without
+from . import topics
+from ._common import cut, fresh, staged, without
+from .bpe import vocabulary
 
 #: Cells up to this number are raked on the driver (about 100 bytes each); beyond it they are raked as a DataFrame.
 DRIVER_CELLS = 200_000
@@ -26,21 +29,23 @@ ROUNDS, CLOSE = 500, 1e-10
 NO_TARGET = "no category of a margin has both tokens and a target"
 
 
-def words(text: Column) -> Column:
-    """Words of a text as its token weight; 0 for null."""
-    return F.coalesce(F.regexp_count(text, F.lit(r"\S+")), F.lit(0)).cast("long")
+def described(df: DataFrame, tokenizer: str, text_col: str, tokens: str, vector: str | None, keep_text: bool) -> DataFrame:
+    """df with `tokens`, the number of BPE tokens of the whole text (0 for null), and `vector`, how its words are used (null without words)."""
+    kept = [f for f in df.schema.fields if keep_text or f.name != text_col]
+    new = [StructField(tokens, LongType())] + ([StructField(vector, BinaryType())] if vector else [])
+    schema = StructType([*kept, *new])
 
+    def run(batches):
+        bpe = vocabulary(tokenizer, topics.bucket_of if vector else None)
+        for b in batches:
+            texts = [t or "" for t in b.column(text_col).to_pylist()]
+            n, used = bpe.count(texts, topics.BUCKETS if vector else 0)
+            columns = [pa.array(n)]
+            if vector:
+                columns.append(pa.array([v if t and not t.isspace() else None for t, v in zip(texts, topics.word_vectors(used))], pa.binary()))
+            yield pa.RecordBatch.from_arrays([*(b.column(f.name) for f in kept), *columns], names=[f.name for f in schema.fields])
 
-def form_topic(text: Column) -> Column:
-    """A topic by form, for tables without one: table, emphatic, listing, long or prose; null texts: none."""
-    chars = F.length(text)
-    bars = chars - F.length(F.translate(text, "|", ""))
-    shouts = chars - F.length(F.translate(text, "!", ""))
-    lines = chars - F.length(F.translate(text, "\n", "")) + 1
-    return (
-        F.when(text.isNull(), "none").when(bars * 20 > chars, "table").when(shouts * 20 > chars, "emphatic")
-        .when((lines > 4) & (chars < 60 * lines), "listing").when(chars > 6000, "long").otherwise("prose")
-    )
+    return df.mapInArrow(run, schema)
 
 
 def tempered(mass: dict, power: float) -> dict:
@@ -115,14 +120,32 @@ def _rake_frame(cells: DataFrame, margins: list[str], targets: dict[str, dict] |
     return now
 
 
+def calibrated(sums, budget: float) -> float:
+    """The scale at which cells kept with probability min(1, scale * weight) have `budget` of all tokens to expect.
+
+    sums(scale): mass of the cells at probability 1, and weighted mass of the others.  Cells only ever join the first, so this ends.
+    """
+    capped, rest = sums(0.0)
+    total, scale = capped + rest, 0.0
+    while rest > 0 and (more := (budget * total - capped) / rest) > scale * (1 + 1e-12):
+        scale = more
+        capped, rest = sums(scale)
+    return scale
+
+
 def mix(
-    df: DataFrame, margins: tuple[str, ...] = ("source", "lang", "topic"), targets: dict[str, dict] | None = None, powers: dict[str, float] = TEMPERATURES,
-    id_col: str = "doc_id", text_col: str = "text", budget: float | None = None, seed: int = 29, driver_cells: int = DRIVER_CELLS,
+    df: DataFrame, margins: tuple[str, ...] = ("source", "lang", "topic"), targets: dict[str, dict] | None = None, powers: dict[str, float] = TEMPERATURES, id_col: str = "doc_id",
+    text_col: str = "text", tokenizer: str | None = None, topic_within: str = "lang", keep_text: bool = True, budget: float | None = None, seed: int = 29, driver_cells: int = DRIVER_CELLS,
 ) -> DataFrame:
     """df with n_tokens, topic (where it has none), weight, probability and sampled.
 
-    weight: the raked share of a token of the cell, relative to the unraked one.  probability: weight scaled to `budget`
-    (share of all tokens to expect in the sample, 1 at most for a document); without a budget, the largest scale at
+    tokenizer: a byte-level BPE file, which every executor has.  Each text is read once, for its n_tokens and its words;
+    what the later steps need is staged in the shared folder, with the text only if keep_text.  Without a tokenizer, df
+    brings n_tokens (null: 0) and topic itself.  topic: fitted on the words of all texts, set against texts of the same
+    topic_within; `none` for texts without words.
+
+    weight: the raked share of a token of the cell, relative to the unraked one.  probability: weight scaled so that a
+    sample has `budget` of all tokens to expect, where no document has more than 1; without a budget, the largest scale at
     which no probability exceeds 1, so that the sample's expected marginals are the targets exactly.  sampled: a draw
     from a hash of id_col, the same in every run, for repeated ids alike.
 
@@ -130,10 +153,19 @@ def mix(
     power in `powers`.  Null categories are categories of their own, also in targets.  Cells without tokens (null or empty texts) have weight 1.  Columns named as the new ones are
     replaced; an empty table gives an empty result.
     """
-    df = without(df, *[c for c in ("n_tokens", "weight", "probability", "sampled") if c not in margins])
-    rows = df.withColumn("n_tokens", words(F.col(text_col)))
-    if "topic" in margins and "topic" not in df.columns:
-        rows = rows.withColumn("topic", form_topic(F.col(text_col)))
+    given = [c.lower() for c in df.columns]
+    fitted = "topic" in margins and "topic" not in given
+    if tokenizer is None and (fitted or "n_tokens" not in given):
+        raise ValueError("without a tokenizer the table needs n_tokens and topic")
+    df = without(df, *[c for c in ("weight", "probability", "sampled") + (("n_tokens",) if tokenizer else ()) if c not in margins])
+    if tokenizer:
+        vector, mean = fresh([*df.columns, "n_tokens", "topic"], "vector", "mean")
+        rows = staged(described(df, tokenizer, text_col, "n_tokens", vector if fitted else None, keep_text), "mixing")
+        if fitted:
+            rows = topics.with_means(rows, topic_within, vector, mean)
+            rows = rows.withColumn("topic", topics.nearest_topic(vector, mean, topics.fit_topics(rows, vector, mean))).drop(vector, mean)
+    else:
+        rows = (df if keep_text else without(df, text_col)).withColumn("n_tokens", F.coalesce("n_tokens", F.lit(0)).cast("long"))
     cells = cut(rows.groupBy(*margins).agg(F.sum("n_tokens").cast("double").alias("mass")))
     few = cells.limit(driver_cells + 1).count() <= driver_cells
     if few:
@@ -153,13 +185,17 @@ def mix(
         top = float(w.max()) if len(w) else 1.0
         schema = ", ".join(f"`{m}` {rows.schema[m].dataType.simpleString()}" for m in margins) + ", weight double"
         weights = F.broadcast(df.sparkSession.createDataFrame([(*r[:-1], float(x)) for r, x in zip(got, w)], schema))
+        sums = lambda s: (float(mass[s * w >= 1].sum()), float((mass * w)[s * w < 1].sum()))
     else:
         done = _rake_frame(cells, list(margins), targets, powers)
         total = done.agg(F.sum("mass"), F.sum(F.col("mass") * F.col("w"))).first()
         scaled = F.col("w") * (total[0] / total[1]) if total[0] else F.lit(1.0)
-        weights = done.select(*margins, F.when(F.col("mass") > 0, scaled).otherwise(1.0).alias("weight"))
+        weighed = cut(done.select(*margins, "mass", F.when(F.col("mass") > 0, scaled).otherwise(1.0).alias("weight")))
+        weights = weighed.drop("mass")
         top = weights.agg(F.max("weight")).first()[0]
-    scale = 1.0 / top if budget is None else budget
+        full = lambda s: F.col("weight") * s >= 1
+        sums = lambda s: tuple(weighed.agg(F.coalesce(F.sum(F.when(full(s), F.col("mass"))), F.lit(0.0)), F.coalesce(F.sum(F.when(~full(s), F.col("mass") * F.col("weight"))), F.lit(0.0))).first())
+    scale = 1.0 / top if budget is None else calibrated(sums, budget)
     keys = fresh(rows.columns, *[f"cell_{m}" for m in margins])
     on = [F.col(f"`{m}`").eqNullSafe(F.col(k)) for m, k in zip(margins, keys)]
     joined = rows.join(weights.select(*[F.col(m).alias(k) for m, k in zip(margins, keys)], "weight"), on, "left").drop(*keys)

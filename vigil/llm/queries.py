@@ -60,7 +60,8 @@ def op7_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "source", "lang", "topic", "n_tokens", "weight", "probability", "sampled")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return mixing.mix(docs, tokenizer=tokenizer_path("byte_bpe_50k.json"), keep_text=False).select("doc_id", "source", "lang", "topic", "n_tokens", "weight", "probability", "sampled")
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
