@@ -1,10 +1,10 @@
 """Sharding: a uniform shuffle into shards of exact sizes.
 
-The rows lie in P partitions.  How many rows of each partition go to each cell (a bounded part of a shard) is one row of
-a random matrix with fixed row and column sums, which has a multivariate hypergeometric law.  Rows are permuted inside
-their partition, exchanged by the matrix, and permuted again inside their cell.
+The rows lie in P partitions.  How many rows of each partition go to each shard is one row of a random matrix with fixed
+row and column sums, which has a multivariate hypergeometric law.  Rows are permuted inside their partition, exchanged by
+the matrix, and permuted again inside their shard, which is cut into cells that a task can sort.
 
-The matrix is never held as a whole.  It is drawn along a binary tree over the partitions: at each node the cells' open
+The matrix is never held as a whole.  It is drawn along a binary tree over the partitions: at each node the shards' open
 places are split between the left and the right half.  Every node has a random generator of its own, seeded by its
 bounds, so a task walks down to its own row alone, and a task that runs again draws the same numbers.
 """
@@ -16,13 +16,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ._common import fresh, staged, without
 
-#: Rows of a cell at most: what one task sorts in the last permutation.
-CELL_ROWS = 8192
+#: Rows of a cell on average: what one task sorts in the last permutation.
+CELL_ROWS = 2048
 #: monotonically_increasing_id() has the partition above these bits, and the place in it below.
 PLACE_BITS = 33
 
@@ -55,7 +55,7 @@ def hypergeometric(rng: np.random.Generator, good: int, bad: int, n: int) -> int
 
 
 def split(rng: np.random.Generator, places: np.ndarray, n: int) -> np.ndarray:
-    """How many of n rows fall into each cell, of which `places` are open: multivariate hypergeometric."""
+    """How many of n rows fall into each shard, of which `places` are open: multivariate hypergeometric."""
     if places.sum() < 1_000_000_000:
         return rng.multivariate_hypergeometric(places, n, method="marginals")
     out, rest = np.zeros_like(places), int(places.sum())
@@ -77,65 +77,48 @@ def matrix_row(counts: np.ndarray, places: np.ndarray, i: int, seed: int) -> np.
     return places
 
 
-def cells_of(n: int, shards: int, cell_rows: int = CELL_ROWS) -> list[tuple[int, int, int]]:
-    """(shard, first slot, size) of each cell; shards differ by one row at most, and so do the cells of a shard."""
-    out = []
-    for s in range(shards):
-        size = n // shards + (s < n % shards)
-        parts = max(1, math.ceil(size / cell_rows))
-        ends = [size * k // parts for k in range(parts + 1)]
-        out += [(s, a, b - a) for a, b in zip(ends, ends[1:])]
-    return out
-
-
 def shard_rows(df: DataFrame, shards: int = 16, seed: int = 17, cell_rows: int = CELL_ROWS, shard_col: str = "shard", slot_col: str = "slot") -> DataFrame:
     """df with shard_col (0 to shards - 1) and slot_col (gapless from 0 in each shard): a uniform random shuffle.
 
-    Shard sizes differ by one row at most.  The rows are first written to the shared folder together with their
-    partition and place, so the matrix holds however the table is split when it is read again.  The driver gets one
-    number for each partition.  Repeated rows, null and long values are rows like any other; with fewer rows than shards,
-    some shards are empty.  Columns named shard_col or slot_col are replaced.  An empty table gives an empty result.
+    Shard sizes differ by one row at most; equal texts are rows like any others and may part.  The rows are first written
+    to the shared folder together with their partition and place, so the matrix holds however the table is split when it
+    is read again.  The driver gets one number for each partition.  Repeated rows, null and long values are rows like any
+    other; with fewer rows than shards, some shards are empty.  Columns named shard_col or slot_col are replaced.  An
+    empty table gives an empty result.
     """
     df = without(df, shard_col, slot_col)
-    place, cell, order = fresh([*df.columns, shard_col, slot_col], "place", "cell", "order")
+    place, cell, order, before = fresh([*df.columns, shard_col, slot_col], "place", "cell", "order", "before")
     rows = staged(df.withColumn(place, F.monotonically_increasing_id()), "shards")
     found = dict(rows.groupBy(F.shiftright(place, PLACE_BITS).alias("p")).count().collect())
     parts = np.array(sorted(found), np.int64)
     counts = np.array([found[p] for p in parts.tolist()], np.int64)
-    cells = cells_of(int(counts.sum()), shards, cell_rows)
-    places = np.array([size for _, _, size in cells], np.int64)
+    total = int(counts.sum())
+    places = np.array([total // shards + (s < total % shards) for s in range(shards)], np.int64)
+    cells = max(1, -(-total // (shards * cell_rows)))  # of each shard
 
     def targets(i: int) -> np.ndarray:
-        """The cell of each place of partition number i, after its own permutation."""
+        """The shard of each place of partition number i, after its own permutation."""
         row = matrix_row(counts, places, i, seed)
         return np.random.default_rng([seed, i]).permutation(np.repeat(np.arange(len(row)), row))
 
     @F.pandas_udf("int")
     def dealt(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        last, cells_at = -1, None
+        last, shards_at = -1, None
         for ids in batches:
             part, at = np.searchsorted(parts, ids.to_numpy() >> PLACE_BITS), ids.to_numpy() & ((1 << PLACE_BITS) - 1)
             out = np.zeros(len(ids), np.int32)
             for i in np.unique(part):
                 if i != last:
-                    last, cells_at = int(i), targets(int(i))
-                out[part == i] = cells_at[at[part == i]]
+                    last, shards_at = int(i), targets(int(i))
+                out[part == i] = shards_at[at[part == i]]
             yield pd.Series(out)
 
+    # a shard's order is by cell, then by hash inside it; slots follow from how many rows the cells before have
+    own_cell = F.col(shard_col).cast("long") * cells + F.pmod(F.xxhash64(F.lit(seed + 1), F.col(place)), F.lit(cells))
+    placed = rows.withColumn(shard_col, dealt(place)).withColumn(cell, own_cell)
+    sizes = placed.select(shard_col, cell).groupBy(shard_col, cell).count()
+    earlier = Window.partitionBy(shard_col).orderBy(cell).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(cell, F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias(before))
     own = Window.partitionBy(cell).orderBy(order, place)
-    sized = rows.withColumn(cell, dealt(place)).withColumn(order, F.xxhash64(F.lit(seed), F.col(place)))
-    within = (F.row_number().over(own) - 1).cast("long")
-    # equal cells of a shard: shard and first slot follow from the cell's number by arithmetic, without a table
-    shard, first = _from_cell(cell, int(counts.sum()), shards, cell_rows)
-    return sized.withColumn(slot_col, within + first).withColumn(shard_col, shard).select(*[F.col(f"`{c}`") for c in df.columns], shard_col, slot_col)
-
-
-def _from_cell(cell: str, n: int, shards: int, cell_rows: int) -> tuple[Column, Column]:
-    """Columns: shard and first slot of a cell, as cells_of numbers them."""
-    more, size = n % shards, n // shards
-    parts_more, parts_less = max(1, math.ceil((size + 1) / cell_rows)), max(1, math.ceil(size / cell_rows))
-    c, large = F.col(cell), more * parts_more
-    shard = F.when(c < large, F.floor(c / parts_more)).otherwise(more + F.floor((c - large) / parts_less)).cast("int")
-    k = F.when(c < large, c % parts_more).otherwise((c - large) % parts_less)
-    first = F.when(c < large, F.floor(F.lit(size + 1) * k / parts_more)).otherwise(F.floor(F.lit(size) * k / parts_less)).cast("long")
-    return shard, first
+    within = placed.withColumn(order, F.xxhash64(F.lit(seed), F.col(place))).withColumn(slot_col, (F.row_number().over(own) - 1).cast("long"))
+    return within.join(starts, cell).select(*[F.col(f"`{c}`") for c in df.columns], shard_col, (F.col(slot_col) + F.col(before)).alias(slot_col))
