@@ -13,6 +13,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,8 +24,10 @@ from ._common import shared_path, staged
 END = "\r\n\r\n"
 #: Payloads from this size on are stored once; the others of equal payload become revisit records.
 LEAST_REVISIT = 1000
-#: Records in an archive (a reading task holds one archive's bytes); entries that one merging task holds.
-ARCHIVE_RECORDS, MERGE_ENTRIES = 4_000, 200_000
+#: Bytes after which an archive is full (a reading task holds one archive's bytes); entries that one merging task holds.
+ARCHIVE_BYTES, MERGE_ENTRIES = 32_000_000, 200_000
+#: Bytes of a record beside its payload and URL, about.
+HEAD_BYTES = 600
 INDEX_SCHEMA = (
     "url_key string, ts string, page_id bigint, record_type string, refers_to bigint, payload_bytes bigint, payload_digest string, "
     "url string, archive string, offset bigint, length bigint"
@@ -59,8 +62,8 @@ def _plain_url(text: str) -> str:
     return text.replace("%0A", "\n").replace("%0D", "\r").replace("%25", "%")
 
 
-def records(captures: DataFrame) -> DataFrame:
-    """One column, `record`: each capture as the text of a WARC record without its final two empty lines.
+def records(captures: DataFrame, *others: str) -> DataFrame:
+    """`record`: each capture as the text of a WARC record without its final two empty lines; and the other columns.
 
     The block is an HTTP response; a revisit's block has its headers only, with the Content-Length of the payload it
     stands for.  Captures without a date get one second for each page_id from 2024-01-01T00:00:00Z on.
@@ -79,12 +82,25 @@ def records(captures: DataFrame) -> DataFrame:
         F.lit("Content-Type: application/http; msgtype=response\r\n"),
         line("Content-Length", (F.octet_length(http) + F.octet_length("payload")).cast("string")), F.lit("\r\n"),
     )
-    return captures.select(F.concat(head, http, F.col("payload")).alias("record"))
+    return captures.select(*others, F.concat(head, http, F.col("payload")).alias("record"))
 
 
-def write_archives(captures: DataFrame, path: str, archive_records: int = ARCHIVE_RECORDS) -> None:
-    """Writes the records under path, archive_records to a gzip file at most."""
-    records(captures).write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", archive_records).text(path)
+def write_archives(captures: DataFrame, path: str, archive_bytes: int = ARCHIVE_BYTES) -> None:
+    """Writes the records under path as gzip files of archive_bytes (unpacked) and one record at most.
+
+    A running sum of sizes along each partition says which of its archives a record goes to; payloads stay in the JVM.
+    """
+
+    @F.pandas_udf("long")
+    def archive(sizes: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        before = 0
+        for s in sizes:
+            ends = before + s.cumsum()
+            yield (ends - s) // archive_bytes
+            before = int(ends.iloc[-1]) if len(s) else before
+
+    size = F.octet_length("payload") + F.coalesce(F.octet_length("url"), F.lit(0)) + F.lit(HEAD_BYTES).cast("long")
+    records(captures.withColumn("archive", archive(size)), "archive").write.partitionBy("archive").option("lineSep", END).option("compression", "gzip").text(path)
 
 
 # --- reading ---------------------------------------------------------------------------------------------------------
@@ -156,7 +172,7 @@ def index_runs(spark: SparkSession, path: str) -> DataFrame:
                 for at in range(0, len(entries), 10_000):
                     yield _batch(entries[at : at + 10_000], at, schema)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", "true").load(path)
     return files.select("path", "content").mapInArrow(run, schema)
 
 
@@ -198,7 +214,8 @@ def merge_runs(runs: DataFrame, merge_entries: int = MERGE_ENTRIES) -> DataFrame
     """Capture histories in global order: partition after partition, and inside each by URL key, timestamp and page_id.
 
     runs: as index_runs gives them, read twice (staged runs save parsing the archives again).  Ranges are cut on the whole
-    sort key, so a URL key with many captures spreads over tasks.  Column `seq` numbers the entries of a partition.
+    sort key, so a URL key with many captures spreads over tasks, and into as many as keep a task's runs near
+    merge_entries entries (about 1 kB each); those of its range are all that a task holds.  Column `seq` numbers the entries of a partition.
     """
     spark = runs.sparkSession
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-runs.count() // merge_entries))
