@@ -8,6 +8,7 @@ strings inside texts, so that the formatted output can be read back exactly.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
 import re
@@ -52,7 +53,8 @@ MAPPINGS = (
     Mapping("prompt and completion", fixed=(("user", ("prompt",)), ("assistant", ("completion",)))),
     Mapping("question and answer", fixed=(("user", ("question",)), ("assistant", ("answer",)))),
 )
-#: Other names of roles.
+ROWS, RECORDS = tuple(m for m in MAPPINGS if m.rows), tuple(m for m in MAPPINGS if not m.rows)
+#: Other names of roles, in records of mixed layouts.
 ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
 
 
@@ -61,89 +63,111 @@ def fingerprint(paths) -> str:
     return hashlib.sha256("\n".join(sorted(paths)).encode()).hexdigest()[:16]
 
 
-def mapping_table(mappings=MAPPINGS) -> dict[str, Mapping]:
-    return {fingerprint(m.paths()): m for m in mappings}
+@functools.cache
+def mapping_table(mappings: tuple[Mapping, ...] = MAPPINGS) -> tuple[frozenset[str], dict[str, Mapping]]:
+    """(all paths that mappings name, mapping by fingerprint)."""
+    return frozenset().union(*(m.paths() for m in mappings)), {fingerprint(m.paths()): m for m in mappings}
 
 
-def value_paths(x, at: str = "") -> Iterator[str]:
+def _named(key: str) -> str:
+    """A field's name in a path; one that holds a path's own signs is quoted, so it equals no path."""
+    return json.dumps(key) if any(c in key for c in '.[]"') else key
+
+
+def value_paths(x) -> Iterator[str]:
     """The field paths of a decoded JSON value; null fields have none."""
-    if isinstance(x, dict):
-        for k, v in x.items():
-            yield from value_paths(v, f"{at}.{k}" if at else k)
-    elif isinstance(x, list):
-        for v in x:
-            yield from value_paths(v, at + "[]")
-    elif x is not None:
-        yield at
+    waiting = [(x, "")]
+    while waiting:
+        v, at = waiting.pop()
+        if isinstance(v, dict):
+            waiting += [(y, f"{at}.{_named(k)}" if at else _named(k)) for k, y in v.items()]
+        elif isinstance(v, list):
+            waiting += [(y, at + "[]") for y in v]
+        elif v is not None:
+            yield at
 
 
 def schema_paths(t: T.DataType, at: str = "") -> Iterator[str]:
     """The field paths of a Spark type, written as value_paths writes them."""
     if isinstance(t, T.StructType):
         for f in t.fields:
-            yield from schema_paths(f.dataType, f"{at}.{f.name}" if at else f.name)
+            yield from schema_paths(f.dataType, f"{at}.{_named(f.name)}" if at else _named(f.name))
     elif isinstance(t, T.ArrayType):
         yield from schema_paths(t.elementType, at + "[]")
     else:
         yield at
 
 
-def select_mapping(paths, mappings=MAPPINGS) -> Mapping | None:
-    """The mapping of these paths.  Paths that no mapping names are left out of the fingerprint, so extra fields change nothing."""
-    known = set().union(*(m.paths() for m in mappings))
-    return mapping_table(mappings).get(fingerprint(set(paths) & known))
+def select_mapping(paths, mappings: tuple[Mapping, ...]) -> tuple[str, Mapping | None]:
+    """(fingerprint, mapping or None) of these paths.  Paths that no mapping names are left out of the fingerprint, so extra fields change nothing."""
+    known, table = mapping_table(mappings)
+    mark = fingerprint(known.intersection(paths))
+    return mark, table.get(mark)
+
+
+def _text(v) -> str:
+    """A value as text: null is empty, what is no text stays JSON, and half a surrogate pair is U+FFFD."""
+    v = "" if v is None else v if isinstance(v, str) else json.dumps(v)
+    try:
+        v.encode()
+    except UnicodeEncodeError:
+        v = v.encode("utf-16-le", "surrogatepass").decode("utf-16-le", "replace")
+    return v
+
 
+def turns_of(record: str | None, mappings: tuple[Mapping, ...] = RECORDS) -> tuple[str | None, list[tuple[str, str]]]:
+    """(fingerprint, turns) of one JSON record; (fingerprint, []) for a layout without a mapping.
 
-def turns_of(record: str | None, mappings=MAPPINGS) -> tuple[str | None, list[tuple[str, str]]]:
-    """(fingerprint, turns) of one JSON record; (fingerprint, []) for a layout without a mapping, (None, []) if it is no JSON object."""
+    (None, []) if it is no JSON object, or one nested too deeply to be read.  Roles go by their names in ROLES; an item
+    of a list of turns that is no object has an empty role.
+    """
     try:
         x = json.loads(record) if record is not None else None
-    except ValueError:
-        x = None
-    if not isinstance(x, dict):
+        if not isinstance(x, dict):
+            return None, []
+        mark, m = select_mapping(value_paths(x), mappings)
+        if m is None:
+            return mark, []
+        if m.each:
+            items = [i if isinstance(i, dict) else {m.text: i} for i in x[m.each]]
+            return mark, [(ROLES.get(r := _text(i.get(m.role)), r), _text(i.get(m.text))) for i in items]
+        return mark, [(role, "\n".join(t for p in paths if (t := _text(x.get(p))))) for role, paths in m.fixed]
+    except (ValueError, RecursionError):
         return None, []
-    known = set().union(*(m.paths() for m in mappings))
-    mark = fingerprint(set(value_paths(x)) & known)
-    m = mapping_table(mappings).get(mark)
-    text = lambda v: "" if v is None else v if isinstance(v, str) else json.dumps(v)
-    if m is None or m.rows:
-        return mark, []
-    if m.each:
-        items = [i for i in x[m.each] if isinstance(i, dict)]
-        return mark, [(ROLES.get(r := text(i.get(m.role)), r), text(i.get(m.text))) for i in items]
-    return mark, [(role, "\n".join(t for p in paths if (t := text(x.get(p))))) for role, paths in m.fixed]
 
 
 def turns_from_json(df: DataFrame, id_col: str, json_col: str) -> DataFrame:
     """(conv, turn, role, text, fingerprint) of JSON records of mixed layouts.
 
-    A record without a known layout gives one row with null turn, role and text, so that nothing goes unseen.
+    A record without a known layout, null, empty or broken, gives one row with null turn, role and text, so that nothing
+    goes unseen.  Repeated records and ids give their turns again; a null id stays null; extra columns are left out; an
+    empty table gives an empty result.
     """
     schema = T.StructType([T.StructField("conv", df.schema[id_col].dataType)] + [T.StructField(n, t) for n, t in (("turn", T.LongType()), ("role", T.StringType()), ("text", T.StringType()), ("fingerprint", T.StringType()))])
 
     def run(batches):
         for b in batches:
-            for conv, record in zip(b.column(0), b.column(1).to_pylist()):
+            owner, rows = [], []
+            for i, record in enumerate(b.column(1).to_pylist()):
                 mark, turns = turns_of(record)
-                rows = list(enumerate(turns)) or [(None, (None, None))]
-                n = len(rows)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([conv.as_py()] * n, b.schema.types[0]), pa.array([i for i, _ in rows], pa.int64()), pa.array([t[0] for _, t in rows], pa.string()), pa.array([t[1] for _, t in rows], pa.string()), pa.array([mark] * n, pa.string())],
-                    names=["conv", "turn", "role", "text", "fingerprint"],
-                )
+                made = [(n, role, text, mark) for n, (role, text) in enumerate(turns)] or [(None, None, None, mark)]
+                owner += [i] * len(made)
+                rows += made
+            columns = list(zip(*rows)) or [()] * 4
+            types = pa.int64(), pa.string(), pa.string(), pa.string()
+            yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(owner, pa.int64())), *(pa.array(c, t) for c, t in zip(columns, types))], names=["conv", "turn", "role", "text", "fingerprint"])
 
     return df.select(id_col, json_col).mapInArrow(run, schema)
 
 
 def turns_from_rows(df: DataFrame, id_col: str = "conv_id", turn_col: str = "turn") -> DataFrame:
-    """(conv, turn, role, text) of a table whose own schema's fingerprint selects a row-wise mapping."""
+    """(conv, turn, role, text) of a table whose own schema's fingerprint selects a row-wise mapping.  Roles stay as they are given."""
     fields = T.StructType([f for f in df.schema.fields if f.name not in (id_col, turn_col)])
-    m = select_mapping(schema_paths(fields))
-    if m is None or not m.rows:
+    _, m = select_mapping(schema_paths(fields), ROWS)
+    if m is None:
         raise ValueError(f"no row-wise mapping for the layout {sorted(schema_paths(fields))}")
-    role = F.coalesce(F.col(m.role), F.lit(""))
-    known = F.create_map(*[F.lit(x) for kv in ROLES.items() for x in kv])
-    return df.select(F.col(id_col).alias("conv"), F.col(turn_col).alias("turn"), F.coalesce(known[role], role).alias("role"), F.coalesce(F.col(m.text), F.lit("")).alias("text"))
+    text = lambda name: F.coalesce(F.col(name), F.lit(""))
+    return df.select(F.col(id_col).alias("conv"), F.col(turn_col).alias("turn"), text(m.role).alias("role"), text(m.text).alias("text"))
 
 
 # --- template --------------------------------------------------------------------------------------------------------
@@ -253,17 +277,3 @@ def format_conversations(df: DataFrame, id_col: str = "conv_id", turn_col: str =
     repeated turns.  Extra columns are left out.  An empty table gives an empty result.
     """
     return format_turns(turns_from_rows(df, id_col, turn_col))
-
-
-def assemble(formatted: DataFrame) -> DataFrame:
-    """One row for each conversation: conv, formatted (whole), loss_spans (array of [start, end) code points)."""
-    piece = F.struct(F.col("turn"), F.col("formatted"), F.col("loss_start"), F.col("loss_end"))
-    pieces = formatted.groupBy("conv").agg(F.array_sort(F.collect_list(piece)).alias("p"))
-    ends = F.aggregate(
-        F.col("p"), F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("s")),
-        lambda a, x: F.struct(
-            (a.at + F.length(x.formatted)).alias("at"),
-            F.when(x.loss_start.isNull(), a.s).otherwise(F.concat(a.s, F.array(F.struct((a.at + x.loss_start).alias("start"), (a.at + x.loss_end).alias("end"))))).alias("s"),
-        ),
-    ).s
-    return pieces.select("conv", F.array_join(F.transform("p", lambda x: x.formatted), "").alias("formatted"), ends.alias("loss_spans"))

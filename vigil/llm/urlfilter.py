@@ -10,6 +10,8 @@ gives one expression for each shape at most.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,34 +53,26 @@ def judge_urls(pages: DataFrame, rules: DataFrame, url_col: str = "url", default
         .withColumn("digest", F.sha2(F.concat_ws("\n", "r_host", "r_path"), 256))
         .withColumn("short", F.substring("digest", 1, PREFIX_HEX))
     )
-    shapes = rules.select(F.size(F.split("r_host", r"\.")).alias("labels"), F.length("r_path").alias("chars")).distinct().collect()
-    by_labels: dict[int, list[int]] = {}
-    for s in sorted(map(tuple, shapes)):
-        by_labels.setdefault(s[0], []).append(s[1])
-
-    u_host, u_path = fresh(out.columns, "host", "path")
-    urls = out.select(host_of(F.col(f"`{url_col}`")).alias("h"), path_of(F.col(f"`{url_col}`")).alias("p")).where(F.length("h") > 0).distinct()
-    labels = F.split("h", r"\.")
-    made = [
-        F.when(
-            (F.size(labels) >= n) & (F.length("p") >= m),
-            F.sha2(F.concat_ws("\n", F.array_join(F.slice(labels, -n, n), "."), F.substring("p", 1, m)), 256),
-        )
-        for n, chars in by_labels.items()
-        for m in chars
-    ]
-    keys = F.filter(F.array(*made), lambda x: x.isNotNull()) if made else F.array().cast("array<string>")
-    tried = urls.select("h", "p", F.explode(keys).alias("tried")).withColumn("short", F.substring("tried", 1, PREFIX_HEX))
+    shapes = rules.select(F.size(F.split("r_host", r"\.")).alias("n"), F.length("r_path").alias("m")).distinct().collect()
+    # the shapes are data in one literal: the plan is as large for a thousand of them as for one
+    shape_list = F.from_json(F.lit(json.dumps(sorted(map(list, shapes)))), "array<array<int>>")
+
+    u_host, u_path, h, p, b_rule, b_verdict = fresh(out.columns, "host", "path", "h", "p", "b_rule", "b_verdict")
+    urls = out.select(host_of(F.col(f"`{url_col}`")).alias(h), path_of(F.col(f"`{url_col}`")).alias(p)).where(F.length(h) > 0).distinct()
+    labels = F.split(h, r"\.")
+    fitting = F.filter(shape_list, lambda s: (F.size(labels) >= s[0]) & (F.length(p) >= s[1]))
+    keys = F.transform(fitting, lambda s: F.sha2(F.concat_ws("\n", F.array_join(F.slice(labels, -s[0], s[0]), "."), F.substring(F.col(p), F.lit(1), s[1])), 256))
+    tried = urls.select(h, p, F.explode(keys).alias("tried")).withColumn("short", F.substring("tried", 1, PREFIX_HEX))
     n_rules = rules.limit(BROADCAST_RULES + 1).count()
     table = F.broadcast(rules) if n_rules <= BROADCAST_RULES else rules
     rank = F.struct(F.length("r_host") + F.length("r_path"), F.length("r_host"), F.col("r_verdict") == "block", "r_host", "r_path", "r_verdict")
     best = (
         tried.join(table, "short").where(F.col("tried") == F.col("digest"))
-        .groupBy("h", "p").agg(F.max(rank).alias("best"))
-        .select("h", "p", F.concat("best.r_host", "best.r_path").alias("b_rule"), F.col("best.r_verdict").alias("b_verdict"))
+        .groupBy(h, p).agg(F.max(rank).alias("best"))
+        .select(h, p, F.concat("best.r_host", "best.r_path").alias(b_rule), F.col("best.r_verdict").alias(b_verdict))
     )
     keyed = out.withColumn(u_host, host_of(F.col(f"`{url_col}`"))).withColumn(u_path, path_of(F.col(f"`{url_col}`")))
-    joined = keyed.join(best, (F.col(u_host) == F.col("h")) & (F.col(u_path) == F.col("p")), "left")
-    named = {"host": F.col(u_host), "path": F.col(u_path), "rule": F.col("b_rule"), "verdict": F.coalesce("b_verdict", F.lit(default))}
+    joined = keyed.join(best, (F.col(u_host) == F.col(h)) & (F.col(u_path) == F.col(p)), "left")
+    named = {"host": F.col(u_host), "path": F.col(u_path), "rule": F.col(b_rule), "verdict": F.coalesce(b_verdict, F.lit(default))}
     kept = [F.col(f"`{c}`") for c in out.columns]
     return joined.select(*kept, *[e.alias(n) for n, e in named.items() if n not in out.columns])
