@@ -5,12 +5,13 @@ import itertools
 import os
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from vigil.llm import bpe, chat, components, mixing, neardup, quality, sharding, tokencount, topk, urlfilter, warc
+from vigil.llm import bpe, chat, components, mixing, neardup, quality, sharding, tokencount, topics, topk, urlfilter, warc
 from vigil.llm.queries import tokenizer_path
 
 BPE = tokenizer_path("byte_bpe_50k.json")
@@ -67,8 +68,6 @@ def test_chat_round_trip(spark):
         assert r.turns_sha256 == hashlib.sha256("".join(f"{a}\n{b}\n" for _, a, b in turns).encode()).hexdigest()
         loss = "".join(b for _, a, b in turns if a == "assistant")
         assert (r.n_turns, r.loss_chars, r.loss_sha256) == (len(turns), len(loss), hashlib.sha256(loss.encode()).hexdigest())
-    whole = {r.conv: r for r in chat.assemble(made).collect()}
-    assert sum(e - s for r in whole.values() for s, e in r.loss_spans) == sum(r.loss_end - r.loss_start for r in made.collect() if r.loss_end)
     assert chat.digest_conversations(chat.read_turns(chat.format_conversations(df.limit(0)))).count() == 0
 
 
@@ -85,6 +84,27 @@ def test_chat_layouts(spark):
     assert got == {0: pair, 1: pair, 2: pair, 3: [("user", "a\nc"), ("assistant", "b")], 4: pair, 5: pair, 6: [(None, None)], 7: [(None, None)], 8: [(None, None)]}
     with pytest.raises(ValueError):
         chat.turns_from_rows(df, "id", "record")
+    assert chat.turns_from_json(df.limit(0), "id", "record").count() == 0
+
+
+def test_chat_odd_records(spark):
+    deep = "[" * 100_000 + "]" * 100_000
+    records = [
+        '{"messages[]": {"role": "user", "content": "a"}}', '{"messages": [{"role": "user", "content": "\\ud83d"}, {"role": "a\\udc00", "content": "\\ud83d\\ude00"}]}', '{"prompt": ' + deep + ', "response": "b"}',
+        '{"messages": [{"role": "model", "content": 3}, "loose", {"role": null, "content": null}], "text": "x", "role": "y"}', '{"instruction": "a", "output": ' + "9" * 5000 + "}", '{"prompt": "' + "long " * 100_000 + '", "response": null}', "", "[]",
+    ]
+    df = spark.createDataFrame([(None if i == 7 else i, r) for i, r in enumerate(records * 2)], "id bigint, record string").withColumn("turn", F.lit("clash"))
+    got = {}
+    for r in chat.turns_from_json(df, "id", "record").orderBy("conv", "turn").collect():
+        got.setdefault(r.conv, []).append((r.role, r.text))
+    none = [(None, None)]
+    assert got[0] == got[2] == got[4] == got[6] == none and got[1] == [("user", "\ufffd"), ("a\ufffd", "\U0001f600")]
+    assert got[3] == [("assistant", "3"), ("", "loose"), ("", "")] and got[5] == none and len(got[None]) == 1
+    # turn rows keep their roles, whatever other columns there are
+    rows_ = spark.createDataFrame([(1, 0, "human", "a" * 200_000, "p"), (1, 1, "gpt", None, "p"), (1, 1, "gpt", None, "p")], "conv_id bigint, turn bigint, role string, text string, prompt string")
+    back = chat.read_turns(chat.format_conversations(rows_))
+    assert sorted((r.turn, r.role, len(r.text)) for r in back.collect()) == [(0, "human", 200_000), (1, "gpt", 0), (1, "gpt", 0)]
+    assert [(r.n_turns, r.loss_chars) for r in chat.digest_conversations(back).collect()] == [(3, 0)]
 
 
 # --- op3 -------------------------------------------------------------------------------------------------------------
@@ -99,6 +119,11 @@ def test_url_rules(spark):
         fits = [(len(h) + len(p), len(h), v == "block", h + p, v) for h, p, v in rules if h and (host == h or host.endswith("." + h)) and path.startswith(p)]
         best = max(fits, default=None)
         assert (r.host, r.path, r.rule, r.verdict) == (host, path, best and best[3], best[4] if best else "allow"), r.url
+    odd = df.withColumns({c: F.lit(1) for c in ("h", "p", "b_rule", "b_verdict", "short", "digest", "tried", "r_host", "best", "HOST")})
+    got = urlfilter.judge_urls(odd, spark.createDataFrame(rules, urlfilter.RULE_SCHEMA))
+    assert rows(got.select("page_id", "rule", "verdict")) == rows(urlfilter.judge_urls(df, spark.createDataFrame(rules, urlfilter.RULE_SCHEMA)).select("page_id", "rule", "verdict")) and "b_rule" in got.columns
+    long = spark.createDataFrame([(1, "http://example.org/" + "x/" * 50_000)], "page_id bigint, url string")
+    assert urlfilter.judge_urls(long, spark.createDataFrame(rules + [("org", "/" + "x/" * n, "block") for n in range(1, 300)], urlfilter.RULE_SCHEMA)).first().rule == "org/" + "x/" * 299
     assert urlfilter.judge_urls(df.limit(0), spark.createDataFrame([], urlfilter.RULE_SCHEMA)).count() == 0
 
 
@@ -135,6 +160,19 @@ def test_token_counts_as_the_library(spark, name, monkeypatch):
     for r in tokencount.count_tokens(df, path).collect():
         n = count(r.text or "")
         assert (r.n_bytes, r.n_tokens, r.over_limit) == (len((r.text or "").encode()), n, n > 512)
+    assert tokencount.count_tokens(df.limit(0), path).count() == 0
+    twice = tokencount.count_tokens(df.union(df).select("text"), path)
+    assert twice.count() == 2 * len(TEXTS) and twice.distinct().count() == len(TEXTS)
+    # long texts are split for every kind of vocabulary, and split texts count as whole ones
+    call, boundary = tokencount.counter(path)
+    assert boundary is not None
+    from vigil.llm._text import batches_by_bytes
+
+    rnd = random.Random(8)
+    bits = ["Word ", "It's 4x ", "ünd ", "a  b ", "\n", "<|endoftext|> ", "日本 ", "e\u0301 x\u0300 ", "1 2 ", "A ", "., "]
+    for text in ["".join(rnd.choices(bits, k=60)) for _ in range(300)]:
+        got = [piece for part in batches_by_bytes([text], 10**9, 20, boundary) for _, piece in part]
+        assert len(got) > 1 and sum(call(got)) == count(text), text
 
 
 def test_pieces_cut_at_word_ends():
@@ -145,6 +183,9 @@ def test_pieces_cut_at_word_ends():
         assert "".join(pieces(text, 5)) == text
         assert [w for p in pieces(text, 5) for w in words.findall(p)] == words.findall(text)
     assert [[i for i, _ in b] for b in batches_by_bytes(["aa", "bb", "cc"], 4, 10)] == [[0, 1], [2]]
+    sizes = [sum(len(p.encode()) for _, p in b) for b in batches_by_bytes(["é" * 9, "a" * 3, "日" * 40, "b" * 500, ""] * 20, 1000, 100)]
+    assert max(sizes) < 1.6 * min(sizes[:-1])
+    assert list(batches_by_bytes([], 4, 10)) == [] and list(batches_by_bytes(["", ""], 4, 10)) == [[(0, ""), (1, "")]]
 
 
 # --- op6 -------------------------------------------------------------------------------------------------------------
@@ -163,6 +204,35 @@ def test_shards_are_exact(spark):
     assert sorted(r.shard for r in sharding.shard_rows(df.limit(3)).collect()) == [0, 1, 2]
 
 
+def test_shards_against_a_plain_version(spark):
+    """Every row's shard and slot: the whole matrix at once, permutations by numpy, and ranks by the same hashes."""
+    texts = [None, "", "same", "same", "long " * 20_000] * 41
+    df = spark.createDataFrame(list(enumerate(texts)), "id bigint, text string").repartition(4, "id").sortWithinPartitions("id")
+    h = lambda seed: F.xxhash64(F.lit(seed), F.col("place"))
+    all_rows = df.withColumn("place", F.monotonically_increasing_id()).select("id", "place", h(17).alias("order"), h(18).alias("cell")).collect()
+    by_part: dict = {}
+    for r in sorted(all_rows, key=lambda r: r.place):
+        by_part.setdefault(r.place >> 33, []).append(r)
+    counts, n = [len(x) for x in by_part.values()], len(texts)
+
+    def matrix(low, high, places):
+        if high - low == 1:
+            return [places]
+        mid = (low + high) // 2
+        left = np.random.default_rng([17, low, high]).multivariate_hypergeometric(places, sum(counts[low:mid]), method="marginals")
+        return matrix(low, mid, left) + matrix(mid, high, places - left)
+
+    shards = 7
+    dealt: dict = {s: [] for s in range(shards)}
+    cells = -(-n // (shards * 10))
+    for i, (row, part) in enumerate(zip(matrix(0, len(counts), np.array([n // shards + (s < n % shards) for s in range(shards)])), by_part.values())):
+        for s, r in zip(np.random.default_rng([17, i]).permutation(np.repeat(np.arange(shards), row)).tolist(), part):
+            dealt[s].append((r.cell % cells, r.order, r.place, r.id))
+    want = sorted((i, s, slot) for s, x in dealt.items() for slot, (*_, i) in enumerate(sorted(x)))
+    assert sorted((r.id, r.shard, r.slot) for r in sharding.shard_rows(df, shards=shards, cell_rows=10).collect()) == want
+    assert len(want) == n
+
+
 def test_matrix_has_its_margins_and_law():
     counts, places = np.array([5, 0, 7, 1, 20]), np.array([10, 3, 20])
     seen = []
@@ -228,6 +298,46 @@ def test_near_duplicates_odd_tables(spark):
     assert sorted(map(tuple, got), key=str) == sorted([(None, 1, 3, True), (3, 1, 3, True), (3, 1, 3, True), (4, 0, 4, True)], key=str)
 
 
+def test_near_duplicates_of_repeated_ids(spark):
+    """Rows of one id are one document with the links of all its texts."""
+    v, w, x = (" ".join(f"{c}{i}" for i in range(40)) for c in "vwx")
+    made = [(3, w), (3, v), (5, v + " more"), (6, w + " more"), (7, v), (7, x), (9, x + " more"), (8, "alone here"), (8, "alone here"), (8, None)]
+    got = neardup.near_duplicates(spark.createDataFrame(made, "doc_id bigint, text string").repartition(3)).collect()
+    assert len(got) == len(made) and {(r.doc_id, r.component_id) for r in got} == {(i, 3) for i in (3, 5, 6, 7, 9)} | {(8, 8)}
+
+
+def test_pair_estimates_are_those_of_blocks():
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(0, 60, rng.integers(1, 30)).astype(np.uint64)) for _ in range(40)]
+    n = np.array([len(s) + (i % 3 == 0) * 9 for i, s in enumerate(sets)])
+    whole = neardup.estimated(sets, sets, n, n)
+    i, j = map(np.ravel, np.indices(whole.shape))
+    pairs = neardup.pair_estimates([sets[k].tobytes() for k in i], [sets[k].tobytes() for k in j], n[i], n[j])
+    assert np.allclose(pairs, whole.ravel()) and len(neardup.pair_estimates([], [], n[:0], n[:0])) == 0
+
+
+def test_large_groups_settle_or_part(spark, monkeypatch):
+    """One candidate group of several blocks: a large part, small parts apart, and parts that only blocks outside reveal."""
+    monkeypatch.setattr(neardup, "BLOCK", 8)
+    rnd = random.Random(9)
+    base = [f"b{i}" for i in range(100)]
+    docs = []
+    for c in range(4):  # clusters that share about 70 %, each of near copies, and some that drop out
+        own = base[:84] + [f"c{c}_{i}" for i in range(16)]
+        for _ in range(40 if c == 0 else 9):
+            x = list(own)
+            x[rnd.randrange(100)] = f"r{rnd.random()}"
+            docs.append(" ".join(x))
+    docs = list(enumerate(docs))
+    df = spark.createDataFrame(docs, "id bigint, text string")
+    ids = [i for i, _ in docs]
+    groups = spark.createDataFrame([(i, 0, 96) for i in ids], "node bigint, component bigint, n bigint")
+    candidates = spark.createDataFrame([(0, i) for i in ids[1:]], "a bigint, b bigint")  # a star: the others' own links are not among them
+    want = {i: c for i, _, c, _ in brute_components(docs, 85, 100)}
+    got = dict(components.connected_components(neardup.confirmed_links(df, groups, candidates, (85, 100), 5)).collect())
+    assert {i: got.get(i, i) for i in ids} == want and 4 < len(set(want.values())) < 20
+
+
 def test_near_duplicates_few_members_of_a_wide_list(spark, monkeypatch):
     monkeypatch.setattr(neardup, "BLOCK", 16)
     monkeypatch.setattr(neardup, "SHORT", 4)
@@ -242,13 +352,13 @@ def test_near_duplicates_few_members_of_a_wide_list(spark, monkeypatch):
     for _ in range(40):  # pairs of fillers: 31 values of the two alone, and one that all hold
         own = [value() for _ in range(31)]
         for _ in range(2):
-            made.append((i, 32, np.sort(np.array([*own, hot[0]], np.uint64)).tobytes()))
+            made.append((i, 1, 32, np.sort(np.array([*own, hot[0]], np.uint64)).tobytes()))
             i += 1
     for k in (1, 2, 3):  # and few sets that have only wide values in common with any other
         for _ in range(2):
-            made.append((i, 32, np.sort(np.array(hot[:31] + [value()], np.uint64)).tobytes()))
+            made.append((i, 1, 32, np.sort(np.array(hot[:31] + [value()], np.uint64)).tobytes()))
             i += 1
-    df = spark.createDataFrame(made, "id bigint, n bigint, sketch binary")
+    df = spark.createDataFrame(made, "id bigint, k int, n bigint, sketch binary")
     got = dict(components.connected_components(neardup.candidate_links(df, 0.8)).collect())
     assert got == {j: j - j % 2 if j < 80 else 80 for j in range(86)}
 
@@ -266,7 +376,7 @@ def test_mixing_meets_the_targets(spark, monkeypatch):
     df = spark.createDataFrame(docs, "doc_id bigint, text string, lang string, source string, topic string").withColumn("weight", F.lit("old"))
     target = {"source": {"hot": 0.4, "a": 0.4, "b": 0.2}}
     for cells in (mixing.DRIVER_CELLS, 3):  # on the driver, and as a DataFrame
-        got = mixing.mix(df, targets=target, driver_cells=cells).cache()
+        got = mixing.mix(df, targets=target, driver_cells=cells, tokenizer=BPE).cache()
         mass = dict(got.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("probability"))).collect())
         total = sum(mass.values())
         assert all(abs(mass[k] / total - v) < 1e-3 for k, v in target["source"].items())
@@ -274,13 +384,19 @@ def test_mixing_meets_the_targets(spark, monkeypatch):
         kept = got.where("sampled").agg(F.sum("n_tokens")).first()[0]
         assert abs(kept - total) < 0.15 * total
         assert got.where("doc_id = 9999").first().n_tokens == 0
-    assert mixing.mix(df.limit(0)).count() == 0
+        # a budget is met by the expectation, though no document has a probability above 1
+        got = mixing.mix(df, targets=target, driver_cells=cells, tokenizer=BPE, budget=0.9)
+        kept, total = got.agg(F.sum(F.col("n_tokens") * F.col("probability")), F.sum("n_tokens")).first()
+        assert abs(kept - 0.9 * total) < 1e-6 * total and got.agg(F.max("probability")).first()[0] <= 1
+    assert mixing.mix(df.limit(0), tokenizer=BPE).count() == 0
+    with pytest.raises(ValueError, match="n_tokens"):
+        mixing.mix(df)
 
 
 def test_mixing_paths_agree(spark):
     rnd = random.Random(4)
     docs = [(i, " ".join(["w"] * rnd.randint(1, 30)), rnd.choice(["hot"] * 6 + ["a", "b", None]), rnd.randrange(2)) for i in range(400)]
-    df = spark.createDataFrame(docs, "doc_id bigint, text string, source string, topic int")
+    df = spark.createDataFrame(docs, "doc_id bigint, text string, source string, topic int").withColumn("n_tokens", F.when(F.col("doc_id") != 5, F.size(F.split("text", " "))))
     for targets in (None, {"source": {"hot": 0.3, "a": 0.5, None: 0.2, "absent": 0.1}, "topic": {0: 0.6, 1: 0.4}}):
         one, two = ({r.doc_id: r for r in mixing.mix(df, ("source", "topic"), targets, driver_cells=n).collect()} for n in (mixing.DRIVER_CELLS, 3))
         assert all(abs(one[i].weight - two[i].weight) < 1e-7 and abs(one[i].probability - two[i].probability) < 1e-7 and one[i].sampled == two[i].sampled for i in one) and len(one) == len(two) == 400
@@ -297,13 +413,13 @@ def test_mixing_reports_targets_that_contradict(spark):
     df = spark.createDataFrame([(1, "a b", "en", "x", "t"), (2, "a", "de", "y", "t")], "doc_id bigint, text string, lang string, source string, topic string")
     clash = {"lang": {"en": 0.9, "de": 0.1}, "source": {"x": 0.1, "y": 0.9}}
     with pytest.warns(RuntimeWarning, match="not settled"):
-        mixing.mix(df, targets=clash)
+        mixing.mix(df, targets=clash, tokenizer=BPE)
     cells = df.groupBy("lang", "source").agg(F.sum(F.lit(1.0)).alias("mass"))
     with pytest.warns(RuntimeWarning, match="not settled"):
         mixing._rake_frame(cells, ["lang", "source"], clash, {}, rounds=2)
     for n in (mixing.DRIVER_CELLS, 1):
         with pytest.raises(ValueError, match="no category"):
-            mixing.mix(df, targets={"lang": {"fr": 1.0}}, driver_cells=n)
+            mixing.mix(df, targets={"lang": {"fr": 1.0}}, driver_cells=n, tokenizer=BPE)
 
 
 def test_rake_against_plain_loops():
@@ -319,6 +435,70 @@ def test_rake_against_plain_loops():
     assert np.abs((mass.ravel() * w).reshape(3, 4) - x).max() < 1e-9
 
 
+def plain_topics(texts, langs):
+    """fit_topics by plain loops over all texts at once."""
+    counts = np.zeros((len(texts), topics.BUCKETS))
+    for i, t in enumerate(texts):
+        for w in (t or "").split(" "):
+            counts[i, zlib.crc32(w.strip(" .,;:!?()[]{}<>\"'|*#-_").lower().encode()) % topics.BUCKETS] += 1
+    has = np.array([bool(t and t.strip()) for t in texts])
+    v = np.rint(4096 * np.sqrt(counts / counts.sum(1, keepdims=True)))
+    means = {g: v[[i for i in range(len(texts)) if langs[i] == g and has[i]]].mean(0).astype(np.float32) for g in set(langs)}
+    x = np.array([np.rint(v[i] - means[langs[i]]) for i in range(len(texts))])
+    centres, bias = np.random.default_rng(5).standard_normal((topics.TOPICS, topics.BUCKETS)), np.zeros(topics.TOPICS)
+    for _ in range(topics.ROUNDS):
+        at = np.array([np.argmax([row @ c - b for c, b in zip(centres, bias)]) for row in x])
+        centres = np.array([x[has & (at == k)].mean(0) if (has & (at == k)).any() else centres[k] for k in range(topics.TOPICS)])
+        sizes = np.array([(has & (at == k)).sum() for k in range(topics.TOPICS)])
+        bias = np.where(sizes > 0, (centres**2).sum(1) / 2, np.inf)
+    centres = centres[np.argsort(-sizes, kind="stable")][: (sizes > 0).sum()]
+    return [f"topic {1 + int(np.argmax(row @ centres.T - (centres**2).sum(1) / 2))}" if h else "none" for row, h in zip(x, has)]
+
+
+def test_mixing_query_against_plain_loops(spark):
+    """The rows of op8_mixing from library token counts, plain k-means, plain raking and the hash draw."""
+    from tokenizers import Tokenizer
+
+    from vigil.llm import queries
+
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang", "source").collect()
+    tokens = [len(x.ids) for x in Tokenizer.from_file(BPE).encode_batch([d.text or "" for d in docs], add_special_tokens=False)]
+    named = plain_topics([d.text for d in docs], [d.lang for d in docs])
+    cells: dict = {}
+    for d, t, n in zip(docs, named, tokens):
+        cells[d.source, d.lang, t] = cells.get((d.source, d.lang, t), 0) + n
+    total = sum(cells.values())
+    x = {c: n / total for c, n in cells.items()}
+    share = lambda k, y: {name: sum(v for c, v in y.items() if c[k] == name) for name in {c[k] for c in y}}
+    want = [mixing.tempered(share(k, cells), mixing.TEMPERATURES[m]) for k, m in enumerate(("source", "lang", "topic"))]
+    for _ in range(mixing.ROUNDS):
+        for k in range(3):
+            have = share(k, x)
+            x = {c: v * want[k][c[k]] / have[c[k]] if have[c[k]] else v for c, v in x.items()}
+    weight = {c: x[c] / (cells[c] / total) if cells[c] else 1.0 for c in cells}
+    top = max(weight.values())
+    got = {r.doc_id: r for r in queries.op8_mixing(spark, sf).collect()}
+    draws = dict(spark.createDataFrame([(d.doc_id,) for d in docs], "id bigint").select("id", F.pmod(F.xxhash64(F.lit(29), "id"), F.lit(1 << 53)) / F.lit(float(1 << 53))).collect())
+    assert len(got) == len(docs) == 200
+    for d, t, n in zip(docs, named, tokens):
+        r, w = got[d.doc_id], weight[d.source, d.lang, t]
+        assert (r.source, r.lang, r.topic, r.n_tokens) == (d.source, d.lang, t, n)
+        assert abs(r.weight - w) < 1e-6 * max(1, w) and abs(r.probability - min(1, w / top)) < 1e-6
+        assert r.sampled == (draws[d.doc_id] < r.probability)
+
+
+def test_mixing_odd_rows(spark):
+    docs = [(1, "a b c", "en", "x"), (1, "a b c", "en", "x"), (1, "other words", "en", "x"), (None, "", None, None), (None, None, None, None), (4, "  \n", "de", "y"), (5, "w" * 50_000 + " word" * 50_000, "de", None)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string, lang string, source string").withColumns({"vector": F.lit(1), "mean": F.lit("m"), "G": F.lit(2), "cell_lang": F.lit(3), "probability": F.lit("old")})
+    got = mixing.mix(df, tokenizer=BPE)
+    assert set(got.columns) == {"doc_id", "text", "lang", "source", "vector", "mean", "G", "cell_lang", "n_tokens", "topic", "weight", "probability", "sampled"}
+    back = got.collect()
+    assert sorted(((r.doc_id, r.text, r.lang, r.source, r["vector"], r["mean"]) for r in back), key=str) == sorted(((*d, 1, "m") for d in docs), key=str)
+    assert {r.topic for r in back if not (r.text or "").strip()} == {"none"} and all(r.weight == 1 for r in back if r.n_tokens == 0)
+    assert len({(r.sampled, r.topic) for r in back if r.text == "a b c"}) == 1  # repeated rows alike
+
+
 # --- op9 -------------------------------------------------------------------------------------------------------------
 def plain_features(t):
     t = t or ""
@@ -370,7 +550,7 @@ def test_quality_against_labels(spark):
 
 
 # --- op10 ------------------------------------------------------------------------------------------------------------
-def test_warc_round_trip(spark):
+def test_warc_round_trip(spark, tmp_path):
     big, big2 = "é" * 600, "WARC/1.1\r\nContent-Length: 5\r\n\r\n" * 60
     pages = [(1, "http://b.example/x?y", big), (5, "http://www.a.example/%0A \n\r%", big), (3, None, big), (4, "http://a.example/", "small"), (6, "u://a", "small"), (7, "http://a.example/", None), (8, "x", big2), (9, "x", big2), (None, "x", big2), (9, "x", big2)]
     df = spark.createDataFrame(pages, "page_id bigint, url string, html string").withColumn("sha1", F.lit("clash"))
@@ -385,6 +565,14 @@ def test_warc_round_trip(spark):
     order = [(r.url_key, r.ts) for r in got]
     assert order == sorted(order)  # partition after partition
     assert warc.archive_pages(df.limit(0)).count() == 0
+    # archives are full by bytes: large payloads and many small ones alike
+    many = spark.createDataFrame([(i, "http://h/", ("x" if i % 2 else "é") * (30_000 if i % 10 == 0 else 10) + str(i)) for i in range(200)] + [(999, None, "z" * 3_000_000)], "page_id bigint, url string, html string").coalesce(1)
+    path = str(tmp_path / "archives")
+    warc.write_archives(warc.plan_captures(many), path, archive_bytes=100_000)
+    lengths = warc.index_runs(spark, path).groupBy("archive").agg(F.sum("length").alias("n"), F.max("length").alias("most")).collect()
+    assert len(lengths) > 3 and all(r.n <= 100_000 * 1.1 + r.most for r in lengths)
+    back = warc.merge_runs(warc.index_runs(spark, path)).collect()
+    assert sorted(r.page_id for r in back) == [*range(200), 999] and max(r.payload_bytes for r in back) == 3_000_000
     with pytest.raises(ValueError):
         list(warc.parse_archive(b"WARC/1.1\r\nContent-Length: 9\r\n\r\nabc\r\n\r\n"))
 
