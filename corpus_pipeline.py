@@ -52,7 +52,7 @@ def _one_row_ids(docs: DataFrame) -> DataFrame:
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A sample whose expected token shares of source, language and topic are the targets."""
-    return mixing.mix(docs.select(*COLUMNS)).where("sampled").select(*COLUMNS)
+    return mixing.mix(docs.select(*COLUMNS), tokenizer=tokenizer_path(TOKENIZER)).where("sampled").select(*COLUMNS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
