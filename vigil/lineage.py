@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,10 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or a temporary one where the setting is absent (tests)."""
+    """The folder that all executors share: spark.checkpoint.dir.  Where it is not set, a temporary one in local mode (tests), else an error."""
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir", "") or tempfile.mkdtemp(prefix="vigil-shared-"))
+        folder = sc.getConf().get("spark.checkpoint.dir", "")
+        if not folder and not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="vigil-shared-"))
     return sc._jsc.sc().getCheckpointDir().get()
 
 
