@@ -4,6 +4,7 @@ import glob
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from vigil.operators import joins as J
 from vigil.operators import selection as S
@@ -69,3 +70,39 @@ def test_lifetime_evidence_gathers_no_times(spark, duck):
     want = duck.execute(f"SELECT host, starts, first_t, last_t FROM ({catalog.SQL['lifetime_evidence']})").fetchall()
     assert want and sorted(map(tuple, got.select("host", "starts", "first_t", "last_t").collect())) == sorted(want)
     assert "collect_" not in got._jdf.queryExecution().toString()
+
+
+def test_descendants_of_long_chains_cycles_and_many_parents(spark):
+    n = 5000
+    chain = [(i, i - 1, i) for i in range(1, n)] + [(n + 1, n + 2, 5), (n + 2, n + 1, 5), (n + 3, 10, 3), (n + 4, n + 3, 50)]
+    edges = spark.createDataFrame(chain, "node bigint, parent bigint, t bigint")
+    got = {r.node for r in J.descendants(edges, spark.createDataFrame([(7, 7)], "node bigint, t bigint")).collect()}
+    assert got == set(range(7, n))  # the last two came before their parent or from one that did not
+    twice = spark.createDataFrame([("b", "a", 1), ("b", "x", 2), ("c", "b", 1), ("d", "c", 0), ("a", "c", 9)], "node string, parent string, t bigint")
+    assert {r.node for r in J.descendants(twice, spark.createDataFrame([("a", 1)], "node string, t bigint")).collect()} == {"a", "b", "c"}
+
+
+def test_nearest_time_of_a_hot_host(spark):
+    n = 20_000
+    events = spark.range(n).selectExpr("id", "'h' as host", "id * 2 as t")
+    states = spark.range(n // 10).selectExpr("'h' as host", "id * 20 as t", "id as v")
+    got = J.nearest_time(events, states, "host", "t", "v")
+    assert got.where("v <> least((t + 9) div 20, 1999)").count() == 0 and got.count() == n
+    assert "unboundedfollowing" not in got._jdf.queryExecution().toString().lower()
+
+
+def test_chunks_keep_both_bounds(spark):
+    sizes = [570] + [1] * 199 + [60, 60, None, 101, 40]
+    df = spark.createDataFrame([("d", i, s) for i, s in enumerate(sizes)], "k string, i int, size int")
+    got = sorted(S.running_chunks(df, "k", ["i"], F.col("size"), 50, 100).collect(), key=lambda r: r.i)
+    chunk, rows, used, want = 0, 0, 0, []
+    for s in sizes:
+        s = s or 0
+        if s > 100:
+            want.append(None)
+            continue
+        if rows and (rows == 50 or used + s > 100):
+            chunk, rows, used = chunk + 1, 0, 0
+        want.append((chunk, rows))
+        rows, used = rows + 1, used + s
+    assert [None if r.chunk is None else (r.chunk, r.position) for r in got] == want and want[0] is None

@@ -5,14 +5,14 @@ from pyspark.sql import functions as F
 
 from vigil.functions import columns as C
 from vigil.operators import evidence as E
-from vigil.plans import catalog, feeds  # noqa: F401
+from vigil.plans import catalog, checked, feeds  # noqa: F401
 from vigil.sources import readers as R
 from vigil.sources import sinks as K
 from vigil.streaming import jobs as J
 
 from .test_catalog import SF, duck, plain  # noqa: F401
 
-NAMES = ["scan_tagged_union", "xml_named_fields", "scan_map_of_lists", "scan_nested_list", "csv_sections", "rendered_records", "format_dispatch", "copy_text_rows", "write_observations", "stream_dedup", "stream_sessions", "stream_daily_counts", "pid_lifetime_join", "object_relation_join", "event_assembly", "capped_extraction", "fill_templates", "score_samples"]
+NAMES = ["scan_tagged_union", "xml_named_fields", "scan_map_of_lists", "scan_nested_list", "csv_sections", "concatenated_json", "ingest_ledger", "rendered_records", "format_dispatch", "copy_text_rows", "write_observations", "stream_dedup", "stream_sessions", "stream_daily_counts", "pid_lifetime_join", "object_relation_join", "event_assembly", "capped_extraction", "fill_templates", "score_samples"]
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -29,10 +29,18 @@ def test_key_values_last_wins(spark):
     assert [r.m for r in rows] == [{"a": "2", "b": "x y"}, {}, None]
 
 
-def test_csv_sections_before_and_after_headers(spark):
-    lines = spark.createDataFrame([("f", 0, "1,2"), ("f", 1, "a,b"), ("f", 2, "1,2"), ("f", 3, "1"), ("f", 4, "b,a"), ("f", 5, "3,4"), ("g", 0, None)], "f string, n int, s string")
-    got = R.csv_sections(lines, "f", "n", "s", F.coalesce(F.col("s").rlike("^[a-z]"), F.lit(False))).collect()
-    assert sorted((r.n, r.fields["a"], r.fields["b"]) for r in got) == [(2, "1", "2"), (5, "4", "3")]
+def test_csv_sections_quotes_headers_and_reasons(spark):
+    lines = spark.createDataFrame([("f", 0, "1,2"), ("f", 1, "a,b"), ("f", 2, '"1,x","say ""hi"""'), ("f", 3, "1"), ("f", 4, '"b",a'), ("f", 5, "3,"), ("f", 6, '"3,4'), ("g", 0, None)], "f string, n int, s string")
+    got = R.csv_sections(lines, "f", "n", "s", F.coalesce(F.col("s").rlike('^"?[a-z]"?,'), F.lit(False))).collect()
+    want = [(0, None, "no header"), (2, {"a": "1,x", "b": 'say "hi"'}, None), (3, None, "other number of fields"), (5, {"b": "3", "a": ""}, None), (6, None, "open quotes")]
+    assert sorted((r.n, r.fields, r.reason) for r in got) == want
+
+
+def test_joined_objects_with_braces_in_strings(spark):
+    raw = [r'{"cmd": "a} {b\"} {c"}{"cmd": "x"}' + "\n" + '{"cmd": ""}', '{"cmd": "open', "", None]
+    df = spark.createDataFrame(list(enumerate(raw)), "id int, raw string")
+    got = sorted((r.id, r.pos, r.cmd or "") for r in R.joined_objects(df, "raw", "cmd string").collect() if r.id == 0)
+    assert got == [(0, 0, 'a} {b"} {c'), (0, 1, "x"), (0, 2, "")]
 
 
 def test_framed_records_repeated_names(spark):
@@ -56,16 +64,27 @@ def test_json_lines_prefilter_and_projection(spark, tmp_path):
     assert got.dtypes == [("a", "bigint"), ("c", "string")] and tuple(got.first()) == (1, None)
 
 
-def test_ledger_and_removal(spark, tmp_path):
+def test_ledger_runs_and_removal(spark, tmp_path):
     root = str(tmp_path / "out")
-    rows = spark.createDataFrame([("d", "1"), ("e", "2")], "dataset string, record_id string")
-    K.write_observations(rows, rows, root)
-    K.write_observations(rows.where("dataset = 'd'"), rows.where("dataset = 'd'"), root)
-    assert spark.read.parquet(f"{root}/shell_inputs").count() == 2
+    rows = spark.createDataFrame([("d", "1"), ("e", "2"), ("a/b", "3")], "dataset string, record_id string")
     wanted = spark.createDataFrame([("d",), ("z",)], "dataset string")
+    read = lambda name="shell_inputs": sorted((r.dataset, r.record_id) for r in K.read_observations(spark, root, name).collect())
+    assert K.pending(wanted, spark, root).count() == 2  # before there is a ledger
+    K.write_observations(rows, rows, root)
+    d = rows.where("dataset = 'd'")
+    K.write_observations(d.withColumn("record_id", F.lit("9")), d.limit(0), root)
+    assert read() == [("a/b", "3"), ("d", "9"), ("e", "2")] and read("process_launches") == [("a/b", "3"), ("e", "2")]
+    # a job that dies before the ledger is written changes nothing for readers
+    d.withColumn("run", F.lit("dead")).write.mode("append").partitionBy("run", "dataset").parquet(f"{root}/shell_inputs")
+    assert read() == [("a/b", "3"), ("d", "9"), ("e", "2")]
     assert [r.dataset for r in K.pending(wanted, spark, root).collect()] == ["z"]
+    K.remove_stored(spark, root, "d", "a/b", "unknown")
+    assert read() == [("e", "2")] and K.pending(wanted, spark, root).count() == 2
+    assert spark.read.parquet(f"{root}/shell_inputs").where("dataset in ('d', 'a/b')").count() == 0
+    K.write_observations(d, d, root)
+    assert read() == [("d", "1"), ("e", "2")]
     left = K.remove_datasets({"a": rows, "b": wanted.withColumnRenamed("dataset", "x")}, "d")
-    assert left["a"].count() == 1 and left["b"].count() == 2
+    assert left["a"].count() == 2 and left["b"].count() == 2
 
 
 def test_collect_results(spark):

@@ -80,9 +80,73 @@ def key_values(line: Column) -> Column:
     return last_wins(keys, F.transform(values, lambda v: F.replace(v, F.lit('"'), F.lit(""))))
 
 
-def parse_time(text: Column) -> Column:
-    """ISO text, day-first text or epoch milliseconds."""
-    return F.coalesce(F.try_to_timestamp(text, F.lit("yyyy-MM-dd'T'HH:mm:ss")), F.try_to_timestamp(text, F.lit("dd/MM/yyyy HH:mm:ss")), F.timestamp_millis(text.try_cast("bigint")))
+def parse_time(text: Column, zone: Column | str = "UTC") -> Column:
+    """ISO text, day-first text, RFC 2822 text, or epoch seconds and milliseconds.  Texts without an offset are in `zone`."""
+    zone = F.lit(zone) if isinstance(zone, str) else zone
+    local = [F.to_utc_timestamp(F.try_to_timestamp(text, F.lit(f)), zone) for f in ("yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss", "dd/MM/yyyy HH:mm:ss")]
+    mail = F.regexp_replace(F.regexp_replace(text, r"^[A-Za-z]{3},\s*", ""), r"\s+(GMT|UT|UTC|Z)$", " +0000")
+    offset = [F.try_to_timestamp(text, F.lit("yyyy-MM-dd'T'HH:mm:ssXXX")), F.try_to_timestamp(mail, F.lit("d MMM yyyy HH:mm:ss Z"))]
+    number = text.try_cast("bigint")
+    return F.coalesce(*local, *offset, F.timestamp_millis(F.when(F.length(text) <= 10, number * 1000).otherwise(number)))
+
+
+def normal_path(path: Column) -> Column:
+    """A Windows path in lower case with backslashes, without empty, `.` and resolved `..` parts; a leading double one stays."""
+    flat = F.lower(F.replace(path, F.lit("/"), F.lit("\\")))
+    lead = F.regexp_extract(flat, r"^(\\\\|\\|[a-z]:\\?)?", 0)
+    up = lambda acc: F.coalesce(F.element_at(acc, F.when(F.size(acc) > 0, -1)), F.lit("..")) == ".."
+    parts = F.aggregate(
+        F.filter(F.split(F.substring(flat, F.length(lead) + 1, F.length(flat)), r"\\"), lambda x: ~x.isin("", ".")), F.array().cast("array<string>"),
+        lambda acc, x: F.when((x == "..") & ~up(acc), F.slice(acc, F.lit(1), F.size(acc) - 1)).when((x == "..") & lead.endswith("\\"), acc).otherwise(F.concat(acc, F.array(x))),
+    )
+    return F.when(path.isNotNull(), F.coalesce(F.nullif(F.concat(lead, F.array_join(parts, "\\")), F.lit("")), F.lit(".")))
+
+
+def registry_key(key: Column) -> Column:
+    """A registry key in lower case with short names of its hives, and without a colon before the first backslash."""
+    out = F.lower(key)
+    for long, short in (("local_machine", "lm"), ("current_user", "cu"), ("classes_root", "cr")):
+        out = F.replace(out, F.lit(f"hkey_{long}"), F.lit(f"hk{short}"))
+    return F.replace(out, F.lit(":\\"), F.lit("\\"))
+
+
+def same_program(one: Column, two: Column, os: Column) -> Column:
+    """Whether two program paths end in the same name, whatever the case of its letters."""
+    return F.lower(basename(one, os)) == F.lower(basename(two, os))
+
+
+def starts_with_program(text: Column, image: Column) -> Column:
+    """Whether a command line begins with this image, in any case, as a whole word."""
+    n = F.length(image)
+    return (image != "") & (F.lower(F.substring(text, F.lit(1), n)) == F.lower(image)) & F.substring(text, n + 1, F.lit(1)).rlike(r"^\s?\z")
+
+
+def technique_ids(text: Column) -> Column:
+    """The technique ids (T and four digits, with a dot and three more for a part) in a text, each once, in order."""
+    return F.array_sort(F.array_distinct(F.regexp_extract_all(text, F.lit(r"(?<![\w.])(T[0-9]{4}(?:\.[0-9]{3})?)(?![\w.])"), F.lit(1))))
+
+
+#: Fields of an event that hold more of its fields, outer ones first.
+ENVELOPES = ("EventData", "event_data", "columns", "event", "data")
+
+
+def flatten_envelope(text: Column) -> Column:
+    """The fields of a JSON event as a map of texts; those inside `_source` and ENVELOPES are fields of the event, and later ones win.
+
+    Of `process`, command_line and executable come out as `process.command_line` and `process.executable`, its parent's pid as `ppid`;
+    an object `host` gives its name.  Null for text that is no JSON object.
+    """
+    fields = lambda c: F.from_json(c, "map<string, string>")
+    inner = lambda m, name: F.coalesce(fields(F.when(m[name].startswith("{"), m[name])), F.create_map().cast("map<string, string>"))
+    outer = fields(text)
+    top = F.when(outer["_source"].startswith("{"), fields(outer["_source"])).otherwise(outer)
+    process, host = inner(top, "process"), inner(top, "host")
+    extra = F.map_from_arrays(
+        F.array(*map(F.lit, ("process.command_line", "process.executable", "ppid", "host", "_id"))),
+        F.array(process["command_line"], process["executable"], inner(process, "parent")["pid"], F.coalesce(host["name"], host["hostname"]), F.when(outer["_id"].isNotNull(), F.concat_ws(":", outer["_index"], outer["_id"]))),
+    )
+    layers = [top, F.map_filter(extra, lambda _, v: v.isNotNull()), *[inner(top, name) for name in ENVELOPES]]
+    return F.when(outer.isNotNull(), last_wins(F.concat(*map(F.map_keys, layers)), F.concat(*map(F.map_values, layers))))
 
 
 def valid_probabilities(*p: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
+import re
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -89,15 +89,16 @@ def asof_count(events: DataFrame, marks: DataFrame, key: str, at: str, name: str
 def nearest_time(events: DataFrame, states: DataFrame, key: str, at: str, value: str) -> DataFrame:
     """events with the value whose time is nearest, the earlier of two as near; NULL without a state of the key.
 
-    The nearest state is the last one at or before, or the first one after: two windows over the union.
+    The nearest state is the last one at or before, or the first one after: two windows over the union, the second in
+    descending order, so that both carry a value along and take each row once.
     """
     e = events.withColumn("is_state", F.lit(0)).withColumn(value, F.lit(None).cast(states.schema[value].dataType))
     both = e.unionByName(states.select(key, at, value).withColumn("is_state", F.lit(1)), allowMissingColumns=True)
     state = F.when(F.col("is_state") == 1, F.struct(F.col(at).alias("t"), F.col(value).alias("v")))
     w = Window.partitionBy(key).orderBy(F.col(at), F.col("is_state").desc(), F.col(value).desc())
     prev = F.last(state, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    follow = Window.partitionBy(key).orderBy(F.col(at), F.col("is_state"), F.col(value))
-    nxt = F.first(state, ignorenulls=True).over(follow.rowsBetween(0, Window.unboundedFollowing))
+    back = Window.partitionBy(key).orderBy(F.col(at).desc(), F.col("is_state").desc(), F.col(value).desc())
+    nxt = F.last(state, ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, 0))
     out = both.withColumn("p", prev).withColumn("n", nxt).where("is_state = 0")
     nearer = F.when(F.col("p").isNull(), F.col("n.v")).when(F.col("n").isNull() | (F.col(at) - F.col("p.t") <= F.col("n.t") - F.col(at)), F.col("p.v")).otherwise(F.col("n.v"))
     return out.withColumn("nearest", nearer).select(*events.columns, F.col("nearest").alias(value))
@@ -123,18 +124,36 @@ def tree_root(edges: DataFrame, stops: DataFrame) -> DataFrame:
     return now.select("node", "root")
 
 
-def descendants(edges: DataFrame, seeds: DataFrame, rounds: int = 1000) -> DataFrame:
-    """Nodes that come from seeds (node, t) along edges (node, parent, t) whose child is no earlier than its parent."""
-    front = cut(seeds.select("node", "t").distinct())
-    found = [front]
-    for _ in range(rounds):
-        children = edges.join(front.select(F.col("node").alias("parent"), F.col("t").alias("parent_t")), "parent").where("t >= parent_t").select("node", "t").distinct()
-        front = children.join(reduce(DataFrame.union, found), "node", "left_anti")
-        front = cut(front)
-        if not front.limit(1).count():
+def descendants(edges: DataFrame, seeds: DataFrame) -> DataFrame:
+    """Nodes that come from seeds (node, t) along edges (node, parent, t) whose child is no earlier than its parent, seeds included.
+
+    Where every node has one edge, as processes have, pointers are doubled each round: a chain of length n takes log2(n)
+    rounds.  Otherwise a round goes one generation on, until none is left.
+    """
+    seeds, edges = cut(seeds.select("node", "t").distinct()), cut(edges.select("node", "parent", "t").distinct())
+    if edges.groupBy("node").count().where("count > 1").limit(1).count():
+        return _descendants_by_generation(edges, seeds)
+    sown = seeds.groupBy(F.col("node").alias("parent")).agg(F.min("t").alias("seed_t"))
+    born = edges.select(F.col("node").alias("parent"), F.col("t").alias("parent_t"))
+    step = edges.join(sown, "parent", "left").join(born, "parent", "left")
+    hit = F.coalesce(F.col("t") >= F.col("seed_t"), F.lit(False))
+    now = cut(step.select("node", hit.alias("hit"), F.when(~hit & (F.col("t") >= F.col("parent_t")), F.col("parent")).alias("up")))
+    for _ in range(now.count().bit_length() + 1):  # walks that go on after as many rounds are on a cycle without a seed
+        if not now.where("up is not null").limit(1).count():
             break
-        found.append(front)
-    return reduce(DataFrame.union, found).select("node")
+        far = now.select(F.col("node").alias("up"), F.col("hit").alias("far_hit"), F.col("up").alias("far_up"))
+        hit = F.col("hit") | F.coalesce("far_hit", F.lit(False))
+        now = cut(now.join(far, "up", "left").select("node", hit.alias("hit"), F.when(~hit, F.col("far_up")).alias("up")))
+    return seeds.select("node").union(now.where("hit").select("node")).distinct()
+
+
+def _descendants_by_generation(edges: DataFrame, seeds: DataFrame) -> DataFrame:
+    found = front = seeds
+    while front.limit(1).count():
+        children = edges.join(front.select(F.col("node").alias("parent"), F.col("t").alias("parent_t")), "parent").where("t >= parent_t").select("node", "t").distinct()
+        front = cut(children.join(found, ["node", "t"], "left_anti"))
+        found = cut(found.union(front))
+    return found.select("node").distinct()
 
 
 def first_rule(texts: DataFrame, rules: list[tuple[str, str]], text: str = "text", name: str = "rule_label") -> DataFrame:
@@ -150,3 +169,72 @@ def coverage(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     a, b = (df.groupBy(key).agg(F.count("*").alias(n)) for df, n in ((left, "n_left"), (right, "n_right")))
     problem = F.when(F.col("n_left").isNull(), "extra").when(F.col("n_right").isNull(), "missing").when((F.col("n_left") > 1) | (F.col("n_right") > 1), "repeated")
     return a.join(b, key, "full").select(key, problem.alias("problem")).where("problem is not null")
+
+
+def indicator_pattern(indicators: list[str]) -> str:
+    """One pattern of the indicators as they stand, the longest first."""
+    return "|".join(re.escape(i) for i in sorted(set(indicators), key=lambda i: (-len(i), i)))
+
+
+def indicator_upgrade(commands: DataFrame, indicators: DataFrame, text: str, group: str | None = None, label: str = "label", most: int = 10_000) -> DataFrame:
+    """commands whose unknown label became malicious where the text holds an indicator (column `indicator`), in any case of letters.
+
+    With `group` (say a shell input's id), an unknown row also follows a malicious one of its group.  The indicators are
+    a short table: more than `most` raise an error.  Null texts and groups are left as they are.
+    """
+    rows = indicators.where("indicator is not null and indicator <> ''").select("indicator").distinct().limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} indicators")
+    hit = F.col(text).rlike("(?i)" + indicator_pattern([r.indicator for r in rows])) if rows else F.lit(False)
+    raised = F.when((F.col(label) == "unknown") & hit, "malicious").otherwise(F.col(label))
+    out = commands.withColumn(label, raised)
+    if group is None:
+        return out
+    bad = out.where((F.col(label) == "malicious") & F.col(group).isNotNull()).select(F.col(group).alias("_bad")).distinct()
+    joined = out.join(bad, F.col(group) == F.col("_bad"), "left")
+    return joined.withColumn(label, F.when((F.col(label) == "unknown") & F.col("_bad").isNotNull(), "malicious").otherwise(F.col(label))).drop("_bad")
+
+
+def procedure_steps(launches: DataFrame, steps: DataFrame, name: str = "step") -> DataFrame:
+    """launches (host, pgm_base, args) with the step of the documented procedure that they carry out, or null.
+
+    steps: host (null: any host), pgm_base, args, name.  Program and arguments are compared in lower case, by a hash of both
+    first.  Of several steps that of the launch's own host, then the smallest name.
+    """
+    key = lambda: F.xxhash64(F.lower("pgm_base"), F.transform("args", lambda x: F.lower(x)))
+    own = [key().alias("_key"), F.col("host").alias("_host"), F.lower("pgm_base").alias("_pgm"), F.transform("args", lambda x: F.lower(x)).alias("_args")]
+    wanted = steps.groupBy(*own).agg(F.min(name).alias(name))
+    by_key = wanted.groupBy("_key").agg(F.array_sort(F.collect_list(F.struct(F.col("_host").isNull().alias("any"), F.col(name).alias("name"), "_host", "_pgm", "_args"))).alias("_steps"))
+    fits = lambda s: (s["_host"].isNull() | (s["_host"] == F.col("host"))) & (s["_pgm"] == F.lower("pgm_base")) & (s["_args"] == F.transform("args", lambda x: F.lower(x)))
+    joined = launches.drop(name).withColumn("_key", key()).join(small(by_key), "_key", "left")
+    return joined.withColumn(name, F.get(F.filter("_steps", fits), F.lit(0))["name"]).drop("_key", "_steps")
+
+
+def evidence_ladder(events: DataFrame, rungs: list[tuple[str, DataFrame, list[str]]], interval: tuple[str, DataFrame, str, str] | None = None, name: str = "rung", default: str = "none") -> DataFrame:
+    """events with the first rung (name, table, keys) whose table holds the event's keys.
+
+    interval: (name, table of key, start_t, end_t; key; time column), a last rung by time, both ends included; spans of one key are
+    merged first, so that an event meets one at most.  Null keys are held by no table.
+    """
+    found = []
+    for i, (_, table, keys) in enumerate(rungs):
+        mark = f"_rung{i}"
+        events = events.join(small(table.select(*keys).distinct().withColumn(mark, F.lit(True))), keys, "left")
+        found.append(mark)
+    label = F.lit(default)
+    if interval is not None:
+        rung, spans, key, at = interval
+        events = asof_last(events, merged_spans(spans, key), key, at, ["_end"], strict=False)
+        label = F.when(F.col(at) <= F.col("_end"), rung).otherwise(label)
+    for mark, (rung, _, _) in zip(reversed(found), reversed(rungs)):
+        label = F.when(F.col(mark), rung).otherwise(label)
+    return events.withColumn(name, label).drop(*found, "_end")
+
+
+def merged_spans(spans: DataFrame, key: str, at: str = "t") -> DataFrame:
+    """(key, at, _end): the union of the spans (start_t, end_t) of each key, as spans that do not touch."""
+    before = Window.partitionBy(key).orderBy("start_t", "end_t").rowsBetween(Window.unboundedPreceding, -1)
+    opens = F.coalesce(F.col("start_t") > F.max("end_t").over(before), F.lit(True))
+    along = Window.partitionBy(key).orderBy("start_t", "end_t").rowsBetween(Window.unboundedPreceding, 0)
+    numbered = spans.where("start_t <= end_t").select(key, "start_t", "end_t", opens.cast("int").alias("_new")).withColumn("_part", F.sum("_new").over(along))
+    return numbered.groupBy(key, "_part").agg(F.min("start_t").alias(at), F.max("end_t").alias("_end")).drop("_part")

@@ -16,12 +16,12 @@ Step = Callable[[dict], object]
 
 
 def along(df: DataFrame, keys: list[str], order: list[str], needs: list[str], begin: Callable[[], Step], name: str, kind: str) -> DataFrame:
-    """df with `name` (of Spark type `kind`): for each key, begin() gives a function that takes its rows in order.
+    """df with `name` (of Spark type `kind`: boolean, string or long): for each key, begin() gives a function that takes its rows in order.
 
     A row is handed over as a dict of the columns in `needs`.  Null keys are a key.
     """
     first = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) == 1
-    arrow = {"boolean": pa.bool_(), "string": pa.string()}[kind]
+    arrow = {"boolean": pa.bool_(), "string": pa.string(), "long": pa.int64()}[kind]
     names = df.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,3 +111,65 @@ def reviewed_merge(decisions: DataFrame, keys: list[str], decision: str) -> Data
     said = {d: F.coalesce(F.bool_or(F.col(decision) == d), F.lit(False)) for d in ("benign", "malicious", "invalid")}
     label = F.when(said["invalid"], None).when(said["benign"], "benign").when(said["malicious"], "malicious")
     return decisions.groupBy(*keys).agg(label.alias("label")).where("label is not null")
+
+
+def connection_sessions(events: DataFrame, keys: list[str], order: list[str], at: str, kind: str, protocol: str, record: str, idle: int) -> DataFrame:
+    """events with session_id (how it began and the record it began with), or null for events that belong to none.
+
+    A `connect` begins an explicit session, which ends at its `close` and which no idle gap splits.  Without one, a session
+    begins with the first event, after more than `idle` units of `at` without an event, and on telnet with a `login_ok`
+    after commands (`input` or `failed`), inside an explicit session too.  A close without a session belongs to none, nor
+    does an ssh login (kinds that start with login) outside an explicit session.  Rows with a null time are sessions of
+    their own.
+    """
+
+    def begin():
+        session, explicit, typed, last = None, False, False, None
+
+        def step(row: dict) -> str | None:
+            nonlocal session, explicit, typed, last
+            now, what, name = row[at], row[kind] or "", str(row[record])
+            if now is None:
+                return f"record:{name}"
+            if what == "close":
+                ended = session
+                session, explicit, typed, last = None, False, False, None
+                return ended
+            if what == "connect":
+                session, explicit, typed = f"connect:{name}", True, False
+            elif not explicit and row[protocol] == "ssh" and what.startswith("login"):
+                return None
+            else:
+                login = typed and what == "login_ok" and row[protocol] == "telnet"
+                lapsed = not explicit and last is not None and now - last > idle
+                if session is None or login or lapsed:
+                    session, explicit, typed = f"{'login' if what == 'login_ok' else 'idle'}:{name}", False, False
+            last, typed = now, typed or what in ("input", "failed")
+            return session
+
+        return step
+
+    return along(events, keys, order, [at, kind, protocol, record], begin, "session_id", "string")
+
+
+def downloads_run(commands: DataFrame, keys: list[str], pos: str, pgm: str, args: str) -> DataFrame:
+    """commands with downloaded_and_run: a download to a path, and the very next command that runs this path.
+
+    Downloads are wget and curl with a named output, and wget without one, which writes the last part of its URL.  The
+    path is run as the program itself, or as the one argument of a shell.
+    """
+    order = Window.partitionBy(*keys).orderBy(pos)
+    name = F.lower(F.substring_index(pgm, "/", -1))
+    flag = F.when(name == "wget", F.filter(F.transform(args, lambda x, i: F.when(x.isin("-O", "--output-document"), i)), lambda i: i.isNotNull()))
+    flag = F.when(name == "curl", F.filter(F.transform(args, lambda x, i: F.when(x.isin("-o", "--output"), i)), lambda i: i.isNotNull())).otherwise(flag)
+    named = F.get(args, F.get(flag, F.lit(0)) + 1)
+    url = F.element_at(F.filter(args, lambda x: x.rlike("^[a-z]+://")), -1)
+    plain = F.when((name == "wget") & F.exists(args, lambda x: x.rlike("^[a-z]+://[^/]+/.*[^/]$")), F.regexp_extract(url, r"([^/?#]+)(?:[?#].*)?$", 1))
+    path = F.nullif(F.coalesce(named, plain), F.lit(""))
+    relative = lambda p: F.regexp_replace(p, r"^\./", "")
+    with_path = commands.withColumns({"_path": path, "_pgm": F.lead(pgm).over(order), "_args": F.lead(args).over(order)})
+    shell = F.lower(F.substring_index("_pgm", "/", -1)).isin("sh", "bash", "dash") & (F.size("_args") == 1) & (relative(F.get("_args", F.lit(0))) == relative(F.col("_path")))
+    runs = F.coalesce((relative(F.col("_pgm")) == relative(F.col("_path"))) | shell, F.lit(False))
+    marked = with_path.withColumn("_runs", runs)
+    out = F.col("_runs") | F.coalesce(F.lag("_runs").over(order), F.lit(False))
+    return marked.withColumn("downloaded_and_run", out).drop("_path", "_pgm", "_args", "_runs")

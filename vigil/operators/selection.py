@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .processes import along
+
 
 def stratified_sample(df: DataFrame, strata: list[str], identity: Column, n: int, seed: str) -> DataFrame:
     """n rows of each stratum by the md5 of seed and identity: the same rows in every run.  The limit is applied before the shuffle."""
@@ -58,10 +60,40 @@ def table_diff(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.exceptAll(b).withColumn("side", F.lit("first")).unionByName(b.exceptAll(a).withColumn("side", F.lit("second")))
 
 
+def dense_ids(sample: DataFrame, strata: list[str], place: str = "place", name: str = "sample_id") -> DataFrame:
+    """sample with a dense number from 1 in the order of strata (null first) and place.
+
+    place counts from 1 in each stratum, so only the sizes of the strata, one row each, go through one task.
+    """
+    sizes = sample.groupBy(*strata).agg(F.count("*").alias("_n"))
+    before = Window.orderBy(*[F.col(c).asc_nulls_first() for c in strata]).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(*[F.col(c).alias(f"_{c}") for c in strata], F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in strata]
+    return sample.join(starts, same).withColumn(name, F.col("_start") + F.col(place)).drop("_start", *[f"_{c}" for c in strata])
+
+
 def running_chunks(df: DataFrame, key: str, order: list[str], size: Column, most_rows: int, most_bytes: int) -> DataFrame:
-    """df with chunk and position: at most most_rows rows and about most_bytes bytes to a chunk of each key."""
-    w = Window.partitionBy(key).orderBy(*order)
-    rows = F.row_number().over(w) - 1
-    bytes_before = F.sum(size).over(w.rowsBetween(Window.unboundedPreceding, 0)) - size
-    by = F.greatest(F.floor(rows / most_rows), F.floor(bytes_before / most_bytes))
-    return df.withColumn("chunk", by).withColumn("position", F.row_number().over(Window.partitionBy(key, "chunk").orderBy(*order)) - 1)
+    """df with chunk and position (both from 0 in each key): a chunk is closed before a row would pass either bound.
+
+    A row that alone is larger than most_bytes has no chunk (null).  The rows of a key are taken in order with two
+    numbers as state.
+    """
+
+    def begin():
+        chunk = rows = used = 0
+
+        def step(row: dict) -> int | None:
+            nonlocal chunk, rows, used
+            n = row["_size"] or 0
+            if n > most_bytes:
+                return None
+            if rows and (rows == most_rows or used + n > most_bytes):
+                chunk, rows, used = chunk + 1, 0, 0
+            rows, used = rows + 1, used + n
+            return chunk
+
+        return step
+
+    dealt = along(df.withColumn("_size", size.cast("long")), [key], order, ["_size"], begin, "chunk", "long").drop("_size")
+    place = F.row_number().over(Window.partitionBy(key, "chunk").orderBy(*order)) - 1
+    return dealt.withColumn("position", F.when(F.col("chunk").isNotNull(), place))

@@ -67,12 +67,6 @@ def alias_coalesce(t: Tables) -> DataFrame:
     return t.telemetry.select("event_id", C.first_usable(first, second, F.lit("other")).alias("name"))
 
 
-@query("SELECT event_id, coalesce(json_extract_string(props, '$.k'), event_type) AS field FROM events")
-def flatten_envelope(t: Tables) -> DataFrame:
-    inner = F.from_json("props", "k string")
-    return t.events.select("event_id", F.coalesce(inner["k"], "event_type").alias("field"))
-
-
 @query("SELECT page_id, CASE WHEN contains(url, 'example.org') THEN 'linux' WHEN regexp_matches(url, '\\.(com|net)/') THEN 'windows' ELSE 'unknown' END AS os FROM pages")
 def infer_os(t: Tables) -> DataFrame:
     url = F.col("url")
@@ -141,12 +135,6 @@ def drop_placeholders(t: Tables) -> DataFrame:
     return t.launches.where(~F.col("pgm").rlike(r"^(-|null|\(null\)|[a-z]+:)$")).select("record_id")
 
 
-@query("SELECT record_id, CASE WHEN pgm_base = '' THEN 'empty program' WHEN dataset_label = 'unknown' AND ai_label IS NULL THEN 'unlabelled' ELSE 'kept' END AS reason FROM launches", LAUNCHES)
-def row_contracts(t: Tables) -> DataFrame:
-    reason = F.when(F.col("pgm_base") == "", "empty program").when((F.col("dataset_label") == "unknown") & F.col("ai_label").isNull(), "unlabelled").otherwise("kept")
-    return t.launches.select("record_id", reason.alias("reason"))
-
-
 @query("SELECT record_id FROM shell WHERE ai_label IS NULL OR ai_label = 'unknown'", SHELL)
 def label_candidates(t: Tables) -> DataFrame:
     return t.shell.where("ai_label is null or ai_label = 'unknown'").select("record_id")
@@ -291,17 +279,6 @@ def regex_rules(t: Tables) -> DataFrame:
     return J.first_rule(t.launches, _RULES, "pgm").select("record_id", "rule_label")
 
 
-@query("SELECT record_id, CASE WHEN label = 'unknown' AND regexp_matches(shell_input, 'password|!!') THEN 'malicious' ELSE label END AS label FROM shell", SHELL)
-def ioc_upgrade(t: Tables) -> DataFrame:
-    return t.shell.select("record_id", F.when((F.col("label") == "unknown") & F.col("shell_input").rlike("password|!!"), "malicious").otherwise(F.col("label")).alias("label"))
-
-
-@query("SELECT l.record_id FROM launches l WHERE (lower(pgm_base), list_transform(args, lambda x: lower(x))) IN (SELECT lower(pgm_base), list_transform(args, lambda x: lower(x)) FROM launches WHERE doc_id % 20 = 0)", LAUNCHES)
-def procedure_steps(t: Tables) -> DataFrame:
-    keyed = t.launches.withColumn("name", F.lower("pgm_base")).withColumn("lowered", F.transform("args", lambda x: F.lower(x)))
-    return keyed.join(keyed.where("doc_id % 20 = 0").select("name", "lowered"), ["name", "lowered"], "left_semi").select("record_id")
-
-
 @query("SELECT host, arg_max(v, p) AS meta FROM (SELECT host, 1 AS p, min(k) AS v FROM telemetry WHERE kind = 'view' GROUP BY host UNION ALL SELECT host, 2, max(k) FROM telemetry WHERE kind = 'error' GROUP BY host) GROUP BY host", TELEMETRY)
 def catalog_precedence(t: Tables) -> DataFrame:
     x = t.telemetry
@@ -322,16 +299,6 @@ def unanimous_scores(t: Tables) -> DataFrame:
     return t.documents.join(scores, "text", "left").select("doc_id", "label")
 
 
-@query("SELECT event_id, CASE WHEN k = 99 THEN 'reviewed' WHEN host % 10 = 0 THEN 'host' WHEN kind = 'error' THEN 'kind' ELSE 'none' END AS rung FROM telemetry", TELEMETRY)
-def evidence_ladder(t: Tables) -> DataFrame:
-    x = t.telemetry
-    by_event = x.where("k = 99").select("event_id", F.lit("reviewed").alias("r1"))
-    by_host = x.where("host % 10 = 0").select("host").distinct().withColumn("r2", F.lit("host"))
-    by_kind = t.spark.createDataFrame([("error", "kind")], "kind string, r3 string")
-    ladder = x.join(by_event, "event_id", "left").join(by_host, "host", "left").join(F.broadcast(by_kind), "kind", "left")
-    return ladder.select("event_id", F.coalesce("r1", "r2", "r3", F.lit("none")).alias("rung"))
-
-
 # --- aggregations ----------------------------------------------------------------------------------------------------
 @query("SELECT shell_input, min(dataset) AS dataset FROM shell WHERE ai_label IS NULL OR ai_label = 'unknown' GROUP BY shell_input HAVING shell_input NOT IN (SELECT shell_input FROM shell WHERE ai_label IN ('malicious', 'benign'))", SHELL)
 def distinct_commands(t: Tables) -> DataFrame:
@@ -504,9 +471,21 @@ def table_diff(t: Tables) -> DataFrame:
     return S.table_diff(one, two)
 
 
-@query("SELECT record_id, (row_number() OVER (PARTITION BY dataset ORDER BY doc_id) - 1) // 50 AS chunk FROM shell", SHELL)
+_MOST = 50, 20_000  # rows and bytes of a chunk
+
+
+@query(
+    f"""WITH RECURSIVE {SHELL},
+n AS (SELECT record_id, dataset, octet_length(encode(shell_input)) AS size, row_number() OVER (PARTITION BY dataset ORDER BY doc_id) AS rn FROM shell WHERE octet_length(encode(shell_input)) <= {_MOST[1]}),
+w(dataset, rn, chunk, rows, used) AS (
+  SELECT dataset, rn, CAST(0 AS BIGINT), CAST(1 AS BIGINT), CAST(size AS BIGINT) FROM n WHERE rn = 1
+  UNION ALL
+  SELECT dataset, rn, chunk + CAST(shut AS BIGINT), CASE WHEN shut THEN 1 ELSE rows + 1 END, CASE WHEN shut THEN size ELSE used + size END
+  FROM (SELECT n.dataset, n.rn, n.size, w.chunk, w.rows, w.used, w.rows = {_MOST[0]} OR w.used + n.size > {_MOST[1]} AS shut FROM w JOIN n ON n.dataset = w.dataset AND n.rn = w.rn + 1))
+SELECT s.record_id, w.chunk, w.rows - 1 AS position FROM shell s LEFT JOIN n ON n.record_id = s.record_id LEFT JOIN w ON w.dataset = n.dataset AND w.rn = n.rn"""
+)
 def request_chunks(t: Tables) -> DataFrame:
-    return S.running_chunks(t.shell, "dataset", ["doc_id"], F.octet_length("shell_input"), 50, 190_000_000).select("record_id", F.col("chunk").cast("long").alias("chunk"))
+    return S.running_chunks(t.shell, "dataset", ["doc_id"], F.octet_length("shell_input"), *_MOST).select("record_id", "chunk", F.col("position").cast("long").alias("position"))
 
 
 # --- scalar functions ------------------------------------------------------------------------------------------------
@@ -528,8 +507,9 @@ def decode_hex(t: Tables) -> DataFrame:
 @query("SELECT event_id, date_trunc('second', ts) AS parsed FROM events")
 def parse_times(t: Tables) -> DataFrame:
     ts = F.col("ts").cast("timestamp")
-    n = F.col("event_id") % 3
-    text = F.when(n == 0, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")).when(n == 1, F.date_format(ts, "dd/MM/yyyy HH:mm:ss")).otherwise((F.unix_seconds(ts) * 1000).cast("string"))
+    n = F.col("event_id") % 5
+    text = F.when(n == 0, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")).when(n == 1, F.date_format(ts, "dd/MM/yyyy HH:mm:ss")).when(n == 2, F.date_format(ts, "EEE, d MMM yyyy HH:mm:ss Z"))
+    text = text.when(n == 3, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ssXXX")).otherwise((F.unix_seconds(ts) * 1000).cast("string"))
     return t.events.select("event_id", C.parse_time(text).cast("timestamp_ntz").alias("parsed"))
 
 

@@ -56,16 +56,21 @@ def scan_csv(t: Tables) -> DataFrame:
     return R.headed_csv(t.spark, path, rows.schema)
 
 
-@query("SELECT event_id, kind, k FROM telemetry", TELEMETRY)
+@query("SELECT event_id, CASE WHEN event_id % 97 <> 0 THEN kind || ', \"' || k || '\"' END AS kind, CASE WHEN event_id % 97 <> 0 THEN k END AS k, CASE WHEN event_id % 97 = 0 THEN 'other number of fields' END AS reason FROM telemetry", TELEMETRY)
 def csv_sections(t: Tables) -> DataFrame:
     one = F.floor(F.col("event_id") / 10) % 2 == 0
-    head = F.when(one, "id,kind,k").otherwise("k,id,kind")
-    row = F.when(one, F.concat_ws(",", "event_id", "kind", "k")).otherwise(F.concat_ws(",", "k", "event_id", "kind"))
+    head = F.when(one, 'id,"kind",k').otherwise("k,id,kind")
+    kind = F.concat(F.lit('"'), "kind", F.lit(', ""'), "k", F.lit('"""'))
+    row = F.when(F.col("event_id") % 97 == 0, "1").when(one, F.concat_ws(",", "event_id", kind, "k")).otherwise(F.concat_ws(",", "k", "event_id", kind))
     both = F.when(F.col("event_id") % 10 == 0, F.array(head, row)).otherwise(F.array(row))
-    lines = t.telemetry.select(F.floor(F.col("event_id") / 1000).alias("file"), "event_id", F.posexplode(both).alias("i", "text"))
-    lines = lines.select("file", (F.col("event_id") * 2 + F.col("i")).alias("line"), "text")
-    f = R.csv_sections(lines, "file", "line", "text", F.col("text").isin("id,kind,k", "k,id,kind"))
-    return f.select(F.col("fields")["id"].cast("long").alias("event_id"), F.col("fields")["kind"].alias("kind"), F.col("fields")["k"].cast("int").alias("k"))
+    lines = t.telemetry.select(F.floor((F.col("event_id") - 1) / 1000).alias("file"), "event_id", F.posexplode(both).alias("i", "text"))
+    first = F.when(F.col("event_id") % 1000 == 1, F.array(F.lit("k,id,kind"))).otherwise(F.array().cast("array<string>"))
+    heads = t.telemetry.select(F.floor((F.col("event_id") - 1) / 1000).alias("file"), (F.col("event_id") * 2 - 1).alias("line"), F.explode(first).alias("text"))
+    # a file begins with the header of the section that its first lines belong to
+    heads = heads.withColumn("text", F.when(F.floor((F.col("line") + 1) / 20) % 2 == 0, 'id,"kind",k').otherwise(F.col("text")))
+    lines = lines.select("file", (F.col("event_id") * 2 + F.col("i")).alias("line"), "text").unionByName(heads)
+    f = R.csv_sections(lines, "file", "line", "text", F.col("text").isin('id,"kind",k', "k,id,kind"))
+    return f.select(F.floor(F.col("line") / 2).alias("event_id"), F.col("fields")["kind"].alias("kind"), F.col("fields")["k"].cast("int").alias("k"), "reason")
 
 
 @query("SELECT doc_id, lang, CAST(NULL AS VARCHAR) AS title FROM documents")
@@ -107,10 +112,11 @@ def sourcetype_dispatch(t: Tables) -> DataFrame:
     return R.by_shape(t.telemetry, "kind", shapes)
 
 
-@query("SELECT event_id, CAST(pos AS INTEGER) AS pos, v FROM (SELECT event_id, unnest([0, 1]) AS pos, unnest([host, CAST(k AS BIGINT)]) AS v FROM telemetry)", TELEMETRY)
+@query("SELECT event_id, CAST(pos AS INTEGER) AS pos, v, 'a} {\"b' || kind AS s FROM (SELECT event_id, kind, unnest([0, 1]) AS pos, unnest([host, CAST(k AS BIGINT)]) AS v FROM telemetry)", TELEMETRY)
 def concatenated_json(t: Tables) -> DataFrame:
-    one, two = (F.to_json(F.struct(F.col(c).cast("long").alias("v"))) for c in ("host", "k"))
-    return R.joined_objects(t.telemetry.select("event_id", F.concat(one, F.lit(" "), two).alias("raw")), "raw", "v bigint")
+    text = F.concat(F.lit('a} {"b'), "kind").alias("s")
+    one, two = (F.to_json(F.struct(F.col(c).cast("long").alias("v"), text)) for c in ("host", "k"))
+    return R.joined_objects(t.telemetry.select("event_id", F.concat(one, F.lit(" "), two).alias("raw")), "raw", "v bigint, s string")
 
 
 @query("SELECT CAST(conv_id AS VARCHAR) AS conv_id, CAST(turn AS VARCHAR) AS turn, CASE WHEN conv_id % 9 <> 0 THEN text END AS text, true AS good FROM conversations")
@@ -165,17 +171,19 @@ def reader_registry(t: Tables) -> DataFrame:
 @query("SELECT dataset, 'shell' AS kind, count(*) AS n FROM shell GROUP BY ALL UNION ALL SELECT dataset, 'process', count(*) FROM launches GROUP BY ALL", LAUNCHES)
 def write_observations(t: Tables) -> DataFrame:
     root = shared_path(t.spark, "observations")
-    for _ in range(2):  # a second run replaces the first
-        K.write_observations(t.shell.drop("doc_id"), t.launches.drop("doc_id", "pos"), root)
-    back = [t.spark.read.parquet(f"{root}/{n}").groupBy("dataset").agg(F.count("*").alias("n")).withColumn("kind", F.lit(k)) for n, k in (("shell_inputs", "shell"), ("process_launches", "process"))]
-    return back[0].unionByName(back[1]).join(K.finished(t.spark, root), "dataset", "left_semi")
+    K.write_observations(t.shell.drop("doc_id").limit(3), t.launches.drop("doc_id", "pos"), root)
+    K.write_observations(t.shell.drop("doc_id"), t.launches.drop("doc_id", "pos"), root)  # a second run takes the first one's place
+    back = [K.read_observations(t.spark, root, n).groupBy("dataset").agg(F.count("*").alias("n")).withColumn("kind", F.lit(k)) for n, k in zip(K.TABLES, ("shell", "process"))]
+    return back[0].unionByName(back[1])
 
 
-@query("SELECT DISTINCT dataset FROM shell WHERE dataset NOT IN (SELECT dataset FROM shell WHERE md5(dataset) < '8')", SHELL)
+@query("SELECT DISTINCT dataset, false AS first FROM shell WHERE dataset NOT IN (SELECT dataset FROM shell WHERE md5(dataset) < '8') UNION ALL SELECT DISTINCT dataset, true FROM shell", SHELL)
 def ingest_ledger(t: Tables) -> DataFrame:
-    root = shared_path(t.spark, "ledger")
-    t.shell.where("md5(dataset) < '8'").select("dataset").distinct().write.parquet(f"{root}/ingested")
-    return K.pending(t.shell.select("dataset").distinct(), t.spark, root)
+    root, wanted = shared_path(t.spark, "ledger"), t.shell.select("dataset").distinct()
+    before = K.pending(wanted, t.spark, root).withColumn("first", F.lit(True))  # nothing is there yet
+    some = "md5(dataset) < '8'"
+    K.write_observations(t.shell.drop("doc_id").where(some), t.launches.drop("doc_id", "pos").where(some), root)
+    return K.pending(wanted, t.spark, root).withColumn("first", F.lit(False)).union(before)
 
 
 @query("SELECT record_id FROM shell WHERE dataset <> (SELECT min(source) FROM documents)", SHELL)
@@ -190,13 +198,6 @@ def collect_results(t: Tables) -> DataFrame:
     return K.collect_results(t.telemetry.select("event_id"), answers, "event_id", "answer", ("click", "view")).select("event_id", "status")
 
 
-@query("SELECT action, reason, count(*) AS n FROM (SELECT CASE WHEN label = 'unknown' OR doc_id % 7 = 0 THEN 'skipped' ELSE 'kept' END AS action, CASE WHEN label = 'unknown' THEN 'no label' WHEN doc_id % 7 = 0 THEN 'no session' ELSE '' END AS reason FROM shell) GROUP BY ALL", SHELL)
-def audit_decisions(t: Tables) -> DataFrame:
-    reason = F.when(F.col("label") == "unknown", "no label").when(F.col("doc_id") % 7 == 0, "no session").otherwise("")
-    decided = t.shell.select("record_id", reason.alias("reason")).withColumn("action", F.when(F.col("reason") == "", "kept").otherwise("skipped"))
-    return decided.groupBy("action", "reason").agg(F.count("*").alias("n"))
-
-
 # --- streams ---------------------------------------------------------------------------------------------------------
 def _stream(t: Tables) -> tuple[DataFrame, str, str]:
     root = shared_path(t.spark, "stream")

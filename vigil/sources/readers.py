@@ -49,12 +49,25 @@ def headed_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).csv(path, header=True, multiLine=True, quote='"', escape='"', enforceSchema=False)
 
 
+def csv_fields(text: Column) -> Column:
+    """The fields of a CSV line; quoted ones may hold commas and doubled quotes.  Null where quotes do not match."""
+    field = r'((?:"(?:[^"]|"")*+"|[^",]*+)),'
+    parts = F.regexp_extract_all(F.concat(text, F.lit(",")), F.lit(field), F.lit(1))
+    plain = F.transform(parts, lambda p: F.when(p.startswith('"'), F.replace(F.substring(p, F.lit(2), F.length(p) - 2), F.lit('""'), F.lit('"'))).otherwise(p))
+    return F.when(F.length(F.array_join(parts, ",")) == F.length(text), plain)
+
+
 def csv_sections(lines: DataFrame, file: str, line: str, text: str, is_header: Column) -> DataFrame:
-    """(file, line, fields) of joined exports: a header line names the columns until the next one; lines before any header go."""
+    """(file, line, fields, reason) of joined exports: a header line names the columns until the next one.
+
+    A line that has no header before it, another number of fields or quotes that do not match has null fields and a
+    reason.  Header lines and null lines give no row.
+    """
     along = Window.partitionBy(file).orderBy(line).rowsBetween(Window.unboundedPreceding, 0)
     named = lines.withColumn("_head", is_header).withColumn("_names", F.last(F.when(F.col("_head"), F.col(text)), ignorenulls=True).over(along))
-    names, values = F.split("_names", ","), F.split(F.col(text), ",")
-    return named.where(~F.col("_head") & F.col("_names").isNotNull() & (F.size(names) == F.size(values))).select(file, line, F.map_from_arrays(names, values).alias("fields"))
+    cut = named.where(~F.col("_head") & F.col(text).isNotNull()).select(file, line, csv_fields(F.col("_names")).alias("_names"), csv_fields(F.col(text)).alias("_values"))
+    reason = F.when(F.col("_names").isNull(), "no header").when(F.col("_values").isNull(), "open quotes").when(F.size("_names") != F.size("_values"), "other number of fields")
+    return cut.select(file, line, F.when(reason.isNull(), last_wins(F.col("_names"), F.col("_values"))).alias("fields"), reason.alias("reason"))
 
 
 def framed_records(lines: DataFrame, file: str, line: str, text: str, header: str) -> DataFrame:
@@ -96,8 +109,10 @@ def projected(df: DataFrame, schema: str) -> DataFrame:
 
 
 def joined_objects(df: DataFrame, raw: str, schema: str) -> DataFrame:
-    """df with pos and the fields of each of the JSON objects that stand back to back in `raw`."""
-    objects = F.split(F.regexp_replace(raw, r"\}\s*\{", "}\0{"), "\0")
+    """df with pos and the fields of each of the JSON objects that stand back to back in `raw`; braces inside strings part nothing."""
+    tokens = F.regexp_extract_all(raw, F.lit(r'"(?:\\.|[^"\\])*+"?|[^"]++'), F.lit(0))
+    cut = F.transform(tokens, lambda x: F.when(x.startswith('"'), x).otherwise(F.regexp_replace(x, r"\}\s*\{", "}\0{")))
+    objects = F.split(F.array_join(cut, ""), "\0")
     rows = df.select("*", F.posexplode(objects).alias("pos", "_object")).drop(raw)
     return rows.withColumn("_r", F.from_json("_object", schema)).drop("_object").select("*", "_r.*").drop("_r")
 
@@ -133,7 +148,7 @@ XML_EVENT = (
     "System struct<Provider: struct<_Name: string>, TimeCreated: struct<_SystemTime: string>, Computer: string, Channel: string, EventID: string, EventRecordID: string>, "
     "EventData struct<Data: array<struct<_Name: string, _VALUE: string>>>, broken string"
 )
-XML_DATA = r"""(?s)<Data\s+Name=['"]([^'"]+)['"][^>]*>(.*?)</Data>"""
+XML_DATA = r"""<Data\b[^>]*?\bName=["']([^"'>]+)["'][^>]*>([^<]*(?:<(?!/Data>)[^<]*)*)</Data>"""
 XML_SYSTEM = {"Computer": None, "Channel": None, "EventID": None, "EventRecordID": None, "Provider": "Name", "TimeCreated": "SystemTime"}
 
 
@@ -142,7 +157,8 @@ def xml_events(spark: SparkSession, path: str, *markers: str) -> DataFrame:
 
     Files are cut at the end of each event, so large ones are read by many tasks, and with markers only events that hold
     one of them are parsed.  Events that are no XML, say for a bare `&`, are recovered by the delimiters of their fields.
-    Of a repeated name the last value counts; a Data element without text is empty.  An event without an end gives no row.
+    Of a repeated name the last value counts; a Data element without text is empty.  Of an event that a file's end cuts
+    off, what is there is read as the event, recovered where an element is open.
     """
     raw = F.concat(F.regexp_extract("value", r"(?s)<Event[\s>].*", 0), F.lit("</Event>"))
     rows = spark.read.option("lineSep", "</Event>").text(path).where(F.col("value").rlike(r"<Event[\s>]")).select(raw.alias("raw"))

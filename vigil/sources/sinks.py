@@ -1,32 +1,70 @@
-"""Writing observation tables: partitions of a dataset are replaced as a whole, and the ledger is written last."""
+"""Writing observation tables.  A run writes both tables to folders of its own, and the ledger, written last, says whose rows count."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import time
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+TABLES = ("shell_inputs", "process_launches")
+LEDGER = "dataset string, run string, at bigint, removed boolean"
+
 
 def write_observations(shell: DataFrame, launches: DataFrame, root: str) -> None:
-    """Writes both tables under root and marks their datasets as finished.
+    """Writes both tables under root as a new run and then marks its datasets as finished.
 
-    A dataset counts only once the ledger names it, so a job that dies between the two tables leaves the dataset
-    pending, and a second run replaces its partitions.
+    Readers see the rows of a dataset's last finished run, in both tables together: until the ledger is written they see
+    those from before, and a job that dies earlier leaves everything as it was.  A dataset that has rows in one table
+    only has none in the other.
     """
-    for name, df in (("shell_inputs", shell), ("process_launches", launches)):
-        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("dataset").parquet(f"{root}/{name}")
-    done = shell.select("dataset").union(launches.select("dataset")).distinct()
-    done.write.mode("append").parquet(f"{root}/ingested")
+    run = uuid.uuid4().hex
+    for name, df in zip(TABLES, (shell, launches)):
+        df.withColumn("run", F.lit(run)).write.mode("append").partitionBy("run", "dataset").parquet(f"{root}/{name}")
+    _note(shell.select("dataset").union(launches.select("dataset")).distinct(), root, run, removed=False)
+
+
+def _note(datasets: DataFrame, root: str, run: str, removed: bool) -> None:
+    noted = datasets.select("dataset", F.lit(run).alias("run"), F.lit(time.time_ns()).alias("at"), F.lit(removed).alias("removed"))
+    noted.coalesce(1).write.mode("append").parquet(f"{root}/ingested")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
 def finished(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema("dataset string").parquet(f"{root}/ingested").distinct()
+    """(dataset, run) that count: each dataset's last entry, unless it removed it.  Without a ledger there are none."""
+    if not _exists(spark, f"{root}/ingested"):
+        return spark.createDataFrame([], "dataset string, run string")
+    last = F.row_number().over(Window.partitionBy("dataset").orderBy(F.col("at").desc(), F.col("run").desc())) == 1
+    return spark.read.schema(LEDGER).parquet(f"{root}/ingested").withColumn("_last", last).where("_last and not removed").select("dataset", "run")
+
+
+def read_observations(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """The rows of a table (one of TABLES) that count.  Other runs are pruned by their folders."""
+    rows, runs = spark.read.parquet(f"{root}/{name}"), finished(spark, root)
+    return rows.withColumn("dataset", F.col("dataset").cast("string")).join(F.broadcast(runs), ["run", "dataset"], "left_semi").drop("run")
 
 
 def pending(wanted: DataFrame, spark: SparkSession, root: str) -> DataFrame:
-    """The rows of `wanted` whose dataset the ledger does not name."""
+    """The rows of `wanted` whose dataset the ledger does not name as finished."""
     return wanted.join(finished(spark, root), "dataset", "left_anti")
 
 
+def remove_stored(spark: SparkSession, root: str, *datasets: str) -> None:
+    """Removes datasets from both stored tables and the ledger: first for readers, then the files.  Unknown names change nothing."""
+    _note(spark.createDataFrame([(d,) for d in datasets], "dataset string"), root, "", removed=True)
+    fs = spark._jvm.org.apache.hadoop.fs.Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    for name in TABLES:
+        for d in datasets:
+            folder = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(d)
+            for status in fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}/run=*")) or []:
+                fs.delete(spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), f"dataset={folder}"), True)
+
+
 def remove_datasets(tables: dict[str, DataFrame], *datasets: str) -> dict[str, DataFrame]:
     """Each table that has a `dataset` column without these datasets; a null dataset stays, other tables are unchanged."""
     keep = F.col("dataset").isNull() | ~F.col("dataset").isin(*datasets)
