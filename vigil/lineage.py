@@ -26,6 +26,14 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def release(spark: SparkSession) -> None:
+    """Collects the driver's garbage, so that Spark now removes the shuffle files that no table refers to any more.
+
+    Spark does this by itself every half hour (spark.cleaner.periodicGC.interval); a job of many short rounds writes more by then.
+    """
+    spark.sparkContext._jvm.System.gc()
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
@@ -34,4 +42,5 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """df written as Parquet to the shared folder and read back: compressed, and read again without being computed again."""
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
+    release(df.sparkSession)
     return df.sparkSession.read.schema(df.schema).parquet(path)
