@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..lineage import cut, shared_dir, shared_path, staged  # noqa: F401  used by the operators
+from ..lineage import cut, release, shared_dir, shared_path, staged  # noqa: F401  used by the operators
 
 #: ASCII upper case to lower case only; `lower()` would also change other letters.
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"

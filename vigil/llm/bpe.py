@@ -24,7 +24,9 @@ from ._text import batches_by_bytes
 #: Fixed value: the pattern by which byte-level vocabularies of this family split text.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Bytes of texts taken together, and above which a text is cut at a safe boundary; words, and characters of chunks, that a task remembers.
-BATCH_BYTES, PIECE_BYTES, CACHE_WORDS, CACHE_CHARS = 2_000_000, 500_000, 200_000, 3_000_000
+BATCH_BYTES, PIECE_BYTES, CACHE_WORDS, CACHE_CHARS = 1_000_000, 500_000, 100_000, 2_000_000
+#: Texts that a task looks at together.
+TEXTS = 2000
 #: Punctuation that often ends a word; it holds no apostrophe, which may begin a word of its own.
 _STOPS = ".,;:!?"
 _NONE = np.int64(1) << 40
@@ -241,7 +243,7 @@ def encode_texts(df: DataFrame, path: str, text_col: str = "text", ids_col: str
 
     def run(batches):
         bpe = vocabulary(path)
-        for b in batches:
+        for b in (whole.slice(at, TEXTS) for whole in batches for at in range(0, len(whole), TEXTS)):
             texts = [t or "" for t in b.column(text_col).to_pylist()]
             yield _with(b, [(ids_col, pa.array(bpe.encode(texts), pa.binary()))])
 
@@ -268,7 +270,7 @@ def roundtrip(df: DataFrame, path: str, text_col: str = "text") -> DataFrame:
 
     def run(batches):
         bpe = vocabulary(path)
-        for b in batches:
+        for b in (whole.slice(at, TEXTS) for whole in batches for at in range(0, len(whole), TEXTS)):
             ids = bpe.encode([t or "" for t in b.column(text_col).to_pylist()])
             yield _with(b, [("ids", pa.array(ids, pa.binary())), ("decoded", pa.array(list(map(bpe.decode, ids)), pa.string()))])
 

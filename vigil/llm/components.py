@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import cut
+from ._common import cut, release
 
 
 def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
@@ -27,5 +27,6 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         moved = after.where("moved").limit(1).count()
         labels = after.select("node", "label")
         if not moved:
+            release(edges.sparkSession)
             return labels.withColumnRenamed("label", "component")
     raise RuntimeError(f"components were not settled after {rounds} rounds")

@@ -24,6 +24,8 @@ DRIVER_CELLS = 200_000
 #: A target share is the present share to this power, normalised: below 1 small groups gain.
 TEMPERATURES = {"source": 0.85, "lang": 0.85, "topic": 0.9}
 DRAW_BITS = 53
+#: Texts that a task looks at together.
+TEXTS = 2000
 #: Raking ends once no marginal share is off by CLOSE, on the driver and as a DataFrame alike, or with a warning after ROUNDS.
 ROUNDS, CLOSE = 500, 1e-10
 NO_TARGET = "no category of a margin has both tokens and a target"
@@ -37,7 +39,7 @@ def described(df: DataFrame, tokenizer: str, text_col: str, tokens: str, vector:
 
     def run(batches):
         bpe = vocabulary(tokenizer, topics.bucket_of if vector else None)
-        for b in batches:
+        for b in (whole.slice(at, TEXTS) for whole in batches for at in range(0, len(whole), TEXTS)):
             texts = [t or "" for t in b.column(text_col).to_pylist()]
             n, used = bpe.count(texts, topics.BUCKETS if vector else 0)
             columns = [pa.array(n)]

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._common import ASCII_LOWER, ASCII_UPPER, cut, staged
+from ._common import ASCII_LOWER, ASCII_UPPER, cut, release, staged
 from .components import connected_components
 
 WORDS = 5
@@ -39,8 +39,10 @@ WORDS = 5
 SKETCH, LISTED = 128, 32
 #: Chance that a pair exactly at the threshold has fewer common values than is asked for.
 MISS = 1e-7
-#: Members of a list whose pairs are made at once; documents and shingles of a block.
-SHORT, BLOCK, BLOCK_SHINGLES = 32, 1024, 2_000_000
+#: Members of a list whose pairs are made at once; documents and shingles of a block; pairs estimated, and documents read, at a time.
+SHORT, BLOCK, BLOCK_SHINGLES, PAIRS, TEXTS = 32, 1024, 2_000_000, 1000, 1000
+#: Documents from which on a confirmed part of a large group is joined to others by their candidate links first.
+PART = 4
 _WORD = regex.compile(rb"[^\x20\x09-\x0D]+")
 _LOWER = bytes.maketrans(ASCII_UPPER.encode(), ASCII_LOWER.encode())
 _P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -52,7 +54,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-@functools.lru_cache(maxsize=200_000)
+@functools.lru_cache(maxsize=100_000)
 def _word_hash(word: bytes) -> int:
     return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
 
@@ -84,7 +86,7 @@ def sketches(df: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame
     """(id, n, digest, sketch): number of shingles, digest of the full set (null if empty), packed bottom-k values."""
 
     def run(batches):
-        for b in batches:
+        for b in (whole.slice(at, TEXTS) for whole in batches for at in range(0, len(whole), TEXTS)):
             sets = [shingles(t, width) for t in b.column(1).to_pylist()]
             digest = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
             yield pa.RecordBatch.from_arrays(
@@ -108,7 +110,7 @@ def _values(sketch: DataFrame) -> DataFrame:
     return sketch.select("id", "k", "n", "sketch").mapInArrow(run, "id bigint, k int, n bigint, v bigint")
 
 
-def common_counts(left: list[np.ndarray], right: list[np.ndarray], columns: int = 4096) -> np.ndarray:
+def common_counts(left: list[np.ndarray], right: list[np.ndarray], columns: int = 2048) -> np.ndarray:
     """How many values each set on the left shares with each on the right: products of incidence matrices, some columns at a time."""
     sets, n = left + right, len(left)
     owner = np.repeat(np.arange(len(sets)), np.fromiter(map(len, sets), np.int64, len(sets)))
@@ -258,9 +260,11 @@ def candidate_links(classes: DataFrame, threshold: float) -> DataFrame:
 
     def passed(batches):
         for b in batches:
-            n, m = (b.column(c).to_numpy(zero_copy_only=False) for c in ("n_a", "n_b"))
-            est = pair_estimates(b.column("s_a").to_pylist(), b.column("s_b").to_pylist(), n, m)
-            yield b.select(["a", "b"]).filter(pa.array(may_reach(est, np.minimum(n, m), np.maximum(n, m))))
+            for at in range(0, len(b), PAIRS):
+                part = b.slice(at, PAIRS)
+                n, m = (part.column(c).to_numpy(zero_copy_only=False) for c in ("n_a", "n_b"))
+                est = pair_estimates(part.column("s_a").to_pylist(), part.column("s_b").to_pylist(), n, m)
+                yield part.select(["a", "b"]).filter(pa.array(may_reach(est, np.minimum(n, m), np.maximum(n, m))))
 
     few = pairs.join(one, "a").join(two, "b").select("a", "b", "n_a", "n_b", "s_a", "s_b").mapInArrow(passed, "a bigint, b bigint")
     hot = lists.where(F.col("df") > SHORT).select("id", "k", "v")
@@ -286,7 +290,7 @@ def _full_sets(texts: DataFrame, members: DataFrame, width: int) -> DataFrame:
     names = members.columns
 
     def sets_of(batches):
-        for b in batches:
+        for b in (whole.slice(at, TEXTS) for whole in batches for at in range(0, len(whole), TEXTS)):
             packed = [shingles(t, width).tobytes() for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in names), pa.array(packed, pa.binary())], names=[*names, "set"])
 
@@ -350,8 +354,12 @@ def confirmed_links(texts: DataFrame, groups: DataFrame, candidates: DataFrame,
         return cut(large.select("id", "component").join(done, "id", "left").withColumn("part", F.coalesce("part", "id")))
 
     parts = settled(first)
-    ends = [parts.select(F.col("id").alias(i), F.col("part").alias(f"part_{i}")) for i in "ab"]
-    across = candidates.distinct().join(ends[0], "a").join(ends[1], "b").where("part_a <> part_b").select("a", "b")
+    # a group of near copies is now in a part for each block: one candidate link of two such parts is tried, others wait
+    sizeable = parts.groupBy("part").count().where(F.col("count") >= PART).select("part")
+    inner = parts.join(sizeable, "part", "left_semi")
+    ends = [inner.select(F.col("id").alias(i), F.col("part").alias(f"part_{i}")) for i in "ab"]
+    across = candidates.join(ends[0], "a").join(ends[1], "b").where("part_a <> part_b")
+    across = across.groupBy(F.least("part_a", "part_b"), F.greatest("part_a", "part_b")).agg(F.min(F.struct("a", "b")).alias("p")).select("p.a", "p.b")
     second = cut(first.union(_confirmed_pairs(across, sets, *threshold)))
     parts = settled(second)
     # the largest part of a group meets the rest; parts of the rest meet everything
@@ -392,7 +400,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     heads = cut(ids.groupBy("digest").agg(F.min("id").alias("head")).withColumn("k", F.row_number().over(same_head)))
     classes = ids.select("id", "n", "sketch", "digest").join(heads.select(F.col("head").alias("id"), "digest", "k"), ["id", "digest"])
     classes = cut(classes.dropDuplicates(["id", "k"]).select("id", "k", "n", "sketch"))
+    release(df.sparkSession)
     candidates = cut(candidate_links(classes, t))
+    release(df.sparkSession)
     sizes = classes.groupBy(F.col("id").alias("node")).agg(F.sum("n").alias("n"))
     groups = cut(connected_components(candidates).join(sizes, "node"))
     texts = docs.where("id is not null and text is not null")

@@ -21,6 +21,8 @@ from pyspark.sql import types as T
 from ._common import without
 
 GOOD, BAD, ABSTAIN = 1, 0, -1
+#: Texts that a task looks at together.
+TEXTS = 1000
 SYMBOLS, SPACES = "#*$%&|<>", " \t\n\x0b\x0c\r"
 #: Frequent function words (English, German, French, Spanish); having them speaks for prose, lacking them says nothing.
 FUNCTION_WORDS = frozenset(b"the of and to in a is that for it as was with be by on not this are have der die und das ist nicht ein zu den von mit sich auf le la les de et des un une est que dans en du pour el los las y se del con por su no".split())
@@ -107,7 +109,7 @@ def with_features(df: DataFrame, text_col: str = "text", keep_text: bool = True)
     schema = T.StructType([*kept, *(T.StructField(n, t) for n, t in FEATURES.items())])
 
     def run(batches):
-        for b in batches:
+        for b in (whole.slice(at, TEXTS) for whole in batches for at in range(0, len(whole), TEXTS)):
             values = list(zip(*map(features_of, b.column(text_col).to_pylist()))) or [()] * len(FEATURES)
             old = [b.column(b.schema.get_field_index(f.name)) for f in kept]
             yield pa.RecordBatch.from_arrays([*old, *(pa.array(v, pa.int64()) for v in values)], names=[f.name for f in schema.fields])
