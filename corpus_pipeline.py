@@ -17,9 +17,23 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 TOKENIZER = "byte_bpe_50k.json"
 
 
+#: Rows of an Arrow batch.  Texts can be long, and a batch lies in the JVM and in Python at once.
+ARROW_ROWS = 1000
+
+
+def _columns(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """The columns of documents, whatever else there is, for tasks that take few rows at a time."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    return docs.select(*COLUMNS)
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are more likely good than bad by their posterior quality; those without words go."""
-    return quality.judge_quality(docs.select(*COLUMNS)).where("posterior >= 0.5 and n_words > 0").select(*COLUMNS)
+    """Documents that are more likely good than bad by their posterior quality.
+
+    Null and empty texts, and those of white space, have no words and go.  Repeated rows are judged alike and all stay or
+    all go; null ids change nothing; extra columns are left out; an empty table gives an empty result.
+    """
+    return quality.judge_quality(_columns(spark, docs)).where("posterior >= 0.5 and n_words > 0").select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,9 +41,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Rows with a null doc_id all stay, as nothing can refer to them.  Rows that share a doc_id and a text become one, with
     the smallest of their other columns.  Different texts of one doc_id are documents of their own, judged each by itself:
-    the smallest text goes by the doc_id, the others come after all ids of the table.
+    the smallest text goes by the doc_id, the others come after all ids of the table.  Null and empty texts are near no
+    other and stay, one for each id.  Extra columns are left out; an empty table gives an empty result.
     """
-    docs = docs.select(*COLUMNS)
+    docs = _columns(spark, docs)
     single = _one_row_ids(docs.where("doc_id is not null"))
     kept = neardup.near_duplicates(single, id_col="row_id", threshold=(80, 100)).where("kept").select(F.col("doc_id").alias("row_id"))
     return single.join(kept, "row_id", "left_semi").select(*COLUMNS).unionByName(docs.where("doc_id is null"))
@@ -51,13 +66,21 @@ def _one_row_ids(docs: DataFrame) -> DataFrame:
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A sample whose expected token shares of source, language and topic are the targets."""
-    return mixing.mix(docs.select(*COLUMNS), tokenizer=tokenizer_path(TOKENIZER)).where("sampled").select(*COLUMNS)
+    """A sample whose expected token shares of source, language and topic are the targets.
+
+    Null sources and languages are categories of their own.  Null and empty texts have no tokens, and are drawn with the
+    probability of weight 1.  Rows that share an id are drawn alike, null ids together.  Extra columns are left out; an
+    empty table gives an empty result.
+    """
+    return mixing.mix(_columns(spark, docs), tokenizer=tokenizer_path(TOKENIZER)).where("sampled").select(*COLUMNS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, packed token ids, and whether decoding gives the text back."""
-    done = bpe.roundtrip(docs.select("doc_id", "source", "lang", "text"), tokenizer_path(TOKENIZER))
+    """doc_id, source, lang, n_tokens, packed token ids, and whether decoding gives the text back, for every row.
+
+    A null text is encoded as the empty one.  Null ids and repeated rows pass; an empty table gives an empty result.
+    """
+    done = bpe.roundtrip(_columns(spark, docs).select("doc_id", "source", "lang", "text"), tokenizer_path(TOKENIZER))
     same = F.col("decoded") == F.coalesce("text", F.lit(""))
     return done.select("doc_id", "source", "lang", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids", same.alias("round_trip"))
 
