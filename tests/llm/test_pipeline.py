@@ -74,7 +74,7 @@ def test_run_against_plain_stages(spark):
 
     from vigil.llm import mixing, quality
 
-    from .test_operators import BPE, brute_components, plain_topics
+    from test_operators import BPE, brute_components, plain_topics
 
     docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
     featured = spark.createDataFrame([(i, *quality.features_of(d.text)) for i, d in enumerate(docs)], ["i", *quality.FEATURES])
