@@ -84,4 +84,4 @@ def test_names_of_odd_forms(spark):
     df = spark.createDataFrame([(x,) for x in times], "x string")
     assert {r.x: r.t for r in df.select("x", C.parse_time(F.col("x"), "Europe/Berlin").cast("string").alias("t")).collect()} == times
     odd = spark.createDataFrame([('{"a": 1, "data": {"a": 2}, "event": "plain"}',), ("[1]",), ("no",), (None,)], "x string")
-    assert [r[0] for r in odd.select(C.flatten_envelope(F.col("x"))).collect()] == [{"a": "2", "data": '{"a":2}', "event": "plain"}, None, None, None]
+    assert [r.fields for r in C.flatten_envelope(odd, "x").collect()] == [{"a": "2", "data": '{"a":2}', "event": "plain"}, None, None, None]

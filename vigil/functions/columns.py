@@ -1,8 +1,8 @@
-"""Column expressions; all of them native, so they stay inside generated code."""
+"""Expressions of columns, all of them native; flatten_envelope takes a table, as it needs columns on the way."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: What telemetry writes for a missing value.
@@ -130,23 +130,28 @@ def technique_ids(text: Column) -> Column:
 ENVELOPES = ("EventData", "event_data", "columns", "event", "data")
 
 
-def flatten_envelope(text: Column) -> Column:
-    """The fields of a JSON event as a map of texts; those inside `_source` and ENVELOPES are fields of the event, and later ones win.
+def flatten_envelope(df: DataFrame, text: str, name: str = "fields") -> DataFrame:
+    """df with the fields of a JSON event as a map of texts; those inside `_source` and ENVELOPES are fields of the event, and later ones win.
 
     Of `process`, command_line and executable come out as `process.command_line` and `process.executable`, its parent's pid as `ppid`;
-    an object `host` gives its name.  Null for text that is no JSON object.
+    an object `host` gives its name.  Null for text that is no JSON object.  Each map is a column of its own on the way, so it
+    is parsed once.
     """
     fields = lambda c: F.from_json(c, "map<string, string>")
-    inner = lambda m, name: F.coalesce(fields(F.when(m[name].startswith("{"), m[name])), F.create_map().cast("map<string, string>"))
-    outer = fields(text)
-    top = F.when(outer["_source"].startswith("{"), fields(outer["_source"])).otherwise(outer)
-    process, host = inner(top, "process"), inner(top, "host")
+    inner = lambda m, key: F.coalesce(fields(F.when(F.col(m)[key].startswith("{"), F.col(m)[key])), F.create_map().cast("map<string, string>"))
+    outer, source = F.col("_outer"), F.col("_outer")["_source"]
+    rows = df.withColumn("_outer", fields(F.col(text))).withColumn("_top", F.when(source.startswith("{"), fields(source)).otherwise(outer))
+    rows = rows.withColumns({"_process": inner("_top", "process"), "_host": inner("_top", "host")}).withColumn("_parent", inner("_process", "parent"))
+    process, host = F.col("_process"), F.col("_host")
     extra = F.map_from_arrays(
         F.array(*map(F.lit, ("process.command_line", "process.executable", "ppid", "host", "_id"))),
-        F.array(process["command_line"], process["executable"], inner(process, "parent")["pid"], F.coalesce(host["name"], host["hostname"]), F.when(outer["_id"].isNotNull(), F.concat_ws(":", outer["_index"], outer["_id"]))),
+        F.array(process["command_line"], process["executable"], F.col("_parent")["pid"], F.coalesce(host["name"], host["hostname"]), F.when(outer["_id"].isNotNull(), F.concat_ws(":", outer["_index"], outer["_id"]))),
     )
-    layers = [top, F.map_filter(extra, lambda _, v: v.isNotNull()), *[inner(top, name) for name in ENVELOPES]]
-    return F.when(outer.isNotNull(), last_wins(F.concat(*map(F.map_keys, layers)), F.concat(*map(F.map_values, layers))))
+    layers = {"_extra": F.map_filter(extra, lambda _, v: v.isNotNull())} | {f"_in_{e}": inner("_top", e) for e in ENVELOPES}
+    maps = ["_top", *layers]
+    rows = rows.withColumns(layers).withColumns({"_keys": F.concat(*map(F.map_keys, maps)), "_values": F.concat(*map(F.map_values, maps))})
+    whole = F.when(outer.isNotNull(), last_wins(F.col("_keys"), F.col("_values")))
+    return rows.withColumn(name, whole).drop("_outer", "_process", "_host", "_parent", "_keys", "_values", *maps)
 
 
 def valid_probabilities(*p: Column) -> Column:
