@@ -53,6 +53,12 @@ def test_nearest_time_prefers_the_earlier(spark):
     assert got == {1: "a", 2: "b", 3: None, 4: "c"}
 
 
+def test_best_window_takes_direct_evidence_first(spark):
+    hits = [(1, 0, 5, 10, False), (1, 0, 9, 11, True), (1, 0, 9, 12, True), (2, 0, 9, 13, False), (2, 3, 5, 14, None), (2, 4, 6, 12, False), (2, 4, 6, 12, False)]
+    df = spark.createDataFrame(hits, "e int, a int, b int, w int, d boolean")
+    assert {r.e: r.w for r in J.best_window(df, "e", "a", "b", "w", F.col("d")).collect()} == {1: 11, 2: 12}
+
+
 def test_range_join_buckets_change_nothing(spark):
     e = spark.createDataFrame([(i, i % 3, i * 7 % 100) for i in range(60)], "id int, k int, t bigint")
     w = spark.createDataFrame([(n, n % 3, n * 5, n * 5 + n % 20) for n in range(20)], "w int, k int, a bigint, b bigint")

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from vigil.functions import columns as C
 from vigil.operators import evidence as E
+from vigil.operators import selection as S
 from vigil.plans import catalog, checked, feeds  # noqa: F401
 from vigil.sources import readers as R
 from vigil.sources import sinks as K
@@ -12,7 +13,7 @@ from vigil.streaming import jobs as J
 
 from .test_catalog import SF, duck, plain  # noqa: F401
 
-NAMES = ["scan_tagged_union", "xml_named_fields", "scan_map_of_lists", "scan_nested_list", "csv_sections", "concatenated_json", "ingest_ledger", "rendered_records", "format_dispatch", "copy_text_rows", "write_observations", "stream_dedup", "stream_sessions", "stream_daily_counts", "pid_lifetime_join", "object_relation_join", "event_assembly", "capped_extraction", "fill_templates", "score_samples"]
+NAMES = ["scan_tagged_union", "xml_named_fields", "scan_map_of_lists", "scan_nested_list", "csv_sections", "concatenated_json", "ingest_ledger", "rendered_records", "format_dispatch", "sourcetype_dispatch", "rotation_order", "copy_text_rows", "write_observations", "stream_dedup", "stream_sessions", "stream_daily_counts", "pid_lifetime_join", "object_relation_join", "event_assembly", "capped_extraction", "fill_templates", "score_samples"]
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -36,6 +37,28 @@ def test_csv_sections_quotes_headers_and_reasons(spark):
     assert sorted((r.n, r.fields, r.reason) for r in got) == want
 
 
+def test_by_shape_of_lines_and_of_files(spark):
+    lines = spark.createDataFrame([("f", 0, " "), ("f", 1, "a,b"), ("f", 2, "k=1"), ("g", 0, "k=2"), (None, 5, "k=3"), ("h", 0, None), ("i", 0, "?")], "file string, n int, s string")
+    shapes = [("kv", "^k=", {"v": F.substring("s", 3, 9)}), ("csv", ",|=", {"v": F.col("s"), "w": F.lit(1)})]
+    by_line, by_file = (sorted((r.shape, r.v, r.w) for r in R.by_shape(lines, "s", shapes, *of).select("shape", "v", F.coalesce("w", F.lit(0)).alias("w")).collect()) for of in ((), ("file", "n")))
+    assert by_line == [("csv", "a,b", 1), ("kv", "1", 0), ("kv", "2", 0), ("kv", "3", 0)]
+    assert by_file == [("csv", " ", 1), ("csv", "a,b", 1), ("csv", "k=1", 1), ("kv", "2", 0), ("kv", "3", 0)]
+    assert R.by_shape(lines.limit(0), "s", shapes, "file", "n").collect() == []
+
+
+def test_oldest_first(spark):
+    rows = [("x", "a.log", 1), ("x", "a.log.10", 5), ("x", "a.log.2", 3), ("x", "a.log.2", 4), ("x", None, 2), (None, "a.log", 7), (None, "a.log.1", 8)]
+    got = R.oldest_first(spark.createDataFrame(rows, "log string, file string, line int"), "log", "file", "line").collect()
+    assert {r.line: r.place for r in got} == {5: 1, 3: 2, 4: 3, 1: 4, 2: 5, 8: 1, 7: 2}
+
+
+def test_numbered_along_ranges(spark):
+    df = spark.createDataFrame([(i * 7919 % 1009,) for i in range(1, 1009)] + [(None,)], "v int").repartition(7)
+    got = sorted((r.i, -1 if r.v is None else r.v) for r in S.numbered(df, "v", "i").collect())
+    assert got == [(0, -1)] + [(i, i) for i in range(1, 1009)]
+    assert S.numbered(df.limit(0), "v", "i").collect() == []
+
+
 def test_joined_objects_with_braces_in_strings(spark):
     raw = [r'{"cmd": "a} {b\"} {c"}{"cmd": "x"}' + "\n" + '{"cmd": ""}', '{"cmd": "open', "", None]
     df = spark.createDataFrame(list(enumerate(raw)), "id int, raw string")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .joins import asof_last, range_join
+from .selection import numbered
 
 
 def lifetime_owner(events: DataFrame, creations: DataFrame, reboots: DataFrame, host: str, pid: str, at: str, owner: str) -> DataFrame:
@@ -36,11 +37,11 @@ def fill_templates(templates: DataFrame, pool: DataFrame, key: str, text: str, s
     The value is chosen by a hash of seed, key and name among the name's values in order.  A name without values stays.
     """
     order = Window.partitionBy("name").orderBy("value")
-    numbered = pool.where("value is not null").distinct().withColumns({"i": F.row_number().over(order) - 1, "n": F.count("*").over(Window.partitionBy("name"))})
+    entries = pool.where("value is not null").distinct().withColumns({"i": F.row_number().over(order) - 1, "n": F.count("*").over(Window.partitionBy("name"))})
     names = templates.select(key, F.explode(F.array_distinct(F.regexp_extract_all(text, F.lit(r"<([a-z]+)>"), F.lit(1)))).alias("name"))
-    sizes = numbered.where("i = 0").select("name", "n")
+    sizes = entries.where("i = 0").select("name", "n")
     draw = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(seed), F.col(key), F.col("name"))), 1, 6), 16, 10).cast("long")
-    chosen = names.join(sizes, "name").withColumn("i", (draw % F.col("n")).cast("int")).join(numbered.drop("n"), ["name", "i"])
+    chosen = names.join(sizes, "name").withColumn("i", (draw % F.col("n")).cast("int")).join(entries.drop("n"), ["name", "i"])
     values = chosen.groupBy(key).agg(F.collect_list(F.struct("name", "value")).alias("_values"))
     put = F.aggregate(F.coalesce("_values", F.array()), F.col(text), lambda s, v: F.replace(s, F.concat(F.lit("<"), v["name"], F.lit(">")), v["value"]))
     return templates.join(values, key, "left").withColumn("filled", put).drop("_values")
@@ -71,4 +72,4 @@ def capped_first_seen(df: DataFrame, identity: list[str], shape: list[str], orde
     first = df.groupBy(*shape, *[c for c in identity if c not in shape]).agg(F.min(order).alias(order))
     place = F.row_number().over(Window.partitionBy(*shape).orderBy(order))
     kept = first.withColumn("_n", place).where(F.col("_n") <= cap).drop("_n")
-    return kept.withColumn("index", F.row_number().over(Window.orderBy(order)) - 1)
+    return numbered(kept, order, "index")

@@ -59,6 +59,15 @@ def range_join(events: DataFrame, windows: DataFrame, key: str, at: Column, star
     return e.join(w, (e[key] == w[key]) & (e["bucket"] == w["bucket"]) & at.between(start, end), how).drop(w[key], w["bucket"]).drop("bucket")
 
 
+def best_window(joined: DataFrame, per: str, start: str, end: str, window: str, direct: Column) -> DataFrame:
+    """(per, window): of the windows that a joined event lies in, direct evidence before groups, then the shortest, then the smallest id.
+
+    A null `direct` counts as a group.  The minimum is taken in each task first, so an event in many windows moves few rows.
+    """
+    rank = F.struct((~F.coalesce(direct, F.lit(False))).cast("int"), F.col(end) - F.col(start), F.col(window))
+    return joined.groupBy(per).agg(F.min_by(window, rank).alias(window))
+
+
 def first_match(joined: DataFrame, per: list[str], *order: Column) -> DataFrame:
     """The first of the joined rows of each event."""
     return joined.withColumn("match_rank", F.row_number().over(Window.partitionBy(*per).orderBy(*order))).where("match_rank = 1").drop("match_rank")

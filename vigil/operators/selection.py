@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..lineage import cut
 from .processes import along
 
 
@@ -60,6 +61,19 @@ def table_diff(a: DataFrame, b: DataFrame) -> DataFrame:
     return a.exceptAll(b).withColumn("side", F.lit("first")).unionByName(b.exceptAll(a).withColumn("side", F.lit("second")))
 
 
+def numbered(df: DataFrame, order: str, name: str) -> DataFrame:
+    """df with a dense number from 0 in the order of a column whose values differ (null first).
+
+    Rows are dealt by ranges of the column and counted in each; only the counts of the ranges are put in one order.
+    """
+    dealt = cut(df.repartitionByRange(F.col(order).asc_nulls_first()).withColumn("_range", F.spark_partition_id()))
+    counts = dealt.groupBy("_range").agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(F.col(order).asc_nulls_first())) - 1
+    return dealt.join(F.broadcast(starts), "_range").withColumn(name, F.col("_start") + place).drop("_range", "_start")
+
+
 def dense_ids(sample: DataFrame, strata: list[str], place: str = "place", name: str = "sample_id") -> DataFrame:
     """sample with a dense number from 1 in the order of strata (null first) and place.
 

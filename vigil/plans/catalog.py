@@ -217,10 +217,10 @@ def window_member_join(t: Tables) -> DataFrame:
     return J.first_match(hits.where(F.array_contains("programs", F.col("kind"))), ["event_id"], F.col("span_id")).select("event_id", "span_id")
 
 
-@query("SELECT event_id, arg_min(span_id, (end_t - start_t, span_id)) AS span_id FROM telemetry e JOIN spans s ON e.host = s.host AND e.t BETWEEN s.start_t AND s.end_t GROUP BY event_id", TELEMETRY + _WINDOWS)
+@query("SELECT event_id, arg_min(span_id, (CASE WHEN span_id % 4 = 0 THEN 0 ELSE 1 END, end_t - start_t, span_id)) AS span_id FROM telemetry e JOIN spans s ON e.host = s.host AND e.t BETWEEN s.start_t AND s.end_t GROUP BY event_id", TELEMETRY + _WINDOWS)
 def shortest_window_join(t: Tables) -> DataFrame:
     hits = J.range_join(t.telemetry, _spans(t), "host", F.col("t"), F.col("start_t"), F.col("end_t"), bucket=24 * HOUR)
-    return hits.groupBy("event_id").agg(F.min_by("span_id", F.struct(F.col("end_t") - F.col("start_t"), "span_id")).alias("span_id"))
+    return J.best_window(hits, "event_id", "start_t", "end_t", "span_id", F.col("span_id") % 4 == 0)
 
 
 @query("SELECT event_id, (SELECT arg_min(s.k, (abs(s.t - e.t), s.t, s.k)) FROM telemetry s WHERE s.kind = 'signup' AND s.host = e.host) AS image FROM telemetry e WHERE kind = 'click'", TELEMETRY)
@@ -328,10 +328,10 @@ def merge_summaries(t: Tables) -> DataFrame:
     return t.lineitem.groupBy("l_orderkey").agg(F.min("l_linestatus").alias("status"), F.max((F.col("l_returnflag") == "R").cast("int")).alias("flag"))
 
 
-@query("SELECT host, array_to_string(tags, ',') AS tags, CASE WHEN list_contains(tags, 'error') THEN 'malicious' WHEN len(tags) = 1 THEN 'benign' ELSE 'unknown' END AS label FROM (SELECT host, list_sort(list(DISTINCT kind)) AS tags FROM telemetry WHERE k > 60 GROUP BY host)", TELEMETRY)
+@query("SELECT host, k, array_to_string(tags, ',') AS tags, CASE WHEN list_contains(tags, 'error') THEN 'malicious' WHEN len(tags) = 1 THEN 'benign' ELSE 'unknown' END AS label FROM (SELECT host, k, list_sort(list(DISTINCT kind)) AS tags FROM telemetry GROUP BY host, k)", TELEMETRY)
 def tag_set_label(t: Tables) -> DataFrame:
-    tags = t.telemetry.where("k > 60").groupBy("host").agg(F.sort_array(F.collect_set("kind")).alias("set"))
-    return tags.select("host", F.array_join("set", ",").alias("tags"), F.when(F.array_contains("set", "error"), "malicious").when(F.size("set") == 1, "benign").otherwise("unknown").alias("label"))
+    tags = t.telemetry.groupBy("host", "k").agg(F.sort_array(F.collect_set("kind")).alias("set"))
+    return tags.select("host", "k", F.array_join("set", ",").alias("tags"), F.when(F.array_contains("set", "error"), "malicious").when(F.size("set") == 1, "benign").otherwise("unknown").alias("label"))
 
 
 _PAIRS = ", pairs AS (SELECT dataset, dataset_label AS reference, coalesce(ai_label, 'unknown') AS prediction FROM shell WHERE dataset_label <> 'malicious-group')"
@@ -524,9 +524,9 @@ def token_costs(t: Tables) -> DataFrame:
     return t.telemetry.select("event_id", C.token_cost(F.col("k"), F.col("host"), 50, 2.0, 4.0, 3.0).alias("cost"))
 
 
-@query("SELECT record_id, list_contains(args, 'the') AS has_the, array_to_string(args[1:2], ' ') AS head FROM launches", LAUNCHES)
+@query("SELECT record_id, list_contains(args, 'the') AND list_contains(args, 'and') AS has_both, array_to_string(args, ' ') AS line, args[1] = pgm AS copied FROM launches", LAUNCHES)
 def array_predicates(t: Tables) -> DataFrame:
-    return t.launches.select("record_id", F.array_contains("args", "the").alias("has_the"), F.array_join(F.slice("args", 1, 2), " ").alias("head"))
+    return t.launches.select("record_id", F.forall(F.array(F.lit("the"), F.lit("and")), lambda x: F.array_contains("args", x)).alias("has_both"), F.array_join("args", " ").alias("line"), (F.get("args", F.lit(0)) == F.col("pgm")).alias("copied"))
 
 
 @query("SELECT event_id, coalesce(CAST(json_extract_string(props, '$.k') AS INTEGER), -1) AS k, 'none' AS absent FROM events")
@@ -534,8 +534,8 @@ def json_lookup(t: Tables) -> DataFrame:
     return t.events.select("event_id", F.coalesce(F.get_json_object("props", "$.k").cast("int"), F.lit(-1)).alias("k"), F.coalesce(F.get_json_object("props", "$.none"), F.lit("none")).alias("absent"))
 
 
-@query("SELECT count(*) AS n, count(DISTINCT (k, kind)) AS distinct_events FROM telemetry", TELEMETRY)
+@query('SELECT event_id, \'{"k":"\' || k || \'","kind":"\' || kind || \'"}\' AS canonical FROM telemetry', TELEMETRY)
 def canonical_json(t: Tables) -> DataFrame:
     k, kind = F.col("k").cast("string"), F.col("kind")
     swapped = F.when(F.col("event_id") % 2 == 0, F.create_map(F.lit("k"), k, F.lit("kind"), kind)).otherwise(F.create_map(F.lit("kind"), kind, F.lit("k"), k))
-    return t.telemetry.agg(F.count("*").alias("n"), F.count_distinct(C.canonical_json(swapped)).alias("distinct_events"))
+    return t.telemetry.select("event_id", C.canonical_json(swapped).alias("canonical"))

@@ -93,23 +93,27 @@ def kv_parse(t: Tables) -> DataFrame:
     return t.telemetry.select("event_id", line.alias("line")).select("event_id", m["kind"].alias("kind"), m["host"].alias("host"))
 
 
-@query("SELECT event_id, CASE k % 3 WHEN 0 THEN 'json' WHEN 1 THEN 'kv' ELSE 'csv' END AS shape, kind FROM telemetry", TELEMETRY)
+@query("SELECT event_id, CASE k % 3 WHEN 0 THEN 'json' WHEN 1 THEN 'kv' ELSE 'csv' END AS shape, CASE k % 3 WHEN 2 THEN 'kind=' || kind ELSE kind END AS kind FROM telemetry", TELEMETRY)
 def format_dispatch(t: Tables) -> DataFrame:
     k = F.col("k") % 3
-    line = F.when(k == 0, F.to_json(F.struct("event_id", "kind"))).when(k == 1, F.concat(F.lit("event_id="), "event_id", F.lit(" kind="), "kind")).otherwise(F.concat_ws(",", "event_id", "kind"))
+    # a file for each k; the lines of the headed ones look like pairs
+    line = F.when(k == 0, F.to_json(F.struct("event_id", "kind"))).when(k == 1, F.concat(F.lit("event_id="), "event_id", F.lit(" kind="), "kind")).otherwise(F.concat(F.lit("kind="), "kind", F.lit(","), "event_id"))
+    heads = t.telemetry.where(k == 2).select("k").distinct().select("k", F.lit(-1).cast("long").alias("line"), F.lit("Kind,Id").alias("value"))
+    lines = t.telemetry.select("k", F.col("event_id").alias("line"), line.alias("value")).unionByName(heads)
     fields, kv, csv = F.from_json("value", "event_id bigint, kind string"), C.key_values(F.col("value")), F.split("value", ",")
     shapes = [
-        ("json", r"^\{", lambda d: d.select("shape", fields["event_id"].alias("event_id"), fields["kind"].alias("kind"))),
-        ("kv", "^[a-z_]+=", lambda d: d.select("shape", kv["event_id"].try_cast("bigint").alias("event_id"), kv["kind"].alias("kind"))),
-        ("csv", ",", lambda d: d.select("shape", F.get(csv, F.lit(0)).try_cast("bigint").alias("event_id"), F.get(csv, F.lit(1)).alias("kind"))),
+        ("json", r"^\{", {"event_id": fields["event_id"], "kind": fields["kind"]}),
+        ("kv", "^[a-z_]+=", {"event_id": kv["event_id"].try_cast("bigint"), "kind": kv["kind"]}),
+        ("csv", ",", {"event_id": F.get(csv, F.lit(1)).try_cast("bigint"), "kind": F.get(csv, F.lit(0))}),
     ]
-    return R.by_shape(t.telemetry.select(line.alias("value")), "value", shapes)
+    return R.by_shape(lines, "value", shapes, "k", "line").where("event_id is not null")
 
 
 @query("SELECT event_id, CASE kind WHEN 'error' THEN 'k' || k WHEN 'click' THEN 'host' || host END AS detail FROM telemetry WHERE kind IN ('error', 'click')", TELEMETRY)
 def sourcetype_dispatch(t: Tables) -> DataFrame:
-    shapes = [("error", "^error$", lambda d: d.select("event_id", F.concat(F.lit("k"), "k").alias("detail"))), ("click", "^click$", lambda d: d.select("event_id", F.concat(F.lit("host"), "host").alias("detail")))]
-    return R.by_shape(t.telemetry, "kind", shapes)
+    event = F.col("event_id")
+    shapes = [("error", "^error$", {"event_id": event, "detail": F.concat(F.lit("k"), "k")}), ("click", "^click$", {"event_id": event, "detail": F.concat(F.lit("host"), "host")})]
+    return R.by_shape(t.telemetry, "kind", shapes).drop("shape")
 
 
 @query("SELECT event_id, CAST(pos AS INTEGER) AS pos, v, 'a} {\"b' || kind AS s FROM (SELECT event_id, kind, unnest([0, 1]) AS pos, unnest([host, CAST(k AS BIGINT)]) AS v FROM telemetry)", TELEMETRY)
@@ -333,11 +337,10 @@ def best_representation(t: Tables) -> DataFrame:
     return t.launches.select("record_id", best.alias("argv"))
 
 
-@query("SELECT doc_id, CASE WHEN doc_id % 10 = 0 THEN 0 ELSE doc_id % 10 END AS age FROM documents")
+@query("SELECT doc_id, row_number() OVER (PARTITION BY source ORDER BY doc_id % 12 DESC, doc_id) AS place FROM documents")
 def rotation_order(t: Tables) -> DataFrame:
-    name = F.when(F.col("doc_id") % 10 == 0, "audit.log").otherwise(F.concat(F.lit("audit.log."), F.col("doc_id") % 10))
-    age = F.coalesce(F.regexp_extract(name, r"\.(\d+)$", 1).try_cast("bigint"), F.lit(0))
-    return t.documents.select("doc_id", age.alias("age"))
+    file = F.when(F.col("doc_id") % 12 == 0, "audit.log").otherwise(F.concat(F.lit("audit.log."), F.col("doc_id") % 12))
+    return R.oldest_first(t.documents.select("doc_id", "source", file.alias("file")), "source", "file", "doc_id").select("doc_id", "place")
 
 
 @query("SELECT record_id, pgm FROM launches WHERE doc_id IN (SELECT doc_id FROM documents ORDER BY doc_id LIMIT 50)", LAUNCHES)

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import last_wins
+from ..operators.joins import small
 
 Reader = Callable[[SparkSession, str], DataFrame]
 
@@ -84,6 +85,25 @@ def framed_records(lines: DataFrame, file: str, line: str, text: str, header: st
     return last.groupBy(file, "record").agg(F.max("head").alias("head"), F.map_from_entries(pairs).alias("fields"))
 
 
+def rotation_age(name: Column) -> Column:
+    """The number of a rotated log: 0 for the log itself, and higher for older ones.  Null for a null name."""
+    return F.when(name.isNotNull(), F.coalesce(F.regexp_extract(name, r"\.(\d+)$", 1).try_cast("bigint"), F.lit(0)))
+
+
+def oldest_first(lines: DataFrame, log: str, file: str, line: str, name: str = "place") -> DataFrame:
+    """lines with their place, from 1, along all files of a log, the oldest file first.
+
+    Lines are numbered inside their file and moved on by the lines of older files, so no task holds a whole log.
+    """
+    aged = lines.withColumn("_age", rotation_age(F.col(file)))
+    sizes = aged.groupBy(F.col(log).alias("_log"), F.col("_age").alias("_a")).agg(F.count("*").alias("_n"))
+    older = Window.partitionBy("_log").orderBy(F.col("_a").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_log", "_a", F.coalesce(F.sum("_n").over(older), F.lit(0)).alias("_start"))
+    inside = aged.withColumn(name, F.row_number().over(Window.partitionBy(log, "_age").orderBy(line)))
+    moved = inside.join(small(starts), F.col(log).eqNullSafe(F.col("_log")) & F.col("_age").eqNullSafe(F.col("_a")))
+    return moved.withColumn(name, F.col(name) + F.col("_start")).drop("_age", "_log", "_a", "_start")
+
+
 def copy_text(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """Rows of tab-separated COPY text as strings, with `good` false for lines of another width.
 
@@ -117,16 +137,25 @@ def joined_objects(df: DataFrame, raw: str, schema: str) -> DataFrame:
     return rows.withColumn("_r", F.from_json("_object", schema)).drop("_object").select("*", "_r.*").drop("_r")
 
 
-def by_shape(lines: DataFrame, text: str, shapes: list[tuple[str, str, Callable[[DataFrame], DataFrame]]]) -> DataFrame:
-    """Each line goes to the first shape (name, pattern, parser) that it fits; the parsers' rows are put together with `shape`."""
+def by_shape(lines: DataFrame, text: str, shapes: list[tuple[str, str, dict[str, Column]]], file: str | None = None, line: str | None = None) -> DataFrame:
+    """(shape, columns) of lines, each read as the first shape (name, pattern, columns) that it fits, in one pass over the lines.
+
+    With file and line, the first line of a file that has a text tells the shape of the whole file.  Columns that a shape
+    lacks are null; lines of no shape, and those of files without a text, give no row.
+    """
+    told = text
+    if file is not None:
+        first = lines.where(F.length(F.trim(text)) > 0).groupBy(F.col(file).alias("_file")).agg(F.min_by(text, line).alias("_told"))
+        lines, told = lines.join(small(first), F.col(file).eqNullSafe(F.col("_file"))), "_told"
     shape = F.lit(None).cast("string")
     for name, pattern, _ in reversed(shapes):
-        shape = F.when(F.col(text).rlike(pattern), name).otherwise(shape)
-    routed, out = lines.withColumn("shape", shape), None
-    for name, _, parse in shapes:
-        rows = parse(routed.where(F.col("shape") == name))
-        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
-    return out
+        shape = F.when(F.col(told).rlike(pattern), name).otherwise(shape)
+    routed = lines.withColumn("_shape", shape).where("_shape is not null")
+    out = {}
+    for name, _, columns in reversed(shapes):
+        for c, value in columns.items():
+            out[c] = F.when(F.col("_shape") == name, value).otherwise(out.get(c, F.lit(None)))
+    return routed.select(F.col("_shape").alias("shape"), *[value.alias(c) for c, value in out.items()])
 
 
 def tagged_union(spark: SparkSession, path: str, members: dict[str, str]) -> DataFrame:
