@@ -489,9 +489,9 @@ def request_chunks(t: Tables) -> DataFrame:
 
 
 # --- scalar functions ------------------------------------------------------------------------------------------------
-@query("SELECT record_id, len(regexp_extract_all(shell_input, '\"[^\"]*\"|[|&;<>]+|[^ \\t\\n\\x0B\\f\\r|&;<>\"]+')) AS n_tokens FROM shell".replace("\\x0B", "\\x0b"), SHELL)
+@query("SELECT record_id, array_to_string(regexp_extract_all(shell_input, '\"[^\"]*\"|[|&;<>]+|[^ \\t\\n\\x0B\\f\\r|&;<>\"]+'), chr(10)) AS tokens FROM shell".replace("\\x0B", "\\x0b"), SHELL)
 def tokens(t: Tables) -> DataFrame:
-    return t.shell.select("record_id", F.size(C.tokens(F.col("shell_input"))).cast("long").alias("n_tokens"))
+    return t.shell.select("record_id", F.array_join(C.tokens(F.col("shell_input")), "\n").alias("tokens"))
 
 
 @query("SELECT record_id, sha256(shell_input) AS sha, md5(record_id) AS id FROM shell", SHELL)

@@ -172,12 +172,13 @@ def reader_registry(t: Tables) -> DataFrame:
 
 
 # --- sinks -----------------------------------------------------------------------------------------------------------
-@query("SELECT dataset, 'shell' AS kind, count(*) AS n FROM shell GROUP BY ALL UNION ALL SELECT dataset, 'process', count(*) FROM launches GROUP BY ALL", LAUNCHES)
+@query("SELECT dataset, 'shell' AS kind, record_id, label, shell_input AS command FROM shell UNION ALL SELECT dataset, 'process', record_id, label, array_to_string(list_prepend(pgm, args), ' ') FROM launches", LAUNCHES)
 def write_observations(t: Tables) -> DataFrame:
     root = shared_path(t.spark, "observations")
     K.write_observations(t.shell.drop("doc_id").limit(3), t.launches.drop("doc_id", "pos"), root)
     K.write_observations(t.shell.drop("doc_id"), t.launches.drop("doc_id", "pos"), root)  # a second run takes the first one's place
-    back = [K.read_observations(t.spark, root, n).groupBy("dataset").agg(F.count("*").alias("n")).withColumn("kind", F.lit(k)) for n, k in zip(K.TABLES, ("shell", "process"))]
+    commands = ("shell", F.col("shell_input")), ("process", F.array_join(F.concat(F.array("pgm"), "args"), " "))
+    back = [K.read_observations(t.spark, root, n).select("dataset", F.lit(kind).alias("kind"), "record_id", "label", command.alias("command")) for n, (kind, command) in zip(K.TABLES, commands)]
     return back[0].unionByName(back[1])
 
 
@@ -210,16 +211,20 @@ def _stream(t: Tables) -> tuple[DataFrame, str, str]:
     return J.file_stream(t.spark, f"{root}/in", rows.schema), f"{root}/out", f"{root}/checkpoint"
 
 
+#: How far behind the latest event a stream still takes events: more than the time that the tables cover.  State that is older goes.
+HORIZON = "60 days"
+
+
 @query("SELECT DISTINCT host, k FROM telemetry", TELEMETRY)
 def stream_dedup(t: Tables) -> DataFrame:
     s, out, log = _stream(t)
-    return J.run_append(J.first_seen(s, ["host", "k"]).select("host", "k"), out, log)
+    return J.run_append(J.first_seen(s, ["host", "k"], "at", HORIZON).select("host", "k"), out, log)
 
 
 @query("SELECT host, t // 86400000000 * 86400000000 AS day, count(*) AS n FROM telemetry GROUP BY ALL", TELEMETRY)
 def stream_daily_counts(t: Tables) -> DataFrame:
     s, out, log = _stream(t)
-    return J.run_updates(J.daily_counts(s, "host", "at"), ["host", "day"], out, log).withColumn("day", F.unix_micros("day"))
+    return J.run_updates(J.daily_counts(s, "host", "at", HORIZON), ["host", "day"], out, log).withColumn("day", F.unix_micros("day"))
 
 
 @query(f"SELECT host, min(t) AS first_t, count(*) AS n FROM (SELECT host, t, sum(fresh) OVER (PARTITION BY host ORDER BY t) AS s FROM (SELECT host, t, CASE WHEN t - lag(t) OVER (PARTITION BY host ORDER BY t) <= {HOUR} THEN 0 ELSE 1 END AS fresh FROM telemetry)) GROUP BY host, s", TELEMETRY)
@@ -245,7 +250,7 @@ def stream_late_evidence(t: Tables) -> DataFrame:
     return J.run_append(found.select("event_id", "evidence_id"), out, log).where("evidence_id is not null")
 
 
-@query("SELECT kind, count(*) AS n, 'kinds' AS side FROM telemetry GROUP BY kind UNION ALL SELECT kind, count(*), 'errors' FROM telemetry WHERE kind = 'error' GROUP BY kind", TELEMETRY)
+@query("SELECT event_id, kind, 'kinds' AS side FROM telemetry UNION ALL SELECT event_id, kind, 'errors' FROM telemetry WHERE kind = 'error'", TELEMETRY)
 def stream_two_table_commit(t: Tables) -> DataFrame:
     s, out, log = _stream(t)
 
@@ -254,7 +259,7 @@ def stream_two_table_commit(t: Tables) -> DataFrame:
             part.write.mode("overwrite").parquet(f"{out}/{name}/batch_id={batch}")
 
     J.run_batches(s, write, log)
-    sides = [t.spark.read.schema(s.schema).parquet(f"{out}/{n}").groupBy("kind").agg(F.count("*").alias("n")).withColumn("side", F.lit(n)) for n in ("kinds", "errors")]
+    sides = [t.spark.read.schema(s.schema).parquet(f"{out}/{n}").select("event_id", "kind", F.lit(n).alias("side")) for n in ("kinds", "errors")]
     return sides[0].unionByName(sides[1])
 
 
