@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import final_label
 from ..lineage import cut
+from .ordered import Ordered
 
 #: Rows up to which an evidence table is sent to every executor.
 SMALL_ROWS = 100_000
@@ -73,44 +74,36 @@ def first_match(joined: DataFrame, per: list[str], *order: Column) -> DataFrame:
     return joined.withColumn("match_rank", F.row_number().over(Window.partitionBy(*per).orderBy(*order))).where("match_rank = 1").drop("match_rank")
 
 
-def asof_last(events: DataFrame, states: DataFrame, key: str, at: str, values: list[str], strict: bool = True) -> DataFrame:
-    """events with the latest earlier state of their key: a union and one window, so no pair is ever made.
+def asof_last(events: DataFrame, states: DataFrame, key: str | list[str], at: str, values: list[str], strict: bool = True) -> DataFrame:
+    """events with the latest earlier state of their key, in `values`; null without one.  No pair is ever made.
 
-    strict: states at the same time do not count.
+    strict: states at the same time do not count.  Of states at one time the largest in `values` counts.
     """
-    e = events.withColumns({v: F.lit(None).cast(states.schema[v].dataType) for v in values}).withColumn("is_state", F.lit(0))
-    s = states.select(key, at, *values).withColumn("is_state", F.lit(1))
-    both = e.unionByName(s, allowMissingColumns=True)
-    tie = F.col("is_state").asc() if strict else F.col("is_state").desc()
-    before = Window.partitionBy(key).orderBy(F.col(at), tie).rowsBetween(Window.unboundedPreceding, 0)
-    packed = F.last(F.when(F.col("is_state") == 1, F.struct(*values)), ignorenulls=True).over(before)
-    out = both.withColumn("state", packed).where("is_state = 0")
-    return out.select(*events.columns, *[F.col(f"state.{v}").alias(v) for v in values])
+    keys = [key] if isinstance(key, str) else key
+    e = events.drop(*values).withColumns({"_is_state": F.lit(2 if not strict else 0), "_state": F.lit(None).cast(states.select(F.struct(*values)).schema[0].dataType)})
+    s = states.select(*keys, at, F.lit(1).alias("_is_state"), F.struct(*values).alias("_state"))
+    both = Ordered(e.unionByName(s, allowMissingColumns=True), keys, [at, "_is_state", "_state"])
+    found = both.last(both.rows, F.when(F.col("_is_state") == 1, F.col("_state")), "_found").where("_is_state <> 1")
+    return found.select(*[c for c in events.columns if c not in values], *[F.col(f"_found.{v}").alias(v) for v in values])
 
 
 def asof_count(events: DataFrame, marks: DataFrame, key: str, at: str, name: str) -> DataFrame:
     """events with the number of marks of their key at or before them."""
-    both = events.withColumn("is_mark", F.lit(0)).unionByName(marks.select(key, at).withColumn("is_mark", F.lit(1)), allowMissingColumns=True)
-    upto = Window.partitionBy(key).orderBy(F.col(at), F.col("is_mark").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    return both.withColumn(name, F.sum("is_mark").over(upto)).where("is_mark = 0").select(*events.columns, name)
+    both = Ordered(events.withColumn("_is_mark", F.lit(0)).unionByName(marks.select(key, at).withColumn("_is_mark", F.lit(-1)), allowMissingColumns=True), [key], [at, "_is_mark"])
+    return both.total(both.rows, -F.col("_is_mark"), name).where("_is_mark = 0").select(*events.columns, name)
 
 
 def nearest_time(events: DataFrame, states: DataFrame, key: str, at: str, value: str) -> DataFrame:
     """events with the value whose time is nearest, the earlier of two as near; NULL without a state of the key.
 
-    The nearest state is the last one at or before, or the first one after: two windows over the union, the second in
-    descending order, so that both carry a value along and take each row once.
+    The nearest state is the last one at or before, or the first one after; of states at one time the smallest counts.
     """
-    e = events.withColumn("is_state", F.lit(0)).withColumn(value, F.lit(None).cast(states.schema[value].dataType))
-    both = e.unionByName(states.select(key, at, value).withColumn("is_state", F.lit(1)), allowMissingColumns=True)
-    state = F.when(F.col("is_state") == 1, F.struct(F.col(at).alias("t"), F.col(value).alias("v")))
-    w = Window.partitionBy(key).orderBy(F.col(at), F.col("is_state").desc(), F.col(value).desc())
-    prev = F.last(state, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    back = Window.partitionBy(key).orderBy(F.col(at).desc(), F.col("is_state").desc(), F.col(value).desc())
-    nxt = F.last(state, ignorenulls=True).over(back.rowsBetween(Window.unboundedPreceding, 0))
-    out = both.withColumn("p", prev).withColumn("n", nxt).where("is_state = 0")
-    nearer = F.when(F.col("p").isNull(), F.col("n.v")).when(F.col("n").isNull() | (F.col(at) - F.col("p.t") <= F.col("n.t") - F.col(at)), F.col("p.v")).otherwise(F.col("n.v"))
-    return out.withColumn("nearest", nearer).select(*events.columns, F.col("nearest").alias(value))
+    once = states.groupBy(key, at).agg(F.min(value).alias("v")).select(key, at, F.lit(0).alias("_event"), F.struct(F.col(at).alias("t"), "v").alias("_state"))
+    e = events.withColumn("_event", F.lit(1))
+    both = Ordered(e.unionByName(once, allowMissingColumns=True), [key], [at, "_event"])
+    out = both.next(both.last(both.rows, F.col("_state"), "_p"), F.col("_state"), "_n").where("_event = 1")
+    nearer = F.when(F.col("_p").isNull(), F.col("_n.v")).when(F.col("_n").isNull() | (F.col(at) - F.col("_p.t") <= F.col("_n.t") - F.col(at)), F.col("_p.v")).otherwise(F.col("_n.v"))
+    return out.select(*events.columns, nearer.alias(value))
 
 
 def tree_root(edges: DataFrame, stops: DataFrame) -> DataFrame:

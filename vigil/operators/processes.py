@@ -12,6 +12,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..lineage import cut
+from .joins import asof_last
+from .ordered import Ordered
+
 Step = Callable[[dict], object]
 
 
@@ -64,46 +68,54 @@ def merged_sightings(events: DataFrame, keys: list[str], order: list[str], at: s
     return along(events, keys, order, [at, sensor, guid], begin, "_kept", "boolean").where("_kept").drop("_kept")
 
 
-class ProcessTable:
-    """Sessions of the processes that live on one host and boot.
-
-    A row's session is its login; without one, what its process had before; else its parent's login session; else one of
-    its own.  A fork hands a login session on to the child, an exit ends the process, so that a used pid starts anew.
-    """
-
-    def __init__(self, live: dict | None = None):
-        #: pid: (session, whether it comes from a login)
-        self.live: dict[str, tuple[str, bool]] = {k: tuple(v) for k, v in (live or {}).items()}
-
-    def session(self, event: str, pid: str | None, parent: str | None, login: str | None, action: str | None, child: str | None) -> str:
-        if login:
-            mine = (f"login:{login}", True)
-        elif not pid:
-            return f"event:{event}"
-        else:
-            above = self.live.get(parent or "")
-            mine = self.live.get(pid) or (above if above and above[1] else (f"process:{pid}:{event}", False))
-        if pid:
-            self.live[pid] = mine
-            if action == "exit":
-                del self.live[pid]
-            if action == "fork" and child:
-                self.live[child] = mine if mine[1] else (f"process:{child}:{event}", False)
-        return mine[0]
-
-
-#: The columns, all of them text, that ProcessTable.session takes.
+#: The columns of process rows, all of them text: the row's name, its process, the process above, the login it reports, exit or fork or another action, and the child of a fork.
 PROCESS_COLUMNS = ["event", "pid", "parent", "login", "action", "child"]
 
 
 def lifetime_sessions(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """rows (with PROCESS_COLUMNS) with `session` by a ProcessTable for each key; the state of a key is its living processes."""
+    """rows (with PROCESS_COLUMNS) with `session`, for the processes that live under each key (say host and boot).
 
-    def begin() -> Step:
-        table = ProcessTable()
-        return lambda r: table.session(**r)
+    A row's session is its login (`login:..`).  Without one it is what its process had before; else the login session of its
+    parent; else one of its own (`process:pid:event`).  A fork hands a login session on to the child, and gives any other
+    child one of its own; an exit ends the process, so that a used pid starts anew.  A row without pid and login is `event:..`.
+    `event` must be unique, order total, and `order` must not have nulls.
 
-    return along(rows, keys, order, PROCESS_COLUMNS, begin, "session", "string")
+    A process's lives follow from the row before that touched it: its own or the fork that made it.  A life begins with a row
+    without such a row or behind an exit, with a login, or with a fork; all of a process's other rows belong to the last
+    beginning.  A beginning without login points to the life of the parent at that time, and the pointers are doubled until
+    they meet a login or end.
+    """
+    place = F.struct(*order)
+    r = cut(rows.select(*keys, *PROCESS_COLUMNS, place.alias("_at")).withColumns({c: F.nullif(F.col(c), F.lit("")) for c in ("pid", "parent", "login", "child")}))
+    own = r.where("pid is not null").withColumns({"_pid": F.col("pid"), "_sub": F.lit(0)})
+    forks = r.where("pid is not null and action = 'fork' and child is not null").withColumns({"_pid": F.col("child"), "_sub": F.lit(1)})
+    touches = Ordered(own.unionByName(forks), [*keys, "_pid"], ["_at", "_sub"])
+    t = touches.last(touches.rows, F.struct(F.coalesce((F.col("action") == "exit") & (F.col("_sub") == 0), F.lit(False)).alias("gone")), "_prior", strict=True)
+    fork, login = F.col("_sub") == 1, F.col("login").isNotNull() & (F.col("_sub") == 0)
+    t = t.withColumn("_life", F.struct("event", "_sub"))
+    t = touches.last(t, F.when(fork | login | F.coalesce(F.col("_prior.gone"), F.lit(True)), F.col("_life")), "_mine")
+    t = cut(touches.done(t))
+    begun = t.where(F.col("_mine") == F.col("_life"))
+    forked = begun.where("_sub = 1").join(t.where("_sub = 0").select(F.col("event"), F.col("_mine").alias("_up")), "event", "left")
+    orphans = begun.where("_sub = 0 and login is null")
+    # what the parent was when the process was first seen: the last row before that touched the parent, unless it was its exit
+    gone = F.coalesce(F.col("action") == "exit", F.lit(False)) & (F.col("_sub") == 0)
+    when = F.struct("_at", "_sub").alias("_when")
+    last = t.select(*keys, F.col("_pid").alias("_look"), when, F.when(~gone, F.col("_mine")).alias("_up"))
+    asked = orphans.where("parent is not null").select(*keys, F.col("parent").alias("_look"), when, "_life")
+    found = asof_last(asked, last, [*keys, "_look"], "_when", ["_up"])
+    orphans = orphans.join(found.select("_life", "_up"), "_life", "left")
+    roots = begun.where(login).withColumn("_up", F.lit(None).cast(t.schema["_life"].dataType))
+    alone = F.concat(F.lit("process:"), F.coalesce(F.when(fork, F.col("child")), F.col("pid")), F.lit(":"), F.col("event"))
+    nodes = roots.unionByName(forked.select(roots.columns)).unionByName(orphans.select(roots.columns))
+    now = cut(nodes.select("_life", F.when(login, F.concat(F.lit("login:"), "login")).alias("_login"), "_up", alone.alias("_alone")))
+    while now.where("_login is null and _up is not null").limit(1).count():  # pointers go back in time, so they end
+        far = now.select(F.col("_life").alias("_up"), F.col("_login").alias("_far"), F.col("_up").alias("_next"))
+        now = cut(now.join(far, "_up", "left").select("_life", F.coalesce("_login", "_far").alias("_login"), F.when(F.coalesce("_login", "_far").isNull(), F.col("_next")).alias("_up"), "_alone"))
+    sessions = now.select(F.col("_life").alias("_mine"), F.coalesce("_login", "_alone").alias("session"))
+    named = t.where("_sub = 0").select("event", "_mine").join(sessions, "_mine").select("event", "session")
+    loose = F.when(F.nullif(F.col("login"), F.lit("")).isNotNull(), F.concat(F.lit("login:"), "login")).otherwise(F.concat(F.lit("event:"), "event"))
+    return rows.drop("session").join(named, "event", "left").withColumn("session", F.coalesce("session", loose)).select(*[c for c in rows.columns if c != "session"], "session")
 
 
 def reviewed_merge(decisions: DataFrame, keys: list[str], decision: str) -> DataFrame:
@@ -120,36 +132,34 @@ def connection_sessions(events: DataFrame, keys: list[str], order: list[str], at
     begins with the first event, after more than `idle` units of `at` without an event, and on telnet with a `login_ok`
     after commands (`input` or `failed`), inside an explicit session too.  A close without a session belongs to none, nor
     does an ssh login (kinds that start with login) outside an explicit session.  Rows with a null time are sessions of
-    their own.
-    """
-
-    def begin():
-        session, explicit, typed, last = None, False, False, None
-
-        def step(row: dict) -> str | None:
-            nonlocal session, explicit, typed, last
-            now, what, name = row[at], row[kind] or "", str(row[record])
-            if now is None:
-                return f"record:{name}"
-            if what == "close":
-                ended = session
-                session, explicit, typed, last = None, False, False, None
-                return ended
-            if what == "connect":
-                session, explicit, typed = f"connect:{name}", True, False
-            elif not explicit and row[protocol] == "ssh" and what.startswith("login"):
-                return None
-            else:
-                login = typed and what == "login_ok" and row[protocol] == "telnet"
-                lapsed = not explicit and last is not None and now - last > idle
-                if session is None or login or lapsed:
-                    session, explicit, typed = f"{'login' if what == 'login_ok' else 'idle'}:{name}", False, False
-            last, typed = now, typed or what in ("input", "failed")
-            return session
+    their own.  `order` begins with `at`.
 
-        return step
-
-    return along(events, keys, order, [at, kind, protocol, record], begin, "session_id", "string")
+    Every rule asks for the last row of some kind before a row, so a key's rows may lie over many tasks (see Ordered).
+    """
+    timed = events.where(F.col(at).isNotNull())
+    rows = Ordered(timed, keys, order)
+    what, ssh = F.coalesce(F.col(kind), F.lit("")), F.coalesce(F.col(protocol) == "ssh", F.lit(False))
+    df = rows.rows.withColumns({"_connect": what == "connect", "_close": what == "close", "_typed": what.isin("input", "failed"), "_again": (what == "login_ok") & F.coalesce(F.col(protocol) == "telnet", F.lit(False))})
+    connect, close, typed, again = (F.col(c) for c in ("_connect", "_close", "_typed", "_again"))
+    name = F.col(record).cast("string")
+    # a close counts for the rows behind it; its own row still belongs to what it ends
+    df = rows.last(df, F.when(close, "closed").when(connect, "connect").when(typed, "typed").when(again, "login"), "_before", strict=True)
+    df = df.withColumn("_relogin", again & F.coalesce(F.col("_before") == "typed", F.lit(False)))
+    # a session is explicit from its connect until its close or a new login
+    df = rows.last(df, F.when(connect, F.lit(True)).when(close | F.col("_relogin"), F.lit(False)), "_open", strict=True)
+    explicit = F.coalesce(F.col("_open"), F.lit(False)) & ~F.col("_relogin")
+    df = df.withColumn("_outside", ~explicit & ~connect & ~close & ssh & what.startswith("login"))
+    df = rows.last(df, F.when(close, F.struct(F.lit(None).cast("bigint").alias("t"))).when(~F.col("_outside"), F.struct(F.col(at).cast("bigint").alias("t"))), "_prior", strict=True)
+    since = F.col(at).cast("bigint") - F.col("_prior.t")
+    plain = ~explicit & ~connect & ~close & ~F.col("_outside")
+    df = df.withColumn("_gap", plain & (F.col("_prior.t").isNull() | (since > idle)))
+    df = rows.last(df, F.when(typed, "typed").when(F.col("_gap") | connect | close, "start").when(again, "login"), "_before", strict=True)
+    begins = F.col("_gap") | (plain & again & F.coalesce(F.col("_before") == "typed", F.lit(False)))
+    how = F.when(connect, "connect:").when(begins & (what == "login_ok"), "login:").when(begins, "idle:")
+    df = rows.last(df, F.when(close, F.struct(F.lit(None).cast("string").alias("id"))).when(how.isNotNull(), F.struct(F.concat(how, name).alias("id"))), "_current", strict=True)
+    own = F.when(F.col("_outside"), None).otherwise(F.coalesce(F.concat(how, name), F.col("_current.id")))
+    named = df.withColumn("session_id", own).select(*events.columns, "session_id")
+    return named.unionByName(events.where(F.col(at).isNull()).withColumn("session_id", F.concat(F.lit("record:"), name)))
 
 
 def downloads_run(commands: DataFrame, keys: list[str], pos: str, pgm: str, args: str) -> DataFrame:

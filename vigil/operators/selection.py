@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..lineage import cut
+from .ordered import Ordered
 from .processes import along
 
 
@@ -20,17 +21,18 @@ def first_per(df: DataFrame, keys: list[str], *order: Column) -> DataFrame:
     return df.withColumn("place", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("place = 1").drop("place")
 
 
-def idle_sessions(events: DataFrame, key: str, at: str, idle: int) -> DataFrame:
-    """events with session_no: a new session begins after more than `idle` units of `at` without an event."""
-    w = Window.partitionBy(key).orderBy(at, "event_id")
-    gap = F.coalesce(F.col(at) - F.lag(at).over(w) > idle, F.lit(True))
-    return events.withColumn("new", gap.cast("int")).withColumn("session_no", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("new")
+def idle_sessions(events: DataFrame, key: str, at: str, idle: int, tie: str = "event_id") -> DataFrame:
+    """events with session_no: a new session begins after more than `idle` units of `at` without an event.  Times must not be null."""
+    rows = Ordered(events, [key], [at, tie])
+    df = rows.last(rows.rows, F.col(at), "_prior", strict=True)
+    gap = F.coalesce(F.col(at) - F.col("_prior") > idle, F.lit(True))
+    return rows.total(df, gap.cast("long"), "session_no").select(*events.columns, "session_no")
 
 
 def carried_forward(df: DataFrame, key: str, order: list[str], value: Column, name: str, default: str) -> DataFrame:
     """df with the last non-null value at or before each row, e.g. the boot that a line belongs to."""
-    w = Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn(name, F.coalesce(F.last(value, ignorenulls=True).over(w), F.lit(default)))
+    rows = Ordered(df, [key], order)
+    return rows.last(rows.rows, value, "_last").select(*[c for c in df.columns if c != name], F.coalesce("_last", F.lit(default)).alias(name))
 
 
 def joined_continuations(lines: DataFrame, key: str, pos: str, text: str) -> DataFrame:

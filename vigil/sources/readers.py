@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import last_wins
 from ..operators.joins import small
+from ..operators.ordered import Ordered
 
 Reader = Callable[[SparkSession, str], DataFrame]
 
@@ -64,9 +65,9 @@ def csv_sections(lines: DataFrame, file: str, line: str, text: str, is_header: C
     A line that has no header before it, another number of fields or quotes that do not match has null fields and a
     reason.  Header lines and null lines give no row.
     """
-    along = Window.partitionBy(file).orderBy(line).rowsBetween(Window.unboundedPreceding, 0)
-    named = lines.withColumn("_head", is_header).withColumn("_names", F.last(F.when(F.col("_head"), F.col(text)), ignorenulls=True).over(along))
-    cut = named.where(~F.col("_head") & F.col(text).isNotNull()).select(file, line, csv_fields(F.col("_names")).alias("_names"), csv_fields(F.col(text)).alias("_values"))
+    along = Ordered(lines.withColumn("_header", is_header), [file], [line])
+    named = along.last(along.rows, F.when(F.col("_header"), F.col(text)), "_names")
+    cut = named.where(~F.col("_header") & F.col(text).isNotNull()).select(file, line, csv_fields(F.col("_names")).alias("_names"), csv_fields(F.col(text)).alias("_values"))
     reason = F.when(F.col("_names").isNull(), "no header").when(F.col("_values").isNull(), "open quotes").when(F.size("_names") != F.size("_values"), "other number of fields")
     return cut.select(file, line, F.when(reason.isNull(), last_wins(F.col("_names"), F.col("_values"))).alias("fields"), reason.alias("reason"))
 
@@ -76,9 +77,9 @@ def framed_records(lines: DataFrame, file: str, line: str, text: str, header: st
 
     Of a repeated name the last line counts.  Lines before the first header belong to no record.
     """
-    along = Window.partitionBy(file).orderBy(line).rowsBetween(Window.unboundedPreceding, 0)
+    along = Ordered(lines, [file], [line])
     starts = F.col(text).rlike(header)
-    numbered = lines.withColumn("record", F.sum(starts.cast("int")).over(along)).where("record > 0")
+    numbered = along.total(along.rows, starts.cast("long"), "record").where("record > 0")
     name, value = F.regexp_extract(text, r"^\s*([^:]+):\s*(.*)$", 1), F.regexp_extract(text, r"^\s*([^:]+):\s*(.*)$", 2)
     last = numbered.withColumns({"name": F.when(~starts, name), "v": value}).groupBy(file, "record", "name").agg(F.max_by("v", line).alias("v"), F.max(F.when(starts, F.col(text))).alias("head"))
     pairs = F.collect_list(F.when(F.col("name").isNotNull() & (F.col("name") != ""), F.struct("name", "v")))

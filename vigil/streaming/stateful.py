@@ -14,7 +14,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..operators.processes import PROCESS_COLUMNS, ProcessTable
+from ..operators.processes import PROCESS_COLUMNS
+
+
+class ProcessTable:
+    """Sessions of the processes that live on one host and boot.
+
+    A row's session is its login; without one, what its process had before; else its parent's login session; else one of
+    its own.  A fork hands a login session on to the child, an exit ends the process, so that a used pid starts anew.
+    """
+
+    def __init__(self, live: dict | None = None):
+        #: pid: (session, whether it comes from a login)
+        self.live: dict[str, tuple[str, bool]] = {k: tuple(v) for k, v in (live or {}).items()}
+
+    def session(self, event: str, pid: str | None, parent: str | None, login: str | None, action: str | None, child: str | None) -> str:
+        if login:
+            mine = (f"login:{login}", True)
+        elif not pid:
+            return f"event:{event}"
+        else:
+            above = self.live.get(parent or "")
+            mine = self.live.get(pid) or (above if above and above[1] else (f"process:{pid}:{event}", False))
+        if pid:
+            self.live[pid] = mine
+            if action == "exit":
+                del self.live[pid]
+            if action == "fork" and child:
+                self.live[child] = mine if mine[1] else (f"process:{child}:{event}", False)
+        return mine[0]
 
 
 def _keyed(stream: DataFrame, keys: list[str], more: str) -> str:
