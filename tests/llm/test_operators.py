@@ -291,6 +291,33 @@ def test_near_duplicates_brute_force(spark, monkeypatch):
     assert sorted(map(tuple, neardup.near_duplicates(df.repartition(3), threshold=(num, 100)).collect())) == want
 
 
+def test_a_large_group_is_dealt_a_few_times(spark, monkeypatch):
+    """Near copies of one template settle inside blocks and by one of each part, so that the rest of the list is small."""
+    monkeypatch.setattr(neardup, "BLOCK", 16)
+    monkeypatch.setattr(neardup, "SHORT", 4)
+    rnd, dealt = random.Random(9), []
+    template = [f"w{i}" for i in range(300)]
+    texts = []
+    for i in range(480):
+        words = list(template)
+        words[rnd.randrange(300)] = f"own{i}"
+        texts.append((i, " ".join(words)))
+    far = [(1000 + i, " ".join(template[:60] + [f"z{i}x{j}" for j in range(200)])) for i in range(40)]
+    for name in ("_one_of_each", "_rest_dealt"):
+        made = getattr(neardup, name)
+        monkeypatch.setattr(neardup, name, lambda df, made=made: dealt.append(made(df).count()) or made(df))
+    rows_ = {r.doc_id: r.component_id for r in neardup.near_duplicates(spark.createDataFrame(texts + far, "doc_id bigint, text string")).collect()}
+    assert all(rows_[i] == 0 for i in range(480)) and all(rows_[i] == i for i, _ in far)
+    assert sum(dealt) < 10 * 520
+
+
+def test_pairs_counted_together(monkeypatch):
+    rng = np.random.default_rng(2)
+    sets = [[np.unique(rng.integers(0, 60, rng.integers(0, 50)).astype(np.uint64)) for _ in range(40)] for _ in "ab"]
+    got = neardup.common_of_pairs(*[[s.tobytes() for s in side] for side in sets])
+    assert got.tolist() == [len(np.intersect1d(a, b)) for a, b in zip(*sets)]
+
+
 def test_near_duplicates_odd_tables(spark):
     schema = "doc_id bigint, text string"
     assert neardup.near_duplicates(spark.createDataFrame([], schema)).count() == 0
@@ -538,6 +565,60 @@ def test_em_finds_planted_accuracies():
     assert np.abs(np.array([m.accuracy(r) for r in range(4)]) - [0.95, 0.9, 0.8, 0.7]).max() < 0.03
 
 
+def plain_em(votes_, rounds, prior=0.8):
+    """EM over single documents; a bound that is broken is kept by pooling its vote over both classes."""
+    chance = [[{0: 0.4, 1: 0.1, -1: 0.5}, {0: 0.1, 1: 0.4, -1: 0.5}] for _ in votes_[0]]
+    for _ in range(rounds):
+        weight = []
+        for v in votes_:
+            bad, good = 1 - prior, prior
+            for r, x in enumerate(v):
+                bad, good = bad * chance[r][0][x], good * chance[r][1][x]
+            weight.append(good / (bad + good))
+        prior = min(max(sum(weight) / len(votes_), 0.02), 0.98)
+        for r in range(len(chance)):
+            n = [{x: 0.5 + sum(w if y else 1 - w for v, w in zip(votes_, weight) if v[r] == x) for x in (0, 1, -1)} for y in (0, 1)]
+            p = [{x: c / sum(m.values()) for x, c in m.items()} for m in n]
+            broken = [x for x, (a, b) in ((0, (0, 1)), (1, (1, 0))) if p[a][x] < p[b][x]]
+            if broken:
+                assert len(broken) == 1
+                x = broken[0]
+                rate = (n[0][x] + n[1][x]) / (sum(n[0].values()) + sum(n[1].values()))
+                p = [{z: rate if z == x else c * (1 - rate) / (sum(m.values()) - m[x]) for z, c in m.items()} for m in n]
+            chance[r] = p
+    return prior, chance
+
+
+def test_quality_em_is_plain_em(spark):
+    rnd = random.Random(8)
+    docs = []
+    for _ in range(400):
+        good = rnd.random() < 0.7
+        docs.append(tuple(rnd.choices([0, 1, -1], [0.1, 0.5, 0.4] if good else [0.5, 0.1, 0.4])[0] for _ in range(4)) + (rnd.choice([0, 1, -1]), rnd.choice([1, -1])))
+    count = {d: docs.count(d) for d in set(docs)}
+    patterns, counts = np.array(list(count)), np.array(list(count.values()), float)
+    trace = []
+    model = quality.estimate(patterns, counts, rounds=25, trace=trace)
+    prior, chance = plain_em(docs, 25)
+    assert abs(model.prior - prior) < 1e-9
+    for table, plain in zip(model.chance, chance):
+        for y in (0, 1):
+            assert np.allclose(table[y], [plain[y][0], plain[y][1], plain[y][-1]], atol=1e-9) and abs(sum(table[y]) - 1) < 1e-12
+    assert all(b >= a - 1e-9 for a, b in zip(trace, trace[1:]))
+
+
+def test_votes_are_fitted_under_their_order():
+    rng = np.random.default_rng(0)
+    for _ in range(60):
+        bad, good = rng.integers(0, 50, 3) + 0.5, rng.integers(0, 50, 3) + 0.5
+        p, q = quality.likeliest(bad, good)
+        value = bad @ np.log(p) + good @ np.log(q)
+        for _ in range(100):
+            t = rng.random() * 0.1
+            a, b = (1 - t) * p + t * rng.dirichlet([1, 1, 1]), (1 - t) * q + t * rng.dirichlet([1, 1, 1])
+            assert a[0] < b[0] or b[1] < a[1] or bad @ np.log(a) + good @ np.log(b) <= value + 1e-9
+
+
 def test_quality_against_labels(spark):
     """Held out: the labels are not used by the model."""
     sf = "/root/testdata/sf0.01"

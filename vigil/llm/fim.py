@@ -20,9 +20,10 @@ NEW = ("n", "form", "prefix_chars", "middle_chars", "output")
 
 def check_marks(marks: tuple[str, str, str]) -> None:
     """Sentinels must be found again in any text that has none of them: none may begin with an end of another, or lie in it."""
-    for a in marks:
-        for b in marks:
-            if not a or (a is not b and a in b) or any(a[-k:] == b[:k] for k in range(1, min(len(a), len(b)) + (a != b))):
+    for i, a in enumerate(marks):
+        for j, b in enumerate(marks):
+            ends = range(1, min(len(a), len(b)) + (i != j))
+            if not a or (i != j and a in b) or any(a[-k:] == b[:k] for k in ends):
                 raise ValueError(f"sentinels {a!r} and {b!r} are empty, equal or overlap")
 
 

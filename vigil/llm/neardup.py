@@ -5,8 +5,10 @@ One 64-bit hash function orders the shingles of every document; the k smallest v
   2. Inverted lists of retained values give candidates.  A pair that reaches the threshold shares many of its smallest
      values, so it also shares one of the rarer ones: a document joins only the lists of its rarest retained values
      (prefix filter), and passages that very many documents share drop out by themselves.
-  3. Short lists give their pairs at once.  A long list is dealt into blocks of documents, and a task compares two blocks
-     in memory; it passes on a spanning forest of the similar ones, never all pairs.
+  3. Short lists give their pairs at once.  A long list is dealt into blocks of documents, and a task compares a block in
+     memory; it passes on a spanning forest of the similar ones, never all pairs.  Of a list of several blocks, one
+     document of each part that is connected by then is compared with those of other parts, level by level; only members
+     that still lie apart from the list's largest part meet the other blocks, two at a time.
   4. The union sketch of two documents estimates their similarity and drops the rest.  Components of what is left are
      the candidate groups.
   5. In each candidate group, exact Jaccard on full sets decides; a spanning forest of the confirmed links gives the
@@ -41,6 +43,8 @@ SKETCH, LISTED = 128, 32
 MISS = 1e-7
 #: Members of a list whose pairs are made at once; documents and shingles of a block; pairs estimated, and documents read, at a time.
 SHORT, BLOCK, BLOCK_SHINGLES, PAIRS, TEXTS = 32, 1024, 2_000_000, 1000, 1000
+#: Bytes of full sets whose pairs are counted together.
+PAIR_BYTES = 4_000_000
 #: Documents from which on a confirmed part of a large group is joined to others by their candidate links first.
 PART = 4
 _WORD = regex.compile(rb"[^\x20\x09-\x0D]+")
@@ -158,6 +162,15 @@ def pair_estimates(a: list[bytes], b: list[bytes], n_a: np.ndarray, n_b: np.ndar
     return common / np.maximum(1, np.bincount(pair, minlength=len(a)) - common)
 
 
+def common_of_pairs(a: list[bytes], b: list[bytes]) -> np.ndarray:
+    """How many values each packed set of one list shares with its partner in the other, all pairs at once."""
+    sizes = np.fromiter((len(x) // 8 for x in a + b), np.int64, 2 * len(a))
+    values, pair = np.frombuffer(b"".join(a + b), np.uint64), np.repeat(np.r_[np.arange(len(a)), np.arange(len(a))], sizes)
+    order = np.lexsort((values, pair))
+    values, pair = values[order], pair[order]
+    return np.bincount(pair[1:][(values[1:] == values[:-1]) & (pair[1:] == pair[:-1])], minlength=len(a))
+
+
 def spanning(linked: np.ndarray, same: bool) -> list[tuple[int, int]]:
     """(row, column) links of a spanning forest of a boolean link matrix; same: rows and columns are the same documents."""
     rows, columns = linked.shape
@@ -267,11 +280,6 @@ def candidate_links(classes: DataFrame, threshold: float) -> DataFrame:
                 yield part.select(["a", "b"]).filter(pa.array(may_reach(est, np.minimum(n, m), np.maximum(n, m))))
 
     few = pairs.join(one, "a").join(two, "b").select("a", "b", "n_a", "n_b", "s_a", "s_b").mapInArrow(passed, "a bigint, b bigint")
-    hot = lists.where(F.col("df") > SHORT).select("id", "k", "v")
-    # of the holders of a value, the prefix leaves few as members; lists of several blocks are at most one for BLOCK members
-    several = hot.groupBy("v").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("blocks")).where("blocks > 1")
-    hot = hot.join(F.broadcast(several), "v", "left").select("id", "k", "v", F.coalesce("blocks", F.lit(1)).cast("long").alias("blocks"))
-    dealt = _dealt(hot.withColumn("own", _block("id", "blocks")), "v", "own", "blocks").join(sk, ["id", "k"]).repartition("key").sortWithinPartitions("key", "id")
 
     def links_of(rows):
         left, right, same = _sides(rows, 3)
@@ -280,8 +288,55 @@ def candidate_links(classes: DataFrame, threshold: float) -> DataFrame:
         linked = near([r[1:3] for r in left], [r[1:3] for r in right])
         return [(left[i][0], right[j][0]) for i, j in spanning(linked, same) if left[i][0] != right[j][0]]
 
-    many = dealt.select("key", "id", "n", "sketch", "side").mapInArrow(lambda it: _forest_batches(it, ["id", "n", "sketch", "side"], links_of), "a bigint, b bigint")
-    return few.unionByName(many)
+    def compared(dealt: DataFrame) -> DataFrame:
+        """Links inside each key of dealt (key, side, id, k)."""
+        rows = dealt.select("key", "side", "id", "k").join(sk, ["id", "k"]).repartition("key").sortWithinPartitions("key", "id")
+        return rows.select("key", "id", "n", "sketch", "side").mapInArrow(lambda it: _forest_batches(it, ["id", "n", "sketch", "side"], links_of), "a bigint, b bigint")
+
+    hot = lists.where(F.col("df") > SHORT).select("id", "k", "v")
+    # of the holders of a value, the prefix leaves few as members; lists of several blocks are at most one for BLOCK members
+    several = hot.groupBy("v").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("blocks")).where("blocks > 1")
+    hot = hot.join(several, "v", "left").select("id", "k", "v", F.coalesce("blocks", F.lit(1)).cast("long").alias("blocks"))
+    inside = hot.select("id", "k", F.concat_ws("/", "v", _block("id", "blocks")).alias("key"), F.lit(0).alias("side"))
+    large = cut(hot.where("blocks > 1"))
+    if not large.limit(1).count():
+        return few.unionByName(compared(inside))
+    links = cut(few.unionByName(compared(inside)))
+    while True:
+        apart = _parts_of(large, links)
+        found = cut(compared(_one_of_each(apart))) if apart is not None else None
+        if found is None or not found.limit(1).count():
+            break
+        links = cut(links.unionByName(found))
+    return links if apart is None else links.unionByName(compared(_rest_dealt(apart)))
+
+
+def _parts_of(large: DataFrame, links: DataFrame) -> DataFrame | None:
+    """(id, k, v, part) of the lists whose members the links leave in several parts; None if there is no such list."""
+    done = connected_components(links).select(F.col("node").alias("id"), F.col("component").alias("part"))
+    parts = cut(large.select("id", "k", "v").join(done, "id", "left").withColumn("part", F.coalesce("part", "id")))
+    several = parts.groupBy("v").agg((F.min("part") < F.max("part")).alias("apart")).where("apart").select("v")
+    apart = cut(parts.join(several, "v", "left_semi"))
+    return apart if apart.limit(1).count() else None
+
+
+def _one_of_each(apart: DataFrame) -> DataFrame:
+    """The member of the smallest id of each part of a list of two members or more, dealt to blocks of such members: (key, side, id, k)."""
+    one = apart.groupBy("v", "part").agg(F.min(F.struct("id", "k")).alias("m"), F.count("*").alias("n")).where("n > 1").select("v", "m.id", "m.k")
+    sizes = one.groupBy("v").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("blocks"))
+    return one.join(sizes, "v").select("id", "k", F.concat_ws("/", "v", _block("id", "blocks")).alias("key"), F.lit(0).alias("side"))
+
+
+def _rest_dealt(apart: DataFrame) -> DataFrame:
+    """Members outside a list's largest part, dealt to meet every block of the list, and that part to meet theirs: (key, side, id, k)."""
+    sizes = apart.groupBy("v", "part").agg(F.count("*").alias("m"))
+    main = sizes.groupBy("v").agg(F.max_by("part", F.struct("m", "part")).alias("main"), F.max("m").alias("m_main"), F.sum("m").alias("m_all"))
+    blocks = main.select("v", "main", F.ceil((F.col("m_all") - F.col("m_main")) / BLOCK).cast("long").alias("rest_blocks"), F.ceil(F.col("m_main") / BLOCK).cast("long").alias("main_blocks"))
+    is_main = F.col("part") == F.col("main")
+    rows = apart.join(blocks, "v").withColumn("own_blocks", F.when(is_main, F.col("main_blocks")).otherwise(F.col("rest_blocks")))
+    own = _block("id", "own_blocks") + F.when(is_main, F.col("rest_blocks")).otherwise(0)
+    meets = F.when(is_main, F.col("rest_blocks")).otherwise(F.col("rest_blocks") + F.col("main_blocks"))
+    return _dealt(rows.select("id", "k", "v", own.alias("own"), meets.alias("meets")), "v", "own", "meets")
 
 
 def _full_sets(texts: DataFrame, members: DataFrame, width: int) -> DataFrame:
@@ -324,9 +379,16 @@ def _confirmed_pairs(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> D
 
     def run(batches):
         for b in batches:
-            x, y = ([np.frombuffer(s, np.uint64) for s in b.column(c).to_pylist()] for c in ("x", "y"))
-            keep = [bool(_reach([p], [q], num, den)[0, 0]) for p, q in zip(x, y)]
-            yield b.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            packed = [b.column(c).to_pylist() for c in ("x", "y")]
+            ends = np.cumsum([len(p) + len(q) for p, q in zip(*packed)])
+            at = 0
+            while at < len(b):
+                to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PAIR_BYTES)))
+                x, y = packed[0][at:to], packed[1][at:to]
+                common = common_of_pairs(x, y)
+                union = np.array([len(p) + len(q) for p, q in zip(x, y)]) // 8 - common
+                yield b.slice(at, to - at).select(["a", "b"]).filter(pa.array((common > 0) & (den * common >= num * union)))
+                at = to
 
     one, two = (sets.select(F.col("id").alias(i), F.col("set").alias(v)) for i, v in (("a", "x"), ("b", "y")))
     return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(run, "a bigint, b bigint")

@@ -123,6 +123,10 @@ def votes(rules=RULES) -> Column:
     return F.array(*map(vote, rules))
 
 
+#: Votes of each kind that every rule has beforehand on either class, so that no chance is 0.
+PSEUDO = 0.5
+
+
 @dataclass(frozen=True)
 class Model:
     """prior: share of good documents; chance[r][y][v]: how likely rule r gives vote v (BAD, GOOD, ABSTAIN) on y (BAD, GOOD)."""
@@ -145,29 +149,68 @@ class Model:
         return 1 / (1 + F.exp(-odds))
 
 
-def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200, prior: float = 0.8) -> Model:
+def likeliest(bad: np.ndarray, good: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The likeliest vote distributions of bad and good documents, given how often each vote was counted on either.
+
+    Under the rule that a bad vote is at least as likely on bad documents, and a good vote on good ones.  A bound that is
+    not kept by itself holds with equality in the optimum; for each choice of such bounds the optimum is in closed form:
+    the two classes share the pooled rate of that vote, and the other votes share what is left as they were counted.
+    """
+
+    def with_equal(votes: tuple[int, ...]) -> list[np.ndarray]:
+        if not votes:
+            return [n / n.sum() for n in (bad, good)]
+        if len(votes) == 2:
+            return [(bad + good) / (bad + good).sum()] * 2
+        v, out = votes[0], []
+        rate = (bad[v] + good[v]) / (bad + good).sum()
+        for n in (bad, good):
+            p = n * (1 - rate) / (n.sum() - n[v])
+            p[v] = rate
+            out.append(p)
+        return out
+
+    best, most = None, -math.inf
+    for votes in ((), (BAD,), (GOOD,), (BAD, GOOD)):
+        p, q = with_equal(votes)
+        value = float(bad @ np.log(p) + good @ np.log(q))
+        if p[BAD] >= q[BAD] - 1e-12 and q[GOOD] >= p[GOOD] - 1e-12 and value > most:
+            best, most = (p, q), value
+    return best
+
+
+def expected(patterns: np.ndarray, chance: np.ndarray, prior: float) -> tuple[np.ndarray, np.ndarray]:
+    """(probability of a good document, log likelihood) of each pattern."""
+    one, rules = np.arange(len(patterns)), range(patterns.shape[1])
+    bad, good = (math.log(x) + sum((np.log(chance[r, y])[patterns[one, r]] for r in rules), np.zeros(len(patterns))) for x, y in ((1 - prior, BAD), (prior, GOOD)))
+    return 1 / (1 + np.exp(bad - good)), np.logaddexp(bad, good)
+
+
+def objective(patterns: np.ndarray, counts: np.ndarray, chance: np.ndarray, prior: float) -> float:
+    """What the rounds raise: the log likelihood of all documents, and of half a vote of each kind for each rule and class."""
+    return float(counts @ expected(patterns, chance, prior)[1] + PSEUDO * np.log(chance).sum())
+
+
+def estimate(patterns: np.ndarray, counts: np.ndarray, rounds: int = 200, prior: float = 0.8, trace: list[float] | None = None) -> Model:
     """EM over vote patterns (one row each) and how many documents have them.
 
     It begins with rules that are right four times in five where they vote.  A rule's bad votes never count for a
-    document nor its good votes against it, so the two classes cannot change places.  Without documents, the starting
-    values are the result.
+    document nor its good votes against it, so the two classes cannot change places.  Every round gives distributions
+    that sum to 1 and raises the objective, whose values go to `trace`.  Without documents, the starting values are the
+    result.
     """
     n_rules = patterns.shape[1]
     chance = np.tile(np.array([[0.4, 0.1, 0.5], [0.1, 0.4, 0.5]]), (n_rules, 1, 1))
     total = counts.sum()
     for _ in range(rounds if total else 0):
-        odds = np.full(len(patterns), math.log(prior / (1 - prior)))
-        for r in range(n_rules):
-            odds += np.log(chance[r, GOOD] / chance[r, BAD])[patterns[:, r]]
-        good = counts / (1 + np.exp(-odds))
+        good = counts * expected(patterns, chance, prior)[0]
         before = chance.copy()
         prior = float(min(max(good.sum() / total, 0.02), 0.98))
         for r in range(n_rules):
-            for y, mass in ((BAD, counts - good), (GOOD, good)):
-                n = np.array([mass[patterns[:, r] == v].sum() for v in (BAD, GOOD, ABSTAIN)]) + 0.5
-                chance[r, y] = n / n.sum()
-            for v, y in ((BAD, GOOD), (GOOD, BAD)):
-                chance[r, y, v] = min(chance[r, y, v], chance[r, 1 - y, v])
+            n = [np.bincount(patterns[:, r] % 3, weights=mass, minlength=3) + PSEUDO for mass in (counts - good, good)]
+            chance[r, BAD], chance[r, GOOD] = likeliest(*n)
+        if trace is not None:
+            trace.append(objective(patterns, counts, chance, prior))
         if np.abs(before - chance).max() < 1e-9:
             break
     return Model(prior, tuple(tuple(tuple(map(float, x)) for x in table) for table in chance))
@@ -188,7 +231,7 @@ def judge_quality(df: DataFrame, text_col: str = "text", keep_text: bool = True,
     """df with FEATURES, votes, base_failed, posterior (probability of a good document) and kept.
 
     kept: not base_failed, and posterior >= threshold.  The texts are read twice, once for the model and once for the
-    verdicts; nothing is kept in between.  A null or empty text has no words: it fails the base rule.  Repeated rows are
+    verdicts; nothing is kept in between.  Texts are read whole, however long.  A null or empty text has no words: it fails the base rule.  Repeated rows are
     judged alike, and each counts in the model.  Extra columns pass; those named as new ones are replaced.  An empty
     table gives an empty result.
     """
