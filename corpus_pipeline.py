@@ -6,6 +6,10 @@ as Parquet and read again as the next stage's docs.  All but the last return the
 
 from __future__ import annotations
 
+import itertools
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,14 +21,22 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 TOKENIZER = "byte_bpe_50k.json"
 
 
-#: Rows of an Arrow batch.  Texts can be long, and a batch lies in the JVM and in Python at once.
+#: Below this, 2**62 free numbers lie behind an id.
+ROOM = 1 << 62
+#: Rows of an Arrow batch in jobs that hold texts, their sets and their vectors.  A batch lies in the JVM and in Python at once.
 ARROW_ROWS = 1000
 
 
-def _columns(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    """The columns of documents, whatever else there is, for tasks that take few rows at a time."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
-    return docs.select(*COLUMNS)
+@contextmanager
+def _few_rows(spark: SparkSession) -> Iterator[None]:
+    """Jobs that are run inside take few rows at a time; afterwards the session is as before."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(ARROW_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +45,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     Null and empty texts, and those of white space, have no words and go.  Repeated rows are judged alike and all stay or
     all go; null ids change nothing; extra columns are left out; an empty table gives an empty result.
     """
-    return quality.judge_quality(_columns(spark, docs)).where("posterior >= 0.5 and n_words > 0").select(*COLUMNS)
+    return quality.judge_quality(docs.select(*COLUMNS)).where("posterior >= 0.5 and n_words > 0").select(*COLUMNS)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,12 +53,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     Rows with a null doc_id all stay, as nothing can refer to them.  Rows that share a doc_id and a text become one, with
     the smallest of their other columns.  Different texts of one doc_id are documents of their own, judged each by itself:
-    the smallest text goes by the doc_id, the others come after all ids of the table.  Null and empty texts are near no
+    the smallest text goes by the doc_id, the others come after all ids of the table, or where there is no room behind
+    these, at free places between them.  Null and empty texts are near no
     other and stay, one for each id.  Extra columns are left out; an empty table gives an empty result.
     """
-    docs = _columns(spark, docs)
+    docs = docs.select(*COLUMNS)
     single = _one_row_ids(docs.where("doc_id is not null"))
-    kept = neardup.near_duplicates(single, id_col="row_id", threshold=(80, 100)).where("kept").select(F.col("doc_id").alias("row_id"))
+    with _few_rows(spark):
+        kept = neardup.near_duplicates(single, id_col="row_id", threshold=(80, 100)).where("kept").select(F.col("doc_id").alias("row_id"))
     return single.join(kept, "row_id", "left_semi").select(*COLUMNS).unionByName(docs.where("doc_id is null"))
 
 
@@ -58,9 +72,16 @@ def _one_row_ids(docs: DataFrame) -> DataFrame:
     others = [c for c in COLUMNS if c not in ("doc_id", "text")]
     texts = cut(docs.join(repeated, "doc_id", "left_semi").groupBy("doc_id", "text").agg(F.min(F.struct(*others)).alias("o")).select("doc_id", "text", *[f"o.{c}" for c in others]))
     first = texts.groupBy("doc_id").agg(F.min("text").alias("first"))
-    top = docs.agg(F.max("doc_id")).first()[0]
-    # staged, since the numbers depend on how the rows are split
-    odd = cut(texts.join(first, "doc_id").withColumn("row_id", F.when(F.col("text").eqNullSafe(F.col("first")), F.col("doc_id")).otherwise(F.lit(top + 1) + F.monotonically_increasing_id())))
+    ids = docs.agg(F.max("doc_id"), F.min("doc_id")).first()
+    known = docs.select(F.col("doc_id").alias("row_id"))
+    for salt in itertools.count():
+        # a running number behind all ids; if they reach too high, a hash that is no id yet
+        free = F.lit(ids[0] + 1) + F.monotonically_increasing_id() if ids[0] < ROOM else F.xxhash64(F.lit(salt), "doc_id", "text")
+        named = texts.join(first, "doc_id").withColumn("_first", F.col("text").eqNullSafe(F.col("first"))).withColumn("row_id", F.when(F.col("_first"), F.col("doc_id")).otherwise(free))
+        odd = cut(named)  # the numbers depend on how the rows are split
+        new = odd.where("not _first").select("row_id")
+        if ids[0] < ROOM or not new.join(known, "row_id", "left_semi").unionByName(new.groupBy("row_id").count().where("count > 1").select("row_id")).limit(1).count():
+            break
     once = docs.join(repeated, "doc_id", "left_anti").withColumn("row_id", F.col("doc_id"))
     return once.select(*COLUMNS, "row_id").unionByName(odd.select(*COLUMNS, "row_id"))
 
@@ -72,7 +93,9 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     probability of weight 1.  Rows that share an id are drawn alike, null ids together.  Extra columns are left out; an
     empty table gives an empty result.
     """
-    return mixing.mix(_columns(spark, docs), tokenizer=tokenizer_path(TOKENIZER)).where("sampled").select(*COLUMNS)
+    with _few_rows(spark):
+        mixed = mixing.mix(docs.select(*COLUMNS), tokenizer=tokenizer_path(TOKENIZER))
+    return mixed.where("sampled").select(*COLUMNS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -80,7 +103,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A null text is encoded as the empty one.  Null ids and repeated rows pass; an empty table gives an empty result.
     """
-    done = bpe.roundtrip(_columns(spark, docs).select("doc_id", "source", "lang", "text"), tokenizer_path(TOKENIZER))
+    done = bpe.roundtrip(docs.select("doc_id", "source", "lang", "text"), tokenizer_path(TOKENIZER))
     same = F.col("decoded") == F.coalesce("text", F.lit(""))
     return done.select("doc_id", "source", "lang", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids", same.alias("round_trip"))
 
