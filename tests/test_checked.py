@@ -6,13 +6,14 @@ from pyspark.sql import functions as F
 from vigil import schemas
 from vigil.functions import columns as C
 from vigil.operators import joins as J
+from vigil.operators import literals as L
 from vigil.operators import processes as P
 from vigil.operators import selection as S
 from vigil.plans import catalog, checked  # noqa: F401
 
 from .test_catalog import SF, duck, plain  # noqa: F401
 
-NAMES = ["connection_sessions", "sample_ids", "download_then_run", "row_contracts", "audit_decisions", "remove_stored", "ioc_upgrade", "procedure_steps", "evidence_ladder", "flatten_envelope", "names_and_paths", "request_chunks", "parse_times"]
+NAMES = ["connection_sessions", "sample_ids", "download_then_run", "row_contracts", "audit_decisions", "remove_stored", "ioc_upgrade", "procedure_steps", "evidence_ladder", "flatten_envelope", "names_and_paths", "request_chunks", "request_files", "stored_names", "literal_rules", "parse_times"]
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -64,11 +65,9 @@ def test_contracts_nulls_and_strict(spark):
 def test_indicators_follow_their_group(spark):
     df = spark.createDataFrame([(1, "run EVIL.exe", "unknown"), (1, "ls", "unknown"), (1, "cd", "benign"), (2, "ls", "unknown"), (None, "evil.exe", "unknown"), (None, None, "unknown")], "g int, text string, label string")
     ioc = spark.createDataFrame([("evil.exe",), ("",), (None,)], "indicator string")
-    got = sorted((str(r.g), r.text or "", r.label) for r in J.indicator_upgrade(df, ioc, "text", "g").collect())
+    got = sorted((str(r.g), r.text or "", r.label) for r in L.indicator_upgrade(df, ioc, "text", "g").collect())
     assert got == sorted([("1", "run EVIL.exe", "malicious"), ("1", "ls", "malicious"), ("1", "cd", "benign"), ("2", "ls", "unknown"), ("None", "evil.exe", "malicious"), ("None", "", "unknown")])
-    assert J.indicator_upgrade(df, ioc.limit(0), "text").where("label = 'malicious'").count() == 0
-    with pytest.raises(ValueError):
-        J.indicator_upgrade(df, ioc, "text", most=0)
+    assert L.indicator_upgrade(df, ioc.limit(0), "text").where("label = 'malicious'").count() == 0
 
 
 def test_spans_merge(spark):

@@ -13,7 +13,7 @@ from vigil.streaming import jobs as J
 
 from .test_catalog import SF, duck, plain  # noqa: F401
 
-NAMES = ["scan_tagged_union", "xml_named_fields", "scan_map_of_lists", "scan_nested_list", "csv_sections", "concatenated_json", "ingest_ledger", "rendered_records", "format_dispatch", "sourcetype_dispatch", "rotation_order", "copy_text_rows", "write_observations", "stream_dedup", "stream_sessions", "stream_daily_counts", "pid_lifetime_join", "object_relation_join", "event_assembly", "capped_extraction", "fill_templates", "score_samples"]
+NAMES = ["scan_tagged_union", "xml_named_fields", "scan_map_of_lists", "scan_nested_list", "csv_sections", "concatenated_json", "ingest_ledger", "rendered_records", "format_dispatch", "sourcetype_dispatch", "rotation_order", "copy_text_rows", "write_observations", "stream_dedup", "stream_sessions", "stream_daily_counts", "pid_lifetime_join", "bounded_lifetimes", "interval_labels", "object_relation_join", "event_assembly", "capped_extraction", "fill_templates", "score_samples"]
 
 
 @pytest.mark.parametrize("name", NAMES)
@@ -98,7 +98,7 @@ def test_ledger_runs_and_removal(spark, tmp_path):
     K.write_observations(d.withColumn("record_id", F.lit("9")), d.limit(0), root)
     assert read() == [("a/b", "3"), ("d", "9"), ("e", "2")] and read("process_launches") == [("a/b", "3"), ("e", "2")]
     # a job that dies before the ledger is written changes nothing for readers
-    d.withColumn("run", F.lit("dead")).write.mode("append").partitionBy("run", "dataset").parquet(f"{root}/shell_inputs")
+    d.withColumns({"run": F.lit("dead"), "part": F.lit("d:d")}).write.mode("append").partitionBy("run", "part").parquet(f"{root}/shell_inputs")
     assert read() == [("a/b", "3"), ("d", "9"), ("e", "2")]
     assert [r.dataset for r in K.pending(wanted, spark, root).collect()] == ["z"]
     K.remove_stored(spark, root, "d", "a/b", "unknown")
@@ -106,10 +106,29 @@ def test_ledger_runs_and_removal(spark, tmp_path):
     assert spark.read.parquet(f"{root}/shell_inputs").where("dataset in ('d', 'a/b')").count() == 0
     K.write_observations(d, d, root)
     assert read() == [("d", "1"), ("e", "2")]
+    # a bounded run is read, and its dataset stays pending until a complete one
+    K.write_observations(d.withColumn("record_id", F.lit("5")), d, root, complete=False)
+    assert read() == [("d", "5"), ("e", "2")] and sorted(r.dataset for r in K.pending(wanted, spark, root).collect()) == ["d", "z"]
+    K.write_observations(d, d, root)
+    assert read() == [("d", "1"), ("e", "2")] and [r.dataset for r in K.pending(wanted, spark, root).collect()] == ["z"]
     left = K.remove_datasets({"a": rows, "b": wanted.withColumnRenamed("dataset", "x")}, "d")
     assert left["a"].count() == 2 and left["b"].count() == 2
 
 
+def test_names_that_look_like_other_things(spark, tmp_path):
+    root = str(tmp_path / "out")
+    assert K.read_observations(spark, root, "shell_inputs").count() == 0 and "shell_input" in K.read_observations(spark, root, "shell_inputs").columns
+    names = ["007", "7", "010", "1e5", "2024-01-02", "true", "", " ", "a/b", "x=y%2F", "__HIVE_DEFAULT_PARTITION__", "null", None]
+    rows = spark.createDataFrame([(n, str(i)) for i, n in enumerate(names)], "dataset string, record_id string")
+    K.write_observations(rows, rows.limit(0), root)
+    read = lambda: sorted((str(r.dataset), r.dataset is None, r.record_id) for r in K.read_observations(spark, root, "shell_inputs").collect())
+    assert read() == sorted((str(n), n is None, str(i)) for i, n in enumerate(names))
+    assert K.pending(rows, spark, root).count() == 0
+    K.remove_stored(spark, root, "007", None)
+    assert read() == sorted((str(n), n is None, str(i)) for i, n in enumerate(names) if n not in ("007", None))
+    assert sorted((r.dataset or "-") for r in K.pending(rows, spark, root).collect()) == ["-", "007"]
+
+
 def test_collect_results(spark):
     asked = spark.createDataFrame([(1,), (2,), (3,), (4,)], "id int")
     said = spark.createDataFrame([(1, "benign"), (2, "what"), (3, "benign"), (3, "benign"), (9, "benign")], "id int, v string")

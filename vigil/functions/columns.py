@@ -67,10 +67,12 @@ def decode_hex(value: Column) -> Column:
 
 
 def last_wins(keys: Column, values: Column) -> Column:
-    """A map of two arrays of the same length; of a repeated key the last counts."""
-    pairs = F.arrays_zip(F.reverse(keys).alias("k"), F.reverse(values).alias("v"))
-    firsts = F.filter(pairs, lambda p, i: F.array_position(F.reverse(keys), p["k"]) == i + 1)
-    return F.map_from_entries(F.transform(firsts, lambda p: F.struct(p["k"], p["v"])))
+    """A map of two arrays of the same length; of a repeated key the last counts.  Pairs are sorted by key and place, and the last of each run stays."""
+    placed = F.transform(F.arrays_zip(keys.alias("k"), values.alias("v")), lambda p, i: F.struct(p["k"].alias("k"), i.alias("i"), p["v"].alias("v")))
+    run = F.array_sort(placed)
+    beside = F.zip_with(run, F.slice(run, 2, F.greatest(F.size(run), F.lit(0))), lambda p, q: F.struct(p["k"].alias("k"), p["v"].alias("v"), q["k"].alias("next")))
+    ends = F.filter(beside, lambda p: p["next"].isNull() | (p["next"] != p["k"]))
+    return F.map_from_entries(F.transform(ends, lambda p: F.struct(p["k"], p["v"])))
 
 
 def key_values(line: Column) -> Column:
@@ -80,14 +82,35 @@ def key_values(line: Column) -> Column:
     return last_wins(keys, F.transform(values, lambda v: F.replace(v, F.lit('"'), F.lit(""))))
 
 
+#: Forms of times: year or day first, with a fraction of 1 to 9 digits and an offset or without; mail; and seconds or milliseconds since 1970.
+YEAR_FIRST = r"^\s*(\d{4}-\d{2}-\d{2})[T ](\d{2}:\d{2}:\d{2})(?:[.,](\d{1,9}))?\s*(Z|z|[+-]\d{2}:?\d{2})?\s*$"
+DAY_FIRST = r"^\s*(\d{2}/\d{2}/\d{4}) (\d{2}:\d{2}:\d{2})(?:[.,](\d{1,9}))?\s*$"
+EPOCH = r"^\s*(?:(\d{9,10})(?:\.(\d{1,9}))?|(\d{12,13})(?:\.(\d{1,9}))?)\s*$"
+
+
 def parse_time(text: Column, zone: Column | str = "UTC") -> Column:
-    """ISO text, day-first text, RFC 2822 text, or epoch seconds and milliseconds.  Texts without an offset are in `zone`."""
+    """The time that a text gives, to the microsecond (further digits are cut off), or null.
+
+    ISO text and day-first text, with a fraction and an offset (with or without colon) or without; RFC 2822 text; epoch
+    seconds of 9 or 10 digits and milliseconds of 12 or 13, with a fraction or without.  Texts without an offset are
+    in `zone`.  Other numbers, such as 20240102, are no times.
+    """
     zone = F.lit(zone) if isinstance(zone, str) else zone
-    local = [F.to_utc_timestamp(F.try_to_timestamp(text, F.lit(f)), zone) for f in ("yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss", "dd/MM/yyyy HH:mm:ss")]
+    part = lambda pattern, i: F.regexp_extract(text, pattern, i)
+    micros = lambda digits: F.rpad(F.substring(digits, 1, 6), 6, "0").cast("long")  # noqa: E731  of the digits behind a point
+    read = lambda pattern, form: F.try_to_timestamp(F.concat_ws(" ", part(pattern, 1), part(pattern, 2)), F.lit(form))
+    later = lambda ts, us: F.timestamp_micros(F.unix_micros(ts) + us)
+    offset = F.replace(part(YEAR_FIRST, 4), F.lit(":"), F.lit(""))
+    minutes = F.substring(offset, 2, 2).try_cast("int") * 60 + F.substring(offset, 4, 2).try_cast("int")
+    east = F.when(offset.isin("Z", "z"), 0).when(offset.startswith("-"), -minutes).when(offset.startswith("+"), minutes)
+    iso = read(YEAR_FIRST, "yyyy-MM-dd HH:mm:ss")
+    iso = F.when(offset == "", F.to_utc_timestamp(iso, zone)).otherwise(later(iso, -east.cast("long") * 60_000_000))
+    day = F.to_utc_timestamp(read(DAY_FIRST, "dd/MM/yyyy HH:mm:ss"), zone)
     mail = F.regexp_replace(F.regexp_replace(text, r"^[A-Za-z]{3},\s*", ""), r"\s+(GMT|UT|UTC|Z)$", " +0000")
-    offset = [F.try_to_timestamp(text, F.lit("yyyy-MM-dd'T'HH:mm:ssXXX")), F.try_to_timestamp(mail, F.lit("d MMM yyyy HH:mm:ss Z"))]
-    number = text.try_cast("bigint")
-    return F.coalesce(*local, *offset, F.timestamp_millis(F.when(F.length(text) <= 10, number * 1000).otherwise(number)))
+    seconds, thousandths = part(EPOCH, 1).try_cast("long"), part(EPOCH, 3).try_cast("long")
+    behind = F.substring(F.rpad(F.concat(F.substring(part(EPOCH, 4), 1, 3), F.lit("000")), 3, "0"), 1, 3)
+    epoch = F.coalesce(F.timestamp_micros(seconds * 1_000_000 + micros(part(EPOCH, 2))), F.timestamp_micros(thousandths * 1000 + behind.cast("long")))
+    return F.coalesce(later(iso, micros(part(YEAR_FIRST, 3))), later(day, micros(part(DAY_FIRST, 3))), F.try_to_timestamp(mail, F.lit("d MMM yyyy HH:mm:ss Z")), epoch)
 
 
 def normal_path(path: Column) -> Column:
@@ -102,12 +125,19 @@ def normal_path(path: Column) -> Column:
     return F.when(path.isNotNull(), F.coalesce(F.nullif(F.concat(lead, F.array_join(parts, "\\")), F.lit("")), F.lit(".")))
 
 
+#: The documented hives of the registry and their short names.
+HIVES = {"hkey_local_machine": "hklm", "hkey_current_user": "hkcu", "hkey_classes_root": "hkcr", "hkey_users": "hku", "hkey_current_config": "hkcc"}
+
+
 def registry_key(key: Column) -> Column:
-    """A registry key in lower case with short names of its hives, and without a colon before the first backslash."""
-    out = F.lower(key)
-    for long, short in (("local_machine", "lm"), ("current_user", "cu"), ("classes_root", "cr")):
-        out = F.replace(out, F.lit(f"hkey_{long}"), F.lit(f"hk{short}"))
-    return F.replace(out, F.lit(":\\"), F.lit("\\"))
+    """A registry key in lower case that begins with the short name of its hive; the hive may have a colon, as in PowerShell's paths."""
+    low = F.lower(key)
+    first = F.substring_index(low, "\\", 1)
+    hive = F.when(first.endswith(":"), F.substring(first, F.lit(1), F.length(first) - 1)).otherwise(first)
+    short = hive
+    for long, name in HIVES.items():
+        short = F.when(hive == long, name).otherwise(short)
+    return F.concat(short, F.substring(low, F.length(first) + 1, F.length(low)))
 
 
 def same_program(one: Column, two: Column, os: Column) -> Column:
@@ -122,36 +152,77 @@ def starts_with_program(text: Column, image: Column) -> Column:
 
 
 def technique_ids(text: Column) -> Column:
-    """The technique ids (T and four digits, with a dot and three more for a part) in a text, each once, in order."""
-    return F.array_sort(F.array_distinct(F.regexp_extract_all(text, F.lit(r"(?<![\w.])(T[0-9]{4}(?:\.[0-9]{3})?)(?![\w.])"), F.lit(1))))
+    """The technique ids (T and four digits, with a dot and three more for a part) among the words of a text, each once, in order.
+
+    A word is a run of letters, digits, `_` and dots; dots at its ends belong to the sentence.
+    """
+    words = F.transform(F.split(text, r"[^A-Za-z0-9_.]+"), lambda w: F.trim(w, F.lit(".")))
+    return F.array_sort(F.array_distinct(F.filter(words, lambda w: w.rlike(r"^T\d{4}(\.\d{3})?$"))))
 
 
 #: Fields of an event that hold more of its fields, outer ones first.
 ENVELOPES = ("EventData", "event_data", "columns", "event", "data")
 
 
+#: A field of XML event data, and the entities in its text.
+XML_FIELD = r"""(?s)<Data\s+Name\s*=\s*["']([^"']*)["'][^>]*?(?:/>|>(.*?)</Data>)"""
+ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&"))
+
+
+def _unescaped(text: Column) -> Column:
+    for entity, sign in ENTITIES:
+        text = F.replace(text, F.lit(entity), F.lit(sign))
+    return text
+
+
+def xml_fields(text: Column) -> Column:
+    """The named data fields of an XML event as a map of texts, also of one that is cut off: fields that are not whole are left out."""
+    names, values = (F.regexp_extract_all(text, F.lit(XML_FIELD), F.lit(i)) for i in (1, 2))
+    return last_wins(F.transform(names, _unescaped), F.transform(values, _unescaped))
+
+
 def flatten_envelope(df: DataFrame, text: str, name: str = "fields") -> DataFrame:
-    """df with the fields of a JSON event as a map of texts; those inside `_source` and ENVELOPES are fields of the event, and later ones win.
+    """df with the fields of a JSON event as a map of texts; null for text that is no JSON object.  Of a field that occurs twice the later one counts.
 
-    Of `process`, command_line and executable come out as `process.command_line` and `process.executable`, its parent's pid as `ppid`;
-    an object `host` gives its name.  Null for text that is no JSON object.  Each map is a column of its own on the way, so it
-    is parsed once.
+    First come the fields of the event, or of its `_source`, and those inside ENVELOPES.  Then `process.command_line`,
+    `process.executable` and `ppid` of an object `process`, the name of an object `host`, and `_id` after its index.  Then the
+    fields of an object `Event`, by the same rules.  Last come fields that are kept as text: an `EventData` of JSON or
+    XML, and the XML event of a `SyslogMessage`, their escaped signs restored.  Each map is a column of its own on
+    the way, so it is parsed once.
     """
-    fields = lambda c: F.from_json(c, "map<string, string>")
-    inner = lambda m, key: F.coalesce(fields(F.when(F.col(m)[key].startswith("{"), F.col(m)[key])), F.create_map().cast("map<string, string>"))
-    outer, source = F.col("_outer"), F.col("_outer")["_source"]
-    rows = df.withColumn("_outer", fields(F.col(text))).withColumn("_top", F.when(source.startswith("{"), fields(source)).otherwise(outer))
-    rows = rows.withColumns({"_process": inner("_top", "process"), "_host": inner("_top", "host")}).withColumn("_parent", inner("_process", "parent"))
-    process, host = F.col("_process"), F.col("_host")
-    extra = F.map_from_arrays(
-        F.array(*map(F.lit, ("process.command_line", "process.executable", "ppid", "host", "_id"))),
-        F.array(process["command_line"], process["executable"], F.col("_parent")["pid"], F.coalesce(host["name"], host["hostname"]), F.when(outer["_id"].isNotNull(), F.concat_ws(":", outer["_index"], outer["_id"]))),
-    )
-    layers = {"_extra": F.map_filter(extra, lambda _, v: v.isNotNull())} | {f"_in_{e}": inner("_top", e) for e in ENVELOPES}
-    maps = ["_top", *layers]
-    rows = rows.withColumns(layers).withColumns({"_keys": F.concat(*map(F.map_keys, maps)), "_values": F.concat(*map(F.map_values, maps))})
-    whole = F.when(outer.isNotNull(), last_wins(F.col("_keys"), F.col("_values")))
-    return rows.withColumn(name, whole).drop("_outer", "_process", "_host", "_parent", "_keys", "_values", *maps)
+    none = F.create_map().cast("map<string, string>")
+    object_ = lambda c: F.coalesce(F.from_json(F.when(F.ltrim(c).startswith("{"), c), "map<string, string>"), none)
+
+    def merged(rows: DataFrame, maps: list[str], out: str) -> DataFrame:
+        return rows.withColumn(out, last_wins(F.concat(*map(F.map_keys, maps)), F.concat(*map(F.map_values, maps)))).drop(*maps)
+
+    def opened(rows: DataFrame, top: str, out: str) -> DataFrame:
+        """The map column `top` with the fields of its envelopes, process and host, as `out`."""
+        rows = rows.withColumns({f"_in_{e}": F.when(~F.col("_as_text"), object_(F.col(top)[e])).otherwise(none) if e == "EventData" else object_(F.col(top)[e]) for e in ENVELOPES})
+        rows = merged(rows, [top, *(f"_in_{e}" for e in ENVELOPES)], "_flat")
+        rows = rows.withColumns({"_process": object_(F.col("_flat")["process"]), "_host": object_(F.col("_flat")["host"])}).withColumn("_parent", object_(F.col("_process")["parent"]))
+        process, host = F.col("_process"), F.col("_host")
+        extra = F.map_from_arrays(
+            F.array(*map(F.lit, ("process.command_line", "process.executable", "ppid", "host"))),
+            F.array(process["command_line"], process["executable"], F.col("_parent")["pid"], F.coalesce(host["name"], host["hostname"])),
+        )
+        rows = rows.withColumn("_extra", F.map_filter(extra, lambda _, v: v.isNotNull()))
+        return merged(rows, ["_flat", "_extra"], out).drop("_process", "_host", "_parent")
+
+    # in a map of texts an object looks like a text that holds one
+    as_text = F.coalesce(F.col(text).rlike(r'"EventData"\s*:\s*"'), F.lit(False))
+    rows = df.withColumns({"_whole": F.from_json(F.col(text), "map<string, string>"), "_as_text": as_text}).withColumn("_source", object_(F.col("_whole")["_source"]))
+    whole, source = F.col("_whole"), F.col("_source")
+    ident = F.when(whole["_id"].isNotNull(), F.create_map(F.lit("_id"), F.concat_ws(":", whole["_index"], whole["_id"]))).otherwise(none)
+    rows = rows.withColumns({"_top": F.when(F.size(source) > 0, source).otherwise(F.coalesce(whole, none)), "_ident": ident})
+    rows = merged(opened(rows, "_top", "_outer"), ["_outer", "_ident"], "_outer2")
+    rows = opened(rows.withColumn("_event", object_(F.col("_outer2")["Event"])), "_event", "_inner")
+    rows = merged(rows, ["_outer2", "_inner"], "_all")
+    data, message = _unescaped(F.col("_all")["EventData"]), _unescaped(F.col("_all")["SyslogMessage"])
+    from_data = F.when(~F.col("_as_text"), none).when(F.ltrim(data).startswith("{"), object_(data)).when(F.contains(data, F.lit("<EventData")), xml_fields(data)).otherwise(none)
+    from_message = F.when(F.contains(message, F.lit("<Event")), xml_fields(message)).otherwise(none)
+    rows = merged(rows.withColumns({"_data": F.coalesce(from_data, none), "_message": F.coalesce(from_message, none)}), ["_all", "_data", "_message"], "_every")
+    return rows.withColumn(name, F.when(F.col("_whole").isNotNull(), F.col("_every"))).drop("_whole", "_as_text", "_source", "_every")
 
 
 def valid_probabilities(*p: Column) -> Column:

@@ -5,24 +5,64 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import asof_last, range_join
+from .joins import asof_last, asof_next, range_join
+from .ordered import Ordered
 from .selection import numbered
 
 
+def observed_times(events: DataFrame, host: str, pid: str, at: str, is_creation: Column, is_reboot: Column) -> DataFrame:
+    """(host, pid, at, what): each time at which a process was created or a host started (`reboot`, without pid), once."""
+    what = F.when(is_reboot, "reboot").when(is_creation, "creation")
+    own = F.when(what == "creation", F.col(pid))
+    return events.select(host, own.alias(pid), at, what.alias("what")).where("what is not null").dropna(subset=[at]).distinct()
+
+
+def lifetimes(creations: DataFrame, reboots: DataFrame, host: str, pid: str, at: str, owner: str) -> DataFrame:
+    """(host, pid, at, owner, stop): lives of processes from their creation, included, to the next creation of their pid or
+    the next reboot of their host, excluded; null while neither is known.  Of creations at one time the smallest owner counts.
+    """
+    born = creations.groupBy(host, pid, at).agg(F.min(owner).alias(owner))
+    ends = born.select(host, pid, at, F.col(at).alias("_next"))
+    lives = asof_next(born, ends, [host, pid], at, ["_next"])
+    lives = asof_next(lives, reboots.select(host, at, F.col(at).alias("_boot")), host, at, ["_boot"])
+    return lives.select(host, pid, at, owner, F.least("_next", "_boot").alias("stop"))
+
+
 def lifetime_owner(events: DataFrame, creations: DataFrame, reboots: DataFrame, host: str, pid: str, at: str, owner: str) -> DataFrame:
-    """events with the owner of the process lifetime they fall into, or null.
+    """events with the owner of the process lifetime they fall into, or null; an event at the creation's time belongs to it."""
+    lives = lifetimes(creations, reboots, host, pid, at, owner)
+    e = asof_last(events, lives, [host, pid], at, [owner, "stop"], strict=False)
+    return e.withColumn(owner, F.when(F.col("stop").isNull() | (F.col(at) < F.col("stop")), F.col(owner))).drop("stop")
+
+
+def bounded_intervals(intervals: DataFrame, creations: DataFrame, reboots: DataFrame, host: str, pid: str, start: str, at: str, tolerance: int) -> DataFrame:
+    """intervals (host, pid, start and others) with `cutoff`: the first creation of the pid or reboot of the host that ends them, excluded, or null.
+
+    Starts may be rounded down by up to `tolerance` units: a creation less than that after the start is the interval's own,
+    and only the one after it ends the interval.  A reboot at the start ends nothing.
+    """
+    times = creations.select(host, pid, at).distinct()
+    born = asof_next(times, times.select(host, pid, at, F.col(at).alias("_then")), [host, pid], at, ["_then"]).withColumnRenamed(at, start)
+    i = asof_next(intervals, born.select(host, pid, start, F.col(start).alias("_born"), "_then"), [host, pid], start, ["_born", "_then"], strict=False)
+    i = asof_next(i, reboots.select(host, F.col(at).alias(start), F.col(at).alias("_boot")), host, start, ["_boot"])
+    own = F.col("_born") < F.col(start) + tolerance
+    return i.withColumn("cutoff", F.least(F.when(own, F.col("_then")).otherwise(F.col("_born")), "_boot")).drop("_born", "_then", "_boot")
+
+
+def in_intervals(events: DataFrame, intervals: DataFrame, host: str, pid: str, at: str, start: str, end: str, name: str = "inside") -> DataFrame:
+    """events with `name`: whether an interval of their (host, pid) holds them: start and end included, cutoff excluded.
 
-    A lifetime begins after its creation and ends at the next creation of its pid or the next reboot of its host, so the
-    latest creation before an event is the only candidate, and it holds if no reboot came between.
+    Intervals may overlap.  Along the starts, the furthest end so far says for every event whether one still runs, so no
+    pair of event and interval is made.  Times are whole numbers; an end or cutoff that is null does not bound.
     """
-    born = creations.select(host, pid, at, owner).withColumn("_born", F.col(at)).withColumn("_key", F.struct(host, pid))
-    e = asof_last(events.withColumn("_key", F.struct(host, pid)), born, "_key", at, [owner, "_born"]).drop("_key")
-    e = asof_last(e, reboots.select(host, at).withColumn("_boot", F.col(at)), host, at, ["_boot"])
-    alive = F.col("_boot").isNull() | (F.col("_boot") <= F.col("_born"))
-    return e.withColumn(owner, F.when(alive, F.col(owner))).drop("_born", "_boot")
+    last = F.least(F.coalesce(F.col(end), F.lit((1 << 63) - 1)), F.coalesce(F.col("cutoff") - 1, F.lit((1 << 63) - 1)))
+    spans = intervals.where(last >= F.col(start)).select(host, pid, F.col(start).alias(at), last.alias("_last"), F.lit(0).alias("_event"))
+    both = Ordered(events.withColumns({"_last": F.lit(None).cast("long"), "_event": F.lit(1)}).unionByName(spans, allowMissingColumns=True), [host, pid], [at, "_event"])
+    reached = both.most(both.rows, F.col("_last"), "_far").where("_event = 1")
+    return reached.select(*[c for c in events.columns if c != name], F.coalesce(F.col("_far") >= F.col(at), F.lit(False)).alias(name))
 
 
 def object_relations(events: DataFrame, touches: DataFrame, key: str, object_: str, at: str, bucket: int) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -87,6 +85,19 @@ def asof_last(events: DataFrame, states: DataFrame, key: str | list[str], at: st
     return found.select(*[c for c in events.columns if c not in values], *[F.col(f"_found.{v}").alias(v) for v in values])
 
 
+def asof_next(events: DataFrame, states: DataFrame, key: str | list[str], at: str, values: list[str], strict: bool = True) -> DataFrame:
+    """events with the next later state of their key, in `values`; null without one.
+
+    strict: states at the same time do not count.  Of states at one time the smallest in `values` counts.
+    """
+    keys = [key] if isinstance(key, str) else key
+    e = events.drop(*values).withColumns({"_is_state": F.lit(0 if not strict else 2), "_state": F.lit(None).cast(states.select(F.struct(*values)).schema[0].dataType)})
+    s = states.select(*keys, at, F.lit(1).alias("_is_state"), F.struct(*values).alias("_state"))
+    both = Ordered(e.unionByName(s, allowMissingColumns=True), keys, [at, "_is_state", "_state"])
+    found = both.next(both.rows, F.when(F.col("_is_state") == 1, F.col("_state")), "_found").where("_is_state <> 1")
+    return found.select(*[c for c in events.columns if c not in values], *[F.col(f"_found.{v}").alias(v) for v in values])
+
+
 def asof_count(events: DataFrame, marks: DataFrame, key: str, at: str, name: str) -> DataFrame:
     """events with the number of marks of their key at or before them."""
     both = Ordered(events.withColumn("_is_mark", F.lit(0)).unionByName(marks.select(key, at).withColumn("_is_mark", F.lit(-1)), allowMissingColumns=True), [key], [at, "_is_mark"])
@@ -173,30 +184,6 @@ def coverage(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return a.join(b, key, "full").select(key, problem.alias("problem")).where("problem is not null")
 
 
-def indicator_pattern(indicators: list[str]) -> str:
-    """One pattern of the indicators as they stand, the longest first."""
-    return "|".join(re.escape(i) for i in sorted(set(indicators), key=lambda i: (-len(i), i)))
-
-
-def indicator_upgrade(commands: DataFrame, indicators: DataFrame, text: str, group: str | None = None, label: str = "label", most: int = 10_000) -> DataFrame:
-    """commands whose unknown label became malicious where the text holds an indicator (column `indicator`), in any case of letters.
-
-    With `group` (say a shell input's id), an unknown row also follows a malicious one of its group.  The indicators are
-    a short table: more than `most` raise an error.  Null texts and groups are left as they are.
-    """
-    rows = indicators.where("indicator is not null and indicator <> ''").select("indicator").distinct().limit(most + 1).collect()
-    if len(rows) > most:
-        raise ValueError(f"more than {most} indicators")
-    hit = F.col(text).rlike("(?i)" + indicator_pattern([r.indicator for r in rows])) if rows else F.lit(False)
-    raised = F.when((F.col(label) == "unknown") & hit, "malicious").otherwise(F.col(label))
-    out = commands.withColumn(label, raised)
-    if group is None:
-        return out
-    bad = out.where((F.col(label) == "malicious") & F.col(group).isNotNull()).select(F.col(group).alias("_bad")).distinct()
-    joined = out.join(bad, F.col(group) == F.col("_bad"), "left")
-    return joined.withColumn(label, F.when((F.col(label) == "unknown") & F.col("_bad").isNotNull(), "malicious").otherwise(F.col(label))).drop("_bad")
-
-
 def procedure_steps(launches: DataFrame, steps: DataFrame, name: str = "step") -> DataFrame:
     """launches (host, pgm_base, args) with the step of the documented procedure that they carry out, or null.
 

@@ -92,6 +92,13 @@ class Ordered:
         out = self._with(df, name, F.first("_range_value", ignorenulls=True).over(w), F.min_by("_range_value", F.when(F.col("_range_value").isNotNull(), F.col("_row"))), lambda a, b: a if b is None else b, lambda x, c: F.coalesce(x, c), True)
         return out.drop("_range_value")
 
+    def most(self, df: DataFrame, value: Column, name: str, strict: bool = False) -> DataFrame:
+        """df with the largest value of the key at or before each row; strict: before it.  Null values do not count."""
+        w = Window.partitionBy("_range", *self.keys).orderBy("_row").rowsBetween(Window.unboundedPreceding, -1 if strict else 0)
+        df = df.withColumn("_range_value", value)
+        larger = lambda a, b: b if a is None else a if b is None else max(a, b)
+        return self._with(df, name, F.max("_range_value").over(w), F.max("_range_value"), larger, lambda x, c: F.greatest(x, c)).drop("_range_value")
+
     def total(self, df: DataFrame, value: Column, name: str, strict: bool = False) -> DataFrame:
         """df with the sum of the key's values (long, null counts as 0) at or before each row; strict: before it."""
         w = Window.partitionBy("_range", *self.keys).orderBy("_row").rowsBetween(Window.unboundedPreceding, -1 if strict else 0)

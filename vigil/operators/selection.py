@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..lineage import cut
 from .ordered import Ordered
-from .processes import along
 
 
 def stratified_sample(df: DataFrame, strata: list[str], identity: Column, n: int, seed: str) -> DataFrame:
@@ -91,25 +92,77 @@ def dense_ids(sample: DataFrame, strata: list[str], place: str = "place", name:
 def running_chunks(df: DataFrame, key: str, order: list[str], size: Column, most_rows: int, most_bytes: int) -> DataFrame:
     """df with chunk and position (both from 0 in each key): a chunk is closed before a row would pass either bound.
 
-    A row that alone is larger than most_bytes has no chunk (null).  The rows of a key are taken in order with two
-    numbers as state.
-    """
-
-    def begin():
-        chunk = rows = used = 0
-
-        def step(row: dict) -> int | None:
-            nonlocal chunk, rows, used
-            n = row["_size"] or 0
-            if n > most_bytes:
-                return None
-            if rows and (rows == most_rows or used + n > most_bytes):
-                chunk, rows, used = chunk + 1, 0, 0
-            rows, used = rows + 1, used + n
-            return chunk
+    A row that alone is larger than most_bytes has no chunk (null); a null size counts as 0.  `order` must be total.
 
-        return step
-
-    dealt = along(df.withColumn("_size", size.cast("long")), [key], order, ["_size"], begin, "chunk", "long").drop("_size")
-    place = F.row_number().over(Window.partitionBy(key, "chunk").orderBy(*order)) - 1
-    return dealt.withColumn("position", F.when(F.col("chunk").isNotNull(), place))
+    Sums along the key say where a chunk that begins at a row would end, for every row (its jump).  Inside a range of rows
+    the jumps are followed to the first row behind it; these long jumps are then doubled from range to range until it is
+    known where the chunks enter each range.  So no task needs the end of the chunks before its own.
+    """
+    sized = df.withColumn("_size", F.coalesce(size.cast("long"), F.lit(0)))
+    rows = Ordered(sized.where(F.col("_size") <= most_bytes), [key], order)
+    t = rows.total(rows.total(rows.rows, F.col("_size"), "_end"), F.lit(1), "_n").withColumns({"_key": F.struct(key), "_i": F.col("_n") - 1}).drop("_n")
+    t = cut(t)
+    narrow = t.select("_key", "_range", "_i", "_end", "_size")
+    # the first row whose end lies more than most_bytes behind this row's begin; of places at one value, rows come before the question
+    ends = narrow.select("_key", F.col("_end").alias("_v"), F.lit(0).alias("_asks"), "_i", F.lit(None).cast("int").alias("_part"))
+    asks = narrow.select("_key", (F.col("_end") - F.col("_size") + most_bytes).alias("_v"), F.lit(1).alias("_asks"), "_i", F.col("_range").alias("_part"))
+    by_bytes = Ordered(ends.unionByName(asks), ["_key"], ["_v", "_asks", "_i"])
+    found = by_bytes.next(by_bytes.rows, F.when(F.col("_asks") == 0, F.col("_i")), "_past").where("_asks = 1")
+    jumps = cut(found.select("_key", "_part", "_i", F.least(F.col("_i") + most_rows, F.coalesce("_past", F.col("_i") + most_rows)).alias("_to")))
+    kind = jumps.select("_key", "_i", "_to").schema
+
+    def far(part: pa.Table) -> pa.Table:
+        """For each row of a range, the first place behind the range that its jumps reach."""
+        part = part.sort_by("_i")
+        first, to = part["_i"][0].as_py(), part["_to"].to_numpy().copy()
+        while (inside := np.flatnonzero(to < first + len(to))).size:
+            to[inside] = to[to[inside] - first]
+        return pa.table({"_key": part["_key"], "_i": part["_i"], "_to": to})
+
+    def begins(part: pa.Table) -> pa.Table:
+        """The rows of a range that its entry and the jumps from there reach."""
+        part = part.sort_by("_i")
+        first, to, at = part["_i"][0].as_py(), part["_to"].to_numpy(), part["_entry"][0].as_py()
+        out = []
+        while at < first + len(to):
+            out.append(at)
+            at = int(to[at - first])
+        return pa.table({"_key": part["_key"].combine_chunks().take(pa.array(np.array(out, np.int64) - first)), "_i": pa.array(out, pa.int64()), "_to": pa.array(out, pa.int64())})
+
+    long = cut(jumps.groupBy("_key", "_part").applyInArrow(far, kind))
+    # only where a range can be entered: at the first row of a key, and where a long jump ends
+    doors = long.select("_key", F.col("_to").alias("_i")).distinct()
+    jump = cut(long.join(doors.unionByName(long.where("_i = 0").select("_key", "_i")).distinct(), ["_key", "_i"]))
+    entered = long.where("_i = 0").select("_key", "_i")
+    while jump.limit(1).count():  # the number of jumps taken doubles, so rounds are the log of the number of ranges
+        entered = cut(entered.unionByName(entered.join(jump, ["_key", "_i"]).select("_key", F.col("_to").alias("_i"))))
+        then = jump.select("_key", F.col("_i").alias("_to"), F.col("_to").alias("_then"))
+        jump = cut(jump.join(then, ["_key", "_to"]).select("_key", "_i", F.col("_then").alias("_to")))
+    doors = entered.join(jumps, ["_key", "_i"]).select("_key", "_part", F.col("_i").alias("_entry"))  # a row for each range at most
+    starts = jumps.join(doors, ["_key", "_part"]).groupBy("_key", "_part").applyInArrow(begins, kind).select("_key", "_i", F.lit(True).alias("_begins"))
+    marked = t.join(starts, ["_key", "_i"], "left")
+    begun = rows.last(rows.total(marked, F.col("_begins").cast("int"), "_chunks"), F.when(F.col("_begins"), F.col("_i")), "_from")
+    placed = begun.withColumns({"chunk": F.col("_chunks") - 1, "position": F.col("_i") - F.col("_from")}).select(*df.columns, "chunk", "position")
+    alone = sized.where(F.col("_size") > most_bytes).select(*df.columns).withColumns({c: F.lit(None).cast("long") for c in ("chunk", "position")})
+    return placed.unionByName(alone)
+
+
+def request_lines(df: DataFrame, body: Column, url: str, dataset: str = "dataset") -> DataFrame:
+    """df (with chunk and position of running_chunks) with `line`: a JSON request with the id `dataset:chunk:position`."""
+    request = F.struct(F.concat_ws(":", dataset, "chunk", "position").alias("custom_id"), F.lit("POST").alias("method"), F.lit(url).alias("url"), body.alias("body"))
+    return df.withColumn("line", F.to_json(request))
+
+
+def request_size(body: Column, url: str, dataset: str = "dataset", id_bytes: int = 24) -> Column:
+    """The bytes of a request line and its line end; the numbers in its id are counted with id_bytes, more than they can have."""
+    request = F.struct(F.concat_ws(":", F.col(dataset), F.lit("")).alias("custom_id"), F.lit("POST").alias("method"), F.lit(url).alias("url"), body.alias("body"))
+    return F.octet_length(F.to_json(request)) + id_bytes + 1
+
+
+def write_requests(lines: DataFrame, path: str, dataset: str = "dataset") -> None:
+    """Writes `line` as JSON lines, a folder `dataset=../chunk=..` with one file for each chunk, in order of position.
+
+    Rows without a chunk are left out: they fit no file.
+    """
+    dealt = lines.where("chunk is not null").repartition(dataset, "chunk").sortWithinPartitions(dataset, "chunk", "position")
+    dealt.select(dataset, "chunk", "line").write.partitionBy(dataset, "chunk").text(path)

@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from ..lineage import shared_path
 from ..operators import joins as J
 from ..operators import selection as S
+from ..operators.evidence import observed_times
 from ..sources.tables import Tables
 from .prelude import LAUNCHES, SHELL, TELEMETRY
 
@@ -379,10 +381,9 @@ def session_labels(t: Tables) -> DataFrame:
     return s.withColumn("label", C.session_label(F.col("ai_label"), F.col("override_label")))
 
 
-@query("SELECT host, count(DISTINCT t) AS starts, min(t) AS first_t, max(t) AS last_t FROM telemetry WHERE kind = 'signup' GROUP BY host", TELEMETRY)
+@query("SELECT DISTINCT host, k % 5 AS pid, t, 'creation' AS what FROM telemetry WHERE kind = 'signup' UNION ALL SELECT DISTINCT host, NULL, t, 'reboot' FROM telemetry WHERE kind = 'error'", TELEMETRY)
 def lifetime_evidence(t: Tables) -> DataFrame:
-    starts = t.telemetry.where("kind = 'signup'").groupBy("host")
-    return starts.agg(F.count_distinct("t").alias("starts"), F.min("t").alias("first_t"), F.max("t").alias("last_t"))
+    return observed_times(t.telemetry.withColumn("pid", F.col("k") % 5), "host", "pid", "t", F.col("kind") == "signup", F.col("kind") == "error")
 
 
 @query("SELECT dataset, count(*) AS inputs, sum(launches) AS launches FROM (SELECT s.dataset, s.doc_id, count(l.doc_id) AS launches FROM shell s LEFT JOIN launches l ON s.doc_id = l.doc_id GROUP BY s.dataset, s.doc_id) GROUP BY dataset", LAUNCHES)
@@ -488,6 +489,26 @@ def request_chunks(t: Tables) -> DataFrame:
     return S.running_chunks(t.shell, "dataset", ["doc_id"], F.octet_length("shell_input"), *_MOST).select("record_id", "chunk", F.col("position").cast("long").alias("position"))
 
 
+@query(
+    f"""WITH RECURSIVE {SHELL},
+n AS (SELECT record_id, dataset, shell_input, octet_length(encode(shell_input)) + 200 AS size, row_number() OVER (PARTITION BY dataset ORDER BY doc_id) AS rn FROM shell WHERE octet_length(encode(shell_input)) + 200 <= {_MOST[1]}),
+w(dataset, rn, chunk, rows, used) AS (
+  SELECT dataset, rn, CAST(0 AS BIGINT), CAST(1 AS BIGINT), CAST(size AS BIGINT) FROM n WHERE rn = 1
+  UNION ALL
+  SELECT dataset, rn, chunk + CAST(shut AS BIGINT), CASE WHEN shut THEN 1 ELSE rows + 1 END, CASE WHEN shut THEN size ELSE used + size END
+  FROM (SELECT n.dataset, n.rn, n.size, w.chunk, w.rows, w.used, w.rows = {_MOST[0]} OR w.used + n.size > {_MOST[1]} AS shut FROM w JOIN n ON n.dataset = w.dataset AND n.rn = w.rn + 1))
+SELECT n.dataset || ':' || w.chunk || ':' || (w.rows - 1) AS custom_id, n.shell_input AS input, CAST(count(*) OVER (PARTITION BY n.dataset, w.chunk) AS BIGINT) AS in_file
+FROM n JOIN w ON w.dataset = n.dataset AND w.rn = n.rn"""
+)
+def request_files(t: Tables) -> DataFrame:
+    """Requests written as JSON lines, a file a chunk, and read back: their ids, texts, and how many lines their file has."""
+    root = shared_path(t.spark, "requests")
+    dealt = S.running_chunks(t.shell.where("shell_input is not null"), "dataset", ["doc_id"], F.octet_length("shell_input") + 200, *_MOST)
+    S.write_requests(S.request_lines(dealt, F.struct(F.col("shell_input").alias("input")), "/v1/responses"), root)
+    lines = t.spark.read.text(root).select(F.from_json("value", "custom_id string, body struct<input string>").alias("r"), F.input_file_name().alias("file"))
+    return lines.select("r.custom_id", "r.body.input", F.count("*").over(Window.partitionBy("file")).alias("in_file"))
+
+
 # --- scalar functions ------------------------------------------------------------------------------------------------
 @query("SELECT record_id, array_to_string(regexp_extract_all(shell_input, '\"[^\"]*\"|[|&;<>]+|[^ \\t\\n\\x0B\\f\\r|&;<>\"]+'), chr(10)) AS tokens FROM shell".replace("\\x0B", "\\x0b"), SHELL)
 def tokens(t: Tables) -> DataFrame:
@@ -504,12 +525,17 @@ def decode_hex(t: Tables) -> DataFrame:
     return t.telemetry.select("event_id", C.decode_hex(F.hex(F.encode("kind", "UTF-8"))).alias("plain"))
 
 
-@query("SELECT event_id, date_trunc('second', ts) AS parsed FROM events")
+@query("SELECT event_id, CASE WHEN event_id % 9 IN (1, 2, 5) THEN date_trunc('second', ts) WHEN event_id % 9 = 4 THEN date_trunc('millisecond', ts) WHEN event_id % 9 = 8 THEN NULL ELSE ts END AS parsed FROM events")
 def parse_times(t: Tables) -> DataFrame:
     ts = F.col("ts").cast("timestamp")
-    n = F.col("event_id") % 5
-    text = F.when(n == 0, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")).when(n == 1, F.date_format(ts, "dd/MM/yyyy HH:mm:ss")).when(n == 2, F.date_format(ts, "EEE, d MMM yyyy HH:mm:ss Z"))
-    text = text.when(n == 3, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ssXXX")).otherwise((F.unix_seconds(ts) * 1000).cast("string"))
+    us = F.lpad((F.unix_micros(ts) % 1_000_000).cast("string"), 6, "0")
+    iso, seconds = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), F.unix_seconds(ts).cast("string")
+    east = F.date_format(ts + F.expr("interval 90 minutes"), "yyyy-MM-dd HH:mm:ss")
+    forms = [
+        F.concat(iso, F.lit("."), us, F.lit("7Z")), iso, F.date_format(ts, "EEE, d MMM yyyy HH:mm:ss Z"), F.concat(seconds, F.lit("."), us), F.unix_millis(ts).cast("string"),
+        F.date_format(ts, "dd/MM/yyyy HH:mm:ss"), F.concat(east, F.lit("."), us, F.lit("+0130")), F.concat(east, F.lit(","), us, F.lit(" +01:30")), F.date_format(ts, "yyyyMMdd"),
+    ]
+    text = F.element_at(F.array(*forms), (F.col("event_id") % 9 + 1).cast("int"))
     return t.events.select("event_id", C.parse_time(text).cast("timestamp_ntz").alias("parsed"))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..lineage import shared_path
 from ..operators import joins as J
+from ..operators import literals as L
 from ..operators import processes as P
 from ..operators import selection as S
 from ..schemas import audited, breach
@@ -83,18 +84,52 @@ def audit_decisions(t: Tables) -> DataFrame:
     return audited(_broken(t), breach(), "doc_id")[1]
 
 
-@query("SELECT dataset, 'shell' AS kind, count(*) AS n FROM shell WHERE dataset <> (SELECT min(source) FROM documents) GROUP BY ALL UNION ALL SELECT dataset, 'process', count(*) FROM launches WHERE dataset <> (SELECT min(source) FROM documents) GROUP BY ALL", LAUNCHES)
+_STORED = ", stored AS (SELECT *, CASE dense_rank() OVER (ORDER BY dataset) WHEN 1 THEN '007' WHEN 2 THEN NULL WHEN 3 THEN '1e5' WHEN 4 THEN 'a/b=c %' ELSE dataset END AS name FROM shell)"
+
+
+def _odd_names(df: DataFrame, t: Tables) -> DataFrame:
+    """df with datasets named as numbers, by no name, and with signs that folders cannot have."""
+    known = sorted(r.source for r in t.documents.select("source").distinct().collect())
+    new = F.col("dataset")
+    for old, name in zip(known, ("007", None, "1e5", "a/b=c %")):
+        new = F.when(F.col("dataset") == old, F.lit(name)).otherwise(new)
+    return df.withColumn("dataset", new)
+
+
+@query("SELECT record_id, 'shell' AS kind, dataset FROM shell WHERE dataset <> (SELECT min(source) FROM documents) UNION ALL SELECT record_id, 'process', dataset FROM launches WHERE dataset <> (SELECT min(source) FROM documents)", LAUNCHES)
 def remove_stored(t: Tables) -> DataFrame:
     root = shared_path(t.spark, "observations")
     K.write_observations(t.shell.drop("doc_id"), t.launches.drop("doc_id", "pos"), root)
     K.remove_stored(t.spark, root, t.documents.agg(F.min("source")).first()[0])
-    sides = [K.read_observations(t.spark, root, n).groupBy("dataset").agg(F.count("*").alias("n")).withColumn("kind", F.lit(k)) for n, k in zip(K.TABLES, ("shell", "process"))]
+    sides = [K.read_observations(t.spark, root, n).select("record_id", F.lit(k).alias("kind"), "dataset") for n, k in zip(K.TABLES, ("shell", "process"))]
     return sides[0].unionByName(sides[1])
 
 
+@query("SELECT record_id, name AS dataset, name IS NOT DISTINCT FROM '007' OR name IS NULL AS pending FROM stored WHERE name IS DISTINCT FROM '1e5'", SHELL + _STORED)
+def stored_names(t: Tables) -> DataFrame:
+    """Two runs of which one is bounded, under odd names: rows as read, and whether their dataset is still pending."""
+    root, rows = shared_path(t.spark, "observations"), _odd_names(t.shell.drop("doc_id"), t)
+    none = t.launches.drop("doc_id", "pos").limit(0)
+    bounded = F.coalesce(F.col("dataset") == "007", F.lit(True))
+    K.write_observations(rows.where(~bounded), none, root)
+    K.write_observations(rows.where(bounded), none, root, complete=False)
+    K.remove_stored(t.spark, root, "1e5")
+    back = K.read_observations(t.spark, root, "shell_inputs").select("record_id", "dataset")
+    left = K.pending(back.select("dataset").distinct(), t.spark, root).select(F.col("dataset").alias("left"), F.lit(True).alias("pending"))
+    joined = back.join(left, back["dataset"].eqNullSafe(left["left"]), "left")
+    return joined.select("record_id", "dataset", F.coalesce("pending", F.lit(False)).alias("pending"))
+
+
 @query("SELECT record_id, CASE WHEN label = 'unknown' AND regexp_matches(lower(shell_input), 'password|!!') THEN 'malicious' ELSE label END AS label FROM shell", SHELL)
 def ioc_upgrade(t: Tables) -> DataFrame:
-    return J.indicator_upgrade(t.shell, t.spark.createDataFrame([("Password",), ("!!",)], "indicator string"), "shell_input").select("record_id", "label")
+    return L.indicator_upgrade(t.shell, t.spark.createDataFrame([("Password",), ("!!",)], "indicator string"), "shell_input").select("record_id", "label")
+
+
+@query("SELECT s.record_id, arg_min(b.item_id, b.item_id) AS rule FROM shell s LEFT JOIN benchmark b ON contains(translate(s.shell_input, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), translate(substr(b.text, 1 + b.item_id % 7, 12), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AND substr(b.text, 1 + b.item_id % 7, 12) <> '' GROUP BY s.record_id", SHELL)
+def literal_rules(t: Tables) -> DataFrame:
+    """A rule for each benchmark item: the first one, by item, of which a text holds a piece."""
+    rules = t.benchmark.select(F.expr("substr(text, int(1 + item_id % 7), 12)").alias("literal"), "item_id")
+    return L.first_literal(t.shell, rules.withColumn("place", F.col("item_id")), "shell_input", "place", "item_id").select("record_id", "rule")
 
 
 @query(

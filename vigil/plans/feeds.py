@@ -265,18 +265,44 @@ def stream_two_table_commit(t: Tables) -> DataFrame:
 
 # --- process evidence ------------------------------------------------------------------------------------------------
 @query(
-    """SELECT e.event_id, nullif((SELECT arg_max(CASE WHEN NOT EXISTS (SELECT 1 FROM telemetry b WHERE b.kind = 'error' AND b.host = c.host AND b.t > c.t AND b.t < e.t) THEN c.event_id ELSE -1 END, c.t)
-  FROM telemetry c WHERE c.kind = 'signup' AND c.host = e.host AND c.k % 5 = e.k % 5 AND c.t < e.t), -1) AS owner FROM telemetry e WHERE e.kind = 'view'""",
+    """SELECT e.event_id, CASE WHEN NOT EXISTS (SELECT 1 FROM telemetry b WHERE b.kind = 'error' AND b.host = e.host AND b.t > c.t AND b.t <= e.t) THEN c.owner END AS owner
+  FROM telemetry e LEFT JOIN LATERAL (SELECT max(t) AS t, arg_max(event_id, (t, -event_id)) AS owner FROM telemetry m WHERE m.kind = 'signup' AND m.host = e.host AND m.k % 5 = e.k % 5 AND m.t <= e.t) c ON true WHERE e.kind IN ('view', 'signup')""",
     TELEMETRY,
 )
 def pid_lifetime_join(t: Tables) -> DataFrame:
     x = t.telemetry.withColumn("pid", F.col("k") % 5)
     made = x.where("kind = 'signup'").withColumn("owner", F.col("event_id"))
-    seen = x.where("kind = 'view'").select("event_id", "host", "pid", "t")
+    seen = x.where("kind in ('view', 'signup')").select("event_id", "host", "pid", "t")  # the creation itself lies in the life that it begins
     found = E.lifetime_owner(seen, made, x.where("kind = 'error'"), "host", "pid", "t", "owner")
     return found.select("event_id", "owner")
 
 
+_INTERVALS = f""", i AS (SELECT event_id, host, k % 5 AS pid, t // 1000000 * 1000000 AS start, CASE WHEN k % 3 > 0 THEN t // 1000000 * 1000000 + k * {HOUR} END AS until FROM telemetry WHERE kind IN ('signup', 'click')),
+made AS (SELECT DISTINCT host, k % 5 AS pid, t FROM telemetry WHERE kind = 'signup'), boots AS (SELECT DISTINCT host, t FROM telemetry WHERE kind = 'error'),
+one AS (SELECT i.*, (SELECT min(t) FROM made m WHERE m.host = i.host AND m.pid = i.pid AND m.t >= start) AS born, (SELECT min(t) FROM boots b WHERE b.host = i.host AND b.t > start) AS boot FROM i),
+cut AS (SELECT *, least(CASE WHEN born < start + 1000000 THEN (SELECT min(t) FROM made m WHERE m.host = one.host AND m.pid = one.pid AND m.t > born) ELSE born END, boot) AS cutoff FROM one)"""
+
+
+def _intervals(t: Tables) -> tuple[DataFrame, DataFrame]:
+    """(telemetry with pid, intervals from starts rounded to seconds, bounded by what was observed)."""
+    x = t.telemetry.withColumn("pid", F.col("k") % 5)
+    start = F.floor(F.col("t") / 1_000_000) * 1_000_000
+    given = x.where("kind in ('signup', 'click')").select("event_id", "host", "pid", start.alias("start"), F.when(F.col("k") % 3 > 0, start + F.col("k") * HOUR).alias("until"))
+    times = E.observed_times(x, "host", "pid", "t", F.col("kind") == "signup", F.col("kind") == "error")
+    return x, E.bounded_intervals(given, times.where("what = 'creation'"), times.where("what = 'reboot'"), "host", "pid", "start", "t", 1_000_000)
+
+
+@query("SELECT event_id, start, cutoff FROM cut", TELEMETRY + _INTERVALS)
+def bounded_lifetimes(t: Tables) -> DataFrame:
+    return _intervals(t)[1].select("event_id", "start", "cutoff")
+
+
+@query("SELECT e.event_id, EXISTS (SELECT 1 FROM cut c WHERE c.host = e.host AND c.pid = e.k % 5 AND c.start <= e.t AND (until IS NULL OR e.t <= until) AND (cutoff IS NULL OR e.t < cutoff)) AS inside FROM telemetry e", TELEMETRY + _INTERVALS)
+def interval_labels(t: Tables) -> DataFrame:
+    x, bounded = _intervals(t)
+    return E.in_intervals(x.select("event_id", "host", "pid", "t"), bounded, "host", "pid", "t", "start", "until").select("event_id", "inside")
+
+
 @query("SELECT e.event_id, s.k AS touched FROM telemetry e JOIN (SELECT host, k, min(t) AS a, max(t) AS b FROM telemetry WHERE k >= 97 GROUP BY host, k) s ON e.host = s.host AND e.t BETWEEN s.a AND s.b", TELEMETRY)
 def object_relation_join(t: Tables) -> DataFrame:
     x = t.telemetry

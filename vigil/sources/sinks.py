@@ -5,28 +5,40 @@ from __future__ import annotations
 import time
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..operators.joins import small
+from ..schemas import PROCESS_LAUNCHES, SHELL_INPUTS
 
 TABLES = ("shell_inputs", "process_launches")
-LEDGER = "dataset string, run string, at bigint, removed boolean"
+LEDGER = "dataset string, run string, at bigint, removed boolean, complete boolean"
+#: The columns of a table that has never been written.
+EMPTY = dict(zip(TABLES, (SHELL_INPUTS, PROCESS_LAUNCHES)))
+
 
+def _folder(dataset: Column) -> Column:
+    """The name of a dataset's folders.  The letter in front keeps names that look like numbers, empty ones and null apart."""
+    return F.coalesce(F.concat(F.lit("d:"), dataset), F.lit("none"))
 
-def write_observations(shell: DataFrame, launches: DataFrame, root: str) -> None:
-    """Writes both tables under root as a new run and then marks its datasets as finished.
 
-    Readers see the rows of a dataset's last finished run, in both tables together: until the ledger is written they see
-    those from before, and a job that dies earlier leaves everything as it was.  A dataset that has rows in one table
-    only has none in the other.
+def write_observations(shell: DataFrame, launches: DataFrame, root: str, complete: bool = True) -> None:
+    """Writes both tables under root as a new run and then enters its datasets in the ledger.
+
+    Readers see the rows of a dataset's last run, in both tables together: until the ledger is written they see those
+    from before, and a job that dies earlier leaves everything as it was.  A dataset that has rows in one table only has
+    none in the other.  With complete=False, say for a run over a sample or up to a limit, readers see the rows, and the
+    dataset stays pending.  Any text can name a dataset; null is a dataset of its own.
     """
-    run = uuid.uuid4().hex
+    run = f"r{uuid.uuid4().hex}"
     for name, df in zip(TABLES, (shell, launches)):
-        df.withColumn("run", F.lit(run)).write.mode("append").partitionBy("run", "dataset").parquet(f"{root}/{name}")
-    _note(shell.select("dataset").union(launches.select("dataset")).distinct(), root, run, removed=False)
+        df.withColumns({"run": F.lit(run), "part": _folder(F.col("dataset"))}).write.mode("append").partitionBy("run", "part").parquet(f"{root}/{name}")
+    _note(shell.select("dataset").union(launches.select("dataset")).distinct(), root, run, removed=False, complete=complete)
 
 
-def _note(datasets: DataFrame, root: str, run: str, removed: bool) -> None:
-    noted = datasets.select("dataset", F.lit(run).alias("run"), F.lit(time.time_ns()).alias("at"), F.lit(removed).alias("removed"))
+def _note(datasets: DataFrame, root: str, run: str, removed: bool, complete: bool = True) -> None:
+    noted = datasets.select("dataset", F.lit(run).alias("run"), F.lit(time.time_ns()).alias("at"), F.lit(removed).alias("removed"), F.lit(complete).alias("complete"))
     noted.coalesce(1).write.mode("append").parquet(f"{root}/ingested")
 
 
@@ -35,34 +47,45 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
-def finished(spark: SparkSession, root: str) -> DataFrame:
-    """(dataset, run) that count: each dataset's last entry, unless it removed it.  Without a ledger there are none."""
+def ledger(spark: SparkSession, root: str) -> DataFrame:
+    """(dataset, run, complete) that count: each dataset's last entry, unless it removed it.  Without a ledger there are none."""
     if not _exists(spark, f"{root}/ingested"):
-        return spark.createDataFrame([], "dataset string, run string")
+        return spark.createDataFrame([], "dataset string, run string, complete boolean")
     last = F.row_number().over(Window.partitionBy("dataset").orderBy(F.col("at").desc(), F.col("run").desc())) == 1
-    return spark.read.schema(LEDGER).parquet(f"{root}/ingested").withColumn("_last", last).where("_last and not removed").select("dataset", "run")
+    return spark.read.schema(LEDGER).parquet(f"{root}/ingested").withColumn("_last", last).where("_last and not removed").select("dataset", "run", "complete")
+
+
+def finished(spark: SparkSession, root: str) -> DataFrame:
+    """(dataset, run) of the datasets whose last run was complete."""
+    return ledger(spark, root).where("complete").select("dataset", "run")
 
 
 def read_observations(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """The rows of a table (one of TABLES) that count.  Other runs are pruned by their folders."""
-    rows, runs = spark.read.parquet(f"{root}/{name}"), finished(spark, root)
-    return rows.withColumn("dataset", F.col("dataset").cast("string")).join(F.broadcast(runs), ["run", "dataset"], "left_semi").drop("run")
+    """The rows of a table (one of TABLES) that count; none before the first run.  Other runs are pruned by their folders."""
+    if not _exists(spark, f"{root}/{name}"):
+        return spark.createDataFrame([], EMPTY[name])
+    found = spark.read.parquet(f"{root}/{name}").schema
+    kept = T.StructType([f for f in found.fields if f.name not in ("run", "part")])
+    rows = spark.read.schema(kept.add("run", "string").add("part", "string")).parquet(f"{root}/{name}")  # else folders named by digits become numbers
+    runs = ledger(spark, root).select("run", _folder(F.col("dataset")).alias("part"))
+    return rows.join(small(runs), ["run", "part"], "left_semi").drop("run", "part")
 
 
 def pending(wanted: DataFrame, spark: SparkSession, root: str) -> DataFrame:
-    """The rows of `wanted` whose dataset the ledger does not name as finished."""
-    return wanted.join(finished(spark, root), "dataset", "left_anti")
+    """The rows of `wanted` whose dataset has no complete run."""
+    done = finished(spark, root).select(F.col("dataset").alias("_done"))
+    return wanted.join(done, wanted["dataset"].eqNullSafe(done["_done"]), "left_anti")
 
 
-def remove_stored(spark: SparkSession, root: str, *datasets: str) -> None:
+def remove_stored(spark: SparkSession, root: str, *datasets: str | None) -> None:
     """Removes datasets from both stored tables and the ledger: first for readers, then the files.  Unknown names change nothing."""
     _note(spark.createDataFrame([(d,) for d in datasets], "dataset string"), root, "", removed=True)
     fs = spark._jvm.org.apache.hadoop.fs.Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
     for name in TABLES:
         for d in datasets:
-            folder = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(d)
+            folder = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName("none" if d is None else f"d:{d}")
             for status in fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}/run=*")) or []:
-                fs.delete(spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), f"dataset={folder}"), True)
+                fs.delete(spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), f"part={folder}"), True)
 
 
 def remove_datasets(tables: dict[str, DataFrame], *datasets: str) -> dict[str, DataFrame]:
