@@ -64,6 +64,26 @@ def test_submissions_without_prompts_and_quoted_prompts(texts):
     assert sorted((r.id, r.occurrence, r.input) for r in got) == [(0, 1, "a\nb"), (1, 1, "$x = @'\nPS> no\n'@"), (2, 1, "dir")]
 
 
+def test_prompts_of_shells(texts):
+    blocks = ["[srv]: PS C:\\x> a\nout\n[PS] C:\\> b\nC:\\Users> c ^\nd\nout", "me@box:~/x$ ls |\nwc\nout\nroot@box:/# id", "PC /> show\nPS>> nested (\n1)\nout", "no@prompt: $5\nPSX> no\n$ x"]
+    got = {}
+    for r in D.submissions(texts(*blocks), ["id"], "text").orderBy("id", "occurrence").collect():
+        got.setdefault(r.id, []).append(r.input)
+    assert got == {0: ["a", "b", "c ^\nd"], 1: ["ls |\nwc", "id"], 2: ["show", "nested (\n1)"], 3: [blocks[3]]}
+
+
+def test_what_a_line_leaves_open(texts):
+    lines = {"f (": (1, 0, False), "f '(' {": (0, 1, False), 'f "`"(" )': (-1, 0, False), "a # (": (0, 0, False), "a#(": (1, 0, False), "a | # x": (0, 0, True), "a `": (0, 0, True), "a `(": (0, 0, False), "a,  ": (0, 0, True), "": (0, 0, False), "'|'": (0, 0, False)}
+    got = texts(*lines).select("text", D.scanned(F.col("text")).alias("s")).collect()
+    assert {r.text: (r.s["round"], r.s.curly, r.s.more) for r in got} == lines
+
+
+def test_typed_lines_of_transcripts(texts):
+    rows = texts("PS C:\\a> Get-Item x\nC:\\> DIR /s\nme@h:~$ ./run\nroot@h:/# id\ntool -v a\nout put\nset x=1\n9x -v\na@b no\ncp /etc b")
+    got = sorted((r.program, r.args) for r in D.prompt_commands(rows, "id", "text").collect())
+    assert got == [("cp", ["/etc", "b"]), ("dir", ["/s"]), ("get-item", ["x"]), ("id", []), ("run", []), ("set", ["x=1"]), ("tool", ["-v", "a"])]
+
+
 def test_narrative_fields(texts):
     got = D.narrative_events(texts("[t] -> Event 1 (x): Image: a | b | CommandLine: c: d | Image: e"), "id", "text").first()
     assert (got.at, got.image, got.command) == ("t", "e", "c: d")

@@ -40,10 +40,16 @@ def doc_example_blocks(t: Tables) -> DataFrame:
     return D.example_blocks(rows.select("doc_id", text.alias("md")), "doc_id", "md")
 
 
-@query("SELECT doc_id, CAST(unnest([1, 2, 3]) AS INTEGER) AS occurrence, unnest(['Get-Item ' || doc_id || ' |' || chr(10) || '  Sort-Object', 'foreach ($x in 1) {' || chr(10) || '  ' || lang || chr(10) || '}', 'Get-Date']) AS input FROM documents WHERE lang IS NOT NULL")
+_PLAIN = "replace(replace(coalesce(text, ''), '#', ''), '@', '')"
+
+
+@query(f"SELECT doc_id, CAST(unnest([1, 2, 3, 4]) AS INTEGER) AS occurrence, unnest(['Get-Item ' || doc_id || ' |' || chr(10) || '  Sort-Object', '$text = @''' || chr(10) || {_PLAIN} || chr(10) || '''@', 'foreach ($x in ''('') {{' || chr(10) || '  ' || coalesce(lang, '') || chr(10) || '}}', 'Get-Date']) AS input FROM documents")
 def doc_submissions(t: Tables) -> DataFrame:
-    code = _put("PS C:\\> Get-Item %s |\n  Sort-Object\nsome output\n>> no input\nPS C:\\> PS C:\\> foreach ($x in 1) {\n>>   %s\n}\nmore output\n<#\nPS> comment\n#>\nPS>Get-Date", "doc_id", "lang")
-    return D.submissions(t.documents.where("lang is not null").select("doc_id", code.alias("code")), ["doc_id"], "code")
+    """Whole texts as here-strings among submissions, prompts, output and comments."""
+    plain = F.replace(F.replace(F.coalesce("text", F.lit("")), F.lit("#"), F.lit("")), F.lit("@"), F.lit(""))
+    rows = t.documents.select("doc_id", plain.alias("plain"), F.coalesce("lang", F.lit("")).alias("lang"))
+    code = _put("PS C:\\> Get-Item %s |\n  Sort-Object\nsome output\n>> no input\nPS D:\\> $text = @'\n%s\n'@\nshown\nPS C:\\> PS C:\\> foreach ($x in '(') {\n>>   %s\n}\nmore output\n<#\nPS> comment\n#>\nPS>Get-Date", "doc_id", "plain", "lang")
+    return D.submissions(rows.select("doc_id", code.alias("code")), ["doc_id"], "code")
 
 
 @query(

@@ -6,6 +6,8 @@ earlier lines is a running sum over a window of the text's key, which must be un
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -20,19 +22,57 @@ EVENT_LINE = r"(?dm)^\s*\[([^\]]+)\] -> Event 1 \([^\n]*?\): ([^\n]*)$"
 EVENT_FIELD = r"(?s)(?:^| \| )([A-Z][A-Za-z0-9]*): (.*?)(?=\z| \| [A-Z][A-Za-z0-9]*: )"
 SNIPPET = r"(?s)\[ Code-snippet \]:\s*\n(.*?)\n\[ Resolved Code \]:.*?\[ GROUND-TRUTH & ALL INFORMATION \]:\s*\n(.*?)(?=\n-{10,}|\z)"
 
-# Prompts as the shells write them: PowerShell's `PS` with a place, `>>` when nested, after a remote host's name in brackets
-# or a module's; the command processor's drive and path; a recovery console's `PC />`.
-_REMOTE = r"(?:\[[^\[\]]+\]\s*:?\s*)*"
-_POWERSHELL = _REMOTE + r"(?:[\w.-]+\\)?PS(?:\s[^>\r\n]*)?>{1,2}"
-DOC_PROMPT = rf"(?:{_POWERSHELL}|[a-z]+:\\[^>\r\n]*>|PC\s/>)[ \t]*"
-# What holds no brackets of the code itself: escaped characters, strings of both kinds, and comments.
-NOT_SYNTAX = "|".join([r"`.", r"'[^']*+(?:''[^']*+)*+'", r'"(?:[^"`]++|`.)*+"', r"#.*"])
-# A typed command of a transcript: after a drive prompt, after user@host:place and its sign, or a first word with a flag, path or setting.
-TYPED = (
-    r"^(?:PS\s)?[A-Za-z]:\\[^>]*>\s*(\S.*)$",
-    r"^[\w.-]+@[\w.-]+:[^#$]*[#$]\s*(\S.*)$",
-    r"^([A-Za-z_./\\][\w.\-/\\]*\s+(?:/|-[A-Za-z]|\w+=).*)$",
+
+@dataclass(frozen=True)
+class Shell:
+    """How a shell shows that it waits for input, the sign that makes the next one ordinary, and what ends a line that goes on."""
+
+    name: str
+    prompt: str
+    escape: str
+    more: str
+
+
+#: The shells whose prompts documents and transcripts show, each as its documentation gives the default prompt.
+SHELLS = (
+    Shell("powershell", r"(?:\[[^\[\]\n]+\]:? ?)*(?:[^\s\\>]+\\)?PS(?:\s[^>\n]*)?>+", "`", "|,"),  # [host]: PS C:\dir>, and >> when nested
+    Shell("exchange", r"\[PS\] [^>\n]*>", "`", "|,"),
+    Shell("cmd", r"[A-Za-z]:\\[^<>|\n]*>", "^", "^"),  # C:\dir>
+    Shell("posix", r"[\w.-]+@[\w.-]+:[^#$\n]*[#$](?=\s)", "\\", "|"),  # user@host:dir$, # for root
+    Shell("console", r"[A-Z]{2,3} /[^>\n]*>", "`", "|,"),
 )
+#: A line's prompts; examples repeat them by mistake.
+PROMPT = "^(?:(?:" + "|".join(s.prompt for s in SHELLS) + r")[ \t]*)+"
+#: Signs at a line's end after which a command goes on: those for more, and escapes of the line end.
+MORE = "".join(sorted({c for s in SHELLS for c in s.more + s.escape}))
+
+
+def scanned(line: Column) -> Column:
+    """What a line of code leaves open, from one walk along its characters: (round, curly, more, code).
+
+    round and curly: how many more brackets it opens than it closes; more: whether it ends in a sign after which a command
+    goes on; code: whether it holds any.  Quoted strings, escaped characters and comments, which begin with # at a word's
+    start, count for nothing.
+    """
+    start = F.struct(F.lit("").alias("mode"), F.lit("").alias("last"), F.lit(True).alias("edge"), F.lit(0).alias("round"), F.lit(0).alias("curly"))
+
+    def step(s: Column, c: Column) -> Column:
+        mode, code = s["mode"], s["mode"] == ""
+        within = F.when(mode == "#", "#").when((mode == '"') & (c == "`"), '"`').when(mode == '"`', '"').when((mode == "skip") | (mode == c), "").otherwise(mode)
+        opened = F.when(c.isin("`", "^"), "skip").when(c.isin("'", '"'), c).when((c == "#") & s["edge"], "#").otherwise("")
+        blank = c.rlike(r"^\s$")
+        delta = lambda a, b: F.when(code & (c == a), 1).when(code & (c == b), -1).otherwise(0)
+        last = F.when(code & (blank | (opened == "#")) | (mode == "#"), s["last"]).when(code, c).otherwise("x")
+        return F.struct(
+            F.when(code, opened).otherwise(within).alias("mode"), last.alias("last"), (code & (blank | c.isin("(", "{", ";", "|"))).alias("edge"),
+            (s["round"] + delta("(", ")")).alias("round"), (s["curly"] + delta("{", "}")).alias("curly"),
+        )
+
+    def result(s: Column) -> Column:
+        more = (s["last"] != "") & F.contains(F.lit(MORE), s["last"])
+        return F.struct(s["round"].alias("round"), s["curly"].alias("curly"), more.alias("more"), (s["last"] != "").alias("code"))
+
+    return F.aggregate(F.filter(F.split(line, ""), lambda c: c != ""), start, step, result)
 
 
 def whole_texts(spark: SparkSession, path: str) -> DataFrame:
@@ -85,9 +125,9 @@ def example_blocks(docs: DataFrame, key: str, text: str) -> DataFrame:
 def submissions(blocks: DataFrame, keys: list[str], code: str) -> DataFrame:
     """(keys, occurrence, input): what was typed in a block; occurrence counts from 1.
 
-    With prompts, a submission is the text after one and the lines that go on with it: marked `>>`, after a line that ends
-    in a pipe, comma or escape, or while brackets are open; other lines are output.  Prompts inside block comments and
-    here-strings do not count.  A block without prompts is one submission.
+    With prompts (see SHELLS), a submission is the text after one and the lines that go on with it: marked `>>`, after a
+    line that ends in a sign for more, while brackets are open, or inside a block comment or here-string, where prompts
+    do not count; other lines are output.  A block without prompts is one submission.
     """
     lines = blocks.select(*keys, F.posexplode(F.split(code, r"\r?\n")).alias("pos", "line"))
     whole, before = Window.partitionBy(*keys), Window.partitionBy(*keys).orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
@@ -95,16 +135,15 @@ def submissions(blocks: DataFrame, keys: list[str], code: str) -> DataFrame:
     begun = F.size(F.regexp_extract_all("line", F.lit(r"<#|@['\"]\s*$"), F.lit(0)))
     ended = F.size(F.regexp_extract_all("line", F.lit(r"#>|^['\"]@"), F.lit(0)))
     quoted = (F.coalesce(F.sum(begun - ended).over(before), F.lit(0)) > 0) & (F.sum(ended).over(rest) > 0)
-    many = f"(?i)^(?:{DOC_PROMPT})+"
-    lines = lines.withColumn("prompt", F.col("line").rlike(many) & ~quoted)
-    body = F.when(F.col("prompt"), F.regexp_replace("line", many, "")).otherwise(F.regexp_replace("line", r"^\s*>>\s?", ""))
+    lines = lines.withColumns({"quoted": quoted, "prompt": F.col("line").rlike(PROMPT) & ~quoted})
+    body = F.when(F.col("prompt"), F.regexp_replace("line", PROMPT, "")).when(F.col("quoted"), F.col("line")).otherwise(F.regexp_replace("line", r"^\s*>>\s?", ""))
     lines = lines.withColumns({"part": F.sum(F.col("prompt").cast("int")).over(along), "prompts": F.sum(F.col("prompt").cast("int")).over(whole), "body": body})
-    syntax = F.regexp_replace("body", NOT_SYNTAX, "")
-    depth = [F.length(F.regexp_replace(syntax, f"[^{a}]", "")) - F.length(F.regexp_replace(syntax, f"[^{b}]", "")) for a, b in ((r"\{", r"\}"), (r"\(", r"\)"))]
+    lines = lines.withColumn("open", F.when(~F.col("quoted"), scanned(F.col("body"))))
     mine = Window.partitionBy(*keys, "part").orderBy("pos")
     earlier = mine.rowsBetween(Window.unboundedPreceding, -1)
-    unfinished = F.last(F.when(F.trim(syntax) != "", syntax.rlike(r"[|`^,]\s*$")), ignorenulls=True).over(earlier)
-    goes_on = F.col("line").rlike(r"^\s*(>>|\{)") | F.coalesce(unfinished, F.lit(False)) | (F.coalesce(F.sum(depth[0]).over(earlier), F.lit(0)) > 0) | (F.coalesce(F.sum(depth[1]).over(earlier), F.lit(0)) > 0)
+    unfinished = F.coalesce(F.last(F.when(F.col("open.code"), F.col("open.more")), ignorenulls=True).over(earlier), F.lit(False))
+    depth = F.greatest(*[F.coalesce(F.sum(f"open.{kind}").over(earlier), F.lit(0)) for kind in ("round", "curly")])
+    goes_on = F.col("quoted") | F.col("line").rlike(r"^\s*(>>|\{)") | unfinished | (depth > 0)
     lines = lines.withColumn("stops", F.when(F.col("prompts") == 0, False).when(F.col("prompt"), F.trim("body") == "").otherwise(~goes_on))
     lines = lines.withColumn("output", F.max("stops").over(mine.rowsBetween(Window.unboundedPreceding, 0)))
     kept = lines.where(~F.col("output") & ((F.col("part") > 0) | (F.col("prompts") == 0)))
@@ -136,8 +175,11 @@ def prompt_commands(docs: DataFrame, key: str, text: str) -> DataFrame:
     program is the last component of its path in lower case.
     """
     lines = docs.select(key, F.explode(F.split(text, r"\r?\n")).alias("line"))
-    found = F.coalesce(*[F.nullif(F.regexp_extract("line", p, 1), F.lit("")) for p in TYPED])
-    words = lines.select(key, argv(found).alias("words")).where("size(words) > 0")
+    asked = F.col("line").rlike(PROMPT)
+    words = lines.select(key, asked.alias("asked"), argv(F.regexp_replace("line", PROMPT, "")).alias("words")).where("size(words) > 0")
+    named = F.get("words", F.lit(0)).rlike(r"^[A-Za-z_./\\][A-Za-z0-9_./\\-]*$")
+    told = F.coalesce(F.get("words", F.lit(1)), F.lit(""))
+    words = words.where(F.col("asked") | (named & (told.startswith("/") | told.rlike("^-[A-Za-z]") | told.rlike(r"^\w+="))))
     program = F.lower(basename(F.get("words", F.lit(0)), F.lit("windows")))
     return words.select(key, program.alias("program"), F.slice("words", 2, F.size("words")).alias("args")).distinct()
 
