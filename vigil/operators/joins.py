@@ -18,18 +18,52 @@ def small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+#: Names of the two halves of a key's hash.
+HASHED = ("_hash1", "_hash2")
+
+
+def hashed(df: DataFrame, keys: list[str]) -> DataFrame:
+    """df with a 128-bit hash of its keys as two numbers, by which wide keys such as whole commands are grouped, sorted and joined.
+
+    Two keys of a table of 10**12 keys share a hash with a chance below 10**-14.
+    """
+    return df.withColumns({name: F.xxhash64(F.lit(i), *keys, *[F.col(k).isNull() for k in keys]) for i, name in enumerate(HASHED)})
+
+
+def first_of_each(df: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """(keys, order): the least `order` of each different key; null is a value of a key."""
+    least = hashed(df, keys).groupBy(*HASHED).agg(F.min(F.struct(order, *keys)).alias("_least"))
+    return least.select(*[F.col(f"_least.{c}").alias(c) for c in [*keys, order]])
+
+
+def _last_labels(incoming: DataFrame, keys: list[str], seq: str, name: str) -> DataFrame:
+    """The last label of each key: HASHED, `name`, and the key's columns as _0, _1.. to confirm matches by."""
+    last = hashed(incoming, keys).groupBy(*HASHED).agg(F.max(F.struct(F.col(seq).alias("seq"), F.col("label").alias("label"), *[F.col(k).alias(f"_{i}") for i, k in enumerate(keys)])).alias("_last"))
+    return last.select(*HASHED, F.col("_last.label").alias(name), *[F.col(f"_last._{i}").alias(f"_{i}") for i in range(len(keys))])
+
+
+def _same(target: DataFrame, last: DataFrame, keys: list[str]) -> Column:
+    same = (target[HASHED[0]] == last[HASHED[0]]) & (target[HASHED[1]] == last[HASHED[1]])
+    for i, k in enumerate(keys):
+        same = same & (target[k] == last[f"_{i}"])
+    return same
+
+
 def apply_labels(target: DataFrame, incoming: DataFrame, keys: list[str], seq: str = "seq", override: bool = False) -> DataFrame:
-    """target with ai_label (or override_label) replaced where incoming has the same command; its last row counts."""
+    """target with ai_label (or override_label) replaced where incoming has the same command; its last row counts, a null label changes nothing.
+
+    A command with a null in its keys matches none.
+    """
     column = "override_label" if override else "ai_label"
-    last = incoming.groupBy(*keys).agg(F.max_by("label", seq).alias("incoming_label"))
-    joined = target.drop("label").join(last, keys, "left").withColumn(column, F.coalesce("incoming_label", column)).drop("incoming_label")
+    own, last = hashed(target.drop("label"), keys), _last_labels(incoming, keys, seq, "_new")
+    joined = own.join(last, _same(own, last, keys), "left").withColumn(column, F.coalesce("_new", column)).select(*[c for c in target.columns if c != "label"])
     return joined.withColumn("label", final_label(F.col("dataset_label"), F.col("ai_label"), F.col("override_label")))
 
 
 def label_conflicts(target: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
     """(old_label, new_label, n): known labels of target that incoming replaces by another."""
-    last = incoming.groupBy(*keys).agg(F.max_by("label", "seq").alias("new_label"))
-    both = target.join(last, keys).where("ai_label is not null and ai_label <> 'unknown' and ai_label <> new_label")
+    own, last = hashed(target, keys), _last_labels(incoming, keys, "seq", "new_label")
+    both = own.join(last, _same(own, last, keys)).where("ai_label is not null and ai_label <> 'unknown' and ai_label <> new_label")
     return both.groupBy(F.col("ai_label").alias("old_label"), "new_label").agg(F.count("*").alias("n"))
 
 

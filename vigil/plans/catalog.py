@@ -310,7 +310,7 @@ def distinct_commands(t: Tables) -> DataFrame:
 
 @query("SELECT dataset, dataset_label, pgm_base, args, min(record_id) AS record_id FROM launches GROUP BY ALL", LAUNCHES)
 def unique_commands(t: Tables) -> DataFrame:
-    return t.launches.groupBy("dataset", "dataset_label", "pgm_base", "args").agg(F.min("record_id").alias("record_id"))
+    return J.first_of_each(t.launches, ["dataset", "dataset_label", "pgm_base", "args"], "record_id")
 
 
 @query("SELECT host, arg_max(event_id, (CASE WHEN kind = 'signup' THEN 1 ELSE 0 END, k, -event_id)) AS event_id, max(CASE WHEN kind = 'error' THEN 1 ELSE 0 END) AS attack FROM telemetry GROUP BY host", TELEMETRY)
