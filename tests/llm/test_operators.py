@@ -24,20 +24,28 @@ def rows(df):
 
 # --- op1 -------------------------------------------------------------------------------------------------------------
 def brute_top(vectors, k, every):
-    v = {}
+    v = []
     for i, x in vectors:
-        if i is None or not x or any(c is None or not np.isfinite(c) for c in x):
-            continue
-        q = tuple(int(np.floor(256 * float(np.float32(c)))) for c in x)
-        v[i] = min(v.get(i, q), q)
+        if i is not None and x and not any(c is None or not np.isfinite(c) for c in x):
+            v.append((i, tuple(int(np.floor(256 * float(np.float32(c)))) for c in x)))
     out = []
-    for i in v:
+    for at, (i, q) in enumerate(v):
         if i % every == 0:
-            s = sorted((-sum(a * b for a, b in zip(v[i], v[j])), j) for j in v if j != i and len(v[j]) == len(v[i]))[:k]
+            s = sorted((-sum(a * b for a, b in zip(q, w)), j) for to, (j, w) in enumerate(v) if to != at and len(w) == len(q))[:k]
             out += [(i, r + 1, j, -t) for r, (t, j) in enumerate(s)]
     return sorted(out, key=str)
 
 
+def test_topk_of_repeated_ids(spark):
+    """Every row is a candidate and asks for itself, whatever its id."""
+    some = [(50, [1.0, 1.0]), (7, [1.0, 0.0]), (7, [0.0, 5.0]), (50, [1.0, 1.0]), (50, [2.0, -1.0]), (100, [1.0, 1.0]), (7, [1.0, 0.0])]
+    df = spark.createDataFrame(some, "vec_id bigint, embedding array<float>")
+    for k in (1, 2, 5):
+        assert rows(topk.top_k(df, k=k)) == brute_top(some, k, 50)
+    far = spark.createDataFrame([(50, [1e30, 1.0]), (0, [1.0, 1.0]), (1, [2.0, 2.0])], "vec_id bigint, embedding array<double>")
+    assert [tuple(r) for r in topk.top_k(far).collect()] == [(0, 1, 1, 2 * 256 * 512)]
+
+
 def test_topk_brute_force(spark):
     rng = np.random.default_rng(3)
     base = [(i, rng.normal(0, 0.3, 6).astype(np.float32).tolist()) for i in range(60)]
@@ -84,6 +92,14 @@ def test_chat_layouts(spark):
     assert got == {0: pair, 1: pair, 2: pair, 3: [("user", "a\nc"), ("assistant", "b")], 4: pair, 5: pair, 6: [(None, None)], 7: [(None, None)], 8: [(None, None)]}
     with pytest.raises(ValueError):
         chat.turns_from_rows(df, "id", "record")
+    more = [
+        '{"prompt": "x", "messages": [{"role": "user", "content": "a"}]}', '{"system": "s", "prompt": "a", "response": "b"}', '{"system": "s", "instruction": "a", "output": "b", "id": 7}', '{"messages": [{"role": "user", "content": null}]}',
+        '{"messages": [{"role": "user", "content": [{"type": "text", "text": "a"}, {"type": "image"}, "b"]}]}', '{"question": "q", "context": "c", "answer": "a", "messages": []}', '{"system": null, "input": "", "instruction": "a", "output": "b"}',
+    ]
+    got = {}
+    for r in chat.turns_from_json(spark.createDataFrame(list(enumerate(more)), "id bigint, record string"), "id", "record").orderBy("conv", "turn").collect():
+        got.setdefault(r.conv, []).append((r.role, r.text))
+    assert got == {0: [("user", "a")], 1: [("system", "s"), *pair], 2: [("system", "s"), *pair], 3: [("user", "")], 4: [("user", "a\nb")], 5: [("user", "c\nq"), ("assistant", "a")], 6: pair}
     assert chat.turns_from_json(df.limit(0), "id", "record").count() == 0
 
 

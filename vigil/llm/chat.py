@@ -24,34 +24,37 @@ from pyspark.sql import types as T
 # --- layouts ---------------------------------------------------------------------------------------------------------
 @dataclass(frozen=True)
 class Mapping:
-    """How one layout gives turns.  each: path of a list whose items have role and text; fixed: (role, paths) in order."""
+    """How one layout gives turns.  each: path of a list whose items have role and text; fixed: (role, paths) in order.
+
+    A layout is known by its required paths; fields in `optional` are used where they are there.
+    """
 
     name: str
     each: str = ""
     role: str = ""
     text: str = ""
     fixed: tuple[tuple[str, tuple[str, ...]], ...] = ()
+    optional: tuple[str, ...] = ()
     rows: bool = False
 
     def paths(self) -> set[str]:
         if self.rows:
             return {self.role, self.text}
         if self.each:
-            return {f"{self.each}[].{self.role}", f"{self.each}[].{self.text}"}
-        return {p for _, ps in self.fixed for p in ps}
+            return {f"{self.each}[].{self.role}"}  # a list of turns without any text is one all the same
+        return {p for _, ps in self.fixed for p in ps} - set(self.optional)
 
 
+#: In this order: of several layouts whose required paths a record has, the first one counts.
 MAPPINGS = (
     Mapping("turn rows", role="role", text="text", rows=True),
     Mapping("messages", each="messages", role="role", text="content"),
     Mapping("conversations", each="conversations", role="from", text="value"),
     Mapping("turns", each="turns", role="role", text="text"),
-    Mapping("instruction", fixed=(("user", ("instruction",)), ("assistant", ("output",)))),
-    Mapping("instruction with input", fixed=(("user", ("instruction", "input")), ("assistant", ("output",)))),
-    Mapping("instruction with system", fixed=(("system", ("system",)), ("user", ("instruction", "input")), ("assistant", ("output",)))),
-    Mapping("prompt and response", fixed=(("user", ("prompt",)), ("assistant", ("response",)))),
-    Mapping("prompt and completion", fixed=(("user", ("prompt",)), ("assistant", ("completion",)))),
-    Mapping("question and answer", fixed=(("user", ("question",)), ("assistant", ("answer",)))),
+    Mapping("instruction", fixed=(("system", ("system",)), ("user", ("instruction", "input")), ("assistant", ("output",))), optional=("system", "input")),
+    Mapping("prompt and response", fixed=(("system", ("system",)), ("user", ("prompt",)), ("assistant", ("response",))), optional=("system",)),
+    Mapping("prompt and completion", fixed=(("system", ("system",)), ("user", ("prompt",)), ("assistant", ("completion",))), optional=("system",)),
+    Mapping("question and answer", fixed=(("system", ("system",)), ("user", ("context", "question")), ("assistant", ("answer",))), optional=("system", "context")),
 )
 ROWS, RECORDS = tuple(m for m in MAPPINGS if m.rows), tuple(m for m in MAPPINGS if not m.rows)
 #: Other names of roles, in records of mixed layouts.
@@ -64,9 +67,14 @@ def fingerprint(paths) -> str:
 
 
 @functools.cache
-def mapping_table(mappings: tuple[Mapping, ...] = MAPPINGS) -> tuple[frozenset[str], dict[str, Mapping]]:
-    """(all paths that mappings name, mapping by fingerprint)."""
-    return frozenset().union(*(m.paths() for m in mappings)), {fingerprint(m.paths()): m for m in mappings}
+def known_paths(mappings: tuple[Mapping, ...] = MAPPINGS) -> frozenset[str]:
+    """All paths that mappings require."""
+    return frozenset().union(*(m.paths() for m in mappings))
+
+
+@functools.lru_cache(maxsize=10_000)
+def _selected(paths: frozenset[str], mappings: tuple[Mapping, ...]) -> tuple[str, Mapping | None]:
+    return fingerprint(paths), next((m for m in mappings if m.paths() <= paths), None)
 
 
 def _named(key: str) -> str:
@@ -99,14 +107,16 @@ def schema_paths(t: T.DataType, at: str = "") -> Iterator[str]:
 
 
 def select_mapping(paths, mappings: tuple[Mapping, ...]) -> tuple[str, Mapping | None]:
-    """(fingerprint, mapping or None) of these paths.  Paths that no mapping names are left out of the fingerprint, so extra fields change nothing."""
-    known, table = mapping_table(mappings)
-    mark = fingerprint(known.intersection(paths))
-    return mark, table.get(mark)
+    """(fingerprint, mapping or None) of these paths: the first mapping whose required paths are all there, looked up by the fingerprint of
+    the paths that any mapping requires.  Other fields change neither."""
+    return _selected(known_paths(mappings).intersection(paths), mappings)
 
 
 def _text(v) -> str:
-    """A value as text: null is empty, what is no text stays JSON, and half a surrogate pair is U+FFFD."""
+    """A value as text: null is empty, of a list of parts the texts count, a line each, what else is no text stays JSON, and half a surrogate pair is U+FFFD."""
+    if isinstance(v, list):
+        parts = [p.get("text") if isinstance(p, dict) else p for p in v]
+        v = "\n".join(p for p in parts if isinstance(p, str)) if v and any(isinstance(p, str) for p in parts) else json.dumps(v)
     v = "" if v is None else v if isinstance(v, str) else json.dumps(v)
     try:
         v.encode()
@@ -131,7 +141,8 @@ def turns_of(record: str | None, mappings: tuple[Mapping, ...] = RECORDS) -> tup
         if m.each:
             items = [i if isinstance(i, dict) else {m.text: i} for i in x[m.each]]
             return mark, [(ROLES.get(r := _text(i.get(m.role)), r), _text(i.get(m.text))) for i in items]
-        return mark, [(role, "\n".join(t for p in paths if (t := _text(x.get(p))))) for role, paths in m.fixed]
+        there = [(role, paths) for role, paths in m.fixed if any(p not in m.optional or x.get(p) is not None for p in paths)]
+        return mark, [(role, "\n".join(t for p in paths if (t := _text(x.get(p))))) for role, paths in there]
     except (ValueError, RecursionError):
         return None, []
 

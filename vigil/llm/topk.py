@@ -30,9 +30,11 @@ LOWEST = -(2**62)
 
 
 def quantized(embedding: Column, scale: int = 256) -> Column:
-    """floor(scale * x) of each component, x as double; null for null vectors and those with null or non-finite components."""
+    """floor(scale * x) of each component, x as double; null for null vectors, those with null or non-finite components, and
+    those so long that an inner product might not fit 64 bits (squares that sum to 2**62 or more; see top_k)."""
     bad = F.exists(embedding, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    return F.when(~bad, F.transform(embedding, lambda x: F.floor(x.cast("double") * scale)))
+    square = F.aggregate(embedding, F.lit(0.0), lambda s, x: s + (F.abs(x.cast("double")) * scale + 1) * (F.abs(x.cast("double")) * scale + 1))
+    return F.when(~bad & (square < 2.0**62), F.transform(embedding, lambda x: F.floor(x.cast("double") * scale)))
 
 
 def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -159,16 +161,22 @@ def top_k(df: DataFrame, k: int = 5, query_every: int = 50, id_col: str = "vec_i
     products with the other rows' vectors (fewer if there are no more); ties go to the smaller id.
 
     Components x count as floor(256 * x).  Rows with a null id, or a vector that is null, empty or holds null or non-finite
-    components, take no part.  An id that repeats stands for its smallest vector.  Vectors of different length have no
-    product.  Totals must fit 64 bits.  Extra columns are left out.  Empty tables give empty results.
+    components, take no part, nor do vectors longer than about 2**31 / 256, whose products might not fit 64 bits.  Rows that
+    repeat an id are rows of their own: each is a candidate, its id may come more than once in a result, and each asks
+    a query, so equal rows give equal results.  Vectors of different length have no product.  Extra columns are left
+    out.  Empty tables give empty results.
     """
     rows = df.select(F.col(id_col).cast("long").alias("id"), quantized(F.col(f"`{vector_col}`")).alias("v")).where("id is not null and v is not null and size(v) > 0")
-    rows = cut(rows.groupBy("id").agg(F.min("v").alias("v")))
+    rows = cut(rows)
+    # a class of equal vectors goes by a number; `first` is its smallest id
+    classes = cut(rows.groupBy("v").agg(F.min("id").alias("first")).withColumn("c", F.monotonically_increasing_id()))
     same = Window.partitionBy("v").orderBy("id")
-    members = rows.withColumn("place", F.row_number().over(same)).withColumn("head", F.min("id").over(same.rowsBetween(Window.unboundedPreceding, 0))).where(F.col("place") <= k + 1)
-    members = cut(members)
-    heads = members.where("place = 1").select("id", "v")
-    asked = cut(rows.where(F.pmod("id", F.lit(query_every)) == 0).join(heads.select(F.col("id").alias("head"), "v"), "v").select(F.col("id").alias("query_id"), "head"))
+    members = rows.withColumn("place", F.row_number().over(same)).where(F.col("place") <= k + 1).join(classes, "v").select("c", "id", "place")
+    members = cut(members.withColumn("repeat", F.row_number().over(Window.partitionBy("c", "id").orderBy("place"))).drop("place"))
+    heads = classes.select(F.col("c").alias("id"), "v")
+    firsts = classes.select(F.col("c").alias("id"), "first")
+    asked = rows.where(F.pmod("id", F.lit(query_every)) == 0).groupBy("id", "v").agg(F.count("*").alias("times"))
+    asked = cut(asked.join(classes, "v").select(F.col("id").alias("query_id"), F.col("c").alias("head"), "times"))
     queries = asked.select(F.col("head").alias("id")).distinct().join(heads, "id")
     n_groups = max(1, math.ceil(queries.count() / BLOCK))
     group = F.pmod(F.xxhash64("id"), F.lit(n_groups)) if n_groups > 1 else F.lit(0).cast("long")
@@ -193,11 +201,14 @@ def top_k(df: DataFrame, k: int = 5, query_every: int = 50, id_col: str = "vec_i
     )
     exact = merged.where(F.col("n") == slices).select("query", "id", F.col("sum").alias("total"))
     totals = exact.unionByName(_resolved(merged.where(F.col("n") < slices).select("query", "id"), heads))
-    classes = totals.withColumn("place", F.row_number().over(by_total)).where(F.col("place") <= wanted).select("query", F.col("id").alias("head"), "total")
-    near = classes.join(members.select("head", "id"), "head").withColumn("place", F.row_number().over(by_total)).where(F.col("place") <= wanted)
-    final = Window.partitionBy("query_id").orderBy(F.col("total").desc(), "id")
+    by_first = Window.partitionBy("query").orderBy(F.col("total").desc(), "first")
+    best = totals.join(firsts, "id").withColumn("place", F.row_number().over(by_first)).where(F.col("place") <= wanted).select("query", F.col("id").alias("c"), "total")
+    near = best.join(members, "c").withColumn("place", F.row_number().over(by_total)).where(F.col("place") <= wanted)
+    final = Window.partitionBy("query_id", "head").orderBy(F.col("total").desc(), "id")
+    own = (F.col("c") == F.col("head")) & (F.col("id") == F.col("query_id")) & (F.col("repeat") == 1)
     return (
-        near.select(F.col("query").alias("head"), "id", "total").join(asked, "head").where("id <> query_id")
+        near.select(F.col("query").alias("head"), "c", "id", "repeat", "total").join(asked, "head").where(~own)
         .withColumn("rank", F.row_number().over(final)).where(F.col("rank") <= k)
+        .withColumn("time", F.explode(F.sequence(F.lit(1).cast("long"), "times")))
         .select("query_id", "rank", F.col("id").alias("vec_id"), F.col("total").alias("score"))
     )
