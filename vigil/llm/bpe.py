@@ -220,7 +220,7 @@ class ByteBPE:
         return b"".join(map(self.bytes.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
 
 
-@functools.cache
+@functools.lru_cache(maxsize=1)  # with its words, one vocabulary takes about 100 MB of a worker that later stages use again
 def vocabulary(path: str, label: Callable[[str], int] | None = None) -> ByteBPE:
     return ByteBPE(path, label)
 

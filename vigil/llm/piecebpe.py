@@ -244,7 +244,7 @@ class PieceBPE:
         return text[1:] if text[:1] == " " else text  # the space that encoding puts in front
 
 
-@functools.cache
+@functools.lru_cache(maxsize=1)
 def model_of(path: str) -> PieceBPE:
     return PieceBPE(path)
 
