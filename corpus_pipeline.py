@@ -23,13 +23,13 @@ TOKENIZER = "byte_bpe_50k.json"
 
 #: Below this, 2**62 free numbers lie behind an id.
 ROOM = 1 << 62
-#: Rows of an Arrow batch in jobs that hold texts, their sets and their vectors.  A batch lies in the JVM and in Python at once.
+#: Rows of an Arrow batch.  Texts can be long, and a batch lies in the JVM and in Python at once.
 ARROW_ROWS = 1000
 
 
 @contextmanager
 def _few_rows(spark: SparkSession) -> Iterator[None]:
-    """Jobs that are run inside take few rows at a time; afterwards the session is as before."""
+    """Jobs that are run inside take few rows at a time; afterwards the session is as before.  So stages write their rows inside."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(key)
     spark.conf.set(key, str(ARROW_ROWS))
@@ -45,7 +45,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     Null and empty texts, and those of white space, have no words and go.  Repeated rows are judged alike and all stay or
     all go; null ids change nothing; extra columns are left out; an empty table gives an empty result.
     """
-    return quality.judge_quality(docs.select(*COLUMNS)).where("posterior >= 0.5 and n_words > 0").select(*COLUMNS)
+    with _few_rows(spark):
+        return staged(quality.judge_quality(docs.select(*COLUMNS)).where("posterior >= 0.5 and n_words > 0").select(*COLUMNS), "good")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -94,8 +95,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     empty table gives an empty result.
     """
     with _few_rows(spark):
-        mixed = mixing.mix(docs.select(*COLUMNS), tokenizer=tokenizer_path(TOKENIZER))
-    return mixed.where("sampled").select(*COLUMNS)
+        return staged(mixing.mix(docs.select(*COLUMNS), tokenizer=tokenizer_path(TOKENIZER)).where("sampled").select(*COLUMNS), "mixed")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -105,7 +105,8 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     done = bpe.roundtrip(docs.select("doc_id", "source", "lang", "text"), tokenizer_path(TOKENIZER))
     same = F.col("decoded") == F.coalesce("text", F.lit(""))
-    return done.select("doc_id", "source", "lang", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids", same.alias("round_trip"))
+    with _few_rows(spark):
+        return staged(done.select("doc_id", "source", "lang", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids", same.alias("round_trip")), "encoded")
 
 
 STAGES = [("quality rules", quality_rules), ("near-duplicates", near_duplicates), ("mixing", mix_sources), ("bpe", encode)]
