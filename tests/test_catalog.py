@@ -2,6 +2,7 @@
 
 import glob
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -71,10 +72,10 @@ def test_continuations(spark):
     assert sorted(map(tuple, S.joined_continuations(lines, "s", "i", "line").collect())) == [("s", 0, "a \\\nb"), ("s", 2, "c \\\\"), ("s", 3, "d")]
 
 
-def test_lifetime_evidence_gathers_no_times(spark, duck):
+def test_lifetime_evidence_keeps_all_times(spark, duck):
     got = catalog.QUERIES["lifetime_evidence"](spark, SF)
-    want = duck.execute(f"SELECT host, starts, first_t, last_t FROM ({catalog.SQL['lifetime_evidence']})").fetchall()
-    assert want and sorted(map(tuple, got.select("host", "starts", "first_t", "last_t").collect())) == sorted(want)
+    want = duck.execute(f"SELECT host, pid, t, what FROM ({catalog.SQL['lifetime_evidence']})").fetchall()
+    assert want and sorted(map(tuple, got.select("host", "pid", "t", "what").collect()), key=str) == sorted(want, key=str)
     assert "collect_" not in got._jdf.queryExecution().toString()
 
 
@@ -88,6 +89,29 @@ def test_descendants_of_long_chains_cycles_and_many_parents(spark):
     assert {r.node for r in J.descendants(twice, spark.createDataFrame([("a", 1)], "node string, t bigint")).collect()} == {"a", "b", "c"}
 
 
+def test_descendants_of_a_chain_with_side_parents(spark, monkeypatch):
+    n = 3000
+    chain = [(i, i - 1, i) for i in range(1, n)] + [(i, 100_000 + i, i) for i in range(1, n)]
+    edges = spark.createDataFrame(chain, "node bigint, parent bigint, t bigint")
+    rounds, cut = [], J.cut
+    monkeypatch.setattr(J, "cut", lambda df: rounds.append(1) or cut(df))
+    seeds = spark.createDataFrame([(7, 7), (100_000 + 3, 9)], "node bigint, t bigint")
+    monkeypatch.setattr(J, "BLOCK_EDGES", 2000)
+    assert {r.node for r in J.descendants(edges, seeds).collect()} == {100_003, *range(7, n)}
+    assert len(rounds) < 30  # a round for each block that the chain crosses
+    rnd = random.Random(3)
+    graph = [(rnd.randint(0, 60), rnd.randint(0, 60), rnd.randint(0, 20)) for _ in range(150)]
+    monkeypatch.setattr(J, "BLOCK_EDGES", 40)
+    got = {r.node for r in J.descendants(spark.createDataFrame(graph, "node bigint, parent bigint, t bigint"), spark.createDataFrame([(1, 2), (2, 5)], "node bigint, t bigint")).collect()}
+    best, more = {1: 2, 2: 5}, True
+    while more:
+        more = False
+        for node, parent, t in graph:
+            if parent in best and t >= best[parent] and t < best.get(node, 99):
+                best[node], more = t, True
+    assert got == set(best)
+
+
 def test_nearest_time_of_a_hot_host(spark):
     n = 20_000
     events = spark.range(n).selectExpr("id", "'h' as host", "id * 2 as t")

@@ -115,13 +115,17 @@ def test_sessions_of_forks_parents_and_used_pids(spark):
     assert P.lifetime_sessions(df.limit(0), ["host"], ["event"]).collect() == []
 
 
-def test_sessions_go_on_in_the_next_batch(spark, tmp_path):
+def test_sessions_of_rows_in_any_order(spark, tmp_path):
+    """Rows come in three runs, later ones first, and null keys among them; a last row lets all of them out."""
     src, out, log = (str(tmp_path / n) for n in ("in", "out", "log"))
-    rows = spark.createDataFrame(RECORDS, SCHEMA).withColumns({"host": F.lit("h"), "at": F.timestamp_seconds(F.col("event").cast("long"))})
-    for part in (rows.where("event <= '3'"), rows.where("event > '3'")):
+    rows = spark.createDataFrame(RECORDS, SCHEMA).withColumns({"host": F.explode(F.array(F.lit("h"), F.lit("g"))), "at": F.timestamp_seconds(F.col("event").cast("long"))})
+    end = rows.limit(1).withColumns({"host": F.lit("end"), "at": F.timestamp_seconds(F.lit(10_000_000))})
+    for part in (rows.where("event > '6'"), rows.where("event <= '3'"), rows.where("event between '4' and '6'").unionByName(end)):
         part.coalesce(1).write.mode("append").parquet(src)
-        got = J.run_append(T.lifetime_sessions(J.file_stream(spark, src, rows.schema), ["host"], "event", "at", 1000_000, "1 day"), out, log)
-    assert {r.event: r.session for r in got.collect()} == SESSIONS
+        got = J.run_append(T.lifetime_sessions(J.file_stream(spark, src, rows.schema), ["host"], "event", "at", "1 day"), out, log)
+    for host in "gh":
+        assert {r.event: r.session for r in got.where(F.col("host") == host).collect()} == SESSIONS
+    assert got.count() == 2 * len(SESSIONS)
 
 
 def test_open_events_come_out_late(spark, tmp_path):

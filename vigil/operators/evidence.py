@@ -65,26 +65,49 @@ def in_intervals(events: DataFrame, intervals: DataFrame, host: str, pid: str, a
     return reached.select(*[c for c in events.columns if c != name], F.coalesce(F.col("_far") >= F.col(at), F.lit(False)).alias(name))
 
 
-def object_relations(events: DataFrame, touches: DataFrame, key: str, object_: str, at: str, bucket: int) -> DataFrame:
-    """events with each marked object that their key touched at or before and again at or after them."""
-    spans = touches.groupBy(key, object_).agg(F.min(at).alias("_first"), F.max(at).alias("_last")).withColumnRenamed(object_, "touched")
-    return range_join(events, spans, key, F.col(at), F.col("_first"), F.col("_last"), bucket=bucket).drop("_first", "_last")
+def touched_spans(touches: DataFrame, key: str, object_: str, at: str) -> DataFrame:
+    """(key, object, first, last): from the first to the last time at which a key touched an object, both included."""
+    return touches.groupBy(key, object_).agg(F.min(at).alias("first"), F.max(at).alias("last"))
 
 
-def fill_templates(templates: DataFrame, pool: DataFrame, key: str, text: str, seed: str) -> DataFrame:
-    """templates with `filled`: each <name> takes a value of pool (name, value), the same for all of its places.
+def object_relations(events: DataFrame, touches: DataFrame, key: str, object_: str, at: str, bucket: int) -> DataFrame:
+    """events with `touched`: the sorted objects that their key touched at or before and again at or after them, or null.
 
-    The value is chosen by a hash of seed, key and name among the name's values in order.  A name without values stays.
+    The begins and ends of a key's spans cut its time into stretches in which the set of objects does not change.  An event
+    meets its one stretch, and a set is made once for each stretch that has events, so no event is repeated.  Times are
+    whole numbers; `bucket` is a length of time for joining spans with stretches.
+    """
+    spans = touched_spans(touches, key, object_, at)
+    edges = spans.select(key, F.col("first").alias(at)).union(spans.select(key, F.col("last") + 1)).distinct().withColumn("_stretch", F.col(at))
+    placed = asof_last(events, edges, key, at, ["_stretch"], strict=False)
+    met = placed.where("_stretch is not null").select(key, F.col("_stretch").alias("_begin")).distinct()
+    inside = range_join(met, spans, key, F.col("_begin"), F.col("first"), F.col("last"), bucket=bucket)
+    sets = inside.groupBy(F.col(key).alias("_k"), F.col("_begin").alias("_b")).agg(F.array_sort(F.collect_set(object_)).alias("touched"))
+    joined = placed.join(sets, (F.col(key) == F.col("_k")) & (F.col("_stretch") == F.col("_b")), "left")
+    return joined.select(*[c for c in events.columns if c != "touched"], "touched")
+
+
+def fill_templates(templates: DataFrame, pool: DataFrame, key: str, text: str, seed: str, variants: int = 1, bound: dict[str, str] | None = None) -> DataFrame:
+    """templates with `filled`: each <name> takes a value of pool (name, value), the same for all of its places; `variant` counts from 0.
+
+    A value is the one at an index among the name's values in order; the index comes from a hash of seed, key, variant and
+    name.  bound: {name: group}; names of one group share the index, so that their values go together (say a host and its
+    address).  The first variant is drawn as without variants.  A name without values stays.
     """
     order = Window.partitionBy("name").orderBy("value")
     entries = pool.where("value is not null").distinct().withColumns({"i": F.row_number().over(order) - 1, "n": F.count("*").over(Window.partitionBy("name"))})
-    names = templates.select(key, F.explode(F.array_distinct(F.regexp_extract_all(text, F.lit(r"<([a-z]+)>"), F.lit(1)))).alias("name"))
+    many = templates.withColumn("variant", F.explode(F.sequence(F.lit(0), F.lit(variants - 1))))
+    names = many.select(key, "variant", F.explode(F.array_distinct(F.regexp_extract_all(text, F.lit(r"<([a-z]+)>"), F.lit(1)))).alias("name"))
     sizes = entries.where("i = 0").select("name", "n")
-    draw = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(seed), F.col(key), F.col("name"))), 1, 6), 16, 10).cast("long")
+    group = F.col("name")
+    for name, shared in (bound or {}).items():
+        group = F.when(F.col("name") == name, F.lit(f"={shared}")).otherwise(group)
+    parts = [F.lit(seed), F.col(key), F.when(F.col("variant") > 0, F.col("variant")), group]
+    draw = F.conv(F.substring(F.md5(F.concat_ws("|", *parts)), 1, 6), 16, 10).cast("long")
     chosen = names.join(sizes, "name").withColumn("i", (draw % F.col("n")).cast("int")).join(entries.drop("n"), ["name", "i"])
-    values = chosen.groupBy(key).agg(F.collect_list(F.struct("name", "value")).alias("_values"))
+    values = chosen.groupBy(key, "variant").agg(F.collect_list(F.struct("name", "value")).alias("_values"))
     put = F.aggregate(F.coalesce("_values", F.array()), F.col(text), lambda s, v: F.replace(s, F.concat(F.lit("<"), v["name"], F.lit(">")), v["value"]))
-    return templates.join(values, key, "left").withColumn("filled", put).drop("_values")
+    return many.join(values, [key, "variant"], "left").withColumn("filled", put).select(*[c for c in templates.columns if c not in ("variant", "filled")], "variant", "filled")
 
 
 def score_samples(samples: DataFrame, scorer: Callable[[pd.Series], pd.Series], text: str, valid: tuple[str, ...]) -> DataFrame:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.columns import final_label
 from ..lineage import cut
@@ -175,11 +178,11 @@ def descendants(edges: DataFrame, seeds: DataFrame) -> DataFrame:
     """Nodes that come from seeds (node, t) along edges (node, parent, t) whose child is no earlier than its parent, seeds included.
 
     Where every node has one edge, as processes have, pointers are doubled each round: a chain of length n takes log2(n)
-    rounds.  Otherwise a round goes one generation on, until none is left.
+    rounds.  Otherwise blocks of edges are followed until nothing changes; times are whole numbers then.
     """
     seeds, edges = cut(seeds.select("node", "t").distinct()), cut(edges.select("node", "parent", "t").distinct())
     if edges.groupBy("node").count().where("count > 1").limit(1).count():
-        return _descendants_by_generation(edges, seeds)
+        return _descendants_by_blocks(edges.dropna(), seeds.dropna())
     sown = seeds.groupBy(F.col("node").alias("parent")).agg(F.min("t").alias("seed_t"))
     born = edges.select(F.col("node").alias("parent"), F.col("t").alias("parent_t"))
     step = edges.join(sown, "parent", "left").join(born, "parent", "left")
@@ -194,13 +197,56 @@ def descendants(edges: DataFrame, seeds: DataFrame) -> DataFrame:
     return seeds.select("node").union(now.where("hit").select("node")).distinct()
 
 
-def _descendants_by_generation(edges: DataFrame, seeds: DataFrame) -> DataFrame:
-    found = front = seeds
-    while front.limit(1).count():
-        children = edges.join(front.select(F.col("node").alias("parent"), F.col("t").alias("parent_t")), "parent").where("t >= parent_t").select("node", "t").distinct()
-        front = cut(children.join(found, ["node", "t"], "left_anti"))
-        found = cut(found.union(front))
-    return found.select("node").distinct()
+#: Edges of a block that a task follows by itself.
+BLOCK_EDGES = 500_000
+
+
+def _descendants_by_blocks(edges: DataFrame, seeds: DataFrame, block_edges: int | None = None) -> DataFrame:
+    """Nodes reached, where nodes may have several parents: each with the earliest time at which a seed reaches it.
+
+    That time says all: who can be reached from a node later can be reached from it earlier.  Edges lie in blocks by the
+    time of the child, and edges lead from earlier to later times, so a task can follow long paths inside its block; a
+    round is needed only where a path goes on in another block, and only blocks whose parents changed take part.
+    """
+    n = edges.count()
+    blocks = max(1, -(-n // (block_edges or BLOCK_EDGES)))
+    kind = edges.schema["node"].dataType
+    time = edges.schema["t"].dataType
+    dealt = cut(edges.repartitionByRange(blocks, "t", "node").withColumn("_block", F.spark_partition_id()))
+    by_parent = dealt.select(F.col("parent").alias("node"), "_block").distinct()
+    out = T.StructType([T.StructField("node", kind), T.StructField("t", time)])
+
+    def follow(part: pa.Table) -> pa.Table:
+        """What a block's edges reach from the times of their parents."""
+        names = pa.chunked_array([*part["node"].chunks, *part["parent"].chunks]).combine_chunks().dictionary_encode()
+        numbers = names.indices.to_numpy()
+        child, parent = numbers[: len(part)], numbers[len(part) :]
+        at = part["t"].to_numpy()
+        late = np.iinfo(np.int64).max
+        reach = np.full(len(names.dictionary), late)
+        known = part["_known"].to_pylist()
+        np.minimum.at(reach, parent, [late if k is None else k for k in known])
+        before = reach.copy()
+        while True:
+            ok = at >= reach[parent]
+            now = reach.copy()
+            np.minimum.at(now, child[ok], at[ok])
+            if (now == reach).all():
+                break
+            reach = now
+        got = np.flatnonzero(reach < before)
+        return pa.table({"node": names.dictionary.take(pa.array(got)), "t": pa.array(reach[got]).cast(part.schema.field("t").type)})
+
+    found = changed = cut(seeds.groupBy("node").agg(F.min("t").alias("t")))
+    while changed.limit(1).count():
+        active = by_parent.join(changed.select("node"), "node", "left_semi").select("_block").distinct()
+        known = found.select(F.col("node").alias("parent"), F.col("t").alias("_known"))
+        near = dealt.join(active, "_block", "left_semi").join(known, "parent", "left")
+        reached = near.select("_block", "node", "parent", "t", "_known").groupBy("_block").applyInArrow(follow, out)
+        best = reached.groupBy("node").agg(F.min("t").alias("t"))
+        changed = cut(best.join(found.select("node", F.col("t").alias("_old")), "node", "left").where("_old is null or t < _old").select("node", "t"))
+        found = cut(found.join(changed.select("node"), "node", "left_anti").unionByName(changed))
+    return found.select("node")
 
 
 def first_rule(texts: DataFrame, rules: list[tuple[str, str]], text: str = "text", name: str = "rule_label") -> DataFrame:

@@ -87,9 +87,10 @@ class Ordered:
 
     def next(self, df: DataFrame, value: Column, name: str, strict: bool = False) -> DataFrame:
         """df with the first non-null value of the key at or after each row; strict: after it."""
-        w = Window.partitionBy("_range", *self.keys).orderBy("_row").rowsBetween(1 if strict else 0, Window.unboundedFollowing)
+        # backwards, so that each row is taken once: a frame up to the end is walked anew for every row
+        w = Window.partitionBy("_range", *self.keys).orderBy(F.col("_row").desc()).rowsBetween(Window.unboundedPreceding, -1 if strict else 0)
         df = df.withColumn("_range_value", value)
-        out = self._with(df, name, F.first("_range_value", ignorenulls=True).over(w), F.min_by("_range_value", F.when(F.col("_range_value").isNotNull(), F.col("_row"))), lambda a, b: a if b is None else b, lambda x, c: F.coalesce(x, c), True)
+        out = self._with(df, name, F.last("_range_value", ignorenulls=True).over(w), F.min_by("_range_value", F.when(F.col("_range_value").isNotNull(), F.col("_row"))), lambda a, b: a if b is None else b, lambda x, c: F.coalesce(x, c), True)
         return out.drop("_range_value")
 
     def most(self, df: DataFrame, value: Column, name: str, strict: bool = False) -> DataFrame:

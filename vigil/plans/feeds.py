@@ -240,14 +240,19 @@ def stream_rule_labels(t: Tables) -> DataFrame:
     return J.run_append(J.with_rules(s, rules, ["kind"]).select("event_id", "label"), out, log)
 
 
-@query(f"SELECT c.event_id, e.event_id AS evidence_id FROM telemetry c JOIN telemetry e ON c.host = e.host AND e.t BETWEEN c.t AND c.t + {HOUR} WHERE c.kind = 'click' AND e.kind = 'error'", TELEMETRY)
+@query(f"SELECT c.event_id, e.event_id AS evidence_id FROM telemetry c LEFT JOIN telemetry e ON c.host = e.host AND e.t BETWEEN c.t AND c.t + {HOUR} AND e.kind = 'error' WHERE c.kind = 'click'", TELEMETRY)
 def stream_late_evidence(t: Tables) -> DataFrame:
+    """Commands with their evidence, and those without any.  A last row of each side, long after all others, moves the watermarks past them."""
     s, out, log = _stream(t)
-    again = J.file_stream(t.spark, out.removesuffix("out") + "in", s.schema)
+    folder = out.removesuffix("out") + "in"
+    again = J.file_stream(t.spark, folder, s.schema)
     clicks = s.where("kind = 'click'").select("event_id", "host", "at")
     errors = again.where("kind = 'error'").select(F.col("event_id").alias("evidence_id"), "host", F.col("at").alias("seen_at"))
-    found = J.late_evidence(clicks, errors, "host", "at", "seen_at", "1 hour", "3650 days")
-    return J.run_append(found.select("event_id", "evidence_id"), out, log).where("evidence_id is not null")
+    found = J.late_evidence(clicks, errors, "host", "at", "seen_at", "1 hour", "3650 days").select("event_id", "host", "evidence_id")
+    J.run_append(found, out, log)
+    last = t.telemetry.limit(1).select(*[F.lit(-1).cast("bigint").alias("host") if c == "host" else F.col(c) for c in t.telemetry.columns]).withColumn("at", F.lit("2100-01-01").cast("timestamp"))
+    last.withColumn("kind", F.explode(F.array(F.lit("click"), F.lit("error")))).select(*s.columns).write.mode("append").parquet(folder)
+    return J.run_append(found, out, log).where("host >= 0").select("event_id", "evidence_id")
 
 
 @query("SELECT event_id, kind, 'kinds' AS side FROM telemetry UNION ALL SELECT event_id, kind, 'errors' FROM telemetry WHERE kind = 'error'", TELEMETRY)
@@ -303,10 +308,11 @@ def interval_labels(t: Tables) -> DataFrame:
     return E.in_intervals(x.select("event_id", "host", "pid", "t"), bounded, "host", "pid", "t", "start", "until").select("event_id", "inside")
 
 
-@query("SELECT e.event_id, s.k AS touched FROM telemetry e JOIN (SELECT host, k, min(t) AS a, max(t) AS b FROM telemetry WHERE k >= 97 GROUP BY host, k) s ON e.host = s.host AND e.t BETWEEN s.a AND s.b", TELEMETRY)
+@query("SELECT e.event_id, string_agg(CAST(s.k AS VARCHAR), ',' ORDER BY s.k) AS touched FROM telemetry e LEFT JOIN (SELECT host, k, min(t) AS a, max(t) AS b FROM telemetry GROUP BY host, k) s ON e.host = s.host AND e.t BETWEEN s.a AND s.b GROUP BY e.event_id", TELEMETRY)
 def object_relation_join(t: Tables) -> DataFrame:
     x = t.telemetry
-    return E.object_relations(x.select("event_id", "host", "t"), x.where("k >= 97"), "host", "k", "t", 240 * HOUR).select("event_id", "touched")
+    found = E.object_relations(x.select("event_id", "host", "t"), x, "host", "k", "t", 240 * HOUR)
+    return found.select("event_id", F.nullif(F.array_join(F.col("touched").cast("array<string>"), ","), F.lit("")).alias("touched"))
 
 
 @query("SELECT e.event_id, p.event_id IS NOT NULL AS trusted FROM telemetry e LEFT JOIN telemetry p ON p.event_id = e.event_id // 2 AND p.kind = 'signup' AND p.k % 2 = e.k % 2", TELEMETRY)
@@ -387,17 +393,20 @@ def sample_files(t: Tables) -> DataFrame:
     return t.documents.join(chosen, "source", "left_semi").select("doc_id", "source")
 
 
-_POOL = ", pool AS (SELECT 'user' AS name, n_name AS value, row_number() OVER (ORDER BY n_name) - 1 AS i, count(*) OVER () AS n FROM nation UNION ALL SELECT 'group', r_name, row_number() OVER (ORDER BY r_name) - 1, count(*) OVER () FROM region)"
+_POOL = ", pool AS (SELECT 'user' AS name, n_name AS value, row_number() OVER (ORDER BY n_name) - 1 AS i, count(*) OVER () AS n FROM nation UNION ALL SELECT 'group', r_name, row_number() OVER (ORDER BY r_name) - 1, count(*) OVER () FROM region), v AS (SELECT doc_id, unnest([0, 1, 2]) AS variant, unnest(['', '|1', '|2']) AS part FROM documents)"
 
 
 @query(
-    "SELECT doc_id, 'add ' || u.value || ' to ' || g.value || ' as ' || u.value || ' <other>' AS filled FROM shell s JOIN pool u ON u.name = 'user' AND u.i = CAST('0x' || substr(md5('s|' || doc_id || '|user'), 1, 6) AS BIGINT) % u.n JOIN pool g ON g.name = 'group' AND g.i = CAST('0x' || substr(md5('s|' || doc_id || '|group'), 1, 6) AS BIGINT) % g.n",
+    "SELECT doc_id, variant, 'add ' || u.value || ' to ' || g.value || ' as ' || u.value || ' by x-' || lower(u.value) || ' <other>' AS filled FROM v JOIN pool u ON u.name = 'user' AND u.i = CAST('0x' || substr(md5('s|' || doc_id || part || '|=who'), 1, 6) AS BIGINT) % u.n JOIN pool g ON g.name = 'group' AND g.i = CAST('0x' || substr(md5('s|' || doc_id || part || '|group'), 1, 6) AS BIGINT) % g.n",
     SHELL + _POOL,
 )
 def fill_templates(t: Tables) -> DataFrame:
-    pool = t.nation.select(F.lit("user").alias("name"), F.col("n_name").alias("value")).union(t.region.select(F.lit("group"), "r_name"))
-    rows = t.documents.select("doc_id", F.lit("add <user> to <group> as <user> <other>").alias("text"))
-    return E.fill_templates(rows, pool, "doc_id", "text", "s").select("doc_id", "filled")
+    """Three variants of each; the alias goes with the user."""
+    value = lambda name, df, c: df.select(F.lit(name).alias("name"), c.alias("value"))
+    user = F.col("n_name")
+    pool = value("user", t.nation, user).union(value("alias", t.nation, F.concat(F.lit("x-"), F.lower(user)))).union(value("group", t.region, F.col("r_name")))
+    rows = t.documents.select("doc_id", F.lit("add <user> to <group> as <user> by <alias> <other>").alias("text"))
+    return E.fill_templates(rows, pool, "doc_id", "text", "s", variants=3, bound={"user": "who", "alias": "who"}).select("doc_id", "variant", "filled")
 
 
 @query("SELECT doc_id, CASE length(text) % 4 WHEN 0 THEN 'malicious' WHEN 1 THEN 'benign' WHEN 2 THEN 'unknown' END AS prediction FROM documents")

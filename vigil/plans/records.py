@@ -115,23 +115,31 @@ def lifetime_sessions(t: Tables) -> DataFrame:
 
 @query(_LIFETIMES, TELEMETRY)
 def stream_lifetimes(t: Tables) -> DataFrame:
+    """The rows come in two runs, the second of them with a last row that moves the watermark past all others."""
     root = shared_path(t.spark, "stream")
     rows = _processes(t).withColumn("at", F.timestamp_micros("t"))
-    rows.write.parquet(f"{root}/in")
-    s = J.file_stream(t.spark, f"{root}/in", rows.schema)
-    out = T.lifetime_sessions(s, ["host"], "t", "at", 86_400_000, "3650 days")
-    return J.run_append(out, f"{root}/out", f"{root}/checkpoint").select(F.col("event").cast("long").alias("event_id"), "session")
+    last = rows.limit(1).select(*[F.lit(-1).cast("bigint").alias(c) if c == "host" else F.lit("2100-01-01").cast("timestamp").alias(c) if c == "at" else F.col(c) for c in rows.columns])
+    for part in (rows.where("host % 2 = 0"), rows.where("host % 2 = 1").unionByName(last)):
+        part.write.mode("append").parquet(f"{root}/in")
+        with J.rocksdb(t.spark):
+            out = T.lifetime_sessions(J.file_stream(t.spark, f"{root}/in", rows.schema), ["host"], "t", "at", "3650 days", step_ms=3_600_000)
+            found = J.run_append(out, f"{root}/out", f"{root}/checkpoint")
+    return found.select(F.col("event").cast("long").alias("event_id"), "session")
 
 
 @query("SELECT event_id, host, ['SYSCALL', 'EXECVE ' || kind, 'EOE'] AS lines FROM telemetry", TELEMETRY)
 def stream_event_assembly(t: Tables) -> DataFrame:
+    """The first line of every event comes a run before the others."""
     root = shared_path(t.spark, "stream")
     lines = F.posexplode(F.array(F.lit("SYSCALL"), F.concat(F.lit("EXECVE "), "kind"), F.lit("EOE"))).alias("pos", "line")
     rows = t.telemetry.select("event_id", "host", F.timestamp_micros("t").alias("at"), lines)
-    rows.write.parquet(f"{root}/in")
-    s = J.file_stream(t.spark, f"{root}/in", rows.schema).withColumn("done", F.col("line") == "EOE")
-    out = T.assembled_events(s, ["host"], "event_id", "pos", "line", "done", "at", 60_000, "3650 days")
-    return J.run_append(out, f"{root}/out", f"{root}/checkpoint").where("complete").select(F.col("event").cast("long").alias("event_id"), "host", "lines")
+    for part in (rows.where("pos = 0"), rows.where("pos > 0")):
+        part.write.mode("append").parquet(f"{root}/in")
+        s = J.file_stream(t.spark, f"{root}/in", rows.schema).withColumn("done", F.col("line") == "EOE")
+        with J.rocksdb(t.spark):
+            out = T.assembled_events(s, ["host"], "event_id", "pos", "line", "done", "at", 60_000, "3650 days")
+            found = J.run_append(out, f"{root}/out", f"{root}/checkpoint")
+    return found.where("complete").select(F.col("event").cast("long").alias("event_id"), "host", "lines")
 
 
 @query("SELECT host, k, CASE WHEN bool_or(kind = 'view') THEN 'benign' ELSE 'malicious' END AS label FROM telemetry GROUP BY host, k HAVING bool_or(kind IN ('view', 'error')) AND NOT bool_or(kind = 'signup')", TELEMETRY)

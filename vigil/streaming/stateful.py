@@ -1,110 +1,139 @@
 """Streams with state of their own: assembly of events from lines, and sessions of living processes.
 
-The state of a key is one JSON text.  Both need an event-time column, whose watermark bounds the state; rows that come
-later than the watermark allows are dropped by Spark, as in every stream of that kind.
+The state lies in the state store, by event or by process, and a batch is taken frame by frame, so that a task holds one
+frame and one event, or one second of a host.  Both need an event-time column, whose watermark fires the timers that
+bound the state; rows later than the watermark allows are dropped by Spark.  The state store must be RocksDB's.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators.processes import PROCESS_COLUMNS
 
+PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-class ProcessTable:
-    """Sessions of the processes that live on one host and boot.
 
-    A row's session is its login; without one, what its process had before; else its parent's login session; else one of
-    its own.  A fork hands a login session on to the child, an exit ends the process, so that a used pid starts anew.
-    """
+def _kinds(df: DataFrame, names: list[str], more: str) -> T.StructType:
+    out = T.StructType([df.schema[n] for n in names])
+    for f in T.StructType.fromDDL(more).fields:
+        out = out.add(f)
+    return out
+
 
-    def __init__(self, live: dict | None = None):
-        #: pid: (session, whether it comes from a login)
-        self.live: dict[str, tuple[str, bool]] = {k: tuple(v) for k, v in (live or {}).items()}
+class _Assembly(StatefulProcessor):
+    """The open lines of one event; a timer `wait_ms` after its newest line."""
 
-    def session(self, event: str, pid: str | None, parent: str | None, login: str | None, action: str | None, child: str | None) -> str:
-        if login:
-            mine = (f"login:{login}", True)
-        elif not pid:
-            return f"event:{event}"
-        else:
-            above = self.live.get(parent or "")
-            mine = self.live.get(pid) or (above if above and above[1] else (f"process:{pid}:{event}", False))
-        if pid:
-            self.live[pid] = mine
-            if action == "exit":
-                del self.live[pid]
-            if action == "fork" and child:
-                self.live[child] = mine if mine[1] else (f"process:{child}:{event}", False)
-        return mine[0]
+    def __init__(self, keys: list[str], wait_ms: int):
+        self.keys, self.wait_ms = keys, wait_ms
 
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.lines = handle.getListState("lines", "pos bigint, line string")
+        self.about = handle.getValueState("about", "newest bigint, timer bigint")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        newest, ended = 0, False
+        for f in rows:
+            self.lines.appendList(list(zip(f["x_pos"].astype(int).tolist(), f["x_line"].tolist())))
+            newest, ended = max(newest, int(f["x_at"].max())), ended or bool(f["x_end"].any())
+        before = self.about.get() if self.about.exists() else None
+        if before and before[1] is not None:
+            self.handle.deleteTimer(before[1])
+        if ended:
+            yield self._out(key, True)
+            return
+        newest = max(newest, before[0] if before else 0)
+        due = max(newest, timerValues.getCurrentWatermarkInMs()) + self.wait_ms + 1
+        self.handle.registerTimer(due)
+        self.about.update((newest, due))
 
-def _keyed(stream: DataFrame, keys: list[str], more: str) -> str:
-    kinds = dict(stream.dtypes)
-    return ", ".join([*[f"`{k}` {kinds[k]}" for k in keys], more])
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        yield self._out(key, False)
 
+    def _out(self, key, complete: bool) -> pd.DataFrame:
+        lines = [line for _, line in sorted(self.lines.get(), key=lambda x: x[0])]
+        self.lines.clear()
+        self.about.clear()
+        return pd.DataFrame({k: [v] for k, v in zip([*self.keys, "event"], key)} | {"lines": [lines], "complete": [complete]})
 
-def _set_timeout(state: GroupState, newest: int, wait: int) -> None:
-    state.setTimeoutTimestamp(max(newest, state.getCurrentWatermarkMs()) + wait + 1)
+    def close(self) -> None:
+        pass
 
 
 def assembled_events(stream: DataFrame, keys: list[str], event: str, pos: str, line: str, is_end: str, at: str, wait_ms: int, delay: str) -> DataFrame:
     """(keys, event as text, lines, complete): an event comes out with its end line, or incomplete once the watermark is `wait_ms` past its last line.
 
-    Lines of an event are put in order of `pos`, which restores the order inside a batch too.  The state of a key is its
-    open events, bounded by what arrives within the wait.
+    Lines of an event are put in order of `pos`, also those of several batches.  Every event of a key has a state and a
+    timer of its own, so a key with very many open events is many small states.
     """
-
-    def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        pending = json.loads(state.get[0]) if state.exists else {}  # event: [newest time, ended, [[pos, line], ..]]
-        for f in frames:
-            for e, p, text, end, t in zip(f["_event"], f["_pos"], f["_line"], f["_end"], f["_at"], strict=True):
-                one = pending.setdefault(e, [int(t), False, []])
-                one[0], one[1] = max(one[0], int(t)), one[1] or bool(end)
-                one[2].append([int(p), text])
-        over = state.getCurrentWatermarkMs() - wait_ms
-        out = {e: v for e, v in pending.items() if v[1] or v[0] < over}
-        pending = {e: v for e, v in pending.items() if e not in out}
-        if pending:
-            state.update((json.dumps(pending),))
-            _set_timeout(state, min(v[0] for v in pending.values()), wait_ms)
-        elif state.exists:
-            state.remove()
-        if out:
-            columns = {k: [v] * len(out) for k, v in zip(keys, key, strict=True)}
-            yield pd.DataFrame(columns | {"event": list(out), "lines": [[x[1] for x in sorted(v[2], key=lambda x: x[0])] for v in out.values()], "complete": [v[1] for v in out.values()]})
-
-    s = stream.where(F.col(event).isNotNull() & F.col(at).isNotNull()).withColumns({"_event": F.col(event).cast("string"), "_pos": F.col(pos).cast("long"), "_line": F.coalesce(line, F.lit("")), "_end": F.coalesce(is_end, F.lit(False)), "_at": F.unix_millis(at)})
-    s = s.select(*keys, at, "_event", "_pos", "_line", "_end", "_at").withWatermark(at, delay)
-    return s.groupBy(*keys).applyInPandasWithState(run, _keyed(s, keys, "event string, lines array<string>, complete boolean"), "pending string", "append", GroupStateTimeout.EventTimeTimeout)
-
-
-def lifetime_sessions(stream: DataFrame, keys: list[str], order: str, at: str, idle_ms: int, delay: str) -> DataFrame:
-    """(keys, event, session) of the rows (with PROCESS_COLUMNS) by a ProcessTable for each key; the rows of a batch are taken in order of `order`.
-
-    A key without rows for `idle_ms` loses its table, which bounds the state where exits are missing.
+    s = stream.where(F.col(event).isNotNull() & F.col(at).isNotNull()).withColumns({"event": F.col(event).cast("string"), "x_pos": F.col(pos).cast("long"), "x_line": F.coalesce(line, F.lit("")), "x_end": F.coalesce(is_end, F.lit(False)), "x_at": F.unix_millis(at)})
+    s = s.select(*keys, at, "event", "x_pos", "x_line", "x_end", "x_at").withWatermark(at, delay)
+    kinds = _kinds(s, keys, "event string, lines array<string>, complete boolean")
+    return s.groupBy(*keys, "event").transformWithStateInPandas(_Assembly(keys, wait_ms), kinds, "Append", "EventTime")
+
+
+class _Lives(StatefulProcessor):
+    """The living processes of one key, a map entry each, and rows that wait until no earlier one can come, an entry for each step of time."""
+
+    def __init__(self, keys: list[str], step_ms: int):
+        self.keys, self.step_ms = keys, step_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.live = handle.getMapState("live", "pid string", "session string, login boolean")
+        self.waiting = handle.getMapState("waiting", "due bigint", "rows array<struct<o:string," + ",".join(f"{c}:string" for c in PROCESS_COLUMNS) + ">>")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        for f in rows:
+            due = f["x_at"].astype(int) // self.step_ms * self.step_ms + self.step_ms
+            for at, part in f.groupby(due):
+                new = [tuple(None if pd.isna(x) else x for x in r) for r in part[["x_order", *PROCESS_COLUMNS]].itertuples(index=False, name=None)]
+                if self.waiting.containsKey((int(at),)):
+                    new = [tuple(r) for r in self.waiting.getValue((int(at),))[0]] + new
+                else:
+                    self.handle.registerTimer(int(at))
+                self.waiting.updateValue((int(at),), (new,))
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        due = (expiredTimerInfo.getExpiryTimeInMs(),)
+        rows = sorted((tuple(r) for r in self.waiting.getValue(due)[0]), key=lambda r: (r[0], r[1]))
+        self.waiting.removeKey(due)
+        sessions = [self.session(*r[1:]) for r in rows]
+        yield pd.DataFrame({k: [v] * len(rows) for k, v in zip(self.keys, key)} | {"event": [r[1] for r in rows], "session": sessions})
+
+    def session(self, event, pid, parent, login, action, child) -> str:
+        """The session of a row, by the rules of processes.lifetime_sessions; the map is brought up to date."""
+        known = lambda p: self.live.getValue((p,)) if p and self.live.containsKey((p,)) else None
+        above = known(parent)
+        of_row = (f"login:{login}", True) if login else None if pid else (f"event:{event}", False)
+        of_process = of_row or known(pid) or (above if above and above[1] else (f"process:{pid}:{event}", False))
+        if pid and action == "exit":
+            if known(pid):
+                self.live.removeKey((pid,))
+        elif pid:
+            self.live.updateValue((pid,), tuple(of_process))
+        if pid and action == "fork" and child:
+            self.live.updateValue((child,), tuple(of_process) if of_process[1] else (f"process:{child}:{event}", False))
+        return of_process[0]
+
+    def close(self) -> None:
+        pass
+
+
+def lifetime_sessions(stream: DataFrame, keys: list[str], order: str, at: str, delay: str, step_ms: int = 1000) -> DataFrame:
+    """(keys, event, session) of the rows (with PROCESS_COLUMNS), by the rules of processes.lifetime_sessions.
+
+    Rows are taken in the order of time, `order` and event, in whatever batches they come: those of a step of time wait
+    until the watermark has passed it, so they come out `delay` after their time.
     """
-
-    def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        live, newest = json.loads(state.get[0]) if state.exists else ({}, 0)
-        table = ProcessTable(live)
-        rows = pd.concat(list(frames)).sort_values(["_order", "event"], kind="stable")
-        sessions = [table.session(*(None if pd.isna(x) else x for x in r)) for r in rows[PROCESS_COLUMNS].itertuples(index=False, name=None)]
-        newest = max(newest, int(rows["_at"].max()))
-        state.update((json.dumps([table.live, newest]),))
-        _set_timeout(state, newest, idle_ms)
-        columns = {k: [v] * len(rows) for k, v in zip(keys, key, strict=True)}
-        yield pd.DataFrame(columns | {"event": rows["event"].tolist(), "session": sessions})
-
-    s = stream.where(F.col(at).isNotNull()).withColumns({"_order": F.col(order), "_at": F.unix_millis(at)})
-    s = s.select(*keys, at, *PROCESS_COLUMNS, "_order", "_at").withWatermark(at, delay)
-    return s.groupBy(*keys).applyInPandasWithState(run, _keyed(s, keys, "event string, session string"), "live string", "append", GroupStateTimeout.EventTimeTimeout)
+    s = stream.where(F.col(at).isNotNull()).withColumns({"x_order": F.format_string("%020d", F.col(order).cast("long")), "x_at": F.unix_millis(at)})
+    s = s.select(*keys, at, *PROCESS_COLUMNS, "x_order", "x_at").withWatermark(at, delay)
+    return s.groupBy(*keys).transformWithStateInPandas(_Lives(keys, step_ms), _kinds(s, keys, "event string, session string"), "Append", "EventTime")
