@@ -119,6 +119,6 @@ def test_ids_at_the_end_of_their_range_and_settings(spark):
     before, top = spark.conf.get(key), (1 << 63) - 1
     rows = [(top, "one text of its own", "en", "a", 1), (top, "another text altogether", "en", "a", 2), (top, "another text altogether", "en", "a", 2), (5, "a third", "en", "a", 3), (-(1 << 63), "fourth", "en", "a", 4)]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
-    kept = corpus_pipeline.near_duplicates(spark, docs, "")
+    kept = p.near_duplicates(spark, docs, "")
     assert sorted((r.doc_id, r.text) for r in kept.collect()) == sorted({(i, t) for i, t, *_ in rows})
-    assert corpus_pipeline.mix_sources(spark, docs.limit(0), "").count() == 0 and spark.conf.get(key) == before
+    assert p.mix_sources(spark, docs.limit(0), "").count() == 0 and spark.conf.get(key) == before
