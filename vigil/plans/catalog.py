@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..lineage import shared_path
+from ..operators import imports as M
 from ..operators import joins as J
 from ..operators import selection as S
 from ..operators.evidence import observed_times
@@ -98,9 +99,12 @@ def event_kind(t: Tables) -> DataFrame:
     return t.events.select("event_id", F.coalesce(names[F.col("event_type")], F.lit("metadata")).alias("kind"))
 
 
-@query("SELECT event_id, CASE WHEN k BETWEEN 1 AND 65535 THEN host || ':' || k END AS endpoint FROM telemetry", TELEMETRY)
+@query("SELECT event_id, CASE WHEN host > 0 AND k > 0 AND k % 7 <> 0 THEN 'h' || host || ' ' || k || ' t ' || (k * 600) % 70000 END AS endpoints FROM telemetry WHERE k * 600 % 70000 BETWEEN 1 AND 65535 UNION ALL SELECT event_id, NULL FROM telemetry WHERE NOT k * 600 % 70000 BETWEEN 1 AND 65535", TELEMETRY)
 def endpoint_tuple(t: Tables) -> DataFrame:
-    return t.telemetry.select("event_id", C.endpoint(F.col("host").cast("string"), F.col("k").cast("string")).alias("endpoint"))
+    k = F.col("k")
+    port = F.when(k % 7 == 0, F.concat(F.lit("+"), k)).otherwise(k.cast("string"))  # a sign is no digit
+    found = M.endpoints(F.when(F.col("host") > 0, F.concat(F.lit("h"), "host")).otherwise(""), port, F.lit("t"), (k * 600) % 70000)
+    return t.telemetry.select("event_id", F.concat_ws(" ", found["source"], found["source_port"], found["target"], found["target_port"]).alias("e"), found.alias("f")).select("event_id", F.when(F.col("f").isNotNull(), F.col("e")).alias("endpoints"))
 
 
 @query("SELECT event_id, CASE WHEN k <> 0 THEN '{0-' || k || '}' END AS id FROM telemetry", TELEMETRY)
@@ -108,10 +112,15 @@ def sentinel_nulls(t: Tables) -> DataFrame:
     return t.telemetry.select("event_id", C.usable_id(F.concat(F.lit("{0-"), "k", F.lit("}"))).alias("id"))
 
 
-@query("SELECT page_id, replace(replace(replace(replace(html, '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;', '&') AS plain FROM pages")
+@query("SELECT page_id, html AS plain, html || chr(10) || 'é&#' AS decoded FROM pages")
 def unwrap_text(t: Tables) -> DataFrame:
-    text = F.col("html")
-    return t.pages.select("page_id", C.unwrap(F.replace(text, F.lit("\\"), F.lit("\\\\"))).alias("plain"))
+    """Whole pages in the wrappings of exports, and their texts again."""
+    html = F.col("html")
+    escaped = F.replace(F.replace(html, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&#60;"))
+    inner = F.regexp_extract(F.to_json(F.struct(escaped.alias("a"))), r'(?s)^\{"a":"(.*)"\}$', 1)
+    plain = M.exported_text(F.concat(F.lit("INPUT:  "), inner), json_escapes=True, entities=True, prefixes=("INPUT:",))
+    decoded = M.exported_text(F.concat(escaped, F.lit("&#10;&#xE9;&#")), entities=True)
+    return t.pages.where("html is not null").select("page_id", plain.alias("plain"), decoded.alias("decoded")).unionByName(t.pages.where("html is null").select("page_id", F.lit(None).cast("string").alias("plain"), F.lit(None).cast("string").alias("decoded")))
 
 
 @query("SELECT event_id, side, who FROM (SELECT event_id, unnest(['actor', 'child']) AS side, unnest([host, k]) AS who FROM telemetry) WHERE who % 2 = 0", TELEMETRY)
@@ -142,11 +151,14 @@ def label_candidates(t: Tables) -> DataFrame:
     return t.shell.where("ai_label is null or ai_label = 'unknown'").select("record_id")
 
 
-@query("SELECT event_id, k < 95 AS good, CASE WHEN k < 95 THEN k END AS k FROM telemetry", TELEMETRY)
+@query("SELECT event_id, CASE WHEN k < 90 THEN k END AS k, CASE WHEN k >= 97 THEN 'empty' WHEN k >= 94 THEN 'no-object' WHEN k >= 90 THEN 'malformed-json' END AS reason, CASE WHEN k >= 90 THEN count(*) OVER (PARTITION BY CASE WHEN k >= 97 THEN 2 WHEN k >= 94 THEN 1 WHEN k >= 90 THEN 0 END) END AS of_reason FROM telemetry", TELEMETRY)
 def reject_malformed(t: Tables) -> DataFrame:
-    raw = F.when(F.col("k") < 95, F.to_json(F.struct("k"))).otherwise(F.lit('{"k": '))
-    parsed = F.from_json(raw, "k int", {"mode": "PERMISSIVE"})["k"]
-    return t.telemetry.select("event_id", parsed.isNotNull().alias("good"), parsed.alias("k"))
+    """Records that can be read, and the others with the reason and how many were left out for it."""
+    k = F.col("k")
+    raw = F.when(k < 90, F.to_json(F.struct("k"))).when(k < 94, '{"k": ').when(k < 97, "[1]").when(k < 98, "  ")
+    good, rejects = M.json_records(t.telemetry.select("event_id", raw.alias("raw")), "event_id", "raw", "k int")
+    counted = rejects.join(F.broadcast(M.reject_counts(rejects)), "reason").select("event_id", F.lit(None).cast("int").alias("k"), "reason", F.col("n").alias("of_reason"))
+    return good.withColumns({"reason": F.lit(None).cast("string"), "of_reason": F.lit(None).cast("long")}).unionByName(counted)
 
 
 @query("SELECT event_id FROM telemetry WHERE (k % 4, kind) IN ((0, 'click'), (1, 'view'), (2, 'error'))", TELEMETRY)
@@ -360,9 +372,17 @@ def confusion_matrix(t: Tables) -> DataFrame:
     return S.confusion(_pairs(t), ["malicious", "benign", "unknown"])
 
 
-@query("SELECT dataset, count(*) AS n, count(*) FILTER (label = 'unknown') AS unknown, count(DISTINCT session_id) AS sessions, count(DISTINCT shell_input) AS texts FROM shell GROUP BY dataset", SHELL)
+@query(
+    """SELECT dataset, os, n, malicious, benign, n - malicious - benign AS unknown, texts, unknown_texts, sessions, singletons, (n - malicious - benign)::DOUBLE / n AS unknown_rate, unknown_texts::DOUBLE / texts AS unknown_text_rate,
+  coalesce((SELECT string_agg(c || ' ' || shell_input, chr(1) ORDER BY c DESC, shell_input) FROM (SELECT * FROM x WHERE x.dataset = g.dataset AND x.os = g.os AND x.label = 'unknown' ORDER BY c DESC, shell_input LIMIT 30)), '') AS frequent
+FROM (SELECT dataset, os, CAST(sum(c) AS BIGINT) AS n, CAST(sum(m) AS BIGINT) AS malicious, CAST(sum(b) AS BIGINT) AS benign, count(*) AS texts, count(*) FILTER (label = 'unknown') AS unknown_texts FROM x GROUP BY ALL) g
+JOIN (SELECT dataset, os, count(*) AS sessions, count(*) FILTER (c = 1) AS singletons FROM (SELECT dataset, os, session_id, count(*) AS c FROM shell GROUP BY ALL) GROUP BY ALL) s USING (dataset, os)""",
+    SHELL + ", x AS (SELECT dataset, os, shell_input, count(*) AS c, min(label) AS label, count(*) FILTER (label = 'malicious') AS m, count(*) FILTER (label = 'benign') AS b FROM shell GROUP BY ALL)",
+)
 def import_summary(t: Tables) -> DataFrame:
-    return t.shell.groupBy("dataset").agg(F.count("*").alias("n"), F.count_if(F.col("label") == "unknown").alias("unknown"), F.count_distinct("session_id").alias("sessions"), F.count_distinct("shell_input").alias("texts"))
+    found = M.import_summary(t.shell, ["dataset", "os"], "shell_input", "label", "session_id")
+    frequent = F.array_join(F.transform("frequent_unknown", lambda x: F.concat_ws(" ", x["n"], x["text"])), "\x01")
+    return found.withColumn("frequent", frequent).drop("frequent_unknown")
 
 
 @query("SELECT pgm_base, count(DISTINCT label) AS n_labels FROM launches GROUP BY pgm_base HAVING count(DISTINCT label) > 1", LAUNCHES)
@@ -430,10 +450,14 @@ def source_ordinals(t: Tables) -> DataFrame:
     return t.conversations.select("conv_id", "turn", F.row_number().over(Window.partitionBy("conv_id").orderBy("turn")).cast("long").alias("ordinal"))
 
 
-@query("SELECT event_id FROM (SELECT event_id, kind, bool_or(kind = 'click') OVER (PARTITION BY host) AS plain FROM telemetry) WHERE NOT plain OR kind <> 'view'", TELEMETRY)
+@query(
+    """SELECT event_id, CASE WHEN w AND typed AND i THEN 'ambiguous-fragment' WHEN w AND typed AND f THEN 'failed-with-literal-input' WHEN w AND f AND NOT inside THEN 'isolated-failed-fragment' WHEN NOT w AND f THEN 'handler-echo' WHEN NOT i AND NOT f THEN 'no-input' END AS reason
+FROM (SELECT *, bool_or(i AND NOT w) OVER c AS typed, bool_or(i AND w) OVER c AS inside FROM (SELECT event_id, host, t // 86400000000 AS day, kind = 'click' AS i, kind = 'error' AS f, k % 3 > 0 AS w FROM telemetry) WINDOW c AS (PARTITION BY host, day))""",
+    TELEMETRY,
+)
 def preferred_form(t: Tables) -> DataFrame:
-    plain = F.bool_or(F.col("kind") == "click").over(Window.partitionBy("host"))
-    return t.telemetry.withColumn("plain", plain).where("not plain or kind <> 'view'").select("event_id")
+    events = t.telemetry.withColumn("day", F.floor(F.col("t") / 86_400_000_000))
+    return M.preferred_forms(events, ["host", "day"], F.col("kind") == "click", F.col("kind") == "error", F.col("k") % 3 > 0).select("event_id", "reason")
 
 
 @query("SELECT event_id, row_number() OVER (PARTITION BY host ORDER BY CASE WHEN k % 10 = 0 THEN NULL ELSE t END NULLS FIRST, event_id) AS place FROM telemetry", TELEMETRY)
