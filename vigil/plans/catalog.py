@@ -544,9 +544,12 @@ def hash_ids(t: Tables) -> DataFrame:
     return t.shell.select("record_id", F.sha2("shell_input", 256).alias("sha"), F.md5("record_id").alias("id"))
 
 
-@query("SELECT event_id, kind AS plain FROM telemetry", TELEMETRY)
+@query("SELECT doc_id, coalesce(text, '') AS plain, CASE WHEN length(coalesce(text, '')) > 0 AND NOT regexp_matches(text, '[^0-9A-Fa-f]') AND length(text) % 2 = 0 THEN NULL ELSE coalesce(text, '') END AS kept FROM documents")
 def decode_hex(t: Tables) -> DataFrame:
-    return t.telemetry.select("event_id", C.decode_hex(F.hex(F.encode("kind", "UTF-8"))).alias("plain"))
+    """Whole texts from their hex form, and texts that are no hex as they are."""
+    text = F.coalesce("text", F.lit(""))
+    is_hex = text.rlike(r"^([0-9A-Fa-f]{2})+\z")
+    return t.documents.select("doc_id", C.decode_hex(F.hex(F.encode(text, "UTF-8"))).alias("plain"), F.when(~is_hex, C.decode_hex(text)).alias("kept"))
 
 
 @query("SELECT event_id, CASE WHEN event_id % 9 IN (1, 2, 5) THEN date_trunc('second', ts) WHEN event_id % 9 = 4 THEN date_trunc('millisecond', ts) WHEN event_id % 9 = 8 THEN NULL ELSE ts END AS parsed FROM events")
