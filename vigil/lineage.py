@@ -38,9 +38,10 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """df written as Parquet to the shared folder and read back: compressed, and read again without being computed again."""
+def staged(df: DataFrame, name: str, free: bool = True) -> DataFrame:
+    """df written as Parquet to the shared folder and read back: compressed, and read again without being computed again.  free: release() then."""
     path = shared_path(df.sparkSession, name)
     df.write.parquet(path)
-    release(df.sparkSession)
+    if free:
+        release(df.sparkSession)
     return df.sparkSession.read.schema(df.schema).parquet(path)

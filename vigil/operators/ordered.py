@@ -31,7 +31,7 @@ class Ordered:
         by = [F.col(c).asc_nulls_first() for c in [*keys, *order]]
         parts = parts or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         dealt = df.repartitionByRange(parts, *by).sortWithinPartitions(*by)
-        table = staged(dealt.withColumns({"_range": F.spark_partition_id(), "_row": F.monotonically_increasing_id()}), "ordered")
+        table = staged(dealt.withColumns({"_range": F.spark_partition_id(), "_row": F.monotonically_increasing_id()}), "ordered", free=False)
         key = F.struct(*keys)
         ends = sorted(table.groupBy("_range").agg(F.min(key).alias("low"), F.max(key).alias("high")).collect())
         #: (range, whether its first key began before, whether its last key goes on, whether one key fills it)
