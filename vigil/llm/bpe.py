@@ -236,7 +236,8 @@ def encode_texts(df: DataFrame, path: str, text_col: str = "text", ids_col: str
 
     path: the vocabulary file, which every executor has.  A null text is encoded as the empty one (no ids).  Texts are
     encoded whole; a long one passes through in pieces cut at boundaries between words.  Special strings in a text
-    become their special ids.  Repeated rows and all other columns pass; a column named ids_col is replaced.
+    become their special ids.  Repeated rows and all other columns pass; a column named ids_col is replaced; an empty
+    table gives an empty result.
     """
     df = df if text_col.lower() == ids_col.lower() else without(df, ids_col)
     schema = T.StructType([*df.schema.fields, T.StructField(ids_col, T.BinaryType())])
@@ -251,7 +252,10 @@ def encode_texts(df: DataFrame, path: str, text_col: str = "text", ids_col: str
 
 
 def decode_ids(df: DataFrame, path: str, ids_col: str = "ids", text_col: str = "decoded") -> DataFrame:
-    """df with text_col: the text of the packed ids; null ids give the empty text."""
+    """df with text_col: the text of the packed ids; null ids give the empty text.
+
+    Repeated rows and all other columns pass; a column named text_col is replaced; an empty table gives an empty result.
+    """
     df = without(df, text_col)
     schema = T.StructType([*df.schema.fields, T.StructField(text_col, T.StringType())])
 
@@ -264,7 +268,11 @@ def decode_ids(df: DataFrame, path: str, ids_col: str = "ids", text_col: str = "
 
 
 def roundtrip(df: DataFrame, path: str, text_col: str = "text") -> DataFrame:
-    """encode_texts and decode_ids in one pass over the rows: columns ids and decoded are added."""
+    """encode_texts and decode_ids in one pass over the rows: columns ids and decoded are added.
+
+    A null text is encoded as the empty one.  Texts of any length are encoded and decoded whole.  Repeated rows and all
+    other columns pass, columns named as the new ones are replaced; an empty table gives an empty result.
+    """
     df = without(df, *[c for c in ("ids", "decoded") if c != text_col])
     schema = T.StructType([*df.schema.fields, T.StructField("ids", T.BinaryType()), T.StructField("decoded", T.StringType())])
 

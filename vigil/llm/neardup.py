@@ -452,7 +452,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     the smallest id that links reach, the document's own included; kept says whether it is the document's own.
 
     Rows with a null id have a null component and kept true: nothing could refer to them.  Rows that repeat an id are one
-    document, with the links of all its texts.  Extra columns are left out; an empty table gives an empty result.
+    document, with the links of all its texts.  Texts are read whole, however long.  Extra columns are left out; an
+    empty table gives an empty result.
     """
     t = threshold[0] / threshold[1]
     docs = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
