@@ -186,3 +186,19 @@ def test_long_quotes_in_examples(texts):
     long = "'" + "y" * 200_000 + "' |"
     got = D.submissions(texts(f"PS> {long}\n  next\nout"), ["id"], "text").collect()
     assert [r.input for r in got] == [long + "\n  next"]
+
+
+def test_states_of_streams_by_buckets(spark, tmp_path):
+    """Very many events and processes share few states, so a batch does not call for each of them."""
+    ends = [("h", 10_000 + i, 0, "a", i % 2 == 0) for i in range(3000)]
+    rows = spark.createDataFrame(ends, "host string, e int, pos int, line string, done boolean").withColumn("at", F.timestamp_seconds(F.lit(5)))
+    rows.coalesce(1).write.parquet(str(tmp_path / "in"))
+    lives = rows.select("host", F.col("e").cast("string").alias("event"), F.col("e").cast("string").alias("pid"), *[F.lit(None).cast("string").alias(c) for c in ("parent", "login", "action", "child")], "at", "e")
+    lives.withColumn("host", F.col("event")).coalesce(1).write.parquet(str(tmp_path / "lives"))
+    events = T.assembled_events(J.file_stream(spark, str(tmp_path / "in"), rows.schema), ["host"], "e", "pos", "line", "done", "at", 60_000, "10 seconds", buckets=4)
+    sessions = T.lifetime_sessions(J.file_stream(spark, str(tmp_path / "lives"), lives.schema), ["host"], "e", "at", "1 day", buckets=4)
+    for name, stream, most, out in (("events", events, 4 * 3, 1500), ("sessions", sessions, 4 * 4, 0)):
+        q = stream.writeStream.format("parquet").option("path", str(tmp_path / f"{name}-out")).option("checkpointLocation", str(tmp_path / f"{name}-log")).trigger(availableNow=True).start()
+        q.awaitTermination()
+        assert 0 < max(p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress) <= most
+        assert spark.read.schema(stream.schema).parquet(str(tmp_path / f"{name}-out")).count() == out
