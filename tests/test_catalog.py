@@ -136,3 +136,9 @@ def test_chunks_keep_both_bounds(spark):
         want.append((chunk, rows))
         rows, used = rows + 1, used + s
     assert [None if r.chunk is None else (r.chunk, r.position) for r in got] == want and want[0] is None
+
+
+def test_rules_fit_whole_texts_of_any_letters(spark):
+    texts = {"laß": "benign", "la": "benign", "la é": "benign", "la_": None, "Ab!!\r": None, "Ab\r!!": "malicious", "x |": "unknown", "x|\n": None, "a|\x85": "unknown", None: None}
+    rows = spark.createDataFrame([(x,) for x in texts], "pgm string")
+    assert {r.pgm: r.rule_label for r in J.first_rule(rows, catalog._RULES, "pgm").collect()} == texts
