@@ -79,3 +79,17 @@ def test_requests_in_files(spark, tmp_path):
     assert ids == [f"a:0:{i}" for i in range(len(ids))] and found["dataset=a", "chunk=0"][0] == {"custom_id": "a:0:0", "method": "POST", "url": "/v1/r", "body": {"input": 'say "é0"\n'}}
     texts = {t for lines in found.values() for t in (r["body"]["input"] for r in lines)}
     assert texts == {t for _, _, t in rows if len(t) < 500 or t == "y"} and sum(map(len, found.values())) == 10
+
+
+def test_request_files_of_odd_names(spark, tmp_path):
+    """A file a chunk and nothing beside it, written by the tasks; names that folders cannot have come back."""
+    names = ["a/b=c %", "é{}", None, "", "7x"]
+    rows = [(n, c, p, f"{n} {c} {p} é") for n in names for c in range(3) for p in range(2)] + [("a", None, None, "none")]
+    out = str(tmp_path / "out")
+    S.write_requests(spark.createDataFrame(rows, "dataset string, chunk long, position long, line string"), out)
+    got = S.read_requests(spark, out)
+    assert sorted((r.dataset or "", r.chunk, r.value) for r in got.collect()) == sorted((n or "", c, t) for n, c, _, t in rows if c is not None)
+    files = [f for f in (tmp_path / "out").rglob("*") if f.is_file()]
+    assert sorted({f.name for f in files}) == ["_SUCCESS", "part.txt"] and len(files) == 4 * 3 + 1
+    with pytest.raises(FileExistsError):
+        S.write_requests(spark.createDataFrame(rows, "dataset string, chunk long, position long, line string"), out)
