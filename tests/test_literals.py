@@ -90,6 +90,6 @@ def test_request_files_of_odd_names(spark, tmp_path):
     got = S.read_requests(spark, out)
     assert sorted((r.dataset or "", r.chunk, r.value) for r in got.collect()) == sorted((n or "", c, t) for n, c, _, t in rows if c is not None)
     files = [f for f in (tmp_path / "out").rglob("*") if f.is_file()]
-    assert sorted({f.name for f in files}) == ["_SUCCESS", "part.txt"] and len(files) == 4 * 3 + 1
+    assert sorted({f.name for f in files}) == ["_SUCCESS", "part-00000.txt"] and len(files) == 4 * 3 + 1
     with pytest.raises(FileExistsError):
         S.write_requests(spark.createDataFrame(rows, "dataset string, chunk long, position long, line string"), out)

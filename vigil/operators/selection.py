@@ -195,7 +195,7 @@ def write_requests(lines: DataFrame, path: str, dataset: str = "dataset") -> Non
         draft = f"{folder}/_{uuid.uuid4().hex}"
         with open(draft, "w", encoding="utf-8", newline="") as f:
             f.writelines(f"{line}\n" for _, _, line in rows if line is not None)
-        os.replace(draft, f"{folder}/part.txt")
+        os.replace(draft, f"{folder}/part-00000.txt")
         return len(rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
