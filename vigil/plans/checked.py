@@ -157,7 +157,7 @@ def flatten_envelope(t: Tables) -> DataFrame:
     process = F.struct(F.concat(F.lit("run "), "k").alias("command_line"), F.struct(F.col("host").alias("pid")).alias("parent"))
     inside = F.struct(F.col("kind").alias("name"), F.lit("outer").alias("src"), F.struct("k", F.lit("inner").alias("src")).alias("EventData"), process.alias("process"), F.struct(F.concat(F.lit("h"), "host").alias("hostname")).alias("host"))
     event = F.to_json(F.struct(F.lit("ix").alias("_index"), F.col("event_id").cast("string").alias("_id"), inside.alias("_source")))
-    f = C.flatten_envelope(t.telemetry.select("event_id", event.alias("raw")), "raw", "f")
+    f = C.flatten_envelope(t.dealt_telemetry.select("event_id", event.alias("raw")), "raw", "f")
     return f.select("event_id", *[F.col("f")[k].alias(n) for n, k in (("k", "k"), ("name", "name"), ("src", "src"), ("id", "_id"), ("command", "process.command_line"), ("parent", "ppid"), ("machine", "host"))])
 
 
