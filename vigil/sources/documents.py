@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import argv, basename, last_wins
+from ..functions.columns import argv, basename, last_wins, let
 from ..operators.selection import first_per
 
 # The formats that the sources are written in.
@@ -160,13 +160,20 @@ def narrative_events(docs: DataFrame, key: str, text: str) -> DataFrame:
     row.  The identity is the record's id or, without one, its time, process and command.
     """
     times, told = (F.regexp_extract_all(text, F.lit(EVENT_LINE), F.lit(i)) for i in (1, 2))
-    rows = docs.select(key, F.posexplode(F.arrays_zip(times.alias("at"), told.alias("told"))).alias("occurrence", "e")).select(key, "occurrence", "e.*")
-    names, values = (F.regexp_extract_all("told", F.lit(EVENT_FIELD), F.lit(i)) for i in (1, 2))
-    rows = rows.withColumn("f", last_wins(names, F.transform(values, _strip)))
-    full = rows.where((F.col("f")["Image"] != "") & (F.col("f")["CommandLine"] != ""))
-    parts = F.to_json(F.struct("at", *[F.coalesce(F.col("f")[n], F.lit("")).alias(n) for n in ("ProcessGuid", "ProcessId", "Image", "CommandLine")]))
-    named = full.withColumn("identity", F.coalesce(F.nullif(F.col("f")["EventRecordID"], F.lit("")), parts))
-    return first_per(named, [key, "identity"], F.col("occurrence")).select(key, "occurrence", "at", F.col("f")["Image"].alias("image"), F.col("f")["CommandLine"].alias("command"))
+
+    def launch(f: Column, at: Column) -> Column:
+        parts = F.to_json(F.struct(at.alias("at"), *[F.coalesce(f[n], F.lit("")).alias(n) for n in ("ProcessGuid", "ProcessId", "Image", "CommandLine")]))
+        return F.struct(at.alias("at"), f["Image"].alias("image"), f["CommandLine"].alias("command"), F.coalesce(F.nullif(f["EventRecordID"], F.lit("")), parts).alias("identity"))
+
+    def fields(line: Column) -> Column:
+        names, values = (F.regexp_extract_all(line, F.lit(EVENT_FIELD), F.lit(i)) for i in (1, 2))
+        return last_wins(names, F.transform(values, _strip))
+
+    # read inside the generator: filters on a column of fields are pushed below it and read them again
+    found = F.transform(F.arrays_zip(times.alias("at"), told.alias("told")), lambda e: let(fields(e["told"]), lambda f: launch(f, e["at"])))
+    rows = docs.select(key, F.posexplode(found).alias("occurrence", "e")).select(key, "occurrence", "e.*")
+    full = rows.where("image <> '' and command <> ''")
+    return first_per(full, [key, "identity"], F.col("occurrence")).select(key, "occurrence", "at", "image", "command")
 
 
 def prompt_commands(docs: DataFrame, key: str, text: str) -> DataFrame:
