@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .columns import let
+
 # Runs inside the repeated groups are taken whole and never given back, so long words need no deep stack.
 _QUOTED = r""""(?:[^"\\]++|\\.)*+"|'[^']*+'|\\."""
 #: A command: everything up to a separator outside of quotes; a quote without its partner is no quote.
@@ -41,14 +43,17 @@ def posix_argv(text: Column) -> Column:
 def invocations(text: Column) -> Column:
     """The commands of an input as arrays of unquoted words, program first; redirections and leading assignments go."""
 
-    def command(part: Column) -> Column:
-        words = _all(part, rf"(?s){_REDIRECT}|{_WORD}")
+    def kept(words: Column) -> Column:
         turned = lambda w: w.rlike(rf"\A{_REDIRECT}\z")
-        kept = F.filter(words, lambda w, i: ~turned(w) & ~F.coalesce((i > 0) & F.get(words, i - 1).rlike(r"\A\d*&?[<>]+\z"), F.lit(False)))
-        start = F.array_position(F.transform(kept, lambda w: ~w.rlike(r"\A[A-Za-z_]\w*=")), F.lit(True)).cast("int")
-        return F.when(start > 0, F.transform(F.slice(kept, start, F.size(kept)), unquoted))
+        return F.filter(words, lambda w, i: ~turned(w) & ~F.coalesce((i > 0) & F.get(words, i - 1).rlike(r"\A\d*&?[<>]+\z"), F.lit(False)))
+
+    def command(words: Column) -> Column:
+        first = F.array_position(F.transform(words, lambda w: ~w.rlike(r"\A[A-Za-z_]\w*=")), F.lit(True)).cast("int")
+        return let(first, lambda start: F.when(start > 0, F.transform(F.slice(words, start, F.size(words)), unquoted)))
 
-    return F.filter(F.transform(_all(text, _COMMAND), command), lambda c: c.isNotNull())
+    # each step's words are bound once: named where they are used, they were parted anew for every word
+    parted = lambda part: let(let(_all(part, rf"(?s){_REDIRECT}|{_WORD}"), kept), command)
+    return F.filter(F.transform(_all(text, _COMMAND), parted), lambda c: c.isNotNull())
 
 
 def utf16_base64(value: Column) -> Column:
