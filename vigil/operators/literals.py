@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..lineage import cut
+from ..lineage import cut, staged
 from .joins import small
 
 WIDTH = 4
@@ -66,7 +66,9 @@ def first_literal(df: DataFrame, rules: DataFrame, text: str, order: str, value:
     """
     fold = ascii_lower if any_case else (lambda c: c)
     wanted = rules.where("literal is not null and literal <> ''").groupBy(fold(F.col("literal")).alias("pattern")).agg(F.min(F.struct(F.col(order).alias("order"), F.col(value).alias("value"))).alias("rule"))
-    texts = df.where(F.col(text).isNotNull()).select(fold(F.col(text)).alias("text")).distinct().withColumn("key", F.md5("text"))
+    # staged, as texts are read for their grams and again to confirm; texts that differ by case are two, so that none is folded twice
+    whole = df.where(F.col(text).isNotNull()).select(F.col(text).alias("text")).distinct()
+    texts = staged(whole.select(fold(F.col("text")).alias("text"), F.md5("text").alias("key")), "texts", free=False)
     wanted = cut(wanted.withColumn("n_bytes", F.least(F.lit(WIDTH), F.octet_length("pattern"))))
     of_patterns = cut(_grams_of(wanted, "pattern", "pattern", None, None))
     widths = sorted(r.n_bytes for r in wanted.select("n_bytes").distinct().collect())  # WIDTH numbers at most
@@ -86,7 +88,7 @@ def first_literal(df: DataFrame, rules: DataFrame, text: str, order: str, value:
     met = of_texts.join(small(index.select("gram", "rules")), "gram").select("key", "rules")
     fits = F.array_min(F.filter("rules", lambda r: F.contains(F.col("text"), r["pattern"])))
     best = met.join(texts, "key").select("key", fits.alias("fit")).where("fit is not null").groupBy("key").agg(F.min("fit").alias("fit"))
-    return df.withColumn("_key", F.md5(fold(F.col(text)))).join(best.select(F.col("key").alias("_key"), F.col("fit.value").alias(name)), "_key", "left").drop("_key")
+    return df.withColumn("_key", F.md5(text)).join(best.select(F.col("key").alias("_key"), F.col("fit.value").alias(name)), "_key", "left").drop("_key")
 
 
 def indicator_upgrade(commands: DataFrame, indicators: DataFrame, text: str, group: str | None = None, label: str = "label") -> DataFrame:
