@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 import uuid
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -34,7 +35,12 @@ def write_observations(shell: DataFrame, launches: DataFrame, root: str, complet
     run = f"r{uuid.uuid4().hex}"
     for name, df in zip(TABLES, (shell, launches)):
         df.withColumns({"run": F.lit(run), "part": _folder(F.col("dataset"))}).write.mode("append").partitionBy("run", "part").parquet(f"{root}/{name}")
-    _note(shell.select("dataset").union(launches.select("dataset")).distinct(), root, run, removed=False, complete=complete)
+    # the datasets that were written: their one column is read back, so that the rows are not made again
+    written = [shell.select("dataset").limit(0)]
+    for name in TABLES:
+        if _exists(shell.sparkSession, folder := f"{root}/{name}/run={run}"):  # without rows there is none
+            written.append(shell.sparkSession.read.schema(T.StructType([shell.schema["dataset"]])).parquet(folder).select("dataset"))
+    _note(reduce(DataFrame.union, written).distinct(), root, run, removed=False, complete=complete)
 
 
 def _note(datasets: DataFrame, root: str, run: str, removed: bool, complete: bool = True) -> None:
