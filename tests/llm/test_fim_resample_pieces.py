@@ -167,3 +167,22 @@ def test_other_models_are_refused(tmp_path):
     (tmp_path / "m.model").write_bytes(raw[: at - 2] + b"\x1a" + bytes([len(spec)]) + spec)
     with pytest.raises(ValueError):
         piecebpe.PieceBPE(str(tmp_path / "m.model"))
+
+
+def test_counting_keeps_chunks_that_come_again(monkeypatch):
+    from vigil.llm import bpe, topics
+    from vigil.llm.queries import tokenizer_path
+
+    texts = [" ".join(f"often{i % 7} only{n}x{i}  é{i % 3}" for i in range(50)) for n in range(40)]
+    plain = bpe.ByteBPE(tokenizer_path("byte_bpe_50k.json"), topics.bucket_of)
+    want = plain.count(texts, topics.BUCKETS)
+    monkeypatch.setattr(bpe, "CACHE_CHARS", 2000)
+    monkeypatch.setattr(bpe, "BATCH_BYTES", 1000)
+    small, learned = bpe.ByteBPE(tokenizer_path("byte_bpe_50k.json"), topics.bucket_of), []
+    learn = small._learn
+    monkeypatch.setattr(small, "_learn", lambda: (learned.extend(small.numbers.fresh), learn()))
+    for _ in range(2):
+        got = small.count(texts, topics.BUCKETS)
+        assert all((a == b).all() for a, b in zip(got, want))
+    assert small.encode(texts) == plain.encode(texts)
+    assert learned.count(" often3") < 5 and small.chars <= 2000 + 2 * 1000

@@ -174,7 +174,7 @@ class ByteBPE:
         """
         for batch in batches_by_bytes(texts, BATCH_BYTES, PIECE_BYTES):
             if self.chars > CACHE_CHARS:
-                self.forget()
+                self.forget(self.often(CACHE_CHARS // 2))
             if len(self.known) > CACHE_WORDS:
                 self.known = {"": b""}
             look, found = self.numbers.__getitem__, []
@@ -185,9 +185,25 @@ class ByteBPE:
                 self._learn()
             yield [i for i, _ in batch], [p for _, p in batch], found
 
-    def forget(self) -> None:
-        self.numbers, self.ids, self.chars = _Numbers(), [], 0
-        self.sizes, self.labels, self.odd = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
+    def often(self, chars: int) -> np.ndarray:
+        """The numbers of the chunks that count() met more than once since the last forget(), the most frequent ones up to `chars` characters."""
+        again = np.flatnonzero(self.uses > 1)
+        again = again[np.argsort(-self.uses[again], kind="stable")]
+        lengths = np.fromiter(map(len, self.numbers), np.int64, len(self.numbers))
+        return np.sort(again[np.cumsum(lengths[again]) <= chars])
+
+    def forget(self, but: np.ndarray | None = None) -> None:
+        """Forgets all chunks but those of these numbers, which are numbered anew."""
+        if but is None:
+            self.numbers, self.ids, self.chars = _Numbers(), [], 0
+            self.sizes, self.labels, self.odd, self.uses = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool), np.zeros(0, np.int64)
+            return
+        chunks, ids, self.numbers = list(self.numbers), self.ids, _Numbers()
+        kept = [chunks[i] for i in but.tolist()]
+        self.numbers.update(zip(kept, range(len(kept))))
+        self.ids, self.chars, self.uses = [ids[i] for i in but.tolist()], sum(map(len, kept)), np.zeros(0, np.int64)
+        self.sizes, self.odd = self.sizes[but], self.odd[but]
+        self.labels = self.labels[but] if self.label is not None else self.labels
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers."""
@@ -204,6 +220,9 @@ class ByteBPE:
         for at, pieces, found in self.chunks(texts):
             sizes = np.fromiter(map(len, found), np.int64, len(found))
             numbers = np.fromiter(itertools.chain.from_iterable(found), np.int64, int(sizes.sum()))
+            uses = np.bincount(numbers, minlength=len(self.sizes))
+            uses[: len(self.uses)] += self.uses
+            self.uses = uses
             starts = np.cumsum(sizes) - sizes
             ids = np.add.reduceat(self.sizes[numbers], starts)
             odd = np.flatnonzero(np.logical_or.reduceat(self.odd[numbers], starts))
