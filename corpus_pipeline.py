@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vigil.llm import bpe, mixing, neardup, quality
-from vigil.llm._common import cut, staged
+from vigil.llm._common import cut, staged, with_filter
 from vigil.llm.queries import tokenizer_path
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -61,8 +61,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     docs = docs.select(*COLUMNS)
     single = _one_row_ids(docs.where("doc_id is not null"))
     with _few_rows(spark):
-        kept = neardup.near_duplicates(single, id_col="row_id", threshold=(80, 100)).where("kept").select(F.col("doc_id").alias("row_id"))
-    return single.join(kept, "row_id", "left_semi").select(*COLUMNS).unionByName(docs.where("doc_id is null"))
+        gone = cut(neardup.near_duplicates(single, id_col="row_id", threshold=(80, 100)).where("not kept").select(F.col("doc_id").alias("row_id")))
+    # few rows go, so most texts are passed on where they are, and only the others are shuffled
+    marked = with_filter(single, "row_id", gone, "_maybe")
+    kept = marked.where("not _maybe").unionByName(marked.where("_maybe").join(gone, "row_id", "left_anti"))
+    return kept.select(*COLUMNS).unionByName(docs.where("doc_id is null"))
 
 
 def _one_row_ids(docs: DataFrame) -> DataFrame:

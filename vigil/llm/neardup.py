@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._common import ASCII_LOWER, ASCII_UPPER, cut, release, staged
+from ._common import ASCII_LOWER, ASCII_UPPER, cut, release, staged, with_filter
 from .components import connected_components
 
 WORDS = 5
@@ -255,11 +255,14 @@ def candidate_links(classes: DataFrame, threshold: float) -> DataFrame:
         .where(F.col("place") + have - F.col("common") <= have - least + 1)
         .select("id", "k", "n", "v", "df")
     )
+    release(classes.sparkSession)
     near_size = (F.col("b.n") >= F.col("a.n") * threshold - 1e-9) & (F.col("a.n") >= F.col("b.n") * threshold - 1e-9)
     short = lists.where(F.col("df") <= SHORT).select("id", "n", "v")
-    pairs = short.alias("a").join(short.alias("b"), (F.col("a.v") == F.col("b.v")) & (F.col("a.id") < F.col("b.id")) & near_size).select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
+    pairs = cut(short.alias("a").join(short.alias("b"), (F.col("a.v") == F.col("b.v")) & (F.col("a.id") < F.col("b.id")) & near_size).select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct())
     sk = classes.select("id", "k", "n", "sketch")
-    one, two = (sk.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}")) for x in "ab")
+    # sketches are most of what this step shuffles; most of them are in no pair
+    ends = [with_filter(sk, "id", pairs.select(x), "_asked").where("_asked") for x in "ab"]
+    one, two = (s.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}")) for s, x in zip(ends, "ab"))
     cutoff = fewest_common(SKETCH, threshold) / SKETCH
 
     def may_reach(est: np.ndarray, small: np.ndarray, large: np.ndarray) -> np.ndarray:
@@ -468,7 +471,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     release(df.sparkSession)
     sizes = classes.groupBy(F.col("id").alias("node")).agg(F.sum("n").alias("n"))
     groups = cut(connected_components(candidates).join(sizes, "node"))
-    texts = docs.where("id is not null and text is not null")
+    # of the texts, hardly more than those in groups are shuffled to their members
+    texts = with_filter(docs.where("id is not null and text is not null"), "id", groups.select("node"), "_asked").where("_asked").drop("_asked")
     confirmed = confirmed_links(texts, groups, candidates, threshold, width)
     repeated = ids.groupBy("id").agg(F.count("*").alias("rows")).where("rows > 1").select("id")
     owned = ids.join(repeated, "id", "left_semi").select("id", "digest").distinct().join(heads, "digest").select("id", "head")
